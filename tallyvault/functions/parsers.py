@@ -1,9 +1,9 @@
 """Column parsers: raw text -> typed value plus a quality tag.
 
-Each parser is a pair of Column builders. ``value`` maps the trimmed text to the typed value (NULL
-when unusable); ``tag`` names what was found, given the text and the value already computed. They
-are built-in expressions only, so parsing stays in one whole-stage-codegen span and a regular
-expression is evaluated once per value, not once more for the tag.
+A parser builds two SQL expressions. ``value`` maps the trimmed text to the typed value (NULL when
+unusable); ``tag`` names what was found, given the text and the column that holds the value, so
+that the tag does not evaluate the value's pattern again. They use built-in functions only, so
+parsing stays in one whole-stage-codegen span.
 
 Tag names, accepted words and patterns are fixed values of the log format.
 """
@@ -13,8 +13,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 4)
@@ -45,55 +43,66 @@ TAG_FULL_TIMESTAMP = "yyyy-mm-dd hh24:mi:ss"
 
 class Parser(NamedTuple):
     data_type: T.DataType
-    value: Callable[[Column], Column]
-    tag: Callable[[Column, Column], Column]
+    value: Callable[[str], str]
+    tag: Callable[[str, str], str]
     accepted: tuple[str, ...] = ("valid",)
 
 
+def quoted(words: Sequence[str]) -> str:
+    """Words as a list of SQL string literals."""
+    return ", ".join(f"'{word}'" for word in words)
+
+
 def _parser(
     data_type: T.DataType,
-    value: Callable[[Column], Column],
+    value: Callable[[str], str],
     *,
     null: str = "null",
     empty: str = "empty",
     tokens: Mapping[str, str] | None = None,
-    usable: Callable[[Column], Column] = lambda t: F.lit("valid"),
-    unusable: Callable[[Column], Column] = lambda t: F.lit("invalid"),
+    usable: Callable[[str], str] = lambda t: "'valid'",
+    unusable: Callable[[str], str] = lambda t: "'invalid'",
     accepted: tuple[str, ...] = ("valid",),
 ) -> Parser:
     """Tag order: NULL, '', special tokens, then whether a value came out."""
+    missing = {"": empty, **(tokens or {})}
 
-    def tag(text: Column, parsed: Column) -> Column:
-        chain = F.when(text.isNull(), null).when(text == "", empty)
-        for token, name in (tokens or {}).items():
-            chain = chain.when(text == token, name)
-        return chain.when(parsed.isNotNull(), usable(text)).otherwise(unusable(text))
+    def tag(text: str, parsed: str) -> str:
+        special = " ".join(f"WHEN {text} = '{token}' THEN '{t}'" for token, t in missing.items())
+        return (
+            f"CASE WHEN {text} IS NULL THEN '{null}' {special}"
+            f" WHEN {parsed} IS NOT NULL THEN {usable(text)} ELSE {unusable(text)} END"
+        )
 
     return Parser(data_type, value, tag, accepted)
 
 
 def _one_of(words: Sequence[str]) -> Parser:
-    return _parser(T.StringType(), lambda t: F.when(t.isin(*words), t))
+    return _parser(T.StringType(), lambda t: f"CASE WHEN {t} IN ({quoted(words)}) THEN {t} END")
 
 
 def _positive(data_type: T.DataType, tokens: Mapping[str, str] | None = None) -> Parser:
-    def value(text: Column) -> Column:
-        number = text.try_cast(data_type)
-        return F.when(number > 0, number)
+    def value(text: str) -> str:
+        number = f"try_cast({text} AS {data_type.simpleString()})"
+        return f"CASE WHEN {number} > 0 THEN {number} END"
 
     return _parser(data_type, value, tokens=tokens)
 
 
-def _iso_date(text: Column) -> Column:
-    return F.when(text.rlike(ISO_DATE), F.try_to_date(text, "yyyy-MM-dd"))
+def _iso_date(t: str) -> str:
+    return f"CASE WHEN {t} RLIKE r'{ISO_DATE}' THEN try_to_date({t}, 'yyyy-MM-dd') END"
+
+
+def _dotted_date(t: str) -> str:
+    return f"CASE WHEN {t} RLIKE r'{DOTTED_DATE}' THEN try_to_date({t}, 'dd.MM.yyyy') END"
 
 
-def _dotted_date(text: Column) -> Column:
-    return F.when(text.rlike(DOTTED_DATE), F.try_to_date(text, "dd.MM.yyyy"))
+def _full_timestamp(t: str) -> str:
+    return f"CASE WHEN {t} RLIKE r'{FULL_TIMESTAMP}' THEN try_cast({t} AS timestamp_ntz) END"
 
 
-def _full_timestamp(text: Column) -> Column:
-    return F.when(text.rlike(FULL_TIMESTAMP), text.try_cast(T.TimestampNTZType()))
+def _midnight(date: str) -> str:
+    return f"cast({date} AS timestamp_ntz)"
 
 
 # --- customers -------------------------------------------------------------------------------
@@ -103,69 +112,80 @@ _CUSTOMER = {"null": "invalid null", "empty": "invalid empty"}
 _CUSTOMER_OR_UNKNOWN = {**_CUSTOMER, "tokens": {"UNKNOWN": "invalid unknown"}}
 
 
-def _full_name(text: Column) -> Column:
-    name = F.nullif(F.regexp_extract(text, NAME, 2), F.lit(""))
-    return F.when(~_is_placeholder(text), name)
+def _is_placeholder(t: str) -> str:
+    return rf"lower(regexp_replace({t}, r'\s+', ' ')) = '{PLACEHOLDER_NAME}'"
 
 
-def _is_placeholder(text: Column) -> Column:
-    return F.lower(F.regexp_replace(text, r"\s+", " ")) == PLACEHOLDER_NAME
+def _phone_digits(t: str) -> str:
+    return f"CASE WHEN {t} RLIKE r'{PHONE_CHARS}' THEN regexp_replace({t}, '[^0-9]', '') END"
 
 
-def _phone_digits(text: Column) -> Column:
-    return F.when(text.rlike(PHONE_CHARS), F.regexp_replace(text, r"[^0-9]", ""))
+def _phone(t: str) -> str:
+    digits = _phone_digits(t)
+    return f"CASE WHEN length({digits}) >= 10 THEN right({digits}, 10) END"
 
 
-def _phone(text: Column) -> Column:
-    digits = _phone_digits(text)
-    return F.when(F.length(digits) >= 10, F.right(digits, F.lit(10)))
-
-
-def phone_code(text: Column) -> Column:
+def phone_code(t: str) -> str:
     """Digits in front of the ten of a valid phone number, NULL when there are none."""
-    digits = _phone_digits(F.trim(text))
-    return F.when(F.length(digits) > 10, F.left(digits, F.length(digits) - 10))
+    digits = _phone_digits(t)
+    return f"CASE WHEN length({digits}) > 10 THEN left({digits}, length({digits}) - 10) END"
 
 
 FULL_NAME = _parser(
     T.StringType(),
-    _full_name,
+    lambda t: (
+        f"CASE WHEN NOT ({_is_placeholder(t)})"
+        f" THEN nullif(regexp_extract({t}, r'{NAME}', 2), '') END"
+    ),
     **_CUSTOMER,
     # a name that does not open with a capital has a prefix in front of it
-    usable=lambda t: F.when(t.rlike(r"^\s*\p{Lu}"), "valid").otherwise("valid with prefix"),
-    unusable=lambda t: F.when(_is_placeholder(t), "invalid placeholder").otherwise("invalid"),
+    usable=lambda t: (
+        rf"CASE WHEN {t} RLIKE r'^\s*\p{{Lu}}' THEN 'valid' ELSE 'valid with prefix' END"
+    ),
+    unusable=lambda t: (
+        f"CASE WHEN {_is_placeholder(t)} THEN 'invalid placeholder' ELSE 'invalid' END"
+    ),
     accepted=("valid", "valid with prefix"),
 )
 EMAIL_ADDRESS = _parser(
-    T.StringType(), lambda t: F.when(t.rlike(EMAIL), t), **_CUSTOMER_OR_UNKNOWN
+    T.StringType(),
+    lambda t: f"CASE WHEN {t} RLIKE r'{EMAIL}' THEN {t} END",
+    **_CUSTOMER_OR_UNKNOWN,
 )
 PHONE = _parser(
     T.StringType(),
     _phone,
     **_CUSTOMER_OR_UNKNOWN,
-    unusable=lambda t: F.when(t.rlike(PHONE_CHARS), "invalid short").otherwise("invalid symb"),
+    unusable=lambda t: (
+        f"CASE WHEN {t} RLIKE r'{PHONE_CHARS}' THEN 'invalid short' ELSE 'invalid symb' END"
+    ),
 )
 CITY = _parser(
-    T.StringType(), lambda t: F.when(~t.isin("", "UNKNOWN"), t), **_CUSTOMER_OR_UNKNOWN
+    T.StringType(),
+    lambda t: f"CASE WHEN {t} NOT IN ('', 'UNKNOWN') THEN {t} END",
+    **_CUSTOMER_OR_UNKNOWN,
 )
 CREATED_AT = _parser(
     T.DateType(),
-    lambda t: F.coalesce(_iso_date(t), _dotted_date(t)),
+    lambda t: f"coalesce({_iso_date(t)}, {_dotted_date(t)})",
     **_CUSTOMER_OR_UNKNOWN,
-    usable=lambda t: F.when(t.contains("-"), TAG_ISO_DATE).otherwise(TAG_DOTTED_DATE),
+    usable=lambda t: f"if(contains({t}, '-'), '{TAG_ISO_DATE}', '{TAG_DOTTED_DATE}')",
     accepted=(TAG_ISO_DATE, TAG_DOTTED_DATE),
 )
 
 # --- products --------------------------------------------------------------------------------
 
-PRODUCT_NAME = _parser(T.StringType(), lambda t: F.when(t != "", t))
+PRODUCT_NAME = _parser(T.StringType(), lambda t: f"nullif({t}, '')")
 CATEGORY = _one_of(CATEGORIES)
-PRICE = _parser(MONEY, lambda t: t.try_cast(MONEY), tokens={"N/A": "na"})
+PRICE = _parser(
+    MONEY, lambda t: f"try_cast({t} AS {MONEY.simpleString()})", tokens={"N/A": "na"}
+)
 CURRENCY = _one_of(CURRENCIES)
 IS_ACTIVE = _parser(
     T.BooleanType(),
-    lambda t: F.when(F.lower(t).isin(*TRUE_WORDS), True).when(
-        F.lower(t).isin(*FALSE_WORDS), False
+    lambda t: (
+        f"CASE WHEN lower({t}) IN ({quoted(TRUE_WORDS)}) THEN true"
+        f" WHEN lower({t}) IN ({quoted(FALSE_WORDS)}) THEN false END"
     ),
 )
 
@@ -181,21 +201,21 @@ STATUS = _one_of(ORDER_STATUSES)
 EVENT_TYPE = _one_of(EVENT_TYPES)
 PAYMENT_TIMESTAMP = _parser(
     T.TimestampNTZType(),
-    lambda t: F.coalesce(_full_timestamp(t), _dotted_date(t).cast(T.TimestampNTZType())),
-    usable=lambda t: F.when(t.contains("-"), TAG_FULL_TIMESTAMP).otherwise(TAG_DOTTED_DATE),
+    lambda t: f"coalesce({_full_timestamp(t)}, {_midnight(_dotted_date(t))})",
+    usable=lambda t: f"if(contains({t}, '-'), '{TAG_FULL_TIMESTAMP}', '{TAG_DOTTED_DATE}')",
     accepted=(TAG_FULL_TIMESTAMP, TAG_DOTTED_DATE),
 )
 ORDER_TIMESTAMP = _parser(
     T.TimestampNTZType(),
-    lambda t: F.coalesce(_full_timestamp(t), _iso_date(t).cast(T.TimestampNTZType())),
+    lambda t: f"coalesce({_full_timestamp(t)}, {_midnight(_iso_date(t))})",
     tokens={"2025-99-99": "placeholder_date"},
-    usable=lambda t: F.when(t.contains(":"), TAG_FULL_TIMESTAMP).otherwise(TAG_ISO_DATE),
+    usable=lambda t: f"if(contains({t}, ':'), '{TAG_FULL_TIMESTAMP}', '{TAG_ISO_DATE}')",
     accepted=(TAG_FULL_TIMESTAMP, TAG_ISO_DATE),
 )
 EVENT_TIMESTAMP = _parser(
     T.TimestampNTZType(),
     _full_timestamp,
     tokens={"broken-date": "broken-date"},
-    usable=lambda t: F.lit(TAG_FULL_TIMESTAMP),
+    usable=lambda t: f"'{TAG_FULL_TIMESTAMP}'",
     accepted=(TAG_FULL_TIMESTAMP,),
 )

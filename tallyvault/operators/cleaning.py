@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyvault.functions.hashing import row_hash
+from tallyvault.functions.hashing import md5_of
+from tallyvault.functions.parsers import quoted
 from tallyvault.model import Entity
 
 
 def with_row_hash(raw: DataFrame, entity: Entity) -> DataFrame:
-    return raw.select(*entity.columns, row_hash(entity.columns).alias("row_hash"))
+    """The source columns and their fingerprint, taken over the untrimmed text in file order."""
+    return raw.selectExpr(*entity.columns, f"{md5_of(entity.columns)} AS row_hash")
 
 
 def collapse_copies(hashed: DataFrame, entity: Entity) -> DataFrame:
@@ -31,8 +30,12 @@ def collapse_copies(hashed: DataFrame, entity: Entity) -> DataFrame:
     return (
         hashed.groupBy("row_hash", *entity.columns)
         .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("duplicate_count", F.sum("copies").over(same_hash))
-        .withColumn("variant", F.row_number().over(same_hash.orderBy(*entity.columns)))
+        .withColumns(
+            {
+                "duplicate_count": F.sum("copies").over(same_hash),
+                "variant": F.row_number().over(same_hash.orderBy(*entity.columns)),
+            }
+        )
     )
 
 
@@ -42,36 +45,37 @@ def parse(rows: DataFrame, entity: Entity) -> DataFrame:
     Narrow: no shuffle. Columns that are not source columns (row_hash, copies, ...) pass through.
     """
     passed = [c for c in rows.columns if c not in entity.columns]
-    raw = rows.select(*[F.col(c).alias(f"raw_{c}") for c in entity.columns], *passed)
+    raw = rows.selectExpr(*[f"{c} AS raw_{c}" for c in entity.columns], *passed)
 
-    raw_key = F.col(f"raw_{entity.key}")
-    values = {c: p.value(_text(c)) for c, p in entity.parsers.items()}
-    values.setdefault(entity.key, raw_key.try_cast("bigint"))
-    valued = raw.select("*", *[v.alias(c) for c, v in values.items()])
+    values = {c: p.value(f"trim(raw_{c})") for c, p in entity.parsers.items()}
+    values.setdefault(entity.key, f"try_cast(raw_{entity.key} AS bigint)")
+    valued = raw.selectExpr("*", *[f"{value} AS {c}" for c, value in values.items()])
     # the tags see the values as columns, so each value is computed once
-    tags = {c: p.tag(_text(c), F.col(c)) for c, p in entity.parsers.items()}
-    tagged = valued.select("*", *[t.alias(f"{c}_format") for c, t in tags.items()])
-
-    return tagged.withColumn("fatal_reason", _fatal_reason(entity)).withColumn(
-        "has_non_fatal_error",
-        reduce(or_, [~F.col(f"{c}_format").isin(*p.accepted) for c, p in entity.parsers.items()]),
+    tags = {c: p.tag(f"trim(raw_{c})", c) for c, p in entity.parsers.items()}
+    tagged = valued.selectExpr("*", *[f"{tag} AS {c}_format" for c, tag in tags.items()])
+
+    bad_tags = [
+        f"{c}_format NOT IN ({quoted(p.accepted)})" for c, p in entity.parsers.items()
+    ]
+    return tagged.selectExpr(
+        "*",
+        f"{_fatal_reason(entity)} AS fatal_reason",
+        f"{' OR '.join(bad_tags)} AS has_non_fatal_error",
     )
 
 
-def _text(column: str) -> Column:
-    return F.trim(F.col(f"raw_{column}"))
-
-
-def _fatal_reason(entity: Entity) -> Column:
+def _fatal_reason(entity: Entity) -> str:
     """NULL for usable rows. The key is tested as it came, untrimmed."""
-    raw_key = F.col(f"raw_{entity.key}")
-    reason = F.when(
-        raw_key.isNull() | raw_key.isin(*entity.missing_keys),
-        f"missing_or_null_{entity.key}",
+    raw_key = f"raw_{entity.key}"
+    invalid = (
+        f"WHEN {entity.key} IS NULL THEN 'invalid_{entity.key}'"
+        if entity.key_parser is None
+        else ""
+    )
+    return (
+        f"CASE WHEN {raw_key} IS NULL OR {raw_key} IN ({quoted(entity.missing_keys)})"
+        f" THEN 'missing_or_null_{entity.key}' {invalid} END"
     )
-    if entity.key_parser is None:
-        reason = reason.when(F.col(entity.key).isNull(), f"invalid_{entity.key}")
-    return reason
 
 
 def accepted_rows(parsed: DataFrame, entity: Entity) -> DataFrame:
@@ -80,9 +84,9 @@ def accepted_rows(parsed: DataFrame, entity: Entity) -> DataFrame:
     Copies are still in. Hubs, satellites and links fold them on their own keys, so the vault
     can be loaded from here without the row-hash shuffle.
     """
-    return parsed.filter(F.col("fatal_reason").isNull()).select(*entity.cleaned_schema.names)
+    return parsed.filter("fatal_reason IS NULL").select(*entity.cleaned_schema.names)
 
 
 def cleaned_rows(parsed: DataFrame, entity: Entity) -> DataFrame:
     """Typed rows, one per row hash; ``parsed`` comes from ``collapse_copies``."""
-    return accepted_rows(parsed.filter(F.col("variant") == 1), entity)
+    return accepted_rows(parsed.filter("variant = 1"), entity)

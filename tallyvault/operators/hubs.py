@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tallyvault.functions.hashing import hub_key
 from tallyvault.model import Entity
@@ -20,11 +19,11 @@ def new_hub_rows(
     ``distinct`` folds repeated keys in the map tasks, so the shuffle and the anti join see
     unique keys only.
     """
-    keys = rows.select(entity.key).filter(F.col(entity.key).isNotNull()).distinct()
+    keys = rows.select(entity.key).filter(f"{entity.key} IS NOT NULL").distinct()
     if known is not None:
         keys = keys.join(known.select(entity.key), entity.key, "left_anti")
-    return keys.select(
-        hub_key(entity.key).alias(entity.hk),
+    return keys.selectExpr(
+        f"{hub_key(entity.key)} AS {entity.hk}",
         entity.key,
-        timestamp_literal(load_time).alias("load_datetime"),
+        f"{timestamp_literal(load_time)} AS load_datetime",
     )

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import datetime
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tallyvault.functions.hashing import hub_key, md5_of
 from tallyvault.model import BY_NOUN, Link
-from tallyvault.operators.rejects import reject_records, timestamp_literal
+from tallyvault.operators.rejects import (
+    cleaned_payload,
+    error_details,
+    reject_records,
+    timestamp_literal,
+)
 from tallyvault.operators.skew import left_lookup
 
 
@@ -23,34 +25,30 @@ def checked_ids(rows: DataFrame, link: Link, hubs: Mapping[str, DataFrame]) -> D
     checked, which is right for the link's own hub when it was loaded from these rows. Only the
     ids travel through the joins, and keys that own very many tuples are split.
     """
-    ids = rows.select(*link.ids).filter(reduce(and_, [F.col(c).isNotNull() for c in link.ids]))
-    checked = ids.distinct()
+    all_given = " AND ".join(f"{c} IS NOT NULL" for c in link.ids)
+    checked = rows.select(*link.ids).filter(all_given).distinct()
     for noun, hub in ((n, hubs[n]) for n in link.nouns if n in hubs):
         key = BY_NOUN[noun].key
-        present = hub.select(key, F.lit(True).alias(f"has_{noun}"))
+        present = hub.selectExpr(key, f"true AS has_{noun}")
         checked = left_lookup(checked, present, key, spread_by=link.ids)
-    missing_type = F.coalesce(
-        *[
-            F.when(F.col(f"has_{n}").isNull(), BY_NOUN[n].key)
-            for n in link.nouns
-            if n in hubs
-        ],
-        F.lit(None).cast("string"),
+    first_missing = " ".join(
+        f"WHEN has_{n} IS NULL THEN '{BY_NOUN[n].key}'" for n in link.nouns if n in hubs
     )
-    return checked.select(*link.ids, missing_type.alias("missing_type"))
+    return checked.selectExpr(*link.ids, f"CASE {first_missing} END AS missing_type")
 
 
 def new_link_rows(
     checked: DataFrame, link: Link, load_time: datetime, known: DataFrame | None = None
 ) -> DataFrame:
     """Link rows for the tuples whose ids all have hub rows, unless already linked."""
-    linked = checked.filter(F.col("missing_type").isNull()).select(
-        md5_of(F.col(c).cast("string") for c in link.ids).alias("link_hk"),
-        *[hub_key(BY_NOUN[n].key).alias(BY_NOUN[n].hk) for n in link.nouns],
+    linked = checked.filter("missing_type IS NULL").selectExpr(
+        f"{md5_of(f'cast({c} AS string)' for c in link.ids)} AS link_hk",
+        *[f"{hub_key(BY_NOUN[n].key)} AS {BY_NOUN[n].hk}" for n in link.nouns],
+        f"{timestamp_literal(load_time)} AS load_datetime",
     )
     if known is not None:
         linked = linked.join(known.select("link_hk"), "link_hk", "left_anti")
-    return linked.withColumn("load_datetime", timestamp_literal(load_time))
+    return linked
 
 
 def missing_references(
@@ -61,19 +59,13 @@ def missing_references(
     The wide rows are joined back to the few failing tuples. Both sides reach this join straight
     from a shuffle, the form in which adaptive execution splits an oversized partition.
     """
-    missing = checked.filter(F.col("missing_type").isNotNull())
-    found = rows.join(missing, link.ids, "inner")
-    missing_value = F.coalesce(
-        *[F.when(F.col("missing_type") == c, F.col(c)) for c in link.ids]
+    entity = link.entity
+    found = rows.join(checked.filter("missing_type IS NOT NULL"), link.ids, "inner")
+    details = error_details(
+        "warn",
+        "'missing_reference'",
+        missing_type="missing_type",
+        missing_value=f"CASE missing_type {' '.join(f"WHEN '{c}' THEN {c}" for c in link.ids)} END",
+        source_table=f"'cleaned.{entity.name}'",
     )
-    details = F.struct(
-        F.lit("warn").alias("level"),
-        F.lit("missing_reference").alias("reason"),
-        F.struct(
-            F.col("missing_type"),
-            missing_value.alias("missing_value"),
-            F.lit(f"cleaned.{link.entity.name}").alias("source_table"),
-        ).alias("details"),
-    )
-    payload = F.struct(*link.entity.cleaned_schema.names)
-    return reject_records(found, link.entity.name, load_time, payload, details)
+    return reject_records(found, entity.name, load_time, cleaned_payload(entity), details)

@@ -4,43 +4,60 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyvault.model import REJECT_SCHEMA, Entity
+from tallyvault.model import Entity
 
 # Copies written out by one task at a time; more are spread over tasks first.
 COPIES_PER_TASK = 100_000
 
-_KEEP_NULLS = {"ignoreNullFields": "false"}
 
-
-def timestamp_literal(moment: datetime) -> Column:
+def timestamp_literal(moment: datetime) -> str:
     """The load time as a literal: a retried task or load stamps the same time."""
-    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+    return f"TIMESTAMP_NTZ '{moment.isoformat(sep=' ')}'"
 
 
 def reject_records(
-    rows: DataFrame, source_table: str, load_time: datetime, payload: Column, details: Column
+    rows: DataFrame, source_table: str, load_time: datetime, payload: str, details: str
 ) -> DataFrame:
-    return rows.select(
-        F.lit(source_table).alias("source_table"),
-        timestamp_literal(load_time).alias("load_datetime"),
-        F.to_json(payload, _KEEP_NULLS).alias("raw_payload"),
-        F.to_json(details).alias("error_details"),
-    ).select(*REJECT_SCHEMA.names)
+    """Records in the log's schema; ``payload`` and ``details`` are struct expressions.
+
+    The payload keeps its NULL fields, as it shows the whole row.
+    """
+    return rows.selectExpr(
+        f"'{source_table}' AS source_table",
+        f"{timestamp_literal(load_time)} AS load_datetime",
+        f"to_json({payload}, map('ignoreNullFields', 'false')) AS raw_payload",
+        f"to_json({details}) AS error_details",
+    )
+
 
+def raw_payload(entity: Entity) -> str:
+    fields = ", ".join(f"'{c}', raw_{c}" for c in entity.columns)
+    return f"named_struct({fields}, 'row_hash', row_hash)"
 
-def raw_payload(entity: Entity) -> Column:
-    return F.struct(*[F.col(f"raw_{c}").alias(c) for c in entity.columns], F.col("row_hash"))
+
+def cleaned_payload(entity: Entity) -> str:
+    return f"struct({', '.join(entity.cleaned_schema.names)})"
+
+
+def error_details(level: str, reason: str, **details: str) -> str:
+    """Struct of level, reason (an expression) and, if any, a nested struct of details."""
+    nested = ", ".join(f"'{name}', {value}" for name, value in details.items())
+    tail = f", 'details', named_struct({nested})" if nested else ""
+    return f"named_struct('level', '{level}', 'reason', {reason}{tail})"
 
 
 def fatal_rejects(parsed: DataFrame, entity: Entity, load_time: datetime) -> DataFrame:
     """Rows without a usable business key, one record per raw row."""
-    fatal = parsed.filter(F.col("fatal_reason").isNotNull())
-    details = F.struct(F.lit("fatal").alias("level"), F.col("fatal_reason").alias("reason"))
+    fatal = parsed.filter("fatal_reason IS NOT NULL")
     return reject_records(
-        one_row_per_copy(fatal), entity.name, load_time, raw_payload(entity), details
+        one_row_per_copy(fatal),
+        entity.name,
+        load_time,
+        raw_payload(entity),
+        error_details("fatal", "fatal_reason"),
     )
 
 
@@ -49,20 +66,16 @@ def warn_rejects(parsed: DataFrame, entity: Entity, load_time: datetime) -> Data
 
     The details list every attribute's tag, good ones too, and the number of duplicates.
     """
-    warned = parsed.filter(
-        F.col("fatal_reason").isNull()
-        & (F.col("has_non_fatal_error") | (F.col("duplicate_count") > 1))
-    )
-    details = F.struct(
-        F.lit("warn").alias("level"),
-        F.lit("invalid_descriptive_attributes").alias("reason"),
-        F.struct(
-            *[f"{c}_format" for c in entity.attributes],
-            F.col("duplicate_count").alias("num_duplicates"),
-        ).alias("details"),
-    )
+    warned = parsed.filter("fatal_reason IS NULL AND (has_non_fatal_error OR duplicate_count > 1)")
+    tags = {f"{c}_format": f"{c}_format" for c in entity.attributes}
     return reject_records(
-        one_row_per_copy(warned), entity.name, load_time, raw_payload(entity), details
+        one_row_per_copy(warned),
+        entity.name,
+        load_time,
+        raw_payload(entity),
+        error_details(
+            "warn", "'invalid_descriptive_attributes'", **tags, num_duplicates="duplicate_count"
+        ),
     )
 
 
@@ -73,16 +86,15 @@ def one_row_per_copy(collapsed: DataFrame, per_task: int = COPIES_PER_TASK) -> D
     are written out, so no task produces more than a few chunks of one row.
     """
     few = collapsed.filter(F.col("copies") <= per_task).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+        "_copy", F.expr("explode(sequence(1, cast(copies AS int)))")
     )
-    last_chunk = F.expr(f"(copies - 1) div {per_task}")
     chunked = collapsed.filter(F.col("copies") > per_task).withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk))
+        "_chunk", F.expr(f"explode(sequence(0L, (copies - 1) div {per_task}))")
     )
-    in_chunk = F.least(F.lit(per_task), F.col("copies") - F.col("_chunk") * per_task).cast("int")
+    in_chunk = f"cast(least({per_task}, copies - _chunk * {per_task}) AS int)"
     many = (
         chunked.repartition("row_hash", "_chunk")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), in_chunk)))
+        .withColumn("_copy", F.expr(f"explode(sequence(1, {in_chunk}))"))
         .drop("_chunk")
     )
     return few.unionByName(many).drop("_copy")

@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from tallyvault.functions.hashing import canonical_text, hub_key, md5_of
 from tallyvault.model import Entity
-from tallyvault.operators.rejects import reject_records, timestamp_literal
+from tallyvault.operators.rejects import (
+    cleaned_payload,
+    error_details,
+    reject_records,
+    timestamp_literal,
+)
 
 
 def latest_version(sat: DataFrame, hk: str) -> DataFrame:
@@ -24,8 +29,8 @@ def latest_version(sat: DataFrame, hk: str) -> DataFrame:
 
 def _versioned(rows: DataFrame, entity: Entity) -> DataFrame:
     hash_diff = md5_of(canonical_text(c, p.data_type) for c, p in entity.attributes.items())
-    return rows.filter(F.col(entity.key).isNotNull()).select(
-        hub_key(entity.key).alias(entity.hk), "*", hash_diff.alias("hash_diff")
+    return rows.filter(f"{entity.key} IS NOT NULL").selectExpr(
+        f"{hub_key(entity.key)} AS {entity.hk}", "*", f"{hash_diff} AS hash_diff"
     )
 
 
@@ -53,12 +58,15 @@ def new_sat_rows(
     chosen = _chosen(_versioned(rows, entity), entity)
     if history is not None:
         latest = latest_version(history.select(entity.hk, "load_datetime", "hash_diff"), entity.hk)
-        stored = latest.select(entity.hk, F.col("hash_diff").alias("_stored"))
+        stored = latest.selectExpr(entity.hk, "hash_diff AS _stored")
         chosen = chosen.join(stored, entity.hk, "left").filter(
-            F.col("_stored").isNull() | (F.col("_stored") != F.col("hash_diff"))
+            "_stored IS NULL OR _stored <> hash_diff"
         )
-    return chosen.withColumn("load_datetime", timestamp_literal(load_time)).select(
-        *entity.sat_schema.names
+    return chosen.selectExpr(
+        entity.hk,
+        f"{timestamp_literal(load_time)} AS load_datetime",
+        *entity.attributes,
+        "hash_diff",
     )
 
 
@@ -77,10 +85,5 @@ def conflicting_versions(rows: DataFrame, entity: Entity, load_time: datetime) -
         .drop("_n")
     )
     losers = versions.join(_chosen(versions, entity).select(*version), version, "left_anti")
-    details = F.struct(
-        F.lit("warn").alias("level"),
-        F.lit("conflicting_versions").alias("reason"),
-        F.struct(F.col("hash_diff")).alias("details"),
-    )
-    payload = F.struct(*entity.cleaned_schema.names)
-    return reject_records(losers, entity.name, load_time, payload, details)
+    details = error_details("warn", "'conflicting_versions'", hash_diff="hash_diff")
+    return reject_records(losers, entity.name, load_time, cleaned_payload(entity), details)

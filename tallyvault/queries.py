@@ -16,7 +16,17 @@ from pyspark.sql import types as T
 
 from tallyvault.functions.currency import converted_amount
 from tallyvault.functions.parsers import phone_code
-from tallyvault.model import CUSTOMERS, ENTITIES, LINKS, ORDERS, PAYMENTS, PRODUCTS, Entity, Link
+from tallyvault.model import (
+    BY_NOUN,
+    CUSTOMERS,
+    ENTITIES,
+    LINKS,
+    ORDERS,
+    PAYMENTS,
+    PRODUCTS,
+    Entity,
+    Link,
+)
 from tallyvault.operators.cleaning import (
     accepted_rows,
     cleaned_rows,
@@ -51,15 +61,14 @@ CHANGES = {
 
 
 def plain(rows: DataFrame) -> DataFrame:
-    def column(field: T.StructField):
-        c = F.col(field.name)
+    def column(field: T.StructField) -> str:
         if isinstance(field.dataType, T.DecimalType):
-            return c.cast("double").alias(field.name)
+            return f"cast({field.name} AS double) AS {field.name}"
         if isinstance(field.dataType, (T.DateType, T.TimestampNTZType)):
-            return c.cast("string").alias(field.name)
-        return c
+            return f"cast({field.name} AS string) AS {field.name}"
+        return field.name
 
-    return rows.select(*[column(f) for f in rows.schema.fields])
+    return rows.selectExpr(*[column(f) for f in rows.schema.fields])
 
 
 # --- inputs ----------------------------------------------------------------------------------
@@ -93,12 +102,12 @@ def row_hash(spark: SparkSession, sf_dir: str, entity: Entity) -> DataFrame:
 def parse_column(spark: SparkSession, sf_dir: str, entity: Entity, column: str) -> DataFrame:
     """Raw text, parsed value as text and tag of one column, for every source row."""
     rows = parse(with_row_hash(_raw(spark, sf_dir, entity), entity), entity)
-    extra = [phone_code(F.col("raw_phone")).alias("phone_code")] if column == "phone" else []
-    return rows.select(
-        F.col(f"raw_{entity.key}").alias("source_key"),
-        F.col(f"raw_{column}").alias("raw_value"),
-        F.col(column).cast("string").alias("value"),
-        F.col(f"{column}_format").alias("format"),
+    extra = [f"{phone_code('trim(raw_phone)')} AS phone_code"] if column == "phone" else []
+    return rows.selectExpr(
+        f"raw_{entity.key} AS source_key",
+        f"raw_{column} AS raw_value",
+        f"cast({column} AS string) AS value",
+        f"{column}_format AS format",
         *extra,
     )
 
@@ -116,7 +125,7 @@ def rejects_fatal(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = [
         fatal_rejects(_parsed(_raw(spark, sf_dir, e), e), e, FIRST_LOAD) for e in ENTITIES.values()
     ]
-    return reduce(DataFrame.unionAll, records).select(
+    return reduce(DataFrame.unionAll, records).selectExpr(
         "source_table",
         _json("raw_payload", "row_hash"),
         _json("error_details", "level"),
@@ -126,20 +135,19 @@ def rejects_fatal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rejects_warn(spark: SparkSession, sf_dir: str, entity: Entity) -> DataFrame:
     records = warn_rejects(_parsed(_raw(spark, sf_dir, entity), entity), entity, FIRST_LOAD)
-    return records.select(
+    return records.selectExpr(
         "source_table",
         *[_json("raw_payload", c) for c in (*entity.columns, "row_hash")],
         _json("error_details", "level"),
         _json("error_details", "reason"),
         *[_json("error_details", f"{c}_format", "details.") for c in entity.attributes],
-        F.get_json_object("error_details", "$.details.num_duplicates")
-        .cast("bigint")
-        .alias("num_duplicates"),
+        "cast(get_json_object(error_details, '$.details.num_duplicates') AS bigint)"
+        " AS num_duplicates",
     )
 
 
-def _json(column: str, name: str, path: str = ""):
-    return F.get_json_object(column, f"$.{path}{name}").alias(name)
+def _json(column: str, name: str, path: str = "", called: str = "") -> str:
+    return f"get_json_object({column}, '$.{path}{name}') AS {called or name}"
 
 
 # --- vault -----------------------------------------------------------------------------------
@@ -190,7 +198,7 @@ def conflicts(spark: SparkSession, sf_dir: str, entity: Entity) -> DataFrame:
     """Versions set aside when both loads' rows arrive as one batch."""
     both = _raw(spark, sf_dir, entity).unionByName(_second_raw(spark, sf_dir, entity))
     rows = cleaned_rows(_parsed(both, entity), entity)
-    return conflicting_versions(rows, entity, FIRST_LOAD).select(
+    return conflicting_versions(rows, entity, FIRST_LOAD).selectExpr(
         "source_table",
         _json("raw_payload", entity.key),
         _json("raw_payload", "row_hash"),
@@ -199,42 +207,42 @@ def conflicts(spark: SparkSession, sf_dir: str, entity: Entity) -> DataFrame:
     )
 
 
-def _hubs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _other_hubs(spark: SparkSession, sf_dir: str, link: Link) -> dict[str, DataFrame]:
+    """First-load hub rows of the ids a link's rows refer to, by noun."""
+    referred = [BY_NOUN[noun] for noun in link.nouns[1:]]
     return {
-        e.hub: new_hub_rows(_accepted(_raw(spark, sf_dir, e), e), e, FIRST_LOAD)
-        for e in ENTITIES.values()
+        e.noun: new_hub_rows(_accepted(_raw(spark, sf_dir, e), e), e, FIRST_LOAD) for e in referred
     }
 
 
 def link(spark: SparkSession, sf_dir: str, link: Link) -> DataFrame:
     rows = _accepted(_raw(spark, sf_dir, link.entity), link.entity)
-    checked = checked_ids(rows, link, other_hubs(link, _hubs(spark, sf_dir)))
+    checked = checked_ids(rows, link, _other_hubs(spark, sf_dir, link))
     return new_link_rows(checked, link, FIRST_LOAD).drop("load_datetime")
 
 
 def link_incremental(spark: SparkSession, sf_dir: str, link: Link) -> DataFrame:
     """Link rows the second load adds, checked against the first load's hubs, own hub included."""
-    hubs = _hubs(spark, sf_dir)
+    hubs = _other_hubs(spark, sf_dir, link)
     first = _accepted(_raw(spark, sf_dir, link.entity), link.entity)
-    known = new_link_rows(checked_ids(first, link, other_hubs(link, hubs)), link, FIRST_LOAD)
+    known = new_link_rows(checked_ids(first, link, hubs), link, FIRST_LOAD)
     rows = _accepted(_second_raw(spark, sf_dir, link.entity), link.entity)
     second_hub = new_hub_rows(rows, link.entity, SECOND_LOAD)
-    all_hubs = other_hubs(link, hubs) | {link.nouns[0]: second_hub}
-    checked = checked_ids(rows, link, all_hubs)
+    checked = checked_ids(rows, link, hubs | {link.nouns[0]: second_hub})
     return new_link_rows(checked, link, SECOND_LOAD, known).drop("load_datetime")
 
 
 def missing(spark: SparkSession, sf_dir: str, link: Link) -> DataFrame:
     entity = link.entity
     rows = cleaned_rows(_parsed(_raw(spark, sf_dir, entity), entity), entity)
-    checked = checked_ids(rows, link, other_hubs(link, _hubs(spark, sf_dir)))
-    return missing_references(rows, checked, link, FIRST_LOAD).select(
+    checked = checked_ids(rows, link, _other_hubs(spark, sf_dir, link))
+    return missing_references(rows, checked, link, FIRST_LOAD).selectExpr(
         "source_table",
         _json("raw_payload", "row_hash"),
         *[_json("error_details", c) for c in ("level", "reason")],
         _json("error_details", "missing_type", "details."),
         _json("error_details", "missing_value", "details."),
-        _json("error_details", "source_table", "details.").alias("checked_table"),
+        _json("error_details", "source_table", "details.", called="checked_table"),
     )
 
 

@@ -13,18 +13,33 @@ from pyspark.sql import functions as F
 from tallyvault.model import Entity
 
 
+# The columns used, with their types: reading with a given schema needs no job to find it.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers; every fiftieth row comes twice."""
-    nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    nation = _table(spark, sf_dir, "nation")
+    customer = _table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS k",
+        "c_name",
+        "c_nationkey AS n_nationkey",
+        "explode(if(c_custkey % 50 = 0, array(1, 2), array(1))) AS copy",
+    )
     return (
-        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .withColumn("k", F.col("c_custkey"))
-        .withColumn("copy", F.expr("explode(if(k % 50 = 0, array(1, 2), array(1)))"))
+        customer.join(nation, "n_nationkey", "left")
         .selectExpr(
             "if(k % 97 = 0, 'UNKNOWN', cast(k as string)) AS customer_id",
             """CASE k % 5 WHEN 0 THEN '  ivan IVANOV ' WHEN 1 THEN 'mr. John Smith'
@@ -129,13 +144,11 @@ def raw_entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def next_batch(raw: DataFrame, entity: Entity, attribute: str, changed_to: str) -> DataFrame:
     """The rows of a following load: one attribute changed where the key divides by 7, and every
     tenth key (remainder 1) also as a new key 10 million higher."""
-    key = F.col(entity.key).try_cast("bigint")
-    new_key = (key + 10_000_000).cast("string")
-    changed = raw.withColumn(
-        attribute, F.when(key % 7 == 0, F.lit(changed_to)).otherwise(F.col(attribute))
-    )
-    keys = F.when(key % 10 == 1, F.array(entity.key, new_key)).otherwise(F.array(entity.key))
-    return changed.select(
-        F.explode(keys).alias(entity.key),
-        *[c for c in entity.columns if c != entity.key],
+    key = f"try_cast({entity.key} AS bigint)"
+    both_keys = f"array({entity.key}, cast({key} + 10000000 AS string))"
+    values = {c: c for c in entity.attributes}
+    values[attribute] = f"if({key} % 7 = 0, '{changed_to}', {attribute})"
+    return raw.selectExpr(
+        f"explode(if({key} % 10 = 1, {both_keys}, array({entity.key}))) AS {entity.key}",
+        *[f"{value} AS {c}" for c, value in values.items()],
     )

@@ -14,7 +14,7 @@ from tallyvault.functions import parsers as P
 from tallyvault.functions.parsers import Parser
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Entity:
     """One kind of source row.
 
@@ -158,7 +158,7 @@ ENTITIES: dict[str, Entity] = {
 BY_NOUN: dict[str, Entity] = {e.noun: e for e in ENTITIES.values()}
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Link:
     """A relationship carried by the rows of one entity; its own hub comes first in ``nouns``."""
 

@@ -31,10 +31,9 @@ def checked_ids(rows: DataFrame, link: Link, hubs: Mapping[str, DataFrame]) -> D
         key = BY_NOUN[noun].key
         present = hub.selectExpr(key, f"true AS has_{noun}")
         checked = left_lookup(checked, present, key, spread_by=link.ids)
-    first_missing = " ".join(
-        f"WHEN has_{n} IS NULL THEN '{BY_NOUN[n].key}'" for n in link.nouns if n in hubs
-    )
-    return checked.selectExpr(*link.ids, f"CASE {first_missing} END AS missing_type")
+    tests = [f"if(has_{n} IS NULL, '{BY_NOUN[n].key}', NULL)" for n in link.nouns if n in hubs]
+    first_missing = ", ".join([*tests, "cast(NULL AS string)"])
+    return checked.selectExpr(*link.ids, f"coalesce({first_missing}) AS missing_type")
 
 
 def new_link_rows(

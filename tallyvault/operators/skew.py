@@ -31,6 +31,7 @@ def left_lookup(
     lookup: DataFrame,
     key: str,
     spread_by: Sequence[str],
+    row_bound: int | None = None,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """``rows`` left join ``lookup`` on ``key``, with hot keys cut into groups.
@@ -38,7 +39,12 @@ def left_lookup(
     A hot key's rows get a group number from ``spread_by`` (columns that tell them apart) and its lookup row is repeated once per group, so the join key is (key, group) and no group
     is larger than about ``group_rows``. Every row has one group, so the result is the plain
     join's. The repeats add at most ``rows / group_rows`` lookup rows in all.
+
+    ``row_bound`` is an upper bound on the number of rows, where one is known for free (a Parquet
+    row count): a table no larger than one group has no hot key and is joined plainly.
     """
+    if row_bound is not None and row_bound <= group_rows:
+        return rows.join(lookup, key, "left")
     hot = F.broadcast(hot_keys(rows, key, group_rows))
     grouped = rows.join(hot, key, "left").withColumn(
         "_group",

@@ -14,7 +14,11 @@ from tallyvault.operators.cleaning import cleaned_rows, collapse_copies, parse,
 from tallyvault.operators.hubs import new_hub_rows
 from tallyvault.operators.links import checked_ids, missing_references, new_link_rows
 from tallyvault.operators.rejects import fatal_rejects, warn_rejects
-from tallyvault.operators.satellites import conflicting_versions, new_sat_rows
+from tallyvault.operators.satellites import (
+    conflicting_versions,
+    has_conflicting_versions,
+    new_sat_rows,
+)
 from tallyvault.plans.staging import Staging, run_together
 from tallyvault.plans.vault import StoredVault, other_hubs
 
@@ -85,15 +89,17 @@ class Load:
             self.vault.append(
                 entity.sat, new_sat_rows(rows, entity, self.load_time, history), self.load_id
             )
-            conflicts = conflicting_versions(rows, entity, self.load_time)
-            self.vault.log(conflicts, self.load_id, f"versions_{entity.name}")
+            if has_conflicting_versions(rows, entity):
+                conflicts = conflicting_versions(rows, entity, self.load_time)
+                self.vault.log(conflicts, self.load_id, f"versions_{entity.name}")
 
         run_together(partial(write, e) for e in ENTITIES.values())
 
     def load_links(self) -> None:
         def write(link: Link) -> None:
             rows = self.cleaned(link.entity)
-            checked = checked_ids(rows, link, other_hubs(link, self.vault))
+            row_bound = self.parsed[link.entity.name].count()  # from the Parquet footers
+            checked = checked_ids(rows, link, other_hubs(link, self.vault), row_bound)
             # both the link and the log are written from the checked ids
             checked = self.staging.put(f"checked_{link.name}", checked)
             known = self.vault.before(link.name, self.load_id)

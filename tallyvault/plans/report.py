@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from tallyvault.model import ENTITIES, LINKS, REJECTS, VAULT_SCHEMAS
 from tallyvault.plans import analytics
 from tallyvault.plans.analytics import Vault
 from tallyvault.plans.pipeline import Load
+from tallyvault.plans.staging import run_together
 
 SAMPLE_ROWS = 5
 
@@ -46,18 +47,17 @@ def structure_report(tables: Mapping[str, DataFrame]) -> list[str]:
 
     A table that cannot be read is noted and the rest goes on.
     """
-    lines: list[str] = []
-    for name, table in tables.items():
+
+    def describe(name: str, table: DataFrame) -> list[str]:
         try:
-            count = structure_counts({name: table}).first()["row_count"]
-            sample = table.limit(SAMPLE_ROWS).collect()
+            count, sample = table.count(), table.limit(SAMPLE_ROWS).collect()
         except Exception as error:
-            lines += [f"{name} throws error", f"{type(error).__name__}", ""]
-            continue
-        lines += [f"{name}: {count}", ",".join(table.columns)]
-        lines += [",".join("" if v is None else str(v) for v in row) for row in sample]
-        lines.append("")
-    return lines
+            return [f"{name} throws error", type(error).__name__, ""]
+        values = [",".join("" if v is None else str(v) for v in row) for row in sample]
+        return [f"{name}: {count}", ",".join(table.columns), *values, ""]
+
+    described = run_together(partial(describe, name, table) for name, table in tables.items())
+    return [line for lines in described for line in lines]
 
 
 def write_lines(spark: SparkSession, lines: list[str], path: str) -> None:

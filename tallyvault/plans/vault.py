@@ -6,6 +6,8 @@ stored one appends each load under its own ``load_id`` partition.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Iterator, Mapping
 from datetime import datetime
 
@@ -20,6 +22,15 @@ from tallyvault.operators.links import checked_ids, new_link_rows
 from tallyvault.operators.satellites import new_sat_rows
 
 
+# The column each table is bucketed by.
+BUCKET_COLUMNS = (
+    {e.hub: e.key for e in ENTITIES.values()}
+    | {e.sat: e.hk for e in ENTITIES.values()}
+    | {link.name: link.entity.hk for link in LINKS.values()}
+)
+_SAT_NAMES = {e.sat for e in ENTITIES.values()}
+
+
 def other_hubs(link: Link, hubs: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Hub rows by noun for the ids a link's rows refer to; its own hub is complete by then."""
     return {noun: hubs[BY_NOUN[noun].hub] for noun in link.nouns[1:]}
@@ -42,14 +53,25 @@ class StoredVault(Mapping[str, DataFrame]):
     the same load left there, so a load that failed half-way is simply run again. A load compares
     with earlier loads only (``before``), never with its own partition. Load ids sort in load
     order, e.g. ``20260131T235959``.
+
+    With ``buckets`` the tables are written in that many buckets: hubs by business key,
+    satellites and links by the hash key of their own entity. Latest versions, hub lookups and
+    satellite-link joins then read co-located data and need no shuffle of the stored side. Use the
+    session's shuffle partition count, as a batch is then shuffled straight into the buckets.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
+        if buckets is not None:
+            digest = hashlib.md5(self.root.encode()).hexdigest()[:12]
+            self._database = f"tallyvault_{digest}"
+            self._check_layout()
+            self._create_tables()
 
     def __getitem__(self, table: str) -> DataFrame:
-        return self._read(table, VAULT_SCHEMAS[table]).drop("load_id")
+        return self._read(table).drop("load_id")
 
     def __iter__(self) -> Iterator[str]:
         return iter(VAULT_SCHEMAS)
@@ -61,16 +83,32 @@ class StoredVault(Mapping[str, DataFrame]):
         """Rows of earlier loads, None before the first one."""
         if not self._exists(self._path(table)):
             return None
-        earlier = F.col("load_id") < load_id
-        return self._read(table, VAULT_SCHEMAS[table]).filter(earlier).drop("load_id")
+        return self._read(table).filter(F.col("load_id") < load_id).drop("load_id")
 
     def rejects(self) -> DataFrame:
         """The reject log with its ``load_id`` and ``stage``."""
-        return self._read(REJECTS, REJECT_SCHEMA, ("load_id", "stage"))
+        return self._read_files(REJECTS, REJECT_SCHEMA, ("load_id", "stage"))
 
     def append(self, table: str, rows: DataFrame, load_id: str) -> None:
+        rows = rows.select(*VAULT_SCHEMAS[table].names)
         path = f"{self._path(table)}/load_id={load_id}"
-        rows.select(*VAULT_SCHEMAS[table].names).write.mode("overwrite").parquet(path)
+        if self.buckets is None:
+            rows.write.mode("overwrite").parquet(path)
+            return
+        column = BUCKET_COLUMNS[table]
+        if table not in _SAT_NAMES:
+            # a satellite's new rows come out of a window on the bucket column already
+            rows = rows.repartition(self.buckets, column)
+        # a bucketed write needs a table; this one exists while the partition is written
+        loading = self._name(f"loading_{uuid.uuid4().hex}")
+        writer = rows.write.mode("overwrite").option("path", path)
+        writer.bucketBy(self.buckets, column).saveAsTable(loading)
+        self.spark.sql(f"DROP TABLE {loading}")  # the files stay
+        self.spark.sql(
+            f"ALTER TABLE {self._name(table)} ADD IF NOT EXISTS"
+            f" PARTITION (load_id = '{load_id}') LOCATION '{path}'"
+        )
+        self.spark.catalog.refreshTable(self._name(table))
 
     def log(self, records: DataFrame, load_id: str, stage: str) -> None:
         """Add reject records; ``stage`` names the step, so a repeated step replaces its own."""
@@ -83,12 +121,24 @@ class StoredVault(Mapping[str, DataFrame]):
             if self._exists(self._path(table)):
                 empty = self.spark.createDataFrame([], schema)
                 empty.write.mode("overwrite").parquet(self._path(table))
+        if self.buckets is not None:
+            for table in VAULT_SCHEMAS:
+                self.spark.sql(f"DROP TABLE {self._name(table)}")
+            self._create_tables()
 
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _read(
-        self, table: str, schema: T.StructType, partitions: tuple[str, ...] = ("load_id",)
+    def _name(self, table: str) -> str:
+        return f"{self._database}.{table}"
+
+    def _read(self, table: str) -> DataFrame:
+        if self.buckets is not None:
+            return self.spark.table(self._name(table))
+        return self._read_files(table, VAULT_SCHEMAS[table], ("load_id",))
+
+    def _read_files(
+        self, table: str, schema: T.StructType, partitions: tuple[str, ...]
     ) -> DataFrame:
         # load ids are text even where they look like numbers
         typed = T.StructType(
@@ -106,3 +156,30 @@ class StoredVault(Mapping[str, DataFrame]):
             if error.getCondition() == "PATH_NOT_FOUND":
                 return False
             raise
+
+    def _check_layout(self) -> None:
+        """Remember the bucket count next to the data: files only fit the count they were written
+        with."""
+        path = self._path("_layout")
+        if self._exists(path):
+            (stored,) = self.spark.read.schema("buckets int").json(path).collect()
+            if stored["buckets"] != self.buckets:
+                raise ValueError(f"{self.root} is stored in {stored['buckets']} buckets")
+            return
+        if any(self._exists(self._path(table)) for table in VAULT_SCHEMAS):
+            raise ValueError(f"{self.root} is stored without buckets")
+        one = self.spark.createDataFrame([(self.buckets,)], "buckets int")
+        one.coalesce(1).write.json(path)
+
+    def _create_tables(self) -> None:
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self._database} LOCATION '{self.root}'")
+        for table, schema in VAULT_SCHEMAS.items():
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {self._name(table)} ({columns}, load_id string)"
+                f" USING parquet PARTITIONED BY (load_id)"
+                f" CLUSTERED BY ({BUCKET_COLUMNS[table]}) INTO {self.buckets} BUCKETS"
+                f" LOCATION '{self._path(table)}'"
+            )
+            if self._exists(self._path(table)):
+                self.spark.sql(f"ALTER TABLE {self._name(table)} RECOVER PARTITIONS")

@@ -72,7 +72,7 @@ def main() -> None:
     # start the executor threads and load the classes that any job needs
     produce(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count())
 
-    vault = StoredVault(spark, f"{work}/vault")
+    vault = StoredVault(spark, f"{work}/vault", buckets=int(os.environ.get("BENCH_CPUS", "8")))
     raw = raw_entities(spark, sf_dir)
     later = {n: next_batch(raw[n], e, *CHANGES[n]) for n, e in ENTITIES.items()}
     for number, batch in ((1, raw), (2, later)):

@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 
 from tallyvault.plans.pipeline import Load
 from tallyvault.plans.report import (
+    check_choices,
     default_queries,
     reported_tables,
     structure_report,
@@ -35,7 +36,9 @@ def arguments() -> argparse.ArgumentParser:
     parser.add_argument("--reset-db", action="store_true", help="empty the vault and log first")
     for source in ("customers", "products", "payments", "orders", "events"):
         parser.add_argument(f"--{source}-path", required=True)
-    parser.add_argument("--orders-json-lines", action="store_true", help="one order per line")
+    parser.add_argument("--buckets", type=int, help="store the vault in this many buckets")
+    parser.add_argument("--orders-layout", default="array", choices=["array", "lines", "split"])
+    parser.add_argument("--events-layout", default="document", choices=["document", "split"])
     parser.add_argument("--json-null-token", help="text an explicit JSON null stands for")
     parser.add_argument("--preferred-currency", "--prefered_currency", default="RUB")
     parser.add_argument("--rub", default="1", help="value of one RUB")
@@ -50,27 +53,22 @@ def arguments() -> argparse.ArgumentParser:
 
 def run(spark: SparkSession, args: argparse.Namespace, now: datetime) -> dict[str, str]:
     """One complete run; returns the errors of the analytics queries."""
-    vault = StoredVault(spark, args.vault)
-    queries = default_queries(
-        vault,
-        args.preferred_currency,
-        {"RUB": args.rub, "USD": args.usd, "EUR": args.eur},
-        args.top_products_by,
-        args.top_customers_last_date_by,
-    )
-    order_options = {
-        "json_lines": args.orders_json_lines,
-        "json_null_token": args.json_null_token,
-    }
+    rates = {"RUB": args.rub, "USD": args.usd, "EUR": args.eur}
+    choices = (args.preferred_currency, rates, args.top_products_by, args.top_customers_last_date_by)
+    check_choices(*choices)
     sources = SourcePaths(
         customers=args.customers_path,
         products=args.products_path,
         payments=args.payments_path,
         orders=args.orders_path,
         events=args.events_path,
-        options={"orders": order_options},
+        options={
+            "orders": {"layout": args.orders_layout, "json_null_token": args.json_null_token},
+            "events": {"layout": args.events_layout},
+        },
     )
     raw = sources.read(spark)  # raises here if an input is missing
+    vault = StoredVault(spark, args.vault, args.buckets)
     if args.reset_db:
         vault.clear()
 
@@ -83,7 +81,7 @@ def run(spark: SparkSession, args: argparse.Namespace, now: datetime) -> dict[st
         write_lines(spark, report, f"{args.output}/structure_example_{stamp}.txt")
     finally:
         staging.drop()
-    return write_analytics(spark, queries, args.output, stamp)
+    return write_analytics(spark, default_queries(vault, *choices), args.output, stamp)
 
 
 def main(argv: list[str] | None = None) -> int:

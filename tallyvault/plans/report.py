@@ -65,6 +65,17 @@ def write_lines(spark: SparkSession, lines: list[str], path: str) -> None:
     numbered.coalesce(1).sortWithinPartitions("n").select("value").write.mode("overwrite").text(path)
 
 
+def check_choices(
+    preferred_currency: str, rates: Rates | None, top_products_by: str, top_customers_by: str
+) -> None:
+    """Raise ValueError for arguments the queries would refuse, before anything is loaded."""
+    if top_products_by not in analytics.TOP_PRODUCTS:
+        raise ValueError(f"top products by must be one of {list(analytics.TOP_PRODUCTS)}")
+    if top_customers_by not in analytics.TOP_CUSTOMERS:
+        raise ValueError(f"top customers by must be one of {list(analytics.TOP_CUSTOMERS)}")
+    normalised_rates(preferred_currency, rates)
+
+
 def default_queries(
     vault: Vault,
     preferred_currency: str = "RUB",
@@ -72,12 +83,7 @@ def default_queries(
     top_products_by: str = "views",
     top_customers_by: str = "orders",
 ) -> dict[str, Callable[[], DataFrame]]:
-    """The five queries of a run; arguments are checked here, before anything is loaded."""
-    if top_products_by not in analytics.TOP_PRODUCTS:
-        raise ValueError(f"top products by must be one of {list(analytics.TOP_PRODUCTS)}")
-    if top_customers_by not in analytics.TOP_CUSTOMERS:
-        raise ValueError(f"top customers by must be one of {list(analytics.TOP_CUSTOMERS)}")
-    normalised_rates(preferred_currency, rates)
+    """The five queries of a run."""
     return {
         "top_most_lucrative": lambda: analytics.get_top_customers(
             vault, preferred_currency, rates, 10

@@ -42,7 +42,7 @@ from tallyvault.plans import analytics
 from tallyvault.plans.report import structure_counts
 from tallyvault.plans.staging import Staging, run_together
 from tallyvault.plans.vault import other_hubs, planned_vault
-from tallyvault.sources.bindings import next_batch, raw_entity
+from tallyvault.sources.bindings import next_batch, raw_entity, source_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -217,7 +217,8 @@ def _other_hubs(spark: SparkSession, sf_dir: str, link: Link) -> dict[str, DataF
 
 def link(spark: SparkSession, sf_dir: str, link: Link) -> DataFrame:
     rows = _accepted(_raw(spark, sf_dir, link.entity), link.entity)
-    checked = checked_ids(rows, link, _other_hubs(spark, sf_dir, link))
+    bound = source_rows(spark, sf_dir, link.entity.name)
+    checked = checked_ids(rows, link, _other_hubs(spark, sf_dir, link), bound)
     return new_link_rows(checked, link, FIRST_LOAD).drop("load_datetime")
 
 
@@ -225,17 +226,20 @@ def link_incremental(spark: SparkSession, sf_dir: str, link: Link) -> DataFrame:
     """Link rows the second load adds, checked against the first load's hubs, own hub included."""
     hubs = _other_hubs(spark, sf_dir, link)
     first = _accepted(_raw(spark, sf_dir, link.entity), link.entity)
-    known = new_link_rows(checked_ids(first, link, hubs), link, FIRST_LOAD)
+    bound = source_rows(spark, sf_dir, link.entity.name)
+    known = new_link_rows(checked_ids(first, link, hubs, bound), link, FIRST_LOAD)
     rows = _accepted(_second_raw(spark, sf_dir, link.entity), link.entity)
     second_hub = new_hub_rows(rows, link.entity, SECOND_LOAD)
-    checked = checked_ids(rows, link, hubs | {link.nouns[0]: second_hub})
+    # the second load repeats some rows under a new key, at most once each
+    checked = checked_ids(rows, link, hubs | {link.nouns[0]: second_hub}, 2 * bound)
     return new_link_rows(checked, link, SECOND_LOAD, known).drop("load_datetime")
 
 
 def missing(spark: SparkSession, sf_dir: str, link: Link) -> DataFrame:
     entity = link.entity
     rows = cleaned_rows(_parsed(_raw(spark, sf_dir, entity), entity), entity)
-    checked = checked_ids(rows, link, _other_hubs(spark, sf_dir, link))
+    bound = source_rows(spark, sf_dir, entity.name)
+    checked = checked_ids(rows, link, _other_hubs(spark, sf_dir, link), bound)
     return missing_references(rows, checked, link, FIRST_LOAD).selectExpr(
         "source_table",
         _json("raw_payload", "row_hash"),
@@ -274,7 +278,7 @@ def stored_vault(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
         def put_link(link: Link) -> DataFrame:
             source = dict(zip(ENTITIES, rows))[link.entity.name]
-            checked = checked_ids(source, link, other_hubs(link, stored))
+            checked = checked_ids(source, link, other_hubs(link, stored), source.count())
             return staging.put(link.name, new_link_rows(checked, link, FIRST_LOAD))
 
         links = run_together(partial(put_link, link) for link in LINKS.values())

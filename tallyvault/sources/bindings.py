@@ -133,6 +133,15 @@ BINDINGS = {
 }
 
 
+# The table whose rows an entity's rows come from, one to one.
+_MAIN_TABLE = {"payments": "orders", "orders": "orders", "events": "events", "products": "part"}
+
+
+def source_rows(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """How many rows an entity has, from the Parquet footers."""
+    return _table(spark, sf_dir, _MAIN_TABLE[name]).count()
+
+
 def raw_entity(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return BINDINGS[name](spark, sf_dir)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyvault.model import CUSTOMERS, ENTITIES, EVENTS, ORDERS, PAYMENTS, PRODUCTS, Entity
@@ -51,47 +51,101 @@ def read_payments(spark: SparkSession, path: str, multi_line: bool = False) -> D
 
 
 def _absent_if_empty(raw: DataFrame, entity: Entity) -> DataFrame:
-    return raw.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in entity.columns])
+    return raw.selectExpr(*[f"nullif({c}, '') AS {c}" for c in entity.columns])
 
 
 def read_orders(
-    spark: SparkSession,
-    path: str,
-    json_lines: bool = False,
-    json_null_token: str | None = None,
+    spark: SparkSession, path: str, layout: str = "array", json_null_token: str | None = None
 ) -> DataFrame:
-    """Orders: a JSON array of objects per file, or with ``json_lines`` one object per line.
+    """Orders as JSON objects; fields keep the text they have in the file (109.90 stays 109.90).
+
+    ``layout`` tells how the objects lie in the files:
+
+    - ``array``: a JSON array per file, parsed by one task per file;
+    - ``lines``: one object per line, read by any number of tasks;
+    - ``split``: a JSON array of flat objects, cut at each ``}`` and read by any number of tasks.
+      A ``}`` inside a text makes the load fail instead of giving wrong rows.
 
-    Fields keep the text they have in the file (109.90 stays 109.90). An array is parsed by one
-    task per file; JSON lines are split at any line, so use them for large files.
     ``json_null_token`` is the text an explicit JSON null becomes; by default it is NULL like a
-    missing field.
+    missing field. It needs flat objects; an array is then read as ``split``.
     """
-    raw = (
-        spark.read.schema(ORDERS.raw_schema)
-        .option("mode", "FAILFAST")
-        .option("multiLine", not json_lines)
-        .json(path)
-    )
-    if json_null_token is not None:
-        raw = raw.select(*[_or_token(c, json_null_token) for c in ORDERS.columns])
+    if layout not in ("array", "lines", "split"):
+        raise ValueError(f"unknown layout of orders: {layout}")
+    if layout == "split" or json_null_token is not None:
+        raw = _flat_json(spark, path, layout == "lines", json_null_token)
+    else:
+        raw = (
+            spark.read.schema(ORDERS.raw_schema)
+            .option("mode", "FAILFAST")
+            .option("multiLine", layout == "array")
+            .json(path)
+        )
     return _absent_if_empty(raw, ORDERS)
 
 
-def _or_token(column: str, token: str) -> Column:
-    return F.coalesce(F.col(column), F.lit(token)).alias(column)
+def _flat_json(
+    spark: SparkSession, path: str, lines: bool, json_null_token: str | None
+) -> DataFrame:
+    """Order columns of flat JSON objects, one per line or cut at each closing brace."""
+    if lines:
+        objects = spark.read.text(path).filter("trim(value) <> ''").selectExpr("value AS json")
+    else:
+        # Each piece must be a whole object once its brace is put back. If one is not, because a
+        # brace stood inside a text or an object was nested, parsing it fails.
+        pieces = spark.read.text(path, lineSep="}").selectExpr(
+            r"regexp_replace(value, r'^[\s,\[]+', '') AS piece"
+        )
+        objects = pieces.filter(r"NOT piece RLIKE r'^[\s\]]*\z'").selectExpr(
+            "concat(piece, '}') AS json"
+        )
+    # a map tells a null from a missing field
+    parsed = objects.selectExpr(
+        "json", "from_json(json, 'map<string,string>', map('mode', 'FAILFAST')) AS fields"
+    )
+    nested = "exists(map_values(fields), v -> v LIKE '{%' OR v LIKE '[%')"
+    flat = parsed.selectExpr(
+        "json", f"if({nested}, raise_error('orders must be flat objects'), fields) AS fields"
+    )
+    return flat.selectExpr(*[f"{_field_text(c, json_null_token)} AS {c}" for c in ORDERS.columns])
+
+
+def _field_text(column: str, json_null_token: str | None) -> str:
+    """A field's text. The parser would drop the trailing zeros of a number, so numbers are taken
+    from the JSON itself; a quoted name followed by a colon cannot occur inside a JSON text."""
+    number = rf"""r'"{column}"\s*:\s*(-?\d[\d.eE+\-]*)'"""
+    text = f"coalesce(nullif(regexp_extract(json, {number}, 1), ''), fields['{column}'])"
+    if json_null_token is None:
+        return text
+    token = json_null_token.replace("'", "''")
+    return f"if(map_contains_key(fields, '{column}'), coalesce({text}, '{token}'), NULL)"
 
 
-def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """Events: every ``<event>`` element at any depth, its five child elements as text."""
-    raw = (
-        spark.read.format("xml")
-        .schema(EVENTS.raw_schema)
-        .option("rowTag", "event")
-        .option("ignoreSurroundingSpaces", "false")
-        .load(path)
+def read_events(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:
+    """Events: every ``<event>`` element at any depth, its five child elements as text.
+
+    ``layout`` ``document`` streams each file through one task. ``split`` cuts the files at each
+    ``</event>`` and reads them with any number of tasks; anything that would make the cut
+    unreliable (comments, CDATA, nested or empty event elements) makes the load fail.
+    """
+    if layout not in ("document", "split"):
+        raise ValueError(f"unknown layout of events: {layout}")
+    options = {"rowTag": "event", "ignoreSurroundingSpaces": "false"}
+    if layout == "document":
+        raw = spark.read.format("xml").schema(EVENTS.raw_schema).options(**options).load(path)
+        return _absent_if_empty(raw, EVENTS)
+
+    pieces = spark.read.text(path, lineSep="</event>").selectExpr(
+        "value",
+        r"regexp_count(value, r'<event[\s/>]') AS starts",
+        r"value RLIKE r'<!--|<!\[CDATA\[|<event(\s[^>]*)?/>|</event\s' AS unreliable",
+    )
+    checked = pieces.filter("starts > 0 OR unreliable").selectExpr(
+        "if(starts = 1 AND NOT unreliable,"
+        r" concat(regexp_extract(value, r'(?s)<event[\s>].*', 0), '</event>'),"
+        " raise_error('events cannot be read with layout split; use document')) AS event"
     )
-    return _absent_if_empty(raw, EVENTS)
+    event = F.from_xml("event", EVENTS.raw_schema, {**options, "mode": "FAILFAST"})
+    return _absent_if_empty(checked.select(event.alias("e")).select("e.*"), EVENTS)
 
 
 READERS = {

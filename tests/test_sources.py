@@ -83,11 +83,77 @@ def test_orders_keep_their_text(spark, tmp_path):
 def test_orders_as_json_lines(spark, tmp_path):
     lines = [json.dumps({"order_id": i, "status": "completed"}) for i in range(5)]
     path = write(tmp_path / "o.jsonl", "\n".join(lines) + "\n")
-    found = read_orders(spark, path, json_lines=True)
+    found = read_orders(spark, path, layout="lines")
     assert tuples(found, "order_id", "status") == [(str(i), "completed") for i in range(5)]
 
 
-def test_events_at_any_depth(spark, tmp_path):
+FLAT_ORDERS = """[{"order_id": 1, "unit_price": 109.90, "status": "say \\"hi\\" ]["},
+  {"order_id": "2", "customer_id": null, "unit_price": 1e2} , {"quantity": 3, "currency": ""}
+]
+"""
+
+
+@pytest.mark.parametrize("layout", ["array", "split"])
+def test_orders_split_at_braces_read_the_same(spark, tmp_path, layout):
+    path = write(tmp_path / "o.json", FLAT_ORDERS)
+    columns = ("order_id", "customer_id", "quantity", "unit_price", "currency", "status")
+    assert tuples(read_orders(spark, path, layout), *columns) == sorted(
+        [
+            ("1", None, None, "109.90", None, 'say "hi" ]['),
+            ("2", None, None, "1e2", None, None),
+            (None, None, "3", None, None, None),
+        ],
+        key=repr,
+    )
+
+
+@pytest.mark.parametrize("layout", ["array", "lines", "split"])
+def test_json_null_token_marks_nulls_but_not_missing_fields(spark, tmp_path, layout):
+    rows = [{"order_id": 1, "customer_id": None}, {"order_id": 2}]
+    text = "\n".join(map(json.dumps, rows)) if layout == "lines" else json.dumps(rows)
+    path = write(tmp_path / "o.json", text)
+    found = read_orders(spark, path, layout, json_null_token="None")
+    assert tuples(found, "order_id", "customer_id") == [("1", "None"), ("2", None)]
+
+
+@pytest.mark.parametrize("row", ['{"status": "a}b"}', '{"status": {"a": 1}, "order_id": 1}'])
+def test_a_brace_that_would_break_the_split_fails_the_load(spark, tmp_path, row):
+    path = write(tmp_path / "o.json", f"[{row}]")
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_orders(spark, path, "split").collect()
+
+
+def test_nested_objects_are_refused_where_flat_ones_are_needed(spark, tmp_path):
+    path = write(tmp_path / "o.jsonl", '{"status": {"order_id": 5}, "order_id": 1}')
+    assert read_orders(spark, path, "lines").first()["order_id"] == "1"
+    with pytest.raises(Exception, match="flat objects"):
+        read_orders(spark, path, "lines", json_null_token="None").collect()
+
+
+def test_large_arrays_and_documents_are_split_over_tasks(spark, tmp_path):
+    orders = [{"order_id": i, "status": "x" * 200} for i in range(2000)]
+    path = write(tmp_path / "o.json", json.dumps(orders, indent=2))
+    body = "".join(f"<event>\n<event_id>{i}</event_id></event>\n" for i in range(2000))
+    xml = write(tmp_path / "e.xml", f"<events>{body}</events>")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 20_000)
+    try:
+        found, events = read_orders(spark, path, "split"), read_events(spark, xml, "split")
+        for frame, key in ((found, "order_id"), (events, "event_id")):
+            assert frame.rdd.getNumPartitions() > 3
+            assert {int(r[0]) for r in frame.select(key).collect()} == set(range(2000))
+            assert frame.count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_unknown_layouts_are_refused(spark, tmp_path):
+    for read in (read_orders, read_events):
+        with pytest.raises(ValueError, match="unknown layout"):
+            read(spark, str(tmp_path), "pages")
+
+
+@pytest.mark.parametrize("layout", ["document", "split"])
+def test_events_at_any_depth(spark, tmp_path, layout):
     path = write(
         tmp_path / "e.xml",
         """<?xml version="1.0"?>
@@ -96,12 +162,28 @@ def test_events_at_any_depth(spark, tmp_path):
           <product_id></product_id></event></day>
         <event><product_id>5</product_id><event_id>2</event_id></event></root>""",
     )
-    assert tuples(read_events(spark, path), *EVENTS.columns) == [
+    assert tuples(read_events(spark, path, layout), *EVENTS.columns) == [
         ("1", " 7 ", "view", "broken-date", None),
         ("2", None, None, None, "5"),
     ]
 
 
+@pytest.mark.parametrize(
+    "inside",
+    [
+        "<event/>",
+        "<event></event >",
+        "<!-- <event></event> -->",
+        "<event><event_id><![CDATA[</event>]]></event_id></event>",
+        "<event><event></event></event>",
+    ],
+)
+def test_documents_that_cannot_be_cut_reliably_fail_the_load(spark, tmp_path, inside):
+    path = write(tmp_path / "e.xml", f"<a>{inside}<event><event_id>1</event_id></event></a>")
+    with pytest.raises(Exception, match="cannot be read with layout split"):
+        read_events(spark, path, "split").collect()
+
+
 def test_a_missing_input_stops_before_any_work(spark, tmp_path):
     there = write(tmp_path / "c.csv", CUSTOMER_HEADER)
     paths = SourcePaths(there, there, there, there, str(tmp_path / "absent.xml"))

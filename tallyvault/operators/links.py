@@ -15,7 +15,7 @@ from tallyvault.operators.rejects import (
     reject_records,
     timestamp_literal,
 )
-from tallyvault.operators.skew import left_lookup
+from tallyvault.operators.skew import lookup_join
 
 
 def checked_ids(
@@ -26,14 +26,14 @@ def checked_ids(
     Tuples with a NULL id are skipped. ``hubs`` maps nouns to hub rows; a noun left out is not
     checked, which is right for the link's own hub when it was loaded from these rows. Only the
     ids travel through the joins, and keys that own very many tuples are split (see
-    ``left_lookup``, also for ``row_bound``).
+    ``lookup_join``, also for ``row_bound``).
     """
     all_given = " AND ".join(f"{c} IS NOT NULL" for c in link.ids)
     checked = rows.select(*link.ids).filter(all_given).distinct()
     for noun, hub in ((n, hubs[n]) for n in link.nouns if n in hubs):
         key = BY_NOUN[noun].key
         present = hub.selectExpr(key, f"true AS has_{noun}")
-        checked = left_lookup(checked, present, key, link.ids, row_bound)
+        checked = lookup_join(checked, present, key, link.ids, "left", row_bound)
     tests = [f"if(has_{n} IS NULL, '{BY_NOUN[n].key}', NULL)" for n in link.nouns if n in hubs]
     first_missing = ", ".join([*tests, "cast(NULL AS string)"])
     return checked.selectExpr(*link.ids, f"coalesce({first_missing}) AS missing_type")

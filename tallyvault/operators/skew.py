@@ -22,39 +22,34 @@ def hot_keys(rows: DataFrame, key: str, group_rows: int = GROUP_ROWS) -> DataFra
         .filter(F.col("_rows") > group_rows)
         .orderBy(F.desc("_rows"))
         .limit(MAX_HOT_KEYS)
-        .select(key, F.ceil(F.col("_rows") / group_rows).cast("bigint").alias("_groups"))
+        .selectExpr(key, f"cast(ceil(_rows / {group_rows}) AS bigint) AS _groups")
     )
 
 
-def left_lookup(
+def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
     key: str,
     spread_by: Sequence[str],
+    how: str = "inner",
     row_bound: int | None = None,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """``rows`` left join ``lookup`` on ``key``, with hot keys cut into groups.
+    """``rows`` joined with ``lookup`` on ``key`` (inner or left), with hot keys cut into groups.
 
-    A hot key's rows get a group number from ``spread_by`` (columns that tell them apart) and its lookup row is repeated once per group, so the join key is (key, group) and no group
-    is larger than about ``group_rows``. Every row has one group, so the result is the plain
-    join's. The repeats add at most ``rows / group_rows`` lookup rows in all.
+    A hot key's rows get a group number from ``spread_by`` (columns that tell them apart) and its
+    lookup row is repeated once per group, so the join key is (key, group) and no group is larger
+    than about ``group_rows``. Every row has one group, so the result is the plain join's. The
+    repeats add at most ``rows / group_rows`` lookup rows in all.
 
     ``row_bound`` is an upper bound on the number of rows, where one is known for free (a Parquet
     row count): a table no larger than one group has no hot key and is joined plainly.
     """
     if row_bound is not None and row_bound <= group_rows:
-        return rows.join(lookup, key, "left")
+        return rows.join(lookup, key, how)
     hot = F.broadcast(hot_keys(rows, key, group_rows))
-    grouped = rows.join(hot, key, "left").withColumn(
-        "_group",
-        F.when(
-            F.col("_groups").isNotNull(), F.pmod(F.xxhash64(*spread_by), F.col("_groups"))
-        ).otherwise(0),
-    )
-    repeated = lookup.join(hot, key, "left").withColumn(
-        "_group",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_groups", F.lit(1)) - 1)),
-    )
-    on = [key, "_group"]
-    return grouped.drop("_groups").join(repeated.drop("_groups"), on, "left").drop("_group")
+    group = f"if(_groups IS NULL, 0L, pmod(xxhash64({', '.join(spread_by)}), _groups))"
+    grouped = rows.join(hot, key, "left").selectExpr(*rows.columns, f"{group} AS _group")
+    groups = "explode(sequence(0L, coalesce(_groups, 1L) - 1))"
+    repeated = lookup.join(hot, key, "left").selectExpr(*lookup.columns, f"{groups} AS _group")
+    return grouped.join(repeated, [key, "_group"], how).drop("_group")

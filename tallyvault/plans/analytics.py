@@ -4,7 +4,8 @@ A vault is anything that maps a table name to a DataFrame. Ties in a top-N are b
 smaller id, so results are repeatable.
 
 Facts are aggregated before they meet a table on a key that may be hot (an order with very many
-payments, a customer with very many orders); what is joined afterwards is unique per key.
+payments, a customer with very many orders). A link may hold very many rows of one order or event,
+so links meet their satellites in a join that splits such keys.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from tallyvault.functions.currency import Rates, converted_amount
 from tallyvault.model import CUSTOMERS, EVENTS, ORDERS, PAYMENTS, PRODUCTS, Entity
 from tallyvault.operators.satellites import latest_version
+from tallyvault.operators.skew import lookup_join
 
 Vault = Mapping[str, DataFrame]
 
@@ -39,6 +41,22 @@ def _named(vault: Vault, entity: Entity, name: str) -> DataFrame:
     return _latest(vault, entity, name).join(hub, entity.hk)
 
 
+def _linked(
+    vault: Vault, link: str, entity: Entity, columns: list[str], lookup: DataFrame
+) -> DataFrame:
+    """Rows of a link (``columns``) joined with one row per key of its own entity."""
+    rows = vault[link].select("link_hk", entity.hk, *columns)
+    return _lookup(vault, link, entity, rows, lookup).drop("link_hk")
+
+
+def _lookup(
+    vault: Vault, link: str, entity: Entity, rows: DataFrame, lookup: DataFrame
+) -> DataFrame:
+    row_count = getattr(vault, "row_count", None)
+    bound = row_count(link) if row_count else None
+    return lookup_join(rows, lookup, entity.hk, ["link_hk"], row_bound=bound)
+
+
 def _completed_orders(vault: Vault) -> DataFrame:
     return _latest(vault, ORDERS, "status").filter(F.col("status") == "completed").select("order_hk")
 
@@ -74,7 +92,7 @@ def _paid_per_order(
         .filter(F.col("paid").isNotNull())
     )
     return (
-        paid.join(vault[PAYMENT_LINK].select("payment_hk", "order_hk"), "payment_hk")
+        _linked(vault, PAYMENT_LINK, PAYMENTS, ["order_hk"], paid)
         .groupBy("order_hk", *by)
         .agg(F.sum("paid").alias("paid"))
         .join(_completed_orders(vault), "order_hk")
@@ -85,9 +103,9 @@ def get_top_customers(
     vault: Vault, preferred_currency: str, exchange_rates: Rates | None = None, top_n: int = 10
 ) -> DataFrame:
     """Customers by money paid for completed orders: customer_id, full_name, total_spent."""
+    paid = _paid_per_order(vault, preferred_currency, exchange_rates, by={})
     spent = (
-        _paid_per_order(vault, preferred_currency, exchange_rates, by={})
-        .join(vault[ORDER_LINK].select("order_hk", "customer_hk"), "order_hk")
+        _linked(vault, ORDER_LINK, ORDERS, ["customer_hk"], paid)
         .groupBy("customer_hk")
         .agg(F.sum("paid").alias("total_spent"))
     )
@@ -127,8 +145,8 @@ def _most_popular(vault: Vault, facts: DataFrame, n: int) -> DataFrame:
 
 
 def _top_products_by_event(vault: Vault, event_type: str, n: int) -> DataFrame:
-    link = vault[EVENT_LINK].select("event_hk", "product_hk")
-    return _most_popular(vault, link.join(_events_of_type(vault, event_type), "event_hk"), n)
+    events = _events_of_type(vault, event_type)
+    return _most_popular(vault, _linked(vault, EVENT_LINK, EVENTS, ["product_hk"], events), n)
 
 
 def get_top_products_by_views(vault: Vault, n: int = 10) -> DataFrame:
@@ -144,8 +162,8 @@ def get_top_products_by_purchases(vault: Vault, n: int = 10) -> DataFrame:
 
 
 def get_top_products_by_completed_orders(vault: Vault, n: int = 10) -> DataFrame:
-    link = vault[ORDER_LINK].select("order_hk", "product_hk")
-    return _most_popular(vault, link.join(_completed_orders(vault), "order_hk"), n)
+    orders = _completed_orders(vault)
+    return _most_popular(vault, _linked(vault, ORDER_LINK, ORDERS, ["product_hk"], orders), n)
 
 
 # --- customers -------------------------------------------------------------------------------
@@ -169,11 +187,11 @@ def _most_active(vault: Vault, facts: DataFrame, count_name: str, n: int) -> Dat
     ).select("customer_hk", "full_name")
     their_events = (
         vault[EVENT_LINK]
-        .select("event_hk", "customer_hk")
+        .select("link_hk", "event_hk", "customer_hk")
         .join(top.select("customer_hk"), "customer_hk", "left_semi")
     )
     last_action = (
-        their_events.join(_latest(vault, EVENTS, "event_timestamp"), "event_hk")
+        _lookup(vault, EVENT_LINK, EVENTS, their_events, _latest(vault, EVENTS, "event_timestamp"))
         .groupBy("customer_hk")
         .agg(F.to_date(F.max("event_timestamp")).alias("last_action_date"))
     )
@@ -186,14 +204,13 @@ def _most_active(vault: Vault, facts: DataFrame, count_name: str, n: int) -> Dat
 
 
 def get_top_customers_by_orders(vault: Vault, n: int = 5) -> DataFrame:
-    link = vault[ORDER_LINK].select("order_hk", "customer_hk")
-    completed = link.join(_completed_orders(vault), "order_hk")
+    completed = _linked(vault, ORDER_LINK, ORDERS, ["customer_hk"], _completed_orders(vault))
     return _most_active(vault, completed, "order_count", n)
 
 
 def get_top_customers_by_purchases(vault: Vault, n: int = 5) -> DataFrame:
-    link = vault[EVENT_LINK].select("event_hk", "customer_hk")
-    purchases = link.join(_events_of_type(vault, "purchase"), "event_hk")
+    events = _events_of_type(vault, "purchase")
+    purchases = _linked(vault, EVENT_LINK, EVENTS, ["customer_hk"], events)
     return _most_active(vault, purchases, "purchase_count", n)
 
 

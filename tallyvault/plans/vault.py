@@ -22,11 +22,12 @@ from tallyvault.operators.links import checked_ids, new_link_rows
 from tallyvault.operators.satellites import new_sat_rows
 
 
-# The column each table is bucketed by.
+# The column each table is bucketed by. No bucket can be much larger than another: hub keys and
+# link keys are unique, and a satellite has one row per key and load.
 BUCKET_COLUMNS = (
     {e.hub: e.key for e in ENTITIES.values()}
     | {e.sat: e.hk for e in ENTITIES.values()}
-    | {link.name: link.entity.hk for link in LINKS.values()}
+    | {link.name: "link_hk" for link in LINKS.values()}
 )
 _SAT_NAMES = {e.sat for e in ENTITIES.values()}
 
@@ -55,15 +56,16 @@ class StoredVault(Mapping[str, DataFrame]):
     order, e.g. ``20260131T235959``.
 
     With ``buckets`` the tables are written in that many buckets: hubs by business key,
-    satellites and links by the hash key of their own entity. Latest versions, hub lookups and
-    satellite-link joins then read co-located data and need no shuffle of the stored side. Use the
-    session's shuffle partition count, as a batch is then shuffled straight into the buckets.
+    satellites by hash key, links by link key. Finding latest versions, new keys, new versions and
+    new links then needs no shuffle of the stored side. Use the session's shuffle partition count,
+    as a batch is then shuffled straight into the buckets.
     """
 
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
+        self._row_counts: dict[str, int] = {}
         if buckets is not None:
             digest = hashlib.md5(self.root.encode()).hexdigest()[:12]
             self._database = f"tallyvault_{digest}"
@@ -79,6 +81,12 @@ class StoredVault(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(VAULT_SCHEMAS)
 
+    def row_count(self, table: str) -> int:
+        """Rows of a table, from the Parquet footers; kept until this vault writes to it."""
+        if table not in self._row_counts:
+            self._row_counts[table] = self[table].count()
+        return self._row_counts[table]
+
     def before(self, table: str, load_id: str) -> DataFrame | None:
         """Rows of earlier loads, None before the first one."""
         if not self._exists(self._path(table)):
@@ -90,6 +98,7 @@ class StoredVault(Mapping[str, DataFrame]):
         return self._read_files(REJECTS, REJECT_SCHEMA, ("load_id", "stage"))
 
     def append(self, table: str, rows: DataFrame, load_id: str) -> None:
+        self._row_counts.pop(table, None)
         rows = rows.select(*VAULT_SCHEMAS[table].names)
         path = f"{self._path(table)}/load_id={load_id}"
         if self.buckets is None:
@@ -117,6 +126,7 @@ class StoredVault(Mapping[str, DataFrame]):
 
     def clear(self) -> None:
         """Empty the known tables, by overwriting them; nothing else below the root is touched."""
+        self._row_counts.clear()
         for table, schema in {**VAULT_SCHEMAS, REJECTS: REJECT_SCHEMA}.items():
             if self._exists(self._path(table)):
                 empty = self.spark.createDataFrame([], schema)

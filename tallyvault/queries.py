@@ -252,10 +252,17 @@ def missing(spark: SparkSession, sf_dir: str, link: Link) -> DataFrame:
 
 # --- analytics -------------------------------------------------------------------------------
 
-_vaults: dict[tuple[str, str], dict[str, DataFrame]] = {}
+class StagedVault(dict[str, DataFrame]):
+    """Vault tables by name, all of them Parquet, so that counting their rows is cheap."""
 
+    def row_count(self, table: str) -> int:
+        return self[table].count()
 
-def stored_vault(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+
+_vaults: dict[tuple[str, str], StagedVault] = {}
+
+
+def stored_vault(spark: SparkSession, sf_dir: str) -> StagedVault:
     """The vault of the benchmark tables, loaded into the shared folder once per session.
 
     Analytics read a loaded vault; they do not load one per question.
@@ -282,7 +289,7 @@ def stored_vault(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             return staging.put(link.name, new_link_rows(checked, link, FIRST_LOAD))
 
         links = run_together(partial(put_link, link) for link in LINKS.values())
-        _vaults[key] = stored | dict(zip(LINKS, links))
+        _vaults[key] = StagedVault(stored | dict(zip(LINKS, links)))
     return _vaults[key]
 
 

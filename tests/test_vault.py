@@ -49,9 +49,14 @@ BATCH = {
 }
 
 
-def test_planned_and_stored_vaults_hold_the_same_rows(spark, tmp_path):
+def test_loading_a_batch_once_and_again(spark, tmp_path):
     vault = StoredVault(spark, str(tmp_path))
     load(spark, vault, DAY_1, **BATCH)
+    before, logged = counts(vault), vault.rejects().count()
+    assert before["hub_customer"] == 2 and before["link_order_customer_product"] == 2
+    assert before["link_event_customer_product"] == 1 and before["link_payment_order"] == 2
+
+    # a planned vault holds the same rows
     raw = batch(spark, **BATCH)
     rows = {
         name: accepted(spark, e, [tuple(r) for r in raw[name].collect()])
@@ -64,66 +69,60 @@ def test_planned_and_stored_vaults_hold_the_same_rows(spark, tmp_path):
         assert planned[name].schema.names == vault[name].schema.names == schema.names
         assert [f.dataType for f in planned[name].schema] == [f.dataType for f in schema]
 
-
-def test_reloading_a_batch_adds_nothing_but_log_records(spark, tmp_path):
-    vault = StoredVault(spark, str(tmp_path))
+    # the same load again replaces its own rows
     load(spark, vault, DAY_1, **BATCH)
-    before, logged = counts(vault), vault.rejects().count()
-    assert before["hub_customer"] == 2 and before["link_order_customer_product"] == 2
-    assert before["link_event_customer_product"] == 1 and before["link_payment_order"] == 2
+    assert counts(vault) == before
+    assert vault.rejects().count() == logged
+
+    # the same batch as a new load adds nothing but log records
     load(spark, vault, DAY_2, **BATCH)
     assert counts(vault) == before
     assert vault.rejects().count() == 2 * logged
 
 
-def test_a_repeated_load_replaces_its_own_rows(spark, tmp_path):
+    vault.clear()
+    assert set(counts(vault).values()) == {0}
+    assert vault.rejects().count() == 0
+
+
+def versions(spark, tmp_path, entity, *batches):
+    """The satellite after one load per batch."""
     vault = StoredVault(spark, str(tmp_path))
-    load(spark, vault, DAY_1, **BATCH)
-    before, logged = counts(vault), vault.rejects().count()
-    load(spark, vault, DAY_1, **BATCH)
-    assert counts(vault) == before
-    assert vault.rejects().count() == logged
+    for day, batch_rows in zip((DAY_1, DAY_2, DAY_3), batches):
+        rows = accepted(spark, entity, batch_rows)
+        history = vault.before(entity.sat, day.isoformat())
+        vault.append(entity.sat, new_sat_rows(rows, entity, day, history), day.isoformat())
+    return vault[entity.sat]
 
 
 def test_values_that_change_back_make_three_versions(spark, tmp_path):
-    vault = StoredVault(spark, str(tmp_path))
-    for day, city in ((DAY_1, "Oslo"), (DAY_2, "Bergen"), (DAY_3, "Oslo")):
-        load(spark, vault, day, customers=[customer("1", city=city), customer("2")])
-    assert tuples(vault["sat_customer"].filter("city <> 'Oslo' OR city = 'Oslo'"), "load_datetime", "city") == [
+    batches = [[customer("1", city=c), customer("2")] for c in ("Oslo", "Bergen", "Oslo")]
+    sat = versions(spark, tmp_path, CUSTOMERS, *batches)
+    assert tuples(sat, "load_datetime", "city") == [
         (DAY_1, "Oslo"),
         (DAY_1, "Oslo"),
         (DAY_2, "Bergen"),
         (DAY_3, "Oslo"),
     ]
-    newest = latest_version(vault["sat_customer"], "customer_hk")
+    newest = latest_version(sat, "customer_hk")
     assert tuples(newest, "load_datetime") == [(DAY_1,), (DAY_3,)]
-    assert tuples(vault["hub_customer"], "customer_id", "load_datetime") == [(1, DAY_1), (2, DAY_1)]
 
 
 def test_padding_and_money_scale_make_no_new_version(spark, tmp_path):
-    vault = StoredVault(spark, str(tmp_path))
-    load(spark, vault, DAY_1, products=[("1", "lamp", "Home", "59.9", "RUB", "yes")])
-    load(spark, vault, DAY_2, products=[("1", " lamp ", "Home", "59.90", "RUB", "TRUE")])
-    assert vault["sat_product"].count() == 1
+    first = ("1", "lamp", "Home", "59.9", "RUB", "yes")
+    second = ("1", " lamp ", "Home", "59.90", "RUB", "TRUE")
+    assert versions(spark, tmp_path, PRODUCTS, [first], [second]).count() == 1
 
 
-def test_links_of_changed_orders_stay(spark, tmp_path):
-    vault = StoredVault(spark, str(tmp_path))
-    base = {"customers": [customer("1"), customer("2")], "products": [product("10")]}
-    load(spark, vault, DAY_1, **base, orders=[order("100", "1", "10")])
-    load(spark, vault, DAY_2, **base, orders=[order("100", "2", "10")])
-    assert vault["link_order_customer_product"].count() == 2
+def test_links_of_changed_orders_stay(spark):
+    link = LINKS["link_order_customer_product"]
 
+    def checked(row):
+        return checked_ids(accepted(spark, ORDERS, [row]), link, {})
 
-def test_clear_empties_the_tables(spark, tmp_path):
-    vault = StoredVault(spark, str(tmp_path))
-    vault.clear()
-    load(spark, vault, DAY_1, **BATCH)
-    vault.clear()
-    assert set(counts(vault).values()) == {0}
-    assert vault.rejects().count() == 0
-    load(spark, vault, DAY_2, **BATCH)
-    assert vault["hub_customer"].count() == 2
+    first = new_link_rows(checked(order("100", "1", "10")), link, DAY_1)
+    assert new_link_rows(checked(order("100", "1", "10")), link, DAY_2, first).count() == 0
+    assert new_link_rows(checked(order("100", "2", "10")), link, DAY_2, first).count() == 1
 
 
 def test_two_versions_in_one_batch(spark):

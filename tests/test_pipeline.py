@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 
@@ -69,7 +70,7 @@ def lines(folder):
     return [line for part in found for line in part]
 
 
-def test_a_run_from_files_to_reports(spark, inputs, tmp_path):
+def test_runs_from_files_to_reports(spark, inputs, tmp_path):
     args = arguments().parse_args(command(inputs, tmp_path))
     assert run(spark, args, NOW) == {}
     out = tmp_path / "out"
@@ -107,24 +108,19 @@ def test_a_run_from_files_to_reports(spark, inputs, tmp_path):
         "3,Anna Lee",
         "4,Anna Lee",
     ]
-    assert not list((tmp_path / "vault").glob("staging*"))
+    assert not list(Path(shared_folder(spark)).glob("staging-*"))
 
-
-def test_a_second_run_and_a_reset(spark, inputs, tmp_path):
+    # a second run adds to the log only
     vault = StoredVault(spark, f"{tmp_path}/vault")
-    for hour in (1, 2):
-        run(spark, arguments().parse_args(command(inputs, tmp_path)), NOW.replace(hour=hour))
+    run(spark, args, NOW.replace(hour=3))
     assert vault["hub_customer"].count() == 4
     assert vault.rejects().count() == 12
-    run(spark, arguments().parse_args(command(inputs, tmp_path, "--reset-db")), NOW.replace(hour=3))
+
+    # a reset starts over; here an explicit JSON null also counts as the text None
+    extra = ("--reset-db", "--json-null-token=None")
+    run(spark, arguments().parse_args(command(inputs, tmp_path, *extra)), NOW.replace(hour=4))
     assert vault.rejects().count() == 6
     assert vault["sat_customer"].select("load_datetime").distinct().count() == 1
-
-
-def test_json_null_as_text(spark, inputs, tmp_path):
-    args = arguments().parse_args(command(inputs, tmp_path, "--json-null-token=None"))
-    run(spark, args, NOW)
-    vault = StoredVault(spark, f"{tmp_path}/vault")
     (record,) = vault.rejects().filter("source_table = 'orders'").collect()
     assert json.loads(record["raw_payload"])["customer_id"] == "None"
     assert json.loads(record["error_details"])["details"]["customer_id_format"] == "invalid"

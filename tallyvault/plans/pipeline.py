@@ -84,16 +84,17 @@ class Load:
 
     def load_satellites(self) -> None:
         def write(entity: Entity) -> None:
-            rows = self.cleaned(entity)
             history = self.vault.before(entity.sat, self.load_id)
-            self.vault.append(
-                entity.sat, new_sat_rows(rows, entity, self.load_time, history), self.load_id
-            )
+            rows = new_sat_rows(self.cleaned(entity), entity, self.load_time, history)
+            self.vault.append(entity.sat, rows, self.load_id)
+
+        def log_conflicts(entity: Entity) -> None:
+            rows = self.cleaned(entity)
             if has_conflicting_versions(rows, entity):
                 conflicts = conflicting_versions(rows, entity, self.load_time)
                 self.vault.log(conflicts, self.load_id, f"versions_{entity.name}")
 
-        run_together(partial(write, e) for e in ENTITIES.values())
+        run_together(partial(job, e) for e in ENTITIES.values() for job in (write, log_conflicts))
 
     def load_links(self) -> None:
         def write(link: Link) -> None:

@@ -64,12 +64,11 @@ class StoredVault(Mapping[str, DataFrame]):
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.buckets = buckets
+        self.buckets = self._agreed_buckets(buckets)
         self._row_counts: dict[str, int] = {}
-        if buckets is not None:
+        if self.buckets is not None:
             digest = hashlib.md5(self.root.encode()).hexdigest()[:12]
             self._database = f"tallyvault_{digest}"
-            self._check_layout()
             self._create_tables()
 
     def __getitem__(self, table: str) -> DataFrame:
@@ -167,19 +166,21 @@ class StoredVault(Mapping[str, DataFrame]):
                 return False
             raise
 
-    def _check_layout(self) -> None:
-        """Remember the bucket count next to the data: files only fit the count they were written
-        with."""
-        path = self._path("_layout")
+    def _agreed_buckets(self, wanted: int | None) -> int | None:
+        """The bucket count the vault was first opened with; files only fit that count, so it is
+        kept next to them."""
+        path = self._path("layout")
         if self._exists(path):
-            (stored,) = self.spark.read.schema("buckets int").json(path).collect()
-            if stored["buckets"] != self.buckets:
-                raise ValueError(f"{self.root} is stored in {stored['buckets']} buckets")
-            return
+            stored = self.spark.read.schema("buckets int").json(path).first()["buckets"]
+            if wanted not in (None, stored):
+                raise ValueError(f"{self.root} is stored in {stored} buckets")
+            return stored
+        if wanted is None:
+            return None
         if any(self._exists(self._path(table)) for table in VAULT_SCHEMAS):
             raise ValueError(f"{self.root} is stored without buckets")
-        one = self.spark.createDataFrame([(self.buckets,)], "buckets int")
-        one.coalesce(1).write.json(path)
+        self.spark.createDataFrame([(wanted,)], "buckets int").coalesce(1).write.json(path)
+        return wanted
 
     def _create_tables(self) -> None:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self._database} LOCATION '{self.root}'")

@@ -247,8 +247,10 @@ def test_a_bucketed_vault_holds_the_same_rows_and_reads_without_shuffles(spark,
 
 def test_a_vault_keeps_its_bucket_count(spark, tmp_path):
     StoredVault(spark, f"{tmp_path}/a", buckets=4)
+    assert StoredVault(spark, f"{tmp_path}/a").buckets == 4
     with pytest.raises(ValueError, match="4 buckets"):
         StoredVault(spark, f"{tmp_path}/a", buckets=8)
-    load(spark, StoredVault(spark, f"{tmp_path}/b"), DAY_1, **BATCH)
+    hub = new_hub_rows(accepted(spark, PRODUCTS, [product("1")]), PRODUCTS, DAY_1)
+    StoredVault(spark, f"{tmp_path}/b").append("hub_product", hub, "1")
     with pytest.raises(ValueError, match="without buckets"):
         StoredVault(spark, f"{tmp_path}/b", buckets=4)

@@ -33,7 +33,7 @@ def checked_ids(
     for noun, hub in ((n, hubs[n]) for n in link.nouns if n in hubs):
         key = BY_NOUN[noun].key
         present = hub.selectExpr(key, f"true AS has_{noun}")
-        checked = lookup_join(checked, present, key, link.ids, "left", row_bound)
+        checked = lookup_join(checked, present, [key], link.ids, "left", row_bound)
     tests = [f"if(has_{n} IS NULL, '{BY_NOUN[n].key}', NULL)" for n in link.nouns if n in hubs]
     first_missing = ", ".join([*tests, "cast(NULL AS string)"])
     return checked.selectExpr(*link.ids, f"coalesce({first_missing}) AS missing_type")
@@ -54,15 +54,20 @@ def new_link_rows(
 
 
 def missing_references(
-    rows: DataFrame, checked: DataFrame, link: Link, load_time: datetime
+    rows: DataFrame,
+    checked: DataFrame,
+    link: Link,
+    load_time: datetime,
+    row_bound: int | None = None,
 ) -> DataFrame:
     """Reject records for the cleaned rows one of whose ids has no hub row.
 
-    The wide rows are joined back to the few failing tuples. Both sides reach this join straight
-    from a shuffle, the form in which adaptive execution splits an oversized partition.
+    The wide rows are joined back to the few failing tuples; a tuple that very many rows share is
+    split.
     """
     entity = link.entity
-    found = rows.join(checked.filter("missing_type IS NOT NULL"), link.ids, "inner")
+    missing = checked.filter("missing_type IS NOT NULL")
+    found = lookup_join(rows, missing, link.ids, ["row_hash"], "inner", row_bound)
     details = error_details(
         "warn",
         "'missing_reference'",

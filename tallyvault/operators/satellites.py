@@ -50,12 +50,13 @@ def new_sat_rows(
     """Versions to append: keys without any version, or whose latest version differs.
 
     ``hub`` limits the rows to its keys; leave it out when the hub was loaded from these rows,
-    as it then holds every key. The comparison joins on the hash key alone, the partitioning
-    both sides already have from their row-number windows, so the join adds no shuffle.
+    as it then holds every key. Both joins come after the choice of one row per key, so no key is
+    hot in them. They use the hash key alone, the partitioning that the rows and the history already
+    have from their row-number windows, so the comparison adds no shuffle.
     """
-    if hub is not None:
-        rows = rows.join(hub.select(entity.key), entity.key, "left_semi")
     chosen = _chosen(_versioned(rows, entity), entity)
+    if hub is not None:
+        chosen = chosen.join(hub.select(entity.hk), entity.hk, "left_semi")
     if history is not None:
         latest = latest_version(history.select(entity.hk, "load_datetime", "hash_diff"), entity.hk)
         stored = latest.selectExpr(entity.hk, "hash_diff AS _stored")

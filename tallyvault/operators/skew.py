@@ -14,28 +14,28 @@ GROUP_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 
 
-def hot_keys(rows: DataFrame, key: str, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """(key, groups) for the keys with more than ``group_rows`` rows, at most MAX_HOT_KEYS."""
+def hot_keys(rows: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> DataFrame:
+    """(*keys, groups) for the keys with more than ``group_rows`` rows, at most MAX_HOT_KEYS."""
     return (
-        rows.groupBy(key)
+        rows.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > group_rows)
         .orderBy(F.desc("_rows"))
         .limit(MAX_HOT_KEYS)
-        .selectExpr(key, f"cast(ceil(_rows / {group_rows}) AS bigint) AS _groups")
+        .selectExpr(*keys, f"cast(ceil(_rows / {group_rows}) AS bigint) AS _groups")
     )
 
 
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
-    key: str,
+    keys: Sequence[str],
     spread_by: Sequence[str],
     how: str = "inner",
     row_bound: int | None = None,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """``rows`` joined with ``lookup`` on ``key`` (inner or left), with hot keys cut into groups.
+    """``rows`` joined with ``lookup`` on ``keys`` (inner or left), with hot keys cut into groups.
 
     A hot key's rows get a group number from ``spread_by`` (columns that tell them apart) and its
     lookup row is repeated once per group, so the join key is (key, group) and no group is larger
@@ -46,10 +46,10 @@ def lookup_join(
     row count): a table no larger than one group has no hot key and is joined plainly.
     """
     if row_bound is not None and row_bound <= group_rows:
-        return rows.join(lookup, key, how)
-    hot = F.broadcast(hot_keys(rows, key, group_rows))
+        return rows.join(lookup, list(keys), how)
+    hot = F.broadcast(hot_keys(rows, keys, group_rows))
     group = f"if(_groups IS NULL, 0L, pmod(xxhash64({', '.join(spread_by)}), _groups))"
-    grouped = rows.join(hot, key, "left").selectExpr(*rows.columns, f"{group} AS _group")
+    grouped = rows.join(hot, list(keys), "left").selectExpr(*rows.columns, f"{group} AS _group")
     groups = "explode(sequence(0L, coalesce(_groups, 1L) - 1))"
-    repeated = lookup.join(hot, key, "left").selectExpr(*lookup.columns, f"{groups} AS _group")
-    return grouped.join(repeated, [key, "_group"], how).drop("_group")
+    repeated = lookup.join(hot, list(keys), "left").selectExpr(*lookup.columns, f"{groups} AS _group")
+    return grouped.join(repeated, [*keys, "_group"], how).drop("_group")

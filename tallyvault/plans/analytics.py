@@ -54,7 +54,7 @@ def _lookup(
 ) -> DataFrame:
     row_count = getattr(vault, "row_count", None)
     bound = row_count(link) if row_count else None
-    return lookup_join(rows, lookup, entity.hk, ["link_hk"], row_bound=bound)
+    return lookup_join(rows, lookup, [entity.hk], ["link_hk"], row_bound=bound)
 
 
 def _completed_orders(vault: Vault) -> DataFrame:

@@ -107,7 +107,7 @@ class Load:
             self.vault.append(
                 link.name, new_link_rows(checked, link, self.load_time, known), self.load_id
             )
-            missing = missing_references(rows, checked, link, self.load_time)
+            missing = missing_references(rows, checked, link, self.load_time, row_bound)
             self.vault.log(missing, self.load_id, f"references_{link.entity.name}")
 
         run_together(partial(write, link) for link in LINKS.values())

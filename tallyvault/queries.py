@@ -240,7 +240,7 @@ def missing(spark: SparkSession, sf_dir: str, link: Link) -> DataFrame:
     rows = cleaned_rows(_parsed(_raw(spark, sf_dir, entity), entity), entity)
     bound = source_rows(spark, sf_dir, entity.name)
     checked = checked_ids(rows, link, _other_hubs(spark, sf_dir, link), bound)
-    return missing_references(rows, checked, link, FIRST_LOAD).selectExpr(
+    return missing_references(rows, checked, link, FIRST_LOAD, bound).selectExpr(
         "source_table",
         _json("raw_payload", "row_hash"),
         *[_json("error_details", c) for c in ("level", "reason")],

@@ -201,14 +201,14 @@ def test_hot_keys_are_split_and_the_join_stays_the_same(spark):
     for how in ("left", "inner"):
         plain = tuples(rows.join(lookup, "k", how), "k", "n", "known")
         for row_bound in (None, 3000, 100):
-            split = lookup_join(rows, lookup, "k", ["n"], how, row_bound, group_rows=100)
+            split = lookup_join(rows, lookup, ["k"], ["n"], how, row_bound, group_rows=100)
             assert tuples(split, "k", "n", "known") == plain
 
 
 def test_no_group_of_a_split_key_is_much_larger_than_the_limit(spark):
     rows = spark.range(3000).selectExpr("id AS n", "if(id < 1000, 1, id) AS k")
     lookup = spark.range(3000).selectExpr("id AS k", "true AS known")
-    plan = lookup_join(rows, lookup, "k", ["n"], group_rows=100)
+    plan = lookup_join(rows, lookup, ["k"], ["n"], group_rows=100)
     groups = (
         rows.filter("k = 1").withColumn("g", F.expr("pmod(xxhash64(n), 10)")).groupBy("g").count()
     )

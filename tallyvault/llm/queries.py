@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyvault.llm import ngram_join
+from tallyvault.llm import ngram_join, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,12 +15,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(_table(spark, sf_dir, "documents"), with_bytes=False).drop("kept")
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_classes(_table(spark, sf_dir, "documents"))
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op8_ngram_jaccard_join,)}
+    return {f.__name__: f for f in (op6_suffix_array_dedup, op8_ngram_jaccard_join)}
 
 
 def statements() -> dict[str, str]:

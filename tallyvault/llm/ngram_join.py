@@ -25,9 +25,9 @@ from tallyvault.llm.text import Words, batch, distinct, factors, lists, mix, pie
 SHINGLE = 5
 PERCENT = 80
 MINHASHES = 16
-ALIKE = 10  # minhash values of 16 that two documents must share to be compared early
+ALIKE = 3  # minhash values that a document must share with the first of them to be compared early
 GROUP = 32  # documents of one group of the matrix
-SAMPLE = 8  # one document in so many tells which tokens are frequent
+SAMPLE = 16  # one document in so many tells which tokens are frequent
 FREQUENT = 1 << 20  # entries of that list at most: 8 MB
 
 PROFILE = pa.schema(
@@ -119,70 +119,95 @@ def _profile(size: int, percent: int, frequent):
     return run
 
 
-def _sets(size: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("tokens", pa.list_(pa.int64()))])
+WANTED_BITS = 1 << 24
+
+
+def _wanted(words):
+    """Texts whose doc_id may be asked for, by a bitmap of fixed size."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in pieces(whole):
-                values, at = shingle_sets(b.column("text"), size)
-                yield batch(schema, b.column("doc_id"), lists(signed(values), at))
+        bits = words.value
+        for b in batches:
+            bit = mix(b.column("doc_id").to_numpy().view(np.uint64)) & np.uint64(WANTED_BITS - 1)
+            hit = bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1
+            kept = b.filter(pa.array(hit.astype(bool)))
+            if kept.num_rows:
+                yield batch(schema, kept.column("doc_id"), kept.column("text"))
 
     return run
 
 
-def _overlaps(percent: int):
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        bit = np.unique(mix(b.column("doc_id").to_numpy().view(np.uint64)) & np.uint64(WANTED_BITS - 1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array((bit >> np.uint64(5)).astype(np.int64)), pa.array(1 << (bit & np.uint64(31)).astype(np.int64))],
+            names=["word", "bits"],
+        )
+
+
+def bitmap(ids: DataFrame) -> np.ndarray:
+    """The ids' hashes as WANTED_BITS bits, 2 MB for any number of ids."""
+    words = ids.mapInArrow(_bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    found = words.toArrow()
+    out = np.zeros(WANTED_BITS // 32, np.uint32)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
+    return out.view(np.uint8)
+
+
+def _overlaps(size: int, percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for lo in range(0, whole.num_rows, 256):
-                part = whole.slice(lo, 256)
-                first, second = part.column("left"), part.column("right")
-                n, m = (np.diff(c.offsets.to_numpy()).astype(np.int64) for c in (first, second))
+            for part in pieces(whole, "left"):
+                (x, x_at), (y, y_at) = (shingle_sets(part.column(c), size) for c in ("left", "right"))
+                n, m = np.diff(x_at), np.diff(y_at)
                 rows = np.arange(part.num_rows)
-                value = np.concatenate([first.flatten().to_numpy(), second.flatten().to_numpy()])
+                value = np.concatenate([x, y])
                 owner = np.concatenate([np.repeat(rows, n), np.repeat(rows, m)])
                 order = np.lexsort((value, owner))
                 v, o = value[order], owner[order]
                 twice = (v[1:] == v[:-1]) & (o[1:] == o[:-1])
                 both = np.bincount(o[1:][twice], minlength=len(rows))
-                alike = 100 * both >= percent * (n + m - both)
-                yield batch(schema, part.column("a").filter(pa.array(alike)), part.column("b").filter(pa.array(alike)))
+                alike = pa.array((both > 0) & (100 * both >= percent * (n + m - both)))
+                yield batch(schema, part.column("a").filter(alike), part.column("b").filter(alike))
 
     return run
 
 
 def linked(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Those of the pairs (a, b) whose whole sets are similar."""
+    """Those of the pairs (a, b) whose whole sets are similar.
+
+    Only texts that some pair needs are shuffled: a bitmap of fixed size drops most of the others where
+    they are read, and the joins the rest.
+    """
     ids = pairs.selectExpr("explode(array(a, b)) AS doc_id").distinct()
-    sets = docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets(size), "doc_id long, tokens array<long>")
-    sets = keep(sets)
-    right = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("right"))
-    left = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("left"))
-    return pairs.join(right, "b").join(left, "a").mapInArrow(_overlaps(percent), "a long, b long")
-
-
-def early_pairs(reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b): a document and the first one with the same minhash value, if most values agree."""
-    values = reps.selectExpr("doc_id", "n", "minhash", "posexplode(minhash) AS (place, value)")
-    first = (
-        values.groupBy("place", "value")
-        .agg(F.min(F.struct("doc_id", "n", "minhash")).alias("first"), F.count("*").alias("copies"))
-        .where("copies > 1")
+    words = docs.sparkSession.sparkContext.broadcast(bitmap(ids))
+    texts = docs.mapInArrow(_wanted(words), "doc_id long, text string").dropDuplicates(["doc_id"])
+    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
+    return pairs.join(right, "b").join(left, "a").mapInArrow(_overlaps(size, percent), "a long, b long")
+
+
+def early_pairs(reps: DataFrame) -> DataFrame:
+    """Pairs (a, b): a document and the first one with the same minhash value, if ALIKE values agree."""
+    values = reps.selectExpr("doc_id", "posexplode(minhash) AS (place, value)").selectExpr(
+        "doc_id", "shiftleft(cast(place AS bigint), 32) + value AS value"
     )
-    alike = "size(filter(zip_with(minhash, first.minhash, (x, y) -> x = y), z -> z))"
+    first = values.groupBy("value").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last"))
     return (
-        values.join(first, ["place", "value"])
-        .where("doc_id <> first.doc_id")
-        .where(F.expr(f"100 * least(n, first.n) >= {percent} * greatest(n, first.n)"))
-        .where(F.expr(f"{alike} >= {ALIKE}"))
-        .select(F.col("first.doc_id").alias("a"), F.col("doc_id").alias("b"))
-        .distinct()
+        values.join(first.where("a < last").drop("last"), "value")
+        .where("doc_id <> a")
+        .groupBy("a", F.col("doc_id").alias("b"))
+        .count()
+        .where(f"count >= {ALIKE}")
+        .select("a", "b")
     )
 
 
-OPENED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("grp", pa.int64()), ("part", pa.int64())])
+OPENED = pa.schema([("doc_id", pa.int64()), ("grp", pa.int64()), ("part", pa.int64())])
 
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +215,7 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rest: pa.Table | None = None
 
     def met(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        token, doc, n, grp, part = (table[c].to_numpy() for c in ("token", "doc_id", "n", "grp", "part"))
+        token, doc, grp, part = (table[c].to_numpy() for c in ("token", "doc_id", "grp", "part"))
         new = np.ones(len(token), bool)
         new[1:] = token[1:] != token[:-1]
         edge = np.append(np.flatnonzero(new), len(token))
@@ -208,7 +233,7 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         live = np.flatnonzero(ahead[: len(token)] < stop)
         while len(live):  # all rows at once, each with the next entry that is not its own group's
             i, j = live, ahead[live]
-            yield batch(OPENED, doc[i], n[i], grp[j], part[j])
+            yield batch(OPENED, doc[i], grp[j], part[j])
             ahead[live] = after[j]
             live = live[ahead[live] < stop[live]]
 
@@ -223,16 +248,16 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from met(rest)
 
 
-def opened_pairs(reps: DataFrame, group: DataFrame, percent: int) -> DataFrame:
+def opened_pairs(reps: DataFrame, leads: DataFrame, group: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of documents of different groups that the matrix can't rule out."""
-    grouped = keep(
+    grouped = (
         reps.join(group.withColumnRenamed("id", "doc_id"), "doc_id", "left")
         .withColumn("grp", F.coalesce("component", "doc_id"))
         .withColumn(
             "part",
             F.when(F.col("component").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))),
         )
-        .select("doc_id", "n", "grp", "part", "lead")
+        .select("doc_id", "n", "grp", "part")
     )
     # parts of bounded size: members in hash order, GROUP to a part
     sizes = grouped.where("part > 0").groupBy("grp").agg((F.floor(F.count("*") / GROUP) + 1).alias("parts"))
@@ -241,16 +266,18 @@ def opened_pairs(reps: DataFrame, group: DataFrame, percent: int) -> DataFrame:
         .withColumn("part", F.coalesce(F.pmod("part", "parts"), F.lit(0)))
         .drop("parts")
     )
+    grouped = keep(grouped)
     members = grouped.groupBy("grp", "part").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.collect_list("doc_id").alias("members")
     )
-    matrix = grouped.select(F.explode("lead").alias("token"), "doc_id", "n", "grp", "part")
+    matrix = leads.join(grouped.drop("n"), "doc_id").select(F.explode("lead").alias("token"), "doc_id", "grp", "part")
     met = (
         matrix.repartition("token")
         .sortWithinPartitions("token", "grp", "part")
-        .mapInArrow(_meetings, "doc_id long, n long, grp long, part long")
+        .mapInArrow(_meetings, "doc_id long, grp long, part long")
     )
-    counted = met.groupBy("doc_id", "n", "grp", "part").agg(F.count("*").alias("shared"))
+    counted = met.groupBy("doc_id", "grp", "part").agg(F.count("*").alias("shared"))
+    counted = counted.join(grouped.select("doc_id", "n"), "doc_id")
     beyond = f"greatest(n, most) * {percent}"
     need = f"ceil({percent} * (n + greatest(least, ceil(n * {percent} / 100.0))) / {100 + percent}.0)"
     return (
@@ -279,14 +306,15 @@ def similar_classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     classes = sets.groupBy("n", "key_a", "key_b").agg(F.min("doc_id").alias("rep"))
     names = sets.select("doc_id", "n", "key_a", "key_b").join(classes, ["n", "key_a", "key_b"])
     folded = names.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct()
+    leads = sets.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "lead")
     reps = keep(
-        sets.join(names.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(
-            ["doc_id"]
-        )
+        sets.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+        .select("doc_id", "n", "minhash")
+        .dropDuplicates(["doc_id"])
     )
-    early = keep(linked(early_pairs(reps, percent), known, size, percent))
+    early = keep(linked(keep(early_pairs(reps)), known, size, percent))
     group = components(early)
-    late = linked(opened_pairs(reps, group, percent), known, size, percent)
+    late = keep(linked(keep(opened_pairs(reps, leads, group, percent)), known, size, percent))
     links = folded.unionByName(early).unionByName(late)
     found = components(links)
     return (

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyvault.llm import ngram_join, suffix_dedup
+from tallyvault.llm import ngram_join, packing, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False).drop("ids")
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.without_repeats(_table(spark, sf_dir, "documents"), with_bytes=False).drop("kept")
 
@@ -24,7 +34,7 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op6_suffix_array_dedup, op8_ngram_jaccard_join)}
+    return {f.__name__: f for f in (op5_best_fit_packing, op6_suffix_array_dedup, op8_ngram_jaccard_join)}
 
 
 def statements() -> dict[str, str]:

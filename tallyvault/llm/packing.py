@@ -139,7 +139,7 @@ def complete(counts: np.ndarray, capacity: int, rounds: int = ROUNDS, nodes: int
     order = np.random.default_rng(1)  # which wasteful bins meet in a search; the same in every run
     failed = 0
     for _ in range(rounds):
-        if sum(bins.values()) <= bound or failed > 8:
+        if sum(bins.values()) <= bound or failed > 3:
             break
         units: dict[Pattern, int] = {}
         spare = 0

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyvault.llm import ngram_join, packing, suffix_dedup
+from tallyvault.llm import context_tree, language, ngram_join, packing, quality, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,12 +16,29 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(parts: int) -> Column:
+    """The remainder that deals documents to folds."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(parts))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language.identify(_table(spark, sf_dir, "documents"), fold(3) == 1)
+    return found.withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.apply_policy(quality.ledger(_table(spark, sf_dir, "documents")))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False).drop("ids")
 
@@ -33,9 +51,23 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_classes(_table(spark, sf_dir, "documents"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score_texts(_table(spark, sf_dir, "documents"), fold(7) == 2)
+
+
+QUERIES = (
+    op1_language_id,
+    op2_quality_rules,
+    op5_best_fit_packing,
+    op6_suffix_array_dedup,
+    op8_ngram_jaccard_join,
+    op10_lm_scoring,
+)
+
+
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_best_fit_packing, op6_suffix_array_dedup, op8_ngram_jaccard_join)}
+    return {query.__name__: query for query in QUERIES}
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op2_quality_rules": quality.policy_sql()}

@@ -13,6 +13,8 @@ U64 = np.uint64
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+LINE_END = np.zeros(256, dtype=bool)
+LINE_END[0x0A] = True
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -54,15 +56,18 @@ def pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
 
 
 class Words:
-    """The words `[^\\x20\\x09-\\x0D]+` of texts: where each is, and per text the range of its words."""
+    """The words `[^\\x20\\x09-\\x0D]+` of texts: where each is, and per text the range of its words.
 
-    def __init__(self, texts: pa.Array, lower: bool = True):
+    Another table of blank bytes gives other runs, such as lines.
+    """
+
+    def __init__(self, texts: pa.Array, lower: bool = True, blank: np.ndarray = SPACE):
         data, self.text_at = buffers(texts)
         if lower:
             data = data.copy()
             data[(data >= 65) & (data <= 90)] += 32
         self.data = data
-        self.space = SPACE[data]
+        self.space = blank[data]
         solid = ~self.space
         first = solid.copy()
         first[1:] &= self.space[:-1]

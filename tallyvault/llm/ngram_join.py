@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tallyvault.llm.graph import components
 from tallyvault.llm.shared import keep
 from tallyvault.llm.text import Words, batch, distinct, factors, lists, mix, pieces, shingles, signed
+from tallyvault.llm.wanted import wanted_texts
 
 SHINGLE = 5
 PERCENT = 80
@@ -119,43 +120,6 @@ def _profile(size: int, percent: int, frequent):
     return run
 
 
-WANTED_BITS = 1 << 24
-
-
-def _wanted(words):
-    """Texts whose doc_id may be asked for, by a bitmap of fixed size."""
-    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = words.value
-        for b in batches:
-            bit = mix(b.column("doc_id").to_numpy().view(np.uint64)) & np.uint64(WANTED_BITS - 1)
-            hit = bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1
-            kept = b.filter(pa.array(hit.astype(bool)))
-            if kept.num_rows:
-                yield batch(schema, kept.column("doc_id"), kept.column("text"))
-
-    return run
-
-
-def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        bit = np.unique(mix(b.column("doc_id").to_numpy().view(np.uint64)) & np.uint64(WANTED_BITS - 1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array((bit >> np.uint64(5)).astype(np.int64)), pa.array(1 << (bit & np.uint64(31)).astype(np.int64))],
-            names=["word", "bits"],
-        )
-
-
-def bitmap(ids: DataFrame) -> np.ndarray:
-    """The ids' hashes as WANTED_BITS bits, 2 MB for any number of ids."""
-    words = ids.mapInArrow(_bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    found = words.toArrow()
-    out = np.zeros(WANTED_BITS // 32, np.uint32)
-    out[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
-    return out.view(np.uint8)
-
-
 def _overlaps(size: int, percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -184,8 +148,7 @@ def linked(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE, percent: int
     they are read, and the joins the rest.
     """
     ids = pairs.selectExpr("explode(array(a, b)) AS doc_id").distinct()
-    words = docs.sparkSession.sparkContext.broadcast(bitmap(ids))
-    texts = docs.mapInArrow(_wanted(words), "doc_id long, text string").dropDuplicates(["doc_id"])
+    texts = wanted_texts(docs, ids).dropDuplicates(["doc_id"])
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
     return pairs.join(right, "b").join(left, "a").mapInArrow(_overlaps(size, percent), "a long, b long")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyvault.llm import context_tree, language, ngram_join, packing, quality, suffix_dedup
+from tallyvault.llm import chaining, context_tree, decontamination, language, ngram_join, packing, quality, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.without_passages(_table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False).drop("ids")
 
@@ -47,10 +51,18 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.without_repeats(_table(spark, sf_dir, "documents"), with_bytes=False).drop("kept")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), fold(5) == 0)
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_classes(_table(spark, sf_dir, "documents"))
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score_texts(_table(spark, sf_dir, "documents"), fold(7) == 2)
 
@@ -58,9 +70,12 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = (
     op1_language_id,
     op2_quality_rules,
+    op4_substring_dedup,
     op5_best_fit_packing,
     op6_suffix_array_dedup,
+    op7_toxicity,
     op8_ngram_jaccard_join,
+    op9_benchmark_decontamination,
     op10_lm_scoring,
 )
 

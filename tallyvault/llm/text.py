@@ -13,6 +13,7 @@ U64 = np.uint64
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+NOT_LETTER = np.array([c < 128 and not chr(c).isalpha() for c in range(256)])  # ASCII but for letters
 LINE_END = np.zeros(256, dtype=bool)
 LINE_END[0x0A] = True
 

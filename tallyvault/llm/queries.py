@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyvault.llm import chaining, context_tree, decontamination, language, ngram_join, packing, quality, suffix_dedup, toxicity
+from tallyvault.llm import chaining, context_tree, decontamination, extraction, language, ngram_join, packing, quality, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extraction.extract_text(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", "n_chars")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chaining.without_passages(_table(spark, sf_dir, "documents"))
 
@@ -70,6 +75,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = (
     op1_language_id,
     op2_quality_rules,
+    op3_html_extraction,
     op4_substring_dedup,
     op5_best_fit_packing,
     op6_suffix_array_dedup,

@@ -11,13 +11,14 @@ the text if enough of its question and of its answer stand there word by word.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyvault.llm.shared import carried, extra_ddl
 from tallyvault.llm.text import Words, batch, mix, pieces
 
 K1, B = 1.2, 0.75
@@ -124,12 +125,11 @@ def build_index(benchmark: DataFrame) -> list[Shard]:
 
 
 def _search(index):
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("item_ids", pa.list_(pa.int64())), ("score", pa.float64())]
-    )
+    fields = [("doc_id", pa.int64()), ("item_ids", pa.list_(pa.int64())), ("score", pa.float64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
+            schema = pa.schema([*fields, ("extra", whole.column("extra").type)])
             for b in pieces(whole):
                 words = Words(b.column("text"))
                 found: list[dict[int, float]] = [{} for _ in range(b.num_rows)]
@@ -142,20 +142,24 @@ def _search(index):
                     b.column("doc_id"),
                     pa.array([sorted(f) for f in found], pa.list_(pa.int64())),
                     np.array([max(f.values(), default=0.0) for f in found]),
+                    b.column("extra"),
                 )
 
     return run
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, contaminated, item_ids, score) for every row of docs (doc_id, text, ...).
+def find_contamination(docs: DataFrame, benchmark: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, contaminated, item_ids, score, extra) for every row of docs (doc_id, text, ...).
 
     benchmark has (item_id, text, ...); rows without one of them, or without words, are left out.
     item_ids lists every item that some passage holds, score is the best BM25 score as a share of the
-    item's own. Null text holds nothing. Repeated rows and null ids stay as they are; other columns are
-    not looked at. Empty tables give an empty result, or one without hits.
+    item's own. Null text holds nothing. Repeated rows and null ids stay as they are; extra has the
+    columns named in carry, others are not looked at. Empty tables give an empty result, or one
+    without hits.
     """
     index = docs.sparkSession.sparkContext.broadcast(build_index(benchmark))
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    found = rows.mapInArrow(_search(index), "doc_id long, item_ids array<long>, score double")
-    return found.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), "item_ids", "score")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), carried(carry))
+    found = rows.mapInArrow(
+        _search(index), f"doc_id long, item_ids array<long>, score double, {extra_ddl(rows)}"
+    )
+    return found.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), "item_ids", "score", "extra")

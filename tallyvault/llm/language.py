@@ -8,13 +8,14 @@ one that labels most of its letters.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyvault.llm.shared import carried, extra_ddl
 from tallyvault.llm.text import Words, batch, pieces
 
 BUCKETS = 1 << 15  # of trigrams; a model has so many numbers per language
@@ -177,14 +178,13 @@ SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang",
 
 
 def _label(model):
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("spans", SPANS)]
-    )
+    fields = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("spans", SPANS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = model.value
         names = np.array([*known.languages, UNKNOWN], dtype=object)
         for whole in batches:
+            schema = pa.schema([*fields, ("extra", whole.column("extra").type)])
             for b in pieces(whole):
                 words = Words(b.column("text"))
                 n, some = b.num_rows, len(known.languages)
@@ -215,29 +215,32 @@ def _label(model):
                     pa.array(names[best], pa.string()),
                     np.where(lettered, score, 0.0),
                     pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(n + 1)).astype(np.int32)), spans),
+                    b.column("extra"),
                 )
 
     return run
 
 
-def identify(docs: DataFrame, held_out: Column) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score, spans) for every row of docs (doc_id, text, lang, ...).
+def identify(docs: DataFrame, held_out: Column, carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score, spans, extra) for every row of docs (doc_id, text, lang, ...).
 
     Rows with held_out false or null and a lang are learnt from. score is the share of the text's
     letters in the spans of lang_pred; spans are byte ranges of the text with a language each. Null
     text, text without letters, and any text when nothing was learnt, is `und` with score 0. Repeated
-    rows and null ids stay as they are. An empty table gives an empty result.
+    rows and null ids stay as they are. extra has the columns named in carry; others are not looked at.
+    An empty table gives an empty result.
     """
     rows = docs.select(
         F.col("doc_id").cast("long"),
         F.col("text").cast("string"),
         F.col("lang").cast("string"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        carried(carry),
     )
     model = docs.sparkSession.sparkContext.broadcast(fit(rows.where("NOT held_out")))
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered")
-    return rows.select("doc_id", "text", "held_out", lettered).mapInArrow(
+    return rows.select("doc_id", "text", "held_out", lettered, "extra").mapInArrow(
         _label(model),
         "doc_id long, held_out boolean, lang_pred string, score double, "
-        "spans array<struct<start: long, end: long, lang: string>>",
+        f"spans array<struct<start: long, end: long, lang: string>>, {extra_ddl(rows)}",
     )

@@ -29,7 +29,7 @@ def tokenizer_path() -> str:
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language.identify(_table(spark, sf_dir, "documents"), fold(3) == 1)
-    return found.withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
+    return found.withColumn("n_spans", F.size("spans").cast("long")).drop("spans", "extra")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chaining.without_passages(_table(spark, sf_dir, "documents"))
+    return chaining.without_passages(_table(spark, sf_dir, "documents")).drop("text", "extra")
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +65,8 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    found = decontamination.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("extra")
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

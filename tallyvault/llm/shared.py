@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def keep(frame: DataFrame) -> DataFrame:
@@ -22,6 +25,15 @@ def keep(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def carried(names: Sequence[str]) -> Column:
+    """Columns that go through an operator untouched, as one column `extra`."""
+    return (F.struct(*names) if names else F.lit(None).cast("struct<none: int>")).alias("extra")
+
+
+def extra_ddl(rows: DataFrame) -> str:
+    return f"extra {rows.schema['extra'].dataType.simpleString()}"
+
+
 def drop(frame: DataFrame) -> None:
     """Delete a table made by keep()."""
     spark = frame.sparkSession

@@ -9,10 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyvault.llm.text import batch, mix
+from tallyvault.llm.text import mix
 
 BITS = 1 << 24
-TEXT = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
 
 
 def _place(ids: pa.Array) -> np.ndarray:
@@ -44,7 +43,7 @@ def _select(bits, inside: bool):
             hit = bits.value[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1
             kept = b.filter(pa.array(hit.astype(bool) == inside))
             if kept.num_rows:
-                yield batch(TEXT, kept.column("doc_id"), kept.column("text"))
+                yield kept
 
     return run
 
@@ -52,11 +51,11 @@ def _select(bits, inside: bool):
 def wanted_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(doc_id, text) of all ids, and of few others: only these need a shuffle."""
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(ids))
-    return docs.select("doc_id", "text").mapInArrow(_select(bits, True), "doc_id long, text string")
+    rows = docs.select("doc_id", "text")
+    return rows.mapInArrow(_select(bits, True), rows.schema)
 
 
 def split_texts(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, text) of all ids and few others, and of the rest."""
+    """The rows of docs (doc_id, ...) of all ids and few others, and the rest of them."""
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(ids))
-    rows = docs.select("doc_id", "text")
-    return tuple(rows.mapInArrow(_select(bits, side), "doc_id long, text string") for side in (True, False))
+    return tuple(docs.mapInArrow(_select(bits, side), docs.schema) for side in (True, False))

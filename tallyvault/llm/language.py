@@ -198,7 +198,7 @@ def _label(model):
                 new = np.ones(len(label), bool)
                 new[1:] = (label[1:] != label[:-1]) | (text[1:] != text[:-1])
                 first = np.flatnonzero(new)
-                last = np.append(first[1:], len(label)) - 1
+                last = np.append(first, len(label))[1:] - 1
                 of = text[first]
                 spans = pa.StructArray.from_arrays(
                     [

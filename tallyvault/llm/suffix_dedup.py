@@ -336,7 +336,7 @@ def _removed(width: int, with_bytes: bool):
                 spans = b.column("spans")
                 owner = np.repeat(np.arange(b.num_rows), np.diff(spans.offsets.to_numpy()))
                 rows = spans.flatten()
-                begin = at[owner] + rows.field("lo").to_numpy()
+                begin = np.minimum(at[owner] + rows.field("lo").to_numpy(), at[owner + 1])
                 end = np.minimum(at[owner] + rows.field("hi").to_numpy() + width, at[owner + 1])
                 depth = np.zeros(len(data) + 1, np.int64)
                 np.add.at(depth, begin, 1)
@@ -368,15 +368,13 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, seed: int = SEED, with_
     """(doc_id, n_bytes, n_removed, n_spans, kept, kept_sha256) for every row of docs (doc_id, text, ...).
 
     A byte goes if a `width`-byte string over it also starts earlier: in a document of smaller doc_id,
-    or before in the same one. Null text counts as empty; a null doc_id comes before all others. Rows
-    with equal doc_id and text are one document and get the same result; rows with equal doc_id must
-    have equal text. Other columns are not looked at. An empty table gives an empty result.
+    or before in the same one. Null text counts as empty. Rows without doc_id have no place in that
+    order: they keep all their bytes, and nobody loses bytes to them. Rows with equal doc_id and text
+    are one document and get the same result; rows with equal doc_id must have equal text. Other
+    columns are not looked at. An empty table gives an empty result.
     """
-    least = -(1 << 63)
-    rows = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(least)).alias("doc"), F.col("text").cast("string").alias("text")
-    )
-    spans = repeated_spans(rows, width, seed)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
+    spans = repeated_spans(rows.where("doc IS NOT NULL"), width, seed)
     grouped = spans.groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     none = F.expr("cast(array() AS array<struct<lo: bigint, hi: bigint>>)")
     return (
@@ -386,6 +384,5 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, seed: int = SEED, with_
             _removed(width, with_bytes),
             "doc long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string",
         )
-        .withColumn("doc_id", F.nullif("doc", F.lit(least)))
-        .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256")
+        .withColumnRenamed("doc", "doc_id")
     )

@@ -155,7 +155,7 @@ def linked(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE, percent: int
 
 
 def early_pairs(reps: DataFrame) -> DataFrame:
-    """(a, b, count): a document, the first one with the same minhash value, and how many values lead there."""
+    """Pairs (a, b): a document and the first one with the same minhash value, if ALIKE values lead there."""
     values = reps.selectExpr("doc_id", "posexplode(minhash) AS (place, value)").selectExpr(
         "doc_id", "shiftleft(cast(place AS bigint), 32) + value AS value"
     )
@@ -165,25 +165,23 @@ def early_pairs(reps: DataFrame) -> DataFrame:
         .where("doc_id <> a")
         .groupBy("a", F.col("doc_id").alias("b"))
         .count()
+        .where(f"count >= {ALIKE}")
+        .select("a", "b")
     )
 
 
-OPENED = pa.schema([("doc_id", pa.int64()), ("linked", pa.bool_()), ("grp", pa.int64()), ("part", pa.int64())])
-OPENED_DDL = "doc_id long, linked boolean, grp long, part long"
+OPENED = pa.schema([("doc_id", pa.int64()), ("grp", pa.int64()), ("part", pa.int64())])
+OPENED_DDL = "doc_id long, grp long, part long"
 
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by token and part: every document with the parts of its token, each pair once.
-
-    Documents of a linked group need not meet their own group; others meet their own part if another
-    document of it has the token.
-    """
+    """From rows sorted by token, group size, group and part: every document with the parts of the
+    groups behind its own. Small groups come first, so their documents meet the parts of large ones
+    and not the many documents of those the small ones."""
     rest: pa.Table | None = None
 
     def met(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        token, doc, linked, grp, part = (
-            table[c].to_numpy() for c in ("token", "doc_id", "linked", "grp", "part")
-        )
+        token, doc, grp, part = (table[c].to_numpy() for c in ("token", "doc_id", "grp", "part"))
         if not len(token):
             return
         here = np.arange(len(token))
@@ -192,19 +190,17 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edge = np.append(np.flatnonzero(new), len(token))
         stop = edge[np.cumsum(new)]
         name = new.copy()
-        name[1:] |= (grp[1:] != grp[:-1]) | (linked[1:] != linked[:-1])
+        name[1:] |= grp[1:] != grp[:-1]
         entry = name.copy()  # a part's first row stands for its entry of the matrix
         entry[1:] |= part[1:] != part[:-1]
         later = np.append(np.flatnonzero(entry), len(token))
         after = later[np.searchsorted(later, here, "right")]
         other = np.append(np.flatnonzero(name), len(token))
-        own = later[np.cumsum(entry) - 1]
-        shared = np.append(np.diff(later), 0)[np.cumsum(entry) - 1] > 1
-        ahead = np.where(linked, other[np.searchsorted(other, here, "right")], np.where(shared, own, after))
+        ahead = other[np.searchsorted(other, here, "right")]
         live = np.flatnonzero(ahead < stop)
-        while len(live):  # all rows at once, each with the next entry
+        while len(live):  # all rows at once, each with the next entry that is not its own group's
             i, j = live, ahead[live]
-            yield batch(OPENED, doc[i], linked[j], grp[j], part[j])
+            yield batch(OPENED, doc[i], grp[j], part[j])
             ahead[live] = after[j]
             live = live[ahead[live] < stop[live]]
 
@@ -219,49 +215,41 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from met(rest)
 
 
-def opened_pairs(
-    reps: DataFrame, leads: DataFrame, group: DataFrame, near: DataFrame, percent: int
-) -> DataFrame:
-    """Pairs (a, b) of documents that aren't linked yet and that the matrix can't rule out.
+def opened_pairs(reps: DataFrame, leads: DataFrame, group: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of documents of different groups that the matrix can't rule out.
 
-    Linked documents are groups; others are grouped by the document that most of their minhash values
-    lead to. GROUP documents of a group at most are one part, in hash order.
+    Linked documents are a group, any other document is one of its own. Groups are cut into parts of
+    about GROUP documents, by hash.
     """
-    likely = near.groupBy(F.col("b").alias("doc_id")).agg(F.max_by("a", F.struct("count", F.col("a"))).alias("a"))
-    grouped = (
-        reps.join(group.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-        .join(likely, "doc_id", "left")
-        .withColumn("linked", F.col("component").isNotNull())
-        .withColumn("grp", F.coalesce("component", "a", "doc_id"))
-        .select("doc_id", "n", "linked", "grp")
+    grouped = reps.join(group.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
+        "doc_id", "n", F.coalesce("component", "doc_id").alias("grp")
     )
-    sizes = grouped.groupBy("linked", "grp").agg((F.floor(F.count("*") / GROUP) + 1).alias("parts"))
+    sizes = grouped.groupBy("grp").agg(F.count("*").alias("size"))
     grouped = keep(
-        grouped.join(sizes, ["linked", "grp"])
-        .withColumn("part", F.pmod(F.xxhash64("doc_id"), "parts"))
-        .drop("parts")
+        grouped.join(sizes, "grp").withColumn(
+            "part", F.pmod(F.xxhash64("doc_id"), F.floor(F.col("size") / GROUP) + 1)
+        )
     )
-    members = grouped.groupBy("linked", "grp", "part").agg(
+    members = grouped.groupBy("grp", "part").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.collect_list("doc_id").alias("members")
     )
     matrix = leads.join(grouped.drop("n"), "doc_id").select(
-        F.explode("lead").alias("token"), "doc_id", "linked", "grp", "part"
+        F.explode("lead").alias("token"), "doc_id", "size", "grp", "part"
     )
     met = (
         matrix.repartition("token")
-        .sortWithinPartitions("token", "linked", "grp", "part")
+        .sortWithinPartitions("token", "size", "grp", "part")
         .mapInArrow(_meetings, OPENED_DDL)
     )
-    counted = met.groupBy("doc_id", "linked", "grp", "part").agg(F.count("*").alias("shared"))
+    counted = met.groupBy("doc_id", "grp", "part").agg(F.count("*").alias("shared"))
     counted = counted.join(grouped.select("doc_id", "n"), "doc_id")
     beyond = f"greatest(n, most) * {percent}"
     need = f"ceil({percent} * (n + greatest(least, ceil(n * {percent} / 100.0))) / {100 + percent}.0)"
     return (
-        counted.join(members, ["linked", "grp", "part"])
+        counted.join(members, ["grp", "part"])
         .where(f"100 * n >= {percent} * least AND 100 * most >= {percent} * n")
         .where(f"shared + ceil({beyond} / 100.0) - 1 >= {need}")
         .select("doc_id", F.explode("members").alias("other"))
-        .where("doc_id <> other")
         .select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b"))
         .distinct()
     )
@@ -295,10 +283,9 @@ def similar_classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     reps = keep(
         sets.join(first, "doc_id", "left_semi").select("doc_id", "n", "minhash").dropDuplicates(["doc_id"])
     )
-    near = keep(early_pairs(reps))
-    early = keep(linked(near.where(f"count >= {ALIKE}").select("a", "b"), known, size, percent))
+    early = keep(linked(keep(early_pairs(reps)), known, size, percent))
     group = components(early)
-    late = keep(linked(keep(opened_pairs(reps, leads, group, near, percent)), known, size, percent))
+    late = keep(linked(keep(opened_pairs(reps, leads, group, percent)), known, size, percent))
     links = folded.unionByName(early).unionByName(late)
     found = components(links)
     return (

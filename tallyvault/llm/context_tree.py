@@ -28,7 +28,7 @@ from tallyvault.llm.shared import keep
 from tallyvault.llm.text import Words, batch, buffers, lists, mix, pieces, signed
 
 DEPTH = 6  # bytes of context; with the next byte they fit a long
-FREQUENT = 1 << 20  # words, and contexts with a next byte, in a broadcast: 24 MB at most
+FREQUENT = 1 << 18  # words, and contexts with a next byte, in a broadcast: 6 MB at most
 SPACE, END = 0x20, 0x0A
 HALF = math.log(0.5)
 

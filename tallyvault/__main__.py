@@ -36,9 +36,14 @@ def arguments() -> argparse.ArgumentParser:
     parser.add_argument("--reset-db", action="store_true", help="empty the vault and log first")
     for source in ("customers", "products", "payments", "orders", "events"):
         parser.add_argument(f"--{source}-path", required=True)
-    parser.add_argument("--buckets", type=int, help="store the vault in this many buckets")
-    parser.add_argument("--orders-layout", default="array", choices=["array", "lines", "split"])
-    parser.add_argument("--events-layout", default="document", choices=["document", "split"])
+    parser.add_argument(
+        "--buckets", type=int, help="buckets of a new vault; by default the shuffle partitions, 0 for none"
+    )
+    parser.add_argument("--orders-layout", default="split", choices=["split", "lines", "array"])
+    parser.add_argument("--events-layout", default="split", choices=["split", "document"])
+    parser.add_argument(
+        "--csv-multi-line", action="store_true", help="allow line feeds inside quoted CSV fields"
+    )
     parser.add_argument("--json-null-token", help="text an explicit JSON null stands for")
     parser.add_argument("--preferred-currency", "--prefered_currency", default="RUB")
     parser.add_argument("--rub", default="1", help="value of one RUB")
@@ -63,12 +68,14 @@ def run(spark: SparkSession, args: argparse.Namespace, now: datetime) -> dict[st
         orders=args.orders_path,
         events=args.events_path,
         options={
+            **dict.fromkeys(("customers", "products", "payments"), {"multi_line": args.csv_multi_line}),
             "orders": {"layout": args.orders_layout, "json_null_token": args.json_null_token},
             "events": {"layout": args.events_layout},
         },
     )
     raw = sources.read(spark)  # raises here if an input is missing
-    vault = StoredVault(spark, args.vault, args.buckets)
+    buckets = StoredVault.default_buckets(spark, args.vault) if args.buckets is None else args.buckets
+    vault = StoredVault(spark, args.vault, buckets or None)
     if args.reset_db:
         vault.clear()
 

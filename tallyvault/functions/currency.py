@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 
 Rates = Mapping[str, Decimal | int | float | str]
 
-# money is decimal(18,4); 19 digits are what a factor may have for an exact decimal(38) product
-_RATE_DIGITS = 19
-_MAX_RATE_SCALE = 14
+# Digits of a rate: all that a decimal has, so a rate loses nothing above 10**-22 of its last
+# sixteen digits.
+_RATE_DIGITS = 38
 
 
 def normalised_rates(preferred: str, rates: Rates | None) -> dict[str, Decimal]:
@@ -25,7 +25,8 @@ def normalised_rates(preferred: str, rates: Rates | None) -> dict[str, Decimal]:
         if not rate.is_finite() or rate <= 0:
             raise ValueError(f"exchange rate of {currency} must be a positive number, got {rate}")
     base = exact.get(preferred, Decimal(1))
-    return {currency: rate / base for currency, rate in exact.items()}
+    with localcontext(prec=2 * _RATE_DIGITS):
+        return {currency: rate / base for currency, rate in exact.items()}
 
 
 def converted_amount(
@@ -33,20 +34,24 @@ def converted_amount(
 ) -> Column:
     """The amount in the preferred currency, NULL when there is no rate for its currency.
 
+    An amount in the preferred currency stays as it is. A product has 17 decimals, less one for each
+    whole digit of the largest rate, and is rounded to these.
+
     The rates are a handful of driver-side numbers and become literals of a CASE expression, so
     there is no join.
     """
     table = normalised_rates(preferred, rates)
     rate_type = _rate_type(table)
-    rate = F.when(currency == preferred, F.lit(Decimal(1)).cast(rate_type))
+    converted = F.when(currency == preferred, amount)
     for code in sorted(table.keys() - {preferred}):
-        literal = F.lit(round(table[code], rate_type.scale)).cast(rate_type)
-        rate = rate.when(currency == code, literal)
-    return amount * rate
+        with localcontext(prec=2 * _RATE_DIGITS):
+            literal = F.lit(round(table[code], rate_type.scale)).cast(rate_type)
+        converted = converted.when(currency == code, amount * literal)
+    return converted
 
 
 def _rate_type(table: Mapping[str, Decimal]) -> T.DecimalType:
-    whole_digits = max([1, *(rate.adjusted() + 1 for rate in table.values())])
-    if whole_digits > _RATE_DIGITS:
+    whole_digits = max([0, *(rate.adjusted() + 1 for rate in table.values())])
+    if whole_digits > 11:  # a product must keep six decimals
         raise ValueError("exchange rates span too many digits")
-    return T.DecimalType(_RATE_DIGITS, min(_MAX_RATE_SCALE, _RATE_DIGITS - whole_digits))
+    return T.DecimalType(_RATE_DIGITS, _RATE_DIGITS - whole_digits)

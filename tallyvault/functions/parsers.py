@@ -15,7 +15,10 @@ from typing import NamedTuple
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(18, 4)
+# Money keeps 20 whole digits and 18 decimals. A number beyond that is not rounded: it has no value
+# and a tag of its own.
+MONEY = T.DecimalType(38, 18)
+TAG_OUT_OF_RANGE = "out_of_range"
 
 # Accepted words.
 CATEGORIES = ("Home", "Books", "Electronics", "Clothing", "Sports")
@@ -33,6 +36,7 @@ EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\z"
 PHONE_CHARS = r"^[0-9\-+() ]*\z"
 ISO_DATE = r"^(?!0000)\d{4}-\d{2}-\d{2}\z"
 DOTTED_DATE = r"^\d{2}\.\d{2}\.(?!0000)\d{4}\z"
+NUMBER = r"^[+-]?(?=\.?\d)\d*\.?(\d*?)0*(?:[eE]([+-]?\d+))?\z"
 FULL_TIMESTAMP = r"^(?!0000)\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
 
 # Tags of the accepted date forms.
@@ -89,6 +93,35 @@ def _positive(data_type: T.DataType, tokens: Mapping[str, str] | None = None) ->
     return _parser(data_type, value, tokens=tokens)
 
 
+def _money(t: str) -> str:
+    """The exact number, NULL for other text and for numbers that need more digits."""
+    return f"CASE WHEN {_decimals(t)} <= {MONEY.scale} THEN try_cast({t} AS {MONEY.simpleString()}) END"
+
+
+def _decimals(t: str) -> str:
+    """Digits a number has behind its point, zeros at the end left out; NULL for other text."""
+    digits = f"length(regexp_extract({t}, r'{NUMBER}', 1))"
+    exponent = f"coalesce(try_cast(nullif(regexp_extract({t}, r'{NUMBER}', 2), '') AS int), 0)"
+    return f"CASE WHEN {t} RLIKE r'{NUMBER}' THEN {digits} - {exponent} END"
+
+
+def _unusable_number(t: str, positive: bool) -> str:
+    """A number that a money column would accept if it had room for it has its own tag."""
+    size = f"try_cast({t} AS double)"
+    wanted = f"({size} > 0 OR {t} RLIKE r'^[+]?[0.]*[1-9]')" if positive else f"{size} IS NOT NULL"
+    beyond = f"{t} RLIKE r'{NUMBER}' AND {wanted} AND {_money(t)} IS NULL"
+    return f"CASE WHEN {beyond} THEN '{TAG_OUT_OF_RANGE}' ELSE 'invalid' END"
+
+
+def _positive_money(tokens: Mapping[str, str] | None = None) -> Parser:
+    return _parser(
+        MONEY,
+        lambda t: f"CASE WHEN {_money(t)} > 0 THEN {_money(t)} END",
+        tokens=tokens,
+        unusable=lambda t: _unusable_number(t, positive=True),
+    )
+
+
 def _iso_date(t: str) -> str:
     return f"CASE WHEN {t} RLIKE r'{ISO_DATE}' THEN try_to_date({t}, 'yyyy-MM-dd') END"
 
@@ -178,7 +211,7 @@ CREATED_AT = _parser(
 PRODUCT_NAME = _parser(T.StringType(), lambda t: f"nullif({t}, '')")
 CATEGORY = _one_of(CATEGORIES)
 PRICE = _parser(
-    MONEY, lambda t: f"try_cast({t} AS {MONEY.simpleString()})", tokens={"N/A": "na"}
+    MONEY, _money, tokens={"N/A": "na"}, unusable=lambda t: _unusable_number(t, positive=False)
 )
 CURRENCY = _one_of(CURRENCIES)
 IS_ACTIVE = _parser(
@@ -195,8 +228,8 @@ POSITIVE_ID = _positive(T.LongType())
 EVENT_ID = _positive(T.LongType(), tokens={"BAD_ID": "bad_id"})
 QUANTITY = _positive(T.IntegerType())
 PAYMENT_METHOD = _one_of(PAYMENT_METHODS)
-AMOUNT = _positive(MONEY, tokens={"error_amount": "error_amount"})
-UNIT_PRICE = _positive(MONEY)
+AMOUNT = _positive_money(tokens={"error_amount": "error_amount"})
+UNIT_PRICE = _positive_money()
 STATUS = _one_of(ORDER_STATUSES)
 EVENT_TYPE = _one_of(EVENT_TYPES)
 PAYMENT_TIMESTAMP = _parser(

@@ -15,25 +15,28 @@ from tallyvault.operators.rejects import (
     reject_records,
     timestamp_literal,
 )
-from tallyvault.operators.skew import lookup_join
+from tallyvault.operators.skew import hot_keys, lookup_join
 
 
-def checked_ids(
-    rows: DataFrame, link: Link, hubs: Mapping[str, DataFrame], row_bound: int | None = None
-) -> DataFrame:
-    """Distinct id tuples of ``rows`` plus the first id that has no hub row.
+def linked_ids(rows: DataFrame, link: Link) -> DataFrame:
+    """Distinct id tuples of ``rows``; tuples with a NULL id are skipped."""
+    all_given = " AND ".join(f"{c} IS NOT NULL" for c in link.ids)
+    return rows.select(*link.ids).filter(all_given).distinct()
+
 
-    Tuples with a NULL id are skipped. ``hubs`` maps nouns to hub rows; a noun left out is not
-    checked, which is right for the link's own hub when it was loaded from these rows. Only the
-    ids travel through the joins, and keys that own very many tuples are split (see
-    ``lookup_join``, also for ``row_bound``).
+def checked_ids(ids: DataFrame, link: Link, hubs: Mapping[str, DataFrame]) -> DataFrame:
+    """The id tuples plus the first id that has no hub row.
+
+    ``ids`` comes from ``linked_ids``; store it first, as its hot keys are counted here. ``hubs``
+    maps nouns to hub rows; a noun left out is not checked, which is right for the link's own hub
+    when it was loaded from these rows. Only the ids travel through the joins, and keys that own
+    very many tuples are split (see ``lookup_join``).
     """
-    all_given = " AND ".join(f"{c} IS NOT NULL" for c in link.ids)
-    checked = rows.select(*link.ids).filter(all_given).distinct()
+    checked = ids
     for noun, hub in ((n, hubs[n]) for n in link.nouns if n in hubs):
         key = BY_NOUN[noun].key
         present = hub.selectExpr(key, f"true AS has_{noun}")
-        checked = lookup_join(checked, present, [key], link.ids, "left", row_bound)
+        checked = lookup_join(checked, present, [key], link.ids, "left", hot_keys(ids, [key]))
     tests = [f"if(has_{n} IS NULL, '{BY_NOUN[n].key}', NULL)" for n in link.nouns if n in hubs]
     first_missing = ", ".join([*tests, "cast(NULL AS string)"])
     return checked.selectExpr(*link.ids, f"coalesce({first_missing}) AS missing_type")
@@ -58,16 +61,15 @@ def missing_references(
     checked: DataFrame,
     link: Link,
     load_time: datetime,
-    row_bound: int | None = None,
 ) -> DataFrame:
     """Reject records for the cleaned rows one of whose ids has no hub row.
 
     The wide rows are joined back to the few failing tuples; a tuple that very many rows share is
-    split.
+    split. Give stored ``rows``: their hot tuples are counted here.
     """
     entity = link.entity
     missing = checked.filter("missing_type IS NOT NULL")
-    found = lookup_join(rows, missing, link.ids, ["row_hash"], "inner", row_bound)
+    found = lookup_join(rows, missing, link.ids, ["row_hash"])
     details = error_details(
         "warn",
         "'missing_reference'",

@@ -49,34 +49,35 @@ def error_details(level: str, reason: str, **details: str) -> str:
     return f"named_struct('level', '{level}', 'reason', {reason}{tail})"
 
 
-def fatal_rejects(parsed: DataFrame, entity: Entity, load_time: datetime) -> DataFrame:
-    """Rows without a usable business key, one record per raw row."""
-    fatal = parsed.filter("fatal_reason IS NOT NULL")
+def clean_rejects(parsed: DataFrame, entity: Entity, load_time: datetime) -> DataFrame:
+    """Records of all raw rows that are not clean, one per copy, in one pass over the parsed rows.
+
+    A row without a usable business key is fatal. A usable one is a warning if an attribute is bad
+    or if it has duplicates; its details list every attribute's tag, good ones too, and the number
+    of duplicates.
+    """
+    rejected = parsed.filter("fatal_reason IS NOT NULL OR has_non_fatal_error OR duplicate_count > 1")
+    tags = ", ".join(f"'{c}_format', {c}_format" for c in entity.attributes)
+    details = f"named_struct({tags}, 'num_duplicates', duplicate_count)"
     return reject_records(
-        one_row_per_copy(fatal),
+        one_row_per_copy(rejected),
         entity.name,
         load_time,
         raw_payload(entity),
-        error_details("fatal", "fatal_reason"),
+        "named_struct('level', if(fatal_reason IS NULL, 'warn', 'fatal'),"
+        " 'reason', coalesce(fatal_reason, 'invalid_descriptive_attributes'),"
+        f" 'details', if(fatal_reason IS NULL, {details}, NULL))",
     )
 
 
-def warn_rejects(parsed: DataFrame, entity: Entity, load_time: datetime) -> DataFrame:
-    """Usable rows with a bad attribute or with duplicates, one record per raw row.
+def fatal_rejects(parsed: DataFrame, entity: Entity, load_time: datetime) -> DataFrame:
+    """Records of the rows without a usable business key only."""
+    return clean_rejects(parsed.filter("fatal_reason IS NOT NULL"), entity, load_time)
 
-    The details list every attribute's tag, good ones too, and the number of duplicates.
-    """
-    warned = parsed.filter("fatal_reason IS NULL AND (has_non_fatal_error OR duplicate_count > 1)")
-    tags = {f"{c}_format": f"{c}_format" for c in entity.attributes}
-    return reject_records(
-        one_row_per_copy(warned),
-        entity.name,
-        load_time,
-        raw_payload(entity),
-        error_details(
-            "warn", "'invalid_descriptive_attributes'", **tags, num_duplicates="duplicate_count"
-        ),
-    )
+
+def warn_rejects(parsed: DataFrame, entity: Entity, load_time: datetime) -> DataFrame:
+    """Records of the usable rows with a bad attribute or with duplicates only."""
+    return clean_rejects(parsed.filter("fatal_reason IS NULL"), entity, load_time)
 
 
 def one_row_per_copy(collapsed: DataFrame, per_task: int = COPIES_PER_TASK) -> DataFrame:

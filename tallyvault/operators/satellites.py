@@ -71,13 +71,6 @@ def new_sat_rows(
     )
 
 
-def has_conflicting_versions(rows: DataFrame, entity: Entity) -> bool:
-    """Whether any key comes with more than one version; a narrow look before the wide log job."""
-    versions = _versioned(rows, entity).select(entity.hk, "hash_diff").distinct()
-    several = versions.groupBy(entity.hk).count().filter("count > 1")
-    return not several.isEmpty()
-
-
 def conflicting_versions(rows: DataFrame, entity: Entity, load_time: datetime) -> DataFrame:
     """Reject records for the versions a batch offered beside the chosen one.
 

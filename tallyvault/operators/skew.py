@@ -7,23 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this is split into groups of about this size.
-GROUP_ROWS = 1_000_000
-# Keys that may be split: the largest ones. The list is broadcast, so this is its size bound;
-# any key beyond it owns less than 1/MAX_HOT_KEYS of the rows and is left whole.
-MAX_HOT_KEYS = 10_000
-
-
-def hot_keys(rows: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> DataFrame:
-    """(*keys, groups) for the keys with more than ``group_rows`` rows, at most MAX_HOT_KEYS."""
-    return (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > group_rows)
-        .orderBy(F.desc("_rows"))
-        .limit(MAX_HOT_KEYS)
-        .selectExpr(*keys, f"cast(ceil(_rows / {group_rows}) AS bigint) AS _groups")
+
+def hot_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(*keys, groups) for keys that own more rows than an even share of the shuffle partitions.
+
+    There are fewer such keys than partitions, so the list needs no limit, has no ties to break and
+    may be broadcast. It is counted here and now, in one narrow job: give rows that are stored. How
+    a key's rows are cut follows from its share only, so every table size takes the same way.
+    """
+    spark = rows.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counted.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("_all"))
+    share = f"(SELECT _all FROM {{total}}) / {partitions}.0"
+    found = spark.sql(
+        f"SELECT {', '.join(keys)}, cast(ceil(_rows / ({share})) AS bigint) AS _groups"
+        f" FROM {{counted}} WHERE _rows > {share}",
+        counted=counted,
+        total=total,
     )
+    return spark.createDataFrame(found.collect(), found.schema)
 
 
 def lookup_join(
@@ -32,22 +35,19 @@ def lookup_join(
     keys: Sequence[str],
     spread_by: Sequence[str],
     how: str = "inner",
-    row_bound: int | None = None,
-    group_rows: int = GROUP_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """``rows`` joined with ``lookup`` on ``keys`` (inner or left), with hot keys cut into groups.
 
     A hot key's rows get a group number from ``spread_by`` (columns that tell them apart) and its
-    lookup row is repeated once per group, so the join key is (key, group) and no group is larger
-    than about ``group_rows``. Every row has one group, so the result is the plain join's. The
-    repeats add at most ``rows / group_rows`` lookup rows in all.
+    lookup row is repeated once per group, so the join key is (key, group) and no group is much
+    larger than an even share. Every row has one group, so the result is the plain join's. The
+    repeats add at most twice as many lookup rows as there are partitions.
 
-    ``row_bound`` is an upper bound on the number of rows, where one is known for free (a Parquet
-    row count): a table no larger than one group has no hot key and is joined plainly.
+    ``hot`` is ``hot_keys`` of these rows, or of a stored table they come from; which keys it names
+    changes how the join is spread, never what it returns.
     """
-    if row_bound is not None and row_bound <= group_rows:
-        return rows.join(lookup, list(keys), how)
-    hot = F.broadcast(hot_keys(rows, keys, group_rows))
+    hot = F.broadcast(hot_keys(rows, keys) if hot is None else hot)
     group = f"if(_groups IS NULL, 0L, pmod(xxhash64({', '.join(spread_by)}), _groups))"
     grouped = rows.join(hot, list(keys), "left").selectExpr(*rows.columns, f"{group} AS _group")
     groups = "explode(sequence(0L, coalesce(_groups, 1L) - 1))"

@@ -11,9 +11,21 @@ import re
 
 # --- raw entities ----------------------------------------------------------------------------
 
+def _odd_key(k: str, otherwise: str) -> str:
+    return f"""CASE {k} % 71 WHEN 1 THEN NULL WHEN 2 THEN '' WHEN 3 THEN ' ' WHEN 4 THEN 'x' || {k}
+               ELSE {otherwise} END"""
+
+
+def _odd_sum(k: str, otherwise: str) -> str:
+    return f"""CASE {k} % 53 WHEN 1 THEN '0.00004' WHEN 2 THEN '1.00005'
+               WHEN 3 THEN '123456789012345.5' WHEN 4 THEN '0.0000000000000000004'
+               ELSE {otherwise} END"""
+
+
 CTES: dict[str, str] = {
-    "raw_customers": """
-        SELECT CASE WHEN k % 97 = 0 THEN 'UNKNOWN' ELSE CAST(k AS VARCHAR) END AS customer_id,
+    "raw_customers": f"""
+        SELECT {_odd_key("k", "CASE WHEN k % 97 = 0 THEN 'UNKNOWN' ELSE CAST(k AS VARCHAR) END")}
+                   AS customer_id,
                CASE k % 5 WHEN 0 THEN '  ivan IVANOV ' WHEN 1 THEN 'mr. John Smith'
                           WHEN 2 THEN 'John  Smith' WHEN 3 THEN c_name
                           ELSE 'Anna Maria Lee' END AS full_name,
@@ -21,34 +33,36 @@ CTES: dict[str, str] = {
                           WHEN 2 THEN 'bad@' END AS email,
                CASE k % 4 WHEN 0 THEN '+7 (900) ' || lpad(CAST(k AS VARCHAR), 7, '0')
                           WHEN 1 THEN '123-45' WHEN 2 THEN 'x123' END AS phone,
-               CASE WHEN k % 11 = 0 THEN 'UNKNOWN' ELSE n_name END AS city,
+               CASE WHEN k % 11 = 0 THEN 'UNKNOWN' WHEN k % 61 = 5 THEN '' ELSE n_name END AS city,
                CASE k % 4 WHEN 0 THEN '2024-02-28' WHEN 1 THEN '28.02.2024'
                           WHEN 2 THEN '31.02.2024' ELSE 'UNKNOWN' END AS created_at
         FROM (SELECT c_custkey AS k, c_name, c_nationkey FROM customer
               UNION ALL
               SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_custkey % 50 = 0) c
         LEFT JOIN nation ON n_nationkey = c_nationkey""",
-    "raw_products": """
-        SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+    "raw_products": f"""
+        SELECT {_odd_key("p_partkey", "CAST(p_partkey AS VARCHAR)")} AS product_id,
                CASE WHEN p_partkey % 13 = 0 THEN '  ' || p_name || ' ' ELSE p_name END
                    AS product_name,
                CASE p_partkey % 6 WHEN 0 THEN 'Home' WHEN 1 THEN 'Books' WHEN 2 THEN 'Electronics'
-                   WHEN 3 THEN 'Clothing' WHEN 4 THEN 'Sports' ELSE 'Toys' END AS category,
-               CASE WHEN p_partkey % 31 = 0 THEN 'N/A'
-                   ELSE CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) END AS price,
+                   WHEN 3 THEN 'Clothing' WHEN 4 THEN 'Sports'
+                   ELSE CASE WHEN p_partkey % 12 = 5 THEN '' ELSE 'Toys' END END AS category,
+               {_odd_sum("p_partkey", """CASE WHEN p_partkey % 31 = 0 THEN 'N/A'
+                   ELSE CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) END""")} AS price,
                CASE p_partkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'RUB'
                    ELSE 'GBP' END AS currency,
                CASE p_partkey % 5 WHEN 0 THEN 'True' WHEN 1 THEN 'False' WHEN 2 THEN 'yes'
                    WHEN 3 THEN '0' ELSE 'maybe' END AS is_active
         FROM part""",
-    "raw_orders": """
-        SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
+    "raw_orders": f"""
+        SELECT {_odd_key("o_orderkey", "CAST(o_orderkey AS VARCHAR)")} AS order_id,
                CASE WHEN o_orderkey % 17 <> 0 AND o_custkey % 10 <> 3
                     THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
                CAST(part AS VARCHAR) AS product_id,
                CASE WHEN o_orderkey % 19 = 0 THEN '0'
                     ELSE CAST(CAST(qty AS INTEGER) AS VARCHAR) END AS quantity,
-               CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS unit_price,
+               {_odd_sum("o_orderkey", "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)")}
+                   AS unit_price,
                CASE o_orderkey % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'RUB' END AS currency,
                CASE WHEN o_orderkey % 23 = 0 THEN '2025-99-99'
                     ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS order_timestamp,
@@ -58,22 +72,22 @@ CTES: dict[str, str] = {
         FROM orders
         LEFT JOIN (SELECT l_orderkey, min(l_partkey) AS part, sum(l_quantity) AS qty
                    FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey""",
-    "raw_payments": """
-        SELECT CAST(o_orderkey + 1 AS VARCHAR) AS payment_id,
+    "raw_payments": f"""
+        SELECT {_odd_key("o_orderkey", "CAST(o_orderkey + 1 AS VARCHAR)")} AS payment_id,
                CASE WHEN o_orderkey % 13 = 0 THEN CAST(o_orderkey + 10000000 AS VARCHAR)
                     ELSE CAST(o_orderkey AS VARCHAR) END AS order_id,
                CASE left(o_orderpriority, 1) WHEN '1' THEN 'card' WHEN '2' THEN 'paypal'
                     WHEN '3' THEN 'bank_transfer' ELSE 'cash' END AS payment_method,
-               CASE WHEN o_orderkey % 37 = 0 THEN 'error_amount'
-                    ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS amount,
+               {_odd_sum("o_orderkey", """CASE WHEN o_orderkey % 37 = 0 THEN 'error_amount'
+                    ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END""")} AS amount,
                CASE o_orderkey % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'RUB' END AS currency,
                CASE WHEN o_orderkey % 41 = 0 THEN '13/45/2025'
                     WHEN o_orderkey % 5 = 0 THEN strftime(o_orderdate, '%d.%m.%Y')
                     ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS payment_timestamp
         FROM orders""",
-    "raw_events": """
-        SELECT CASE WHEN event_id % 101 = 0 THEN 'BAD_ID' ELSE CAST(event_id AS VARCHAR) END
-                   AS event_id,
+    "raw_events": f"""
+        SELECT {_odd_key("event_id", """CASE WHEN event_id % 101 = 0 THEN 'BAD_ID'
+                   ELSE CAST(event_id AS VARCHAR) END""")} AS event_id,
                CAST(user_id AS VARCHAR) AS customer_id,
                event_type,
                CASE WHEN event_id % 43 = 0 THEN 'broken-date'
@@ -126,7 +140,7 @@ for _name, _columns in COLUMNS.items():
     CTES[f"raw2_{_name}"] = f"""
         SELECT {_key}, {", ".join(_changed)} FROM raw_{_name}
         UNION ALL
-        SELECT CAST(CAST({_key} AS BIGINT) + 10000000 AS VARCHAR), {", ".join(_changed)}
+        SELECT CAST(TRY_CAST({_key} AS BIGINT) + 10000000 AS VARCHAR), {", ".join(_changed)}
         FROM raw_{_name} WHERE ({_int_key(_key)}) % 10 = 1"""
     CTES[f"rawboth_{_name}"] = f"""
         SELECT {", ".join(_columns)} FROM raw_{_name}
@@ -260,15 +274,25 @@ def _product_name(t: str) -> tuple[str, str]:
     return f"nullif({t}, '')", _case(*_missing(t), "ELSE 'valid'")
 
 
-def _price(t: str) -> tuple[str, str]:
-    value = f"TRY_CAST({t} AS DECIMAL(18,4))"
-    tag = _case(
-        *_missing(t),
-        f"WHEN {t} = 'N/A' THEN 'na'",
-        f"WHEN {value} IS NOT NULL THEN 'valid'",
-        "ELSE 'invalid'",
-    )
-    return value, tag
+def _money(token: str = "", token_tag: str = "", positive: bool = True):
+    """Exact or not at all: a number with more than 18 decimals, zeros at its end left out."""
+
+    def sql(t: str) -> tuple[str, str]:
+        decimals = rf"length(rtrim(regexp_extract({t}, '\.(\d*)$', 1), '0'))"
+        number = f"TRY_CAST({t} AS DECIMAL(38,18))"
+        wanted = f"TRY_CAST({t} AS DOUBLE) {'> 0' if positive else 'IS NOT NULL'}"
+        usable = f"{decimals} <= 18 AND {number} {'> 0' if positive else 'IS NOT NULL'}"
+        special = [f"WHEN {t} = '{token}' THEN '{token_tag}'"] if token else []
+        tag = _case(
+            *_missing(t),
+            *special,
+            f"WHEN {usable} THEN 'valid'",
+            f"WHEN {wanted} THEN 'out_of_range'",
+            "ELSE 'invalid'",
+        )
+        return _case(f"WHEN {usable} THEN {number}"), tag
+
+    return sql
 
 
 def _is_active(t: str) -> tuple[str, str]:
@@ -288,14 +312,14 @@ PARSERS = {
     "products": {
         "product_name": _product_name,
         "category": _words("'Home', 'Books', 'Electronics', 'Clothing', 'Sports'"),
-        "price": _price,
+        "price": _money("N/A", "na", positive=False),
         "currency": _currency,
         "is_active": _is_active,
     },
     "payments": {
         "order_id": _id,
         "payment_method": _words("'bank_transfer', 'card', 'paypal'"),
-        "amount": _positive("DECIMAL(18,4)", "TRUE", "error_amount", "error_amount"),
+        "amount": _money("error_amount", "error_amount"),
         "currency": _currency,
         "payment_timestamp": _dates([_TS, _DMY_TS], _missing("{t}")),
     },
@@ -304,7 +328,7 @@ PARSERS = {
         "customer_id": _id,
         "product_id": _id,
         "quantity": _positive("INTEGER", _whole),
-        "unit_price": _positive("DECIMAL(18,4)"),
+        "unit_price": _money(),
         "currency": _currency,
         "order_timestamp": _dates(
             [_TS, _YMD_TS], _missing("{t}"), "2025-99-99", "placeholder_date"
@@ -364,14 +388,19 @@ for _name, _columns in COLUMNS.items():
             _tags.append(f"{_tag} AS {_column}_format")
         if _key not in PARSERS[_name]:
             _values.append(f"{_int_key(f'trim(r.{_key})')} AS v_{_key}")
-        _unknown = f" OR r.{_key} = 'UNKNOWN'" if _name == "customers" else ""
+        _missing_key = f"r.{_key} IS NULL OR r.{_key} = ''" + (
+            f" OR r.{_key} = 'UNKNOWN'" if _name == "customers" else ""
+        )
+        _reasons = [f"WHEN {_missing_key} THEN 'missing_or_null_{_key}'"]
+        if _key not in PARSERS[_name]:
+            _reasons.append(f"WHEN ({_int_key(f'trim(r.{_key})')}) IS NULL THEN 'invalid_{_key}'")
         CTES[f"parsed{_batch}_{_name}"] = f"""
         SELECT r.*, {_hash([f"r.{c}" for c in _columns])} AS row_hash,
                {", ".join(_values)},
                {", ".join(_tags)},
                count(*) OVER (PARTITION BY {_hash([f"r.{c}" for c in _columns])})
                    AS duplicate_count,
-               (r.{_key} IS NULL OR r.{_key} = ''{_unknown}) AS is_fatal
+               {_case(*_reasons)} AS fatal_reason, fatal_reason IS NOT NULL AS is_fatal
         FROM raw{_batch}_{_name} r"""
         CTES[f"cleaned{_batch}_{_name}"] = f"""
         SELECT {", ".join(f"v_{c} AS {c}" for c in _columns)}, row_hash
@@ -507,6 +536,8 @@ def statements() -> dict[str, str]:
     for name, columns in COLUMNS.items():
         key, noun = columns[0], NOUNS[name]
         attributes, hk = columns[1:], f"{noun}_hk"
+        absent = "nullif({c}, '') AS {c}" if name in ("orders", "events") else "{c}"
+        found[f"read_{name}"] = f"SELECT {', '.join(absent.format(c=c) for c in columns)} FROM raw_{name}"
         found[f"row_hash_{name}"] = f"SELECT {key}, {_hash(columns)} AS row_hash FROM raw_{name}"
         for column in PARSERS[name]:
             code = f", {_phone_code('trim(phone)')} AS phone_code" if column == "phone" else ""
@@ -555,7 +586,7 @@ def statements() -> dict[str, str]:
             GROUP BY {key}, hash_diff"""
     found["rejects_fatal"] = " UNION ALL ".join(
         f"""SELECT '{name}' AS source_table, row_hash, 'fatal' AS level,
-                   'missing_or_null_{columns[0]}' AS reason FROM parsed_{name} WHERE is_fatal"""
+                   fatal_reason AS reason FROM parsed_{name} WHERE is_fatal"""
         for name, columns in COLUMNS.items()
     )
     for link, (name, nouns) in LINKS.items():
@@ -570,12 +601,18 @@ def statements() -> dict[str, str]:
                    {value} AS missing_value, 'cleaned.{name}' AS checked_table
             FROM checked_{link} WHERE {" OR ".join(f"{n}_hk IS NULL" for n in nouns)}"""
 
-    for suffix, rates in (("", {"RUB": 1, "USD": 75, "EUR": 85}), ("_no_rates", {"RUB": 1})):
+    for suffix, into, decimals, rates in (
+        ("", "rub", 6, {"RUB": "1", "USD": "75", "EUR": "85"}),
+        ("_no_rates", "rub", 6, {"RUB": "1"}),
+        ("_into_eur", "eur", 2, {"EUR": "1", "USD": "75 / 85", "RUB": "1 / 85"}),
+    ):
         amount = _case(*[f"WHEN currency = '{c}' THEN amount * {r}" for c, r in rates.items()])
         found[f"converted_payments{suffix}"] = f"""
-            SELECT payment_id, CAST(round({amount}, 2) AS DOUBLE) AS amount_rub
+            SELECT payment_id, CAST(CASE WHEN {amount} < 1000000000000 THEN round({amount}, {decimals})
+                   ELSE round({amount}, 0) END AS DOUBLE) AS amount_{into}
             FROM (SELECT v_payment_id AS payment_id, v_amount AS amount, v_currency AS currency
                   FROM parsed_payments WHERE NOT is_fatal)"""
+    for suffix in ("", "_no_rates"):
         found[f"top_customers_lucrative{suffix}"] = _lucrative(f"paid{suffix}")
         found[f"monthly_revenue{suffix}"] = _revenue(f"paid{suffix}")
     for by, event_type in (("views", "view"), ("clicks", "click"), ("purchases", "purchase")):
@@ -588,11 +625,23 @@ def statements() -> dict[str, str]:
         JOIN sat_customer s ON s.customer_hk = h.customer_hk
         WHERE h.customer_hk NOT IN (SELECT customer_hk FROM rows_link_order_customer_product)
         ORDER BY h.customer_id"""
-    stored = {f"hub_{n}": f"hub_{n}" for n in NOUNS.values()}
+    stored = {f"cleaned_{n}": f"cleaned_{n}" for n in COLUMNS}
+    stored |= {f"hub_{n}": f"hub_{n}" for n in NOUNS.values()}
     stored |= {f"sat_{n}": f"sat_{n}" for n in NOUNS.values()}
     stored |= {link: f"rows_{link}" for link in LINKS}
     found["structure_counts"] = " UNION ALL ".join(
         f"SELECT '{shown}' AS table_name, count(*) AS row_count FROM {cte}"
         for shown, cte in stored.items()
     )
+    logged = [f"SELECT 1 FROM ({found[f'rejects_warn_{name}']})" for name in COLUMNS]
+    logged += [f"SELECT 1 FROM ({found['rejects_fatal']})"]
+    logged += [f"SELECT 1 FROM ({found[f'missing_references_{name}']})" for name, _ in LINKS.values()]
+    logged += [
+        f"""SELECT DISTINCT 1 + 0 * length(v.{noun}_hk || v.hash_diff) FROM versions_{noun} v
+            WHERE NOT EXISTS (SELECT 1 FROM sat_{noun} s
+                              WHERE s.{noun}_hk = v.{noun}_hk AND s.hash_diff = v.hash_diff)"""
+        for noun in NOUNS.values()
+    ]
+    found["structure_counts"] += f""" UNION ALL
+        SELECT 'rejected_records', count(*) FROM ({" UNION ALL ".join(logged)})"""
     return {name: _with(query) for name, query in found.items()}

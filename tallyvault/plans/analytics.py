@@ -1,6 +1,7 @@
-"""Analytics over a vault. Every function returns a lazy DataFrame.
+"""Analytics over a vault. Every function returns a DataFrame.
 
-A vault is anything that maps a table name to a DataFrame. Ties in a top-N are broken by the
+A vault is anything that maps a table name to a DataFrame. While a plan is built, hot keys of the
+links are counted, and a top list of customers is found; all else is lazy. Ties in a top-N are broken by the
 smaller id, so results are repeatable.
 
 Facts are aggregated before they meet a table on a key that may be hot (an order with very many
@@ -26,9 +27,6 @@ EVENT_LINK = "link_event_customer_product"
 ORDER_LINK = "link_order_customer_product"
 PAYMENT_LINK = "link_payment_order"
 
-# A top list up to this long is small enough to broadcast.
-BROADCAST_TOP = 10_000
-
 
 def _latest(vault: Vault, entity: Entity, *columns: str) -> DataFrame:
     sat = vault[entity.sat].select(entity.hk, "load_datetime", *columns)
@@ -46,15 +44,7 @@ def _linked(
 ) -> DataFrame:
     """Rows of a link (``columns``) joined with one row per key of its own entity."""
     rows = vault[link].select("link_hk", entity.hk, *columns)
-    return _lookup(vault, link, entity, rows, lookup).drop("link_hk")
-
-
-def _lookup(
-    vault: Vault, link: str, entity: Entity, rows: DataFrame, lookup: DataFrame
-) -> DataFrame:
-    row_count = getattr(vault, "row_count", None)
-    bound = row_count(link) if row_count else None
-    return lookup_join(rows, lookup, [entity.hk], ["link_hk"], row_bound=bound)
+    return lookup_join(rows, lookup, [entity.hk], ["link_hk"]).drop("link_hk")
 
 
 def _completed_orders(vault: Vault) -> DataFrame:
@@ -68,7 +58,7 @@ def _events_of_type(vault: Vault, event_type: str) -> DataFrame:
 
 def _positive(n: int) -> int:
     if n < 1:
-        raise ValueError("n must be >= 1")
+        raise ValueError(f"a top list needs one place or more, got {n}")
     return n
 
 
@@ -176,9 +166,9 @@ def _most_active(vault: Vault, facts: DataFrame, count_name: str, n: int) -> Dat
     """
     counts = facts.groupBy("customer_hk").agg(F.count(F.lit(1)).alias(count_name))
     hub = vault[CUSTOMERS.hub].select("customer_hk", "customer_id")
-    top = counts.join(hub, "customer_hk").orderBy(F.desc(count_name), "customer_id").limit(n)
-    if n <= BROADCAST_TOP:
-        top = F.broadcast(top)
+    ranked = counts.join(hub, "customer_hk").orderBy(F.desc(count_name), "customer_id").limit(n)
+    # the n rows of the list itself; a local table, as three lookups read it
+    top = ranked.sparkSession.createDataFrame(ranked.collect(), ranked.schema)
     names = latest_version(
         vault[CUSTOMERS.sat]
         .select("customer_hk", "load_datetime", "full_name")
@@ -190,8 +180,11 @@ def _most_active(vault: Vault, facts: DataFrame, count_name: str, n: int) -> Dat
         .select("link_hk", "event_hk", "customer_hk")
         .join(top.select("customer_hk"), "customer_hk", "left_semi")
     )
+    # only their events' versions reach the window that finds the latest one
+    versions = vault[EVENTS.sat].select("event_hk", "load_datetime", "event_timestamp")
+    of_theirs = versions.join(their_events.select("event_hk").distinct(), "event_hk", "left_semi")
     last_action = (
-        _lookup(vault, EVENT_LINK, EVENTS, their_events, _latest(vault, EVENTS, "event_timestamp"))
+        lookup_join(their_events, latest_version(of_theirs, "event_hk"), ["event_hk"], ["link_hk"])
         .groupBy("customer_hk")
         .agg(F.to_date(F.max("event_timestamp")).alias("last_action_date"))
     )
@@ -242,7 +235,7 @@ TOP_CUSTOMERS: dict[str, Callable[[Vault, int], DataFrame]] = {
 
 def _choose(table: Mapping[str, Callable[[Vault, int], DataFrame]], by: str):
     if by not in table:
-        raise ValueError(f"by must be one of {list(table)}")
+        raise ValueError(f"no metric {by!r}, choose from {list(table)}")
     return table[by]
 
 

@@ -12,19 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyvault.model import ENTITIES, LINKS, Entity, Link
 from tallyvault.operators.cleaning import cleaned_rows, collapse_copies, parse, with_row_hash
 from tallyvault.operators.hubs import new_hub_rows
-from tallyvault.operators.links import checked_ids, missing_references, new_link_rows
-from tallyvault.operators.rejects import fatal_rejects, warn_rejects
-from tallyvault.operators.satellites import (
-    conflicting_versions,
-    has_conflicting_versions,
-    new_sat_rows,
-)
+from tallyvault.operators.links import checked_ids, linked_ids, missing_references, new_link_rows
+from tallyvault.operators.rejects import clean_rejects
+from tallyvault.operators.satellites import conflicting_versions, new_sat_rows
 from tallyvault.plans.staging import Staging, run_together
 from tallyvault.plans.vault import StoredVault, other_hubs
 
 
 def load_id_of(load_time: datetime) -> str:
-    return load_time.strftime("%Y%m%dT%H%M%S")
+    """Load ids sort in load order; two loads of one microsecond would be one."""
+    return load_time.strftime("%Y%m%dT%H%M%S%f")
 
 
 @dataclass
@@ -42,17 +39,21 @@ class Load:
     load_time: datetime
     staging: Staging
     load_id: str = ""
+    again: bool = False  # load an id once more that is complete already
 
     def __post_init__(self) -> None:
         self.load_id = self.load_id or load_id_of(self.load_time)
         self.parsed: dict[str, DataFrame] = {}
 
     def run(self, raw: Mapping[str, DataFrame]) -> None:
+        if self.vault.is_complete(self.load_id) and not self.again:
+            raise ValueError(f"load {self.load_id} is in the vault already")
         self.stage(raw)
         self.log_rejects()
         self.load_hubs()
         self.load_satellites()
         self.load_links()
+        self.vault.set_complete(self.load_id)
 
     def cleaned(self, entity: Entity) -> DataFrame:
         return cleaned_rows(self.parsed[entity.name], entity)
@@ -67,10 +68,8 @@ class Load:
 
     def log_rejects(self) -> None:
         def write(entity: Entity) -> None:
-            rows = self.parsed[entity.name]
-            fatal = fatal_rejects(rows, entity, self.load_time)
-            warned = warn_rejects(rows, entity, self.load_time)
-            self.vault.log(fatal.unionByName(warned), self.load_id, f"clean_{entity.name}")
+            records = clean_rejects(self.parsed[entity.name], entity, self.load_time)
+            self.vault.log(records, self.load_id, f"clean_{entity.name}")
 
         run_together(partial(write, e) for e in ENTITIES.values())
 
@@ -89,25 +88,23 @@ class Load:
             self.vault.append(entity.sat, rows, self.load_id)
 
         def log_conflicts(entity: Entity) -> None:
-            rows = self.cleaned(entity)
-            if has_conflicting_versions(rows, entity):
-                conflicts = conflicting_versions(rows, entity, self.load_time)
-                self.vault.log(conflicts, self.load_id, f"versions_{entity.name}")
+            conflicts = conflicting_versions(self.cleaned(entity), entity, self.load_time)
+            self.vault.log(conflicts, self.load_id, f"versions_{entity.name}")
 
         run_together(partial(job, e) for e in ENTITIES.values() for job in (write, log_conflicts))
 
     def load_links(self) -> None:
         def write(link: Link) -> None:
             rows = self.cleaned(link.entity)
-            row_bound = self.parsed[link.entity.name].count()  # from the Parquet footers
-            checked = checked_ids(rows, link, other_hubs(link, self.vault), row_bound)
-            # both the link and the log are written from the checked ids
+            # the id tuples, and the checked ones, are written once and read by every later job
+            ids = self.staging.put(f"ids_{link.name}", linked_ids(rows, link))
+            checked = checked_ids(ids, link, other_hubs(link, self.vault))
             checked = self.staging.put(f"checked_{link.name}", checked)
             known = self.vault.before(link.name, self.load_id)
             self.vault.append(
                 link.name, new_link_rows(checked, link, self.load_time, known), self.load_id
             )
-            missing = missing_references(rows, checked, link, self.load_time, row_bound)
+            missing = missing_references(rows, checked, link, self.load_time)
             self.vault.log(missing, self.load_id, f"references_{link.entity.name}")
 
         run_together(partial(write, link) for link in LINKS.values())

@@ -11,14 +11,13 @@ import uuid
 from collections.abc import Iterator, Mapping
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyvault.model import BY_NOUN, ENTITIES, LINKS, REJECT_SCHEMA, REJECTS, VAULT_SCHEMAS, Link
 from tallyvault.operators.hubs import new_hub_rows
-from tallyvault.operators.links import checked_ids, new_link_rows
+from tallyvault.operators.links import checked_ids, linked_ids, new_link_rows
 from tallyvault.operators.satellites import new_sat_rows
 
 
@@ -29,7 +28,6 @@ BUCKET_COLUMNS = (
     | {e.sat: e.hk for e in ENTITIES.values()}
     | {link.name: "link_hk" for link in LINKS.values()}
 )
-_SAT_NAMES = {e.sat for e in ENTITIES.values()}
 
 
 def other_hubs(link: Link, hubs: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -42,7 +40,8 @@ def planned_vault(rows: Mapping[str, DataFrame], load_time: datetime) -> dict[st
     tables = {e.hub: new_hub_rows(rows[e.name], e, load_time) for e in ENTITIES.values()}
     tables |= {e.sat: new_sat_rows(rows[e.name], e, load_time) for e in ENTITIES.values()}
     for link in LINKS.values():
-        checked = checked_ids(rows[link.entity.name], link, other_hubs(link, tables))
+        ids = linked_ids(rows[link.entity.name], link)
+        checked = checked_ids(ids, link, other_hubs(link, tables))
         tables[link.name] = new_link_rows(checked, link, load_time)
     return tables
 
@@ -53,7 +52,7 @@ class StoredVault(Mapping[str, DataFrame]):
     Every load writes ``<root>/<table>/load_id=<id>``, replacing only what an earlier attempt of
     the same load left there, so a load that failed half-way is simply run again. A load compares
     with earlier loads only (``before``), never with its own partition. Load ids sort in load
-    order, e.g. ``20260131T235959``.
+    order, e.g. ``20260131T235959000000``.
 
     With ``buckets`` the tables are written in that many buckets: hubs by business key,
     satellites by hash key, links by link key. Finding latest versions, new keys, new versions and
@@ -65,12 +64,19 @@ class StoredVault(Mapping[str, DataFrame]):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = self._agreed_buckets(buckets)
-        self._row_counts: dict[str, int] = {}
         if self.buckets is not None:
             digest = hashlib.md5(self.root.encode()).hexdigest()[:12]
             self._database = f"tallyvault_{digest}"
             self._create_tables()
 
+    @staticmethod
+    def default_buckets(spark: SparkSession, root: str) -> int | None:
+        """The shuffle partition count for a new vault, and what a stored one was written with."""
+        stored = StoredVault(spark, root)
+        if stored.buckets or any(stored._exists(stored._path(table)) for table in VAULT_SCHEMAS):
+            return stored.buckets
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
     def __getitem__(self, table: str) -> DataFrame:
         return self._read(table).drop("load_id")
 
@@ -80,11 +86,13 @@ class StoredVault(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(VAULT_SCHEMAS)
 
-    def row_count(self, table: str) -> int:
-        """Rows of a table, from the Parquet footers; kept until this vault writes to it."""
-        if table not in self._row_counts:
-            self._row_counts[table] = self[table].count()
-        return self._row_counts[table]
+    def is_complete(self, load_id: str) -> bool:
+        """Whether a load with this id has reached its end."""
+        return self._exists(f"{self.root}/loads/{load_id}")
+
+    def set_complete(self, load_id: str) -> None:
+        path = f"{self.root}/loads/{load_id}"
+        self.spark.createDataFrame([(load_id,)], "load_id string").coalesce(1).write.mode("overwrite").json(path)
 
     def before(self, table: str, load_id: str) -> DataFrame | None:
         """Rows of earlier loads, None before the first one."""
@@ -97,16 +105,13 @@ class StoredVault(Mapping[str, DataFrame]):
         return self._read_files(REJECTS, REJECT_SCHEMA, ("load_id", "stage"))
 
     def append(self, table: str, rows: DataFrame, load_id: str) -> None:
-        self._row_counts.pop(table, None)
         rows = rows.select(*VAULT_SCHEMAS[table].names)
         path = f"{self._path(table)}/load_id={load_id}"
         if self.buckets is None:
             rows.write.mode("overwrite").parquet(path)
             return
         column = BUCKET_COLUMNS[table]
-        if table not in _SAT_NAMES:
-            # a satellite's new rows come out of a window on the bucket column already
-            rows = rows.repartition(self.buckets, column)
+        rows = rows.repartition(self.buckets, column)  # one file per bucket
         # a bucketed write needs a table; this one exists while the partition is written
         loading = self._name(f"loading_{uuid.uuid4().hex}")
         writer = rows.write.mode("overwrite").option("path", path)
@@ -125,7 +130,6 @@ class StoredVault(Mapping[str, DataFrame]):
 
     def clear(self) -> None:
         """Empty the known tables, by overwriting them; nothing else below the root is touched."""
-        self._row_counts.clear()
         for table, schema in {**VAULT_SCHEMAS, REJECTS: REJECT_SCHEMA}.items():
             if self._exists(self._path(table)):
                 empty = self.spark.createDataFrame([], schema)
@@ -158,13 +162,10 @@ class StoredVault(Mapping[str, DataFrame]):
         return self.spark.read.schema(typed).parquet(self._path(table))
 
     def _exists(self, path: str) -> bool:
-        try:
-            self.spark.read.schema("x int").parquet(path)
-            return True
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return False
-            raise
+        """One question to the file system; no file below the path is listed."""
+        context = self.spark.sparkContext
+        where = context._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(context._jsc.hadoopConfiguration()).exists(where)
 
     def _agreed_buckets(self, wanted: int | None) -> int | None:
         """The bucket count the vault was first opened with; files only fit that count, so it is

@@ -18,12 +18,11 @@ from tallyvault.functions.currency import converted_amount
 from tallyvault.functions.parsers import phone_code
 from tallyvault.model import (
     BY_NOUN,
-    CUSTOMERS,
     ENTITIES,
+    EVENTS,
     LINKS,
     ORDERS,
     PAYMENTS,
-    PRODUCTS,
     Entity,
     Link,
 )
@@ -35,14 +34,15 @@ from tallyvault.operators.cleaning import (
     with_row_hash,
 )
 from tallyvault.operators.hubs import new_hub_rows
-from tallyvault.operators.links import checked_ids, missing_references, new_link_rows
-from tallyvault.operators.rejects import fatal_rejects, warn_rejects
+from tallyvault.operators.links import checked_ids, linked_ids, missing_references, new_link_rows
+from tallyvault.operators.rejects import clean_rejects, fatal_rejects, warn_rejects
 from tallyvault.operators.satellites import conflicting_versions, latest_version, new_sat_rows
 from tallyvault.plans import analytics
 from tallyvault.plans.report import structure_counts
 from tallyvault.plans.staging import Staging, run_together
 from tallyvault.plans.vault import other_hubs, planned_vault
-from tallyvault.sources.bindings import next_batch, raw_entity, source_rows
+from tallyvault.sources.bindings import next_batch, raw_entity
+from tallyvault.sources.readers import READERS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,6 +92,25 @@ def _parsed(raw: DataFrame, entity: Entity) -> DataFrame:
     return parse(collapse_copies(with_row_hash(raw, entity), entity), entity)
 
 
+# --- sources ---------------------------------------------------------------------------------
+
+
+def read_back(spark: SparkSession, sf_dir: str, entity: Entity) -> DataFrame:
+    """An entity's raw rows written as a source file of its format, and read by its reader."""
+    path = f"{Staging(spark).root}/{entity.name}"
+    raw = _raw(spark, sf_dir, entity)
+    if entity is ORDERS:
+        raw.write.json(path)
+    elif entity is EVENTS:
+        raw.write.format("xml").option("rootTag", "events").option("rowTag", "event").save(path)
+    else:
+        writer = raw.write.option("header", True).option("escape", '"').option("emptyValue", '""')
+        writer.option("sep", "^" if entity is PAYMENTS else ",").option("nullValue", "").option(
+            "ignoreLeadingWhiteSpace", False
+        ).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return READERS[entity.name](spark, path)
+
+
 # --- cleaning --------------------------------------------------------------------------------
 
 
@@ -217,8 +236,8 @@ def _other_hubs(spark: SparkSession, sf_dir: str, link: Link) -> dict[str, DataF
 
 def link(spark: SparkSession, sf_dir: str, link: Link) -> DataFrame:
     rows = _accepted(_raw(spark, sf_dir, link.entity), link.entity)
-    bound = source_rows(spark, sf_dir, link.entity.name)
-    checked = checked_ids(rows, link, _other_hubs(spark, sf_dir, link), bound)
+    ids = Staging(spark).put("ids", linked_ids(rows, link))
+    checked = checked_ids(ids, link, _other_hubs(spark, sf_dir, link))
     return new_link_rows(checked, link, FIRST_LOAD).drop("load_datetime")
 
 
@@ -226,21 +245,23 @@ def link_incremental(spark: SparkSession, sf_dir: str, link: Link) -> DataFrame:
     """Link rows the second load adds, checked against the first load's hubs, own hub included."""
     hubs = _other_hubs(spark, sf_dir, link)
     first = _accepted(_raw(spark, sf_dir, link.entity), link.entity)
-    bound = source_rows(spark, sf_dir, link.entity.name)
-    known = new_link_rows(checked_ids(first, link, hubs, bound), link, FIRST_LOAD)
+    staging = Staging(spark)
+    first_ids = staging.put("first", linked_ids(first, link))
+    known = new_link_rows(checked_ids(first_ids, link, hubs), link, FIRST_LOAD)
     rows = _accepted(_second_raw(spark, sf_dir, link.entity), link.entity)
     second_hub = new_hub_rows(rows, link.entity, SECOND_LOAD)
-    # the second load repeats some rows under a new key, at most once each
-    checked = checked_ids(rows, link, hubs | {link.nouns[0]: second_hub}, 2 * bound)
+    ids = staging.put("second", linked_ids(rows, link))
+    checked = checked_ids(ids, link, hubs | {link.nouns[0]: second_hub})
     return new_link_rows(checked, link, SECOND_LOAD, known).drop("load_datetime")
 
 
 def missing(spark: SparkSession, sf_dir: str, link: Link) -> DataFrame:
     entity = link.entity
-    rows = cleaned_rows(_parsed(_raw(spark, sf_dir, entity), entity), entity)
-    bound = source_rows(spark, sf_dir, entity.name)
-    checked = checked_ids(rows, link, _other_hubs(spark, sf_dir, link), bound)
-    return missing_references(rows, checked, link, FIRST_LOAD, bound).selectExpr(
+    staging = Staging(spark)
+    rows = staging.put("rows", cleaned_rows(_parsed(_raw(spark, sf_dir, entity), entity), entity))
+    ids = staging.put("ids", linked_ids(rows, link))
+    checked = checked_ids(ids, link, _other_hubs(spark, sf_dir, link))
+    return missing_references(rows, checked, link, FIRST_LOAD).selectExpr(
         "source_table",
         _json("raw_payload", "row_hash"),
         *[_json("error_details", c) for c in ("level", "reason")],
@@ -252,17 +273,10 @@ def missing(spark: SparkSession, sf_dir: str, link: Link) -> DataFrame:
 
 # --- analytics -------------------------------------------------------------------------------
 
-class StagedVault(dict[str, DataFrame]):
-    """Vault tables by name, all of them Parquet, so that counting their rows is cheap."""
-
-    def row_count(self, table: str) -> int:
-        return self[table].count()
+_vaults: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
-_vaults: dict[tuple[str, str], StagedVault] = {}
-
-
-def stored_vault(spark: SparkSession, sf_dir: str) -> StagedVault:
+def stored_vault(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The vault of the benchmark tables, loaded into the shared folder once per session.
 
     Analytics read a loaded vault; they do not load one per question.
@@ -285,11 +299,12 @@ def stored_vault(spark: SparkSession, sf_dir: str) -> StagedVault:
 
         def put_link(link: Link) -> DataFrame:
             source = dict(zip(ENTITIES, rows))[link.entity.name]
-            checked = checked_ids(source, link, other_hubs(link, stored), source.count())
+            ids = staging.put(f"ids_{link.name}", linked_ids(source, link))
+            checked = checked_ids(ids, link, other_hubs(link, stored))
             return staging.put(link.name, new_link_rows(checked, link, FIRST_LOAD))
 
         links = run_together(partial(put_link, link) for link in LINKS.values())
-        _vaults[key] = StagedVault(stored | dict(zip(LINKS, links)))
+        _vaults[key] = stored | dict(zip(LINKS, links))
     return _vaults[key]
 
 
@@ -302,15 +317,32 @@ def _money(name: str, query: Query) -> Query:
     return lambda spark, sf_dir: query(spark, sf_dir).withColumn(name, F.round(name, 2))
 
 
-def converted_payments(spark: SparkSession, sf_dir: str, rates: dict | None) -> DataFrame:
-    """Every accepted payment in RUB."""
+def converted_payments(
+    spark: SparkSession, sf_dir: str, rates: dict | None, into: str = "RUB", decimals: int = 6
+) -> DataFrame:
+    """Every accepted payment in one currency; what a double holds no decimals of is rounded to units."""
     rows = _accepted(_raw(spark, sf_dir, PAYMENTS), PAYMENTS)
-    amount = converted_amount(F.col("amount"), F.col("currency"), "RUB", rates)
-    return rows.select("payment_id", F.round(amount, 2).cast("double").alias("amount_rub"))
+    amount = converted_amount(F.col("amount"), F.col("currency"), into, rates)
+    rounded = F.when(amount < 10**12, F.round(amount, decimals)).otherwise(F.round(amount, 0)).cast("double")
+    return rows.select("payment_id", rounded.alias(f"amount_{into.lower()}"))
 
 
 def structure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return structure_counts(stored_vault(spark, sf_dir))
+    """Row counts of the cleaned tables, the reject log and the vault after a first load."""
+    vault, staging = stored_vault(spark, sf_dir), Staging(spark)
+    parsed = {
+        e.name: staging.put(f"parsed_{e.name}", _parsed(_raw(spark, sf_dir, e), e)) for e in ENTITIES.values()
+    }
+    cleaned = {e.name: cleaned_rows(parsed[e.name], e) for e in ENTITIES.values()}
+    log = [clean_rejects(parsed[e.name], e, FIRST_LOAD) for e in ENTITIES.values()]
+    log += [conflicting_versions(cleaned[e.name], e, FIRST_LOAD) for e in ENTITIES.values()]
+    for each in LINKS.values():
+        rows = cleaned[each.entity.name]
+        ids = staging.put(f"ids_{each.name}", linked_ids(rows, each))
+        checked = staging.put(f"checked_{each.name}", checked_ids(ids, each, other_hubs(each, vault)))
+        log.append(missing_references(rows, checked, each, FIRST_LOAD))
+    tables = {f"cleaned_{name}": rows for name, rows in cleaned.items()}
+    return structure_counts(tables | {"rejected_records": reduce(DataFrame.unionAll, log)} | vault)
 
 
 # --- registry --------------------------------------------------------------------------------
@@ -323,6 +355,7 @@ def registry() -> dict[str, Query]:
         for entity in entities:
             found[f"{prefix}_{getattr(entity, by)}"] = partial(query, entity=entity)
 
+    per_entity("read", read_back)
     per_entity("row_hash", row_hash)
     for entity in ENTITIES.values():
         for column in entity.parsers:
@@ -338,9 +371,9 @@ def registry() -> dict[str, Query]:
     per_entity("hub_incremental", hub_incremental, by="noun")
     per_entity("sat", sat, by="noun")
     per_entity("sat_incremental", sat_incremental, by="noun")
-    per_entity("sat_latest", sat_latest, (CUSTOMERS, ORDERS), by="noun")
-    per_entity("sat_of_known_keys", sat_of_known_keys, (PRODUCTS,), by="noun")
-    per_entity("conflicting_versions", conflicts, (CUSTOMERS, ORDERS))
+    per_entity("sat_latest", sat_latest, by="noun")
+    per_entity("sat_of_known_keys", sat_of_known_keys, by="noun")
+    per_entity("conflicting_versions", conflicts)
     for each in LINKS.values():
         found[each.name] = partial(link, link=each)
         found[f"{each.name}_incremental"] = partial(link_incremental, link=each)
@@ -348,6 +381,7 @@ def registry() -> dict[str, Query]:
 
     found["converted_payments"] = partial(converted_payments, rates=RATES)
     found["converted_payments_no_rates"] = partial(converted_payments, rates=None)
+    found["converted_payments_into_eur"] = partial(converted_payments, rates=RATES, into="EUR", decimals=2)
     found["top_customers_lucrative"] = _money(
         "total_spent", _analytics(analytics.get_top_customers, "RUB", RATES, 10)
     )

@@ -25,6 +25,21 @@ SCHEMAS = {
 }
 
 
+# Keys that no row should have, by the key's remainder: missing, empty, blank and not a number.
+_ODD_KEY = "CASE k % 71 WHEN 1 THEN NULL WHEN 2 THEN '' WHEN 3 THEN ' ' WHEN 4 THEN concat('x', k) ELSE {key} END"
+# Sums that need many digits; the last one needs more than money has.
+_ODD_SUM = """CASE k % 53 WHEN 1 THEN '0.00004' WHEN 2 THEN '1.00005' WHEN 3 THEN '123456789012345.5'
+    WHEN 4 THEN '0.0000000000000000004' ELSE {sum} END"""
+
+
+def _key(text: str = "cast(k as string)") -> str:
+    return _ODD_KEY.format(key=text)
+
+
+def _sum(text: str) -> str:
+    return _ODD_SUM.format(sum=text)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
@@ -41,7 +56,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         customer.join(nation, "n_nationkey", "left")
         .selectExpr(
-            "if(k % 97 = 0, 'UNKNOWN', cast(k as string)) AS customer_id",
+            f"{_key("if(k % 97 = 0, 'UNKNOWN', cast(k as string))")} AS customer_id",
             """CASE k % 5 WHEN 0 THEN '  ivan IVANOV ' WHEN 1 THEN 'mr. John Smith'
                WHEN 2 THEN 'John  Smith' WHEN 3 THEN c_name ELSE 'Anna Maria Lee' END
                AS full_name""",
@@ -49,7 +64,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
                WHEN 1 THEN 'UNKNOWN' WHEN 2 THEN 'bad@' END AS email""",
             """CASE k % 4 WHEN 0 THEN concat('+7 (900) ', lpad(cast(k as string), 7, '0'))
                WHEN 1 THEN '123-45' WHEN 2 THEN 'x123' END AS phone""",
-            "if(k % 11 = 0, 'UNKNOWN', n_name) AS city",
+            "CASE WHEN k % 11 = 0 THEN 'UNKNOWN' WHEN k % 61 = 5 THEN '' ELSE n_name END AS city",
             """CASE k % 4 WHEN 0 THEN '2024-02-28' WHEN 1 THEN '28.02.2024'
                WHEN 2 THEN '31.02.2024' ELSE 'UNKNOWN' END AS created_at""",
         )
@@ -59,11 +74,12 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "k")
     return part.selectExpr(
-        "cast(k as string) AS product_id",
+        f"{_key()} AS product_id",
         "if(k % 13 = 0, concat('  ', p_name, ' '), p_name) AS product_name",
         """CASE k % 6 WHEN 0 THEN 'Home' WHEN 1 THEN 'Books' WHEN 2 THEN 'Electronics'
-           WHEN 3 THEN 'Clothing' WHEN 4 THEN 'Sports' ELSE 'Toys' END AS category""",
-        "if(k % 31 = 0, 'N/A', cast(cast(p_retailprice as decimal(18,2)) as string)) AS price",
+           WHEN 3 THEN 'Clothing' WHEN 4 THEN 'Sports' ELSE if(k % 12 = 5, '', 'Toys') END
+           AS category""",
+        f"{_sum("if(k % 31 = 0, 'N/A', cast(cast(p_retailprice as decimal(18,2)) as string))")} AS price",
         "CASE k % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'RUB' ELSE 'GBP' END AS currency",
         """CASE k % 5 WHEN 0 THEN 'True' WHEN 1 THEN 'False' WHEN 2 THEN 'yes' WHEN 3 THEN '0'
            ELSE 'maybe' END AS is_active""",
@@ -79,11 +95,11 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     order = _table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "k")
     return order.join(items, "k", "left").selectExpr(
-        "cast(k as string) AS order_id",
+        f"{_key()} AS order_id",
         "if(k % 17 = 0 OR o_custkey % 10 = 3, NULL, cast(o_custkey as string)) AS customer_id",
         "cast(part as string) AS product_id",
         "if(k % 19 = 0, '0', cast(cast(quantity as int) as string)) AS quantity",
-        "cast(cast(o_totalprice as decimal(18,2)) as string) AS unit_price",
+        f"{_sum('cast(cast(o_totalprice as decimal(18,2)) as string)')} AS unit_price",
         "CASE k % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'RUB' END AS currency",
         """if(k % 23 = 0, '2025-99-99', substr(cast(o_orderdate as string), 1, 19))
            AS order_timestamp""",
@@ -101,12 +117,11 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("day", F.expr("cast(o_orderdate as string)"))
     )
     return order.selectExpr(
-        "cast(k + 1 as string) AS payment_id",
+        f"{_key('cast(k + 1 as string)')} AS payment_id",
         "cast(if(k % 13 = 0, k + 10000000, k) as string) AS order_id",
         """CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'card' WHEN '2' THEN 'paypal'
            WHEN '3' THEN 'bank_transfer' ELSE 'cash' END AS payment_method""",
-        """if(k % 37 = 0, 'error_amount', cast(cast(o_totalprice as decimal(18,2)) as string))
-           AS amount""",
+        f"{_sum("if(k % 37 = 0, 'error_amount', cast(cast(o_totalprice as decimal(18,2)) as string))")} AS amount",
         "CASE k % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'RUB' END AS currency",
         """CASE WHEN k % 41 = 0 THEN '13/45/2025'
            WHEN k % 5 = 0 THEN concat(substr(day, 9, 2), '.', substr(day, 6, 2), '.', substr(day, 1, 4))
@@ -115,11 +130,11 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "events").selectExpr(
-        "if(event_id % 101 = 0, 'BAD_ID', cast(event_id as string)) AS event_id",
+    return _table(spark, sf_dir, "events").withColumnRenamed("event_id", "k").selectExpr(
+        f"{_key("if(k % 101 = 0, 'BAD_ID', cast(k as string))")} AS event_id",
         "cast(user_id as string) AS customer_id",
         "event_type",
-        "if(event_id % 43 = 0, 'broken-date', substr(cast(ts as string), 1, 19)) AS event_timestamp",
+        "if(k % 43 = 0, 'broken-date', substr(cast(ts as string), 1, 19)) AS event_timestamp",
         "get_json_object(props, '$.k') AS product_id",
     )
 
@@ -133,15 +148,6 @@ BINDINGS = {
 }
 
 
-# The table whose rows an entity's rows come from, one to one.
-_MAIN_TABLE = {"payments": "orders", "orders": "orders", "events": "events", "products": "part"}
-
-
-def source_rows(spark: SparkSession, sf_dir: str, name: str) -> int:
-    """How many rows an entity has, from the Parquet footers."""
-    return _table(spark, sf_dir, _MAIN_TABLE[name]).count()
-
-
 def raw_entity(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return BINDINGS[name](spark, sf_dir)
 

@@ -55,22 +55,24 @@ def _absent_if_empty(raw: DataFrame, entity: Entity) -> DataFrame:
 
 
 def read_orders(
-    spark: SparkSession, path: str, layout: str = "array", json_null_token: str | None = None
+    spark: SparkSession, path: str, layout: str = "split", json_null_token: str | None = None
 ) -> DataFrame:
     """Orders as JSON objects; fields keep the text they have in the file (109.90 stays 109.90).
 
     ``layout`` tells how the objects lie in the files:
 
-    - ``array``: a JSON array per file, parsed by one task per file;
+    - ``split``: flat objects, in an array or one after another, cut at each ``}`` and read by any
+      number of tasks. A ``}`` inside a text makes the load fail, naming the layout to use instead;
     - ``lines``: one object per line, read by any number of tasks;
-    - ``split``: a JSON array of flat objects, cut at each ``}`` and read by any number of tasks.
-      A ``}`` inside a text makes the load fail instead of giving wrong rows.
+    - ``array``: a JSON array per file, parsed by one task per file.
 
     ``json_null_token`` is the text an explicit JSON null becomes; by default it is NULL like a
-    missing field. It needs flat objects; an array is then read as ``split``.
+    missing field. It needs flat objects that any task can read: ``split`` or ``lines``.
     """
     if layout not in ("array", "lines", "split"):
         raise ValueError(f"unknown layout of orders: {layout}")
+    if layout == "array" and json_null_token is not None:
+        raise ValueError("a text for JSON null needs the orders layout split or lines")
     if layout == "split" or json_null_token is not None:
         raw = _flat_json(spark, path, layout == "lines", json_null_token)
     else:
@@ -87,11 +89,11 @@ def _flat_json(
     spark: SparkSession, path: str, lines: bool, json_null_token: str | None
 ) -> DataFrame:
     """Order columns of flat JSON objects, one per line or cut at each closing brace."""
+    advice = "write one object per line" if lines else "use the orders layout lines or array"
     if lines:
         objects = spark.read.text(path).filter("trim(value) <> ''").selectExpr("value AS json")
     else:
-        # Each piece must be a whole object once its brace is put back. If one is not, because a
-        # brace stood inside a text or an object was nested, parsing it fails.
+        # Each piece must be a whole object once its brace is put back.
         pieces = spark.read.text(path, lineSep="}").selectExpr(
             r"regexp_replace(value, r'^[\s,\[]+', '') AS piece"
         )
@@ -100,7 +102,9 @@ def _flat_json(
         )
     # a map tells a null from a missing field
     parsed = objects.selectExpr(
-        "json", "from_json(json, 'map<string,string>', map('mode', 'FAILFAST')) AS fields"
+        "json",
+        f"coalesce(from_json(json, 'map<string,string>', map('mode', 'PERMISSIVE')),"
+        f" raise_error('not a flat JSON object, perhaps a brace inside a text: {advice}')) AS fields",
     )
     nested = "exists(map_values(fields), v -> v LIKE '{%' OR v LIKE '[%')"
     flat = parsed.selectExpr(
@@ -120,12 +124,12 @@ def _field_text(column: str, json_null_token: str | None) -> str:
     return f"if(map_contains_key(fields, '{column}'), coalesce({text}, '{token}'), NULL)"
 
 
-def read_events(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:
+def read_events(spark: SparkSession, path: str, layout: str = "split") -> DataFrame:
     """Events: every ``<event>`` element at any depth, its five child elements as text.
 
-    ``layout`` ``document`` streams each file through one task. ``split`` cuts the files at each
-    ``</event>`` and reads them with any number of tasks; anything that would make the cut
-    unreliable (comments, CDATA, nested or empty event elements) makes the load fail.
+    ``layout`` ``split`` cuts the files at each ``</event>`` and reads them with any number of tasks;
+    anything that would make the cut unreliable (comments, CDATA, nested or empty event elements)
+    makes the load fail, naming the other layout. ``document`` streams each file through one task.
     """
     if layout not in ("document", "split"):
         raise ValueError(f"unknown layout of events: {layout}")

@@ -8,7 +8,7 @@ from tallyvault.functions.hashing import canonical_text, hub_key, md5_of
 from tallyvault.functions.parsers import MONEY
 from tallyvault.model import CUSTOMERS, EVENTS, LINKS, ORDERS, PAYMENTS, PRODUCTS
 from tallyvault.operators.cleaning import with_row_hash
-from tallyvault.operators.links import checked_ids, new_link_rows
+from tallyvault.operators.links import checked_ids, linked_ids, new_link_rows
 from tallyvault.operators.satellites import new_sat_rows
 
 from .support import DAY_1, accepted, raw
@@ -77,7 +77,7 @@ def test_hub_key(spark):
 @pytest.mark.parametrize("name", LINK_KEYS)
 def test_link_key(spark, name):
     link = LINKS[name]
-    checked = checked_ids(accepted(spark, link.entity, [ROWS[link.entity]]), link, {})
+    checked = checked_ids(linked_ids(accepted(spark, link.entity, [ROWS[link.entity]]), link), link, {})
     assert new_link_rows(checked, link, DAY_1).first()["link_hk"] == LINK_KEYS[name]
 
 
@@ -89,9 +89,9 @@ def test_null_and_empty_hash_alike_and_keep_their_separator(spark):
 
 @pytest.mark.parametrize(
     "number, text",
-    [("59.9", "59.9"), ("59.90", "59.9"), ("100", "100"), ("0", "0"), ("-1.2300", "-1.23")],
+    [("59.9", "59.9"), ("59.90", "59.9"), ("100", "100"), ("0", "0"), ("-1.2300", "-1.23"), ("0.00000001", "0.00000001")],
 )
 def test_money_text_has_no_trailing_zeros(spark, number, text):
-    rows = spark.range(1).selectExpr(f"cast('{number}' AS decimal(18,4)) AS price")
+    rows = spark.range(1).selectExpr(f"cast('{number}' AS decimal(38,18)) AS price")
     found = rows.selectExpr(f"{canonical_text('price', MONEY)} AS x")
     assert found.first()["x"] == text

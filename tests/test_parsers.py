@@ -96,6 +96,14 @@ CASES = {
         ("-5", Decimal("-5.0000"), "valid"),
         ("360.25", Decimal("360.2500"), "valid"),
         ("1e2", Decimal("100.0000"), "valid"),
+        ("1.00005", Decimal("1.00005"), "valid"),
+        ("-.5", Decimal("-0.5"), "valid"),
+        ("123456789012345.5", Decimal("123456789012345.5"), "valid"),
+        ("0.0000000000000000010", Decimal("1e-18"), "valid"),
+        ("0.0000000000000000001", None, "out_of_range"),
+        ("1e-19", None, "out_of_range"),
+        ("123456789012345678901", None, "out_of_range"),
+        (".", None, "invalid"),
         ("NaN", None, "invalid"),
         ("12,5", None, "invalid"),
     ],
@@ -141,6 +149,9 @@ CASES = {
         ("", None, "empty"),
         ("error_amount", None, "error_amount"),
         ("861.19", Decimal("861.1900"), "valid"),
+        ("0.00004", Decimal("0.00004"), "valid"),
+        ("1e-20", None, "out_of_range"),
+        ("-1e-20", None, "invalid"),
         ("0", None, "invalid"),
         ("-3", None, "invalid"),
         ("ten", None, "invalid"),

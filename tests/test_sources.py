@@ -74,7 +74,7 @@ ORDER_TEXT = """[
 
 def test_orders_keep_their_text(spark, tmp_path):
     path = write(tmp_path / "o.json", ORDER_TEXT)
-    assert tuples(read_orders(spark, path), *ORDERS.columns) == [
+    assert tuples(read_orders(spark, path, "array"), *ORDERS.columns) == [
         ("1", "7", "5", "2", "109.90", "EUR", "2024-01-01 00:00:00", 'a}b{"c'),
         ("2", None, None, None, "1e2", None, None, None),
     ]
@@ -107,7 +107,7 @@ def test_orders_split_at_braces_read_the_same(spark, tmp_path, layout):
     )
 
 
-@pytest.mark.parametrize("layout", ["array", "lines", "split"])
+@pytest.mark.parametrize("layout", ["lines", "split"])
 def test_json_null_token_marks_nulls_but_not_missing_fields(spark, tmp_path, layout):
     rows = [{"order_id": 1, "customer_id": None}, {"order_id": 2}]
     text = "\n".join(map(json.dumps, rows)) if layout == "lines" else json.dumps(rows)
@@ -119,10 +119,15 @@ def test_json_null_token_marks_nulls_but_not_missing_fields(spark, tmp_path, lay
 @pytest.mark.parametrize("row", ['{"status": "a}b"}', '{"status": {"a": 1}, "order_id": 1}'])
 def test_a_brace_that_would_break_the_split_fails_the_load(spark, tmp_path, row):
     path = write(tmp_path / "o.json", f"[{row}]")
-    with pytest.raises(Exception, match="MALFORMED"):
+    with pytest.raises(Exception, match="use the orders layout lines or array"):
         read_orders(spark, path, "split").collect()
 
 
+def test_a_text_for_nulls_needs_a_splittable_layout(spark, tmp_path):
+    with pytest.raises(ValueError, match="split or lines"):
+        read_orders(spark, str(tmp_path), "array", json_null_token="None")
+
+
 def test_nested_objects_are_refused_where_flat_ones_are_needed(spark, tmp_path):
     path = write(tmp_path / "o.jsonl", '{"status": {"order_id": 5}, "order_id": 1}')
     assert read_orders(spark, path, "lines").first()["order_id"] == "1"

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from tallyvault.model import CUSTOMERS, ENTITIES, LINKS, ORDERS, PAYMENTS, PRODUCTS, VAULT_SCHEMAS
 from tallyvault.operators.cleaning import cleaned_rows
 from tallyvault.operators.hubs import new_hub_rows
-from tallyvault.operators.links import checked_ids, missing_references, new_link_rows
+from tallyvault.operators.links import checked_ids, linked_ids, missing_references, new_link_rows
 from tallyvault.operators.satellites import conflicting_versions, latest_version, new_sat_rows
-from tallyvault.operators.skew import lookup_join
+from tallyvault.operators.skew import hot_keys, lookup_join
 from tallyvault.plans.pipeline import Load
 from tallyvault.plans.staging import Staging
 from tallyvault.plans.vault import StoredVault, planned_vault
@@ -32,7 +32,7 @@ from .support import (
 
 def load(spark, vault, day, **rows):
     staging = Staging(spark)
-    Load(spark, vault, day, staging).run(batch(spark, **rows))
+    Load(spark, vault, day, staging, again=True).run(batch(spark, **rows))
     staging.drop()
 
 
@@ -118,7 +118,7 @@ def test_links_of_changed_orders_stay(spark):
     link = LINKS["link_order_customer_product"]
 
     def checked(row):
-        return checked_ids(accepted(spark, ORDERS, [row]), link, {})
+        return checked_ids(linked_ids(accepted(spark, ORDERS, [row]), link), link, {})
 
     first = new_link_rows(checked(order("100", "1", "10")), link, DAY_1)
     assert new_link_rows(checked(order("100", "1", "10")), link, DAY_2, first).count() == 0
@@ -164,7 +164,7 @@ def test_missing_references_name_the_first_missing_id(spark):
         "product": new_hub_rows(accepted(spark, PRODUCTS, [product("10")]), PRODUCTS, DAY_1),
         "order": new_hub_rows(rows.filter("order_id <> 102"), ORDERS, DAY_1),
     }
-    checked = checked_ids(rows, link, hubs)
+    checked = checked_ids(linked_ids(rows, link), link, hubs)
     assert tuples(checked, "order_id", "missing_type") == [
         (100, None),
         (101, "customer_id"),
@@ -186,7 +186,7 @@ def test_padded_rows_with_a_missing_reference_are_each_logged(spark):
         parsed(spark, PAYMENTS, [payment("1", "9"), payment("1", " 9")]), PAYMENTS
     )
     hubs = {"order": new_hub_rows(accepted(spark, ORDERS, [order("5", "1", "1")]), ORDERS, DAY_1)}
-    checked = checked_ids(rows, link, hubs)
+    checked = checked_ids(linked_ids(rows, link), link, hubs)
     assert missing_references(rows, checked, link, DAY_1).count() == 2
 
 
@@ -200,21 +200,31 @@ def test_hot_keys_are_split_and_the_join_stays_the_same(spark):
     )
     for how in ("left", "inner"):
         plain = tuples(rows.join(lookup, "k", how), "k", "n", "known")
-        for row_bound in (None, 3000, 100):
-            split = lookup_join(rows, lookup, ["k"], ["n"], how, row_bound, group_rows=100)
-            assert tuples(split, "k", "n", "known") == plain
+        assert tuples(lookup_join(rows, lookup, ["k"], ["n"], how), "k", "n", "known") == plain
+    empty = rows.limit(0)
+    assert lookup_join(empty, lookup, ["k"], ["n"]).count() == 0
+
+
+def test_hot_keys_own_more_than_an_even_share(spark):
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(3000).selectExpr("id AS n", "CASE WHEN id < 1500 THEN 1 WHEN id < 1600 THEN 2 ELSE id END AS k")
+    found = {r["k"]: r["_groups"] for r in hot_keys(rows, ["k"]).collect()}
+    assert found == {1: partitions // 2}
+    groups = rows.filter("k = 1").groupBy(F.expr(f"pmod(xxhash64(n), {found[1]})")).count()
+    assert groups.agg(F.max("count")).first()[0] < 2 * 3000 / partitions
+    plan = lookup_join(rows, rows.select("k").distinct(), ["k"], ["n"])
+    assert "_group" in plan._jdf.queryExecution().executedPlan().toString()
+    everything = spark.range(40).selectExpr("1 AS k", "id AS n")  # every key's share is even or more
+    assert hot_keys(everything, ["k"]).count() == 1
 
 
-def test_no_group_of_a_split_key_is_much_larger_than_the_limit(spark):
-    rows = spark.range(3000).selectExpr("id AS n", "if(id < 1000, 1, id) AS k")
-    lookup = spark.range(3000).selectExpr("id AS k", "true AS known")
-    plan = lookup_join(rows, lookup, ["k"], ["n"], group_rows=100)
-    groups = (
-        rows.filter("k = 1").withColumn("g", F.expr("pmod(xxhash64(n), 10)")).groupBy("g").count()
-    )
-    assert groups.count() == 10
-    assert groups.agg(F.max("count")).first()[0] < 200
-    assert "_group" in plan._jdf.queryExecution().executedPlan().toString()
+def test_links_read_their_ids_once(spark):
+    link = LINKS["link_order_customer_product"]
+    rows = accepted(spark, ORDERS, [order(str(i), str(i % 3), "1") for i in range(1, 30)])
+    ids = Staging(spark).put("ids", linked_ids(rows, link))
+    hubs = {n: Staging(spark).put(n, spark.range(9).selectExpr(f"id AS {n}_id")) for n in ("customer", "product")}
+    plan = checked_ids(ids, link, hubs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 3  # the ids and two hubs
 
 
 def shuffles(result):
@@ -245,6 +255,24 @@ def test_a_bucketed_vault_holds_the_same_rows_and_reads_without_shuffles(spark,
     assert bucketed["hub_customer"].count() == 0 and bucketed["sat_order"].count() == 0
 
 
+def test_a_load_writes_one_file_per_bucket(spark, tmp_path):
+    vault = StoredVault(spark, f"{tmp_path}/v", buckets=3)
+    many = [order(str(i), "1", "1") for i in range(1, 200)]
+    load(spark, vault, DAY_1, orders=many, customers=[customer("1")], products=[product("1")])
+    for table in ("hub_order", "sat_order", "link_order_customer_product"):
+        assert len(list(tmp_path.glob(f"v/{table}/load_id=*/part-*.parquet"))) == 3
+
+
+def test_loads_of_one_second_are_both_kept(spark, tmp_path):
+    vault = StoredVault(spark, f"{tmp_path}/v")
+    later = DAY_1.replace(microsecond=900_000)
+    load(spark, vault, DAY_1, customers=[customer("1")])
+    load(spark, vault, later, customers=[customer("2")])
+    assert tuples(vault["hub_customer"], "customer_id") == [(1,), (2,)]
+    with pytest.raises(ValueError, match="already"):
+        Load(spark, vault, later, Staging(spark)).run(batch(spark, customers=[customer("3")]))
+
+
 def test_a_vault_keeps_its_bucket_count(spark, tmp_path):
     StoredVault(spark, f"{tmp_path}/a", buckets=4)
     assert StoredVault(spark, f"{tmp_path}/a").buckets == 4

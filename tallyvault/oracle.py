@@ -608,8 +608,9 @@ def statements() -> dict[str, str]:
     ):
         amount = _case(*[f"WHEN currency = '{c}' THEN amount * {r}" for c, r in rates.items()])
         found[f"converted_payments{suffix}"] = f"""
-            SELECT payment_id, CAST(CASE WHEN {amount} < 1000000000000 THEN round({amount}, {decimals})
-                   ELSE round({amount}, 0) END AS DOUBLE) AS amount_{into}
+            SELECT payment_id, CASE WHEN {amount} < 1000000000000
+                   THEN CAST(round({amount}, {decimals}) AS DOUBLE)
+                   ELSE CAST(round({amount}, 0) AS DOUBLE) END AS amount_{into}
             FROM (SELECT v_payment_id AS payment_id, v_amount AS amount, v_currency AS currency
                   FROM parsed_payments WHERE NOT is_fatal)"""
     for suffix in ("", "_no_rates"):

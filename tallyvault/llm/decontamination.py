@@ -55,31 +55,56 @@ class Shard:
         self.parts = [(grams(q), grams(a)) for q, a in (question_answer(t) for _, t in items)]
 
     def search(self, words: Words) -> Iterator[tuple[int, int, float]]:
-        """(text, item, score) of every passage's hits; a passage is two neighbouring cells of words."""
+        """(text, item, score) of every passage's hits; a passage is two neighbouring cells of words.
+
+        A word counts once in a cell, however often it stands there.
+        """
         cell = self.longest
         n = np.diff(words.at)
-        cells = np.maximum(-(-n // cell), 1) * (n > 0)
+        cells = -(-n // cell)
         owner = np.repeat(np.arange(len(n)), cells)
+        if not len(owner):
+            return
         place = np.arange(len(owner)) - np.repeat(np.cumsum(cells) - cells, cells)
         begin = words.at[owner] + place * cell
-        if not len(begin):
-            return
-        term = np.searchsorted(self.vocabulary, h := words.hashes())
-        term[term == len(self.vocabulary)] = 0
-        term = np.where(self.vocabulary[term] == h, term, len(self.vocabulary))
-        low = np.add.reduceat(self.bound[term], begin, axis=0)
-        both = low.copy()
-        joined = np.flatnonzero(owner[:-1] == owner[1:])
-        both[joined] += low[joined + 1]
-        for passage, block in zip(*(x.tolist() for x in np.nonzero(both >= THRESHOLD)), strict=True):
-            stop = min(int(begin[passage]) + 2 * cell, int(words.at[owner[passage] + 1]))
-            at = slice(block * BLOCK, (block + 1) * BLOCK)
-            score = self.impact[term[begin[passage] : stop], at].sum(axis=0)
-            for i in np.flatnonzero(score[: len(self.ids) - block * BLOCK] >= THRESHOLD).tolist():
-                item = block * BLOCK + i
+        h = words.hashes()
+        term, size = np.searchsorted(self.vocabulary, h), len(self.vocabulary)
+        term[term == size] = 0
+        known = np.flatnonzero(self.vocabulary[term] == h) if size else np.zeros(0, np.int64)
+        inside = np.searchsorted(begin, known, "right") - 1
+        pair = np.unique(inside * size + term[known])
+        of, term = pair // max(size, 1), pair % max(size, 1)
+        starts = np.append(np.searchsorted(of, np.arange(len(owner))), len(of))
+        joined = np.append(owner[:-1] == owner[1:], False)
+        both = self._passages(self.bound, term, starts, np.arange(len(owner)), joined)
+        for block in range(both.shape[1]):
+            likely = np.flatnonzero(both[:, block] >= THRESHOLD)
+            if not len(likely):
+                continue
+            at = slice(block * BLOCK, min((block + 1) * BLOCK, len(self.ids)))
+            score = self._passages(self.impact[:, at], term, starts, likely, joined)
+            for row, i in zip(*(x.tolist() for x in np.nonzero(score >= THRESHOLD)), strict=True):
+                passage, item = int(likely[row]), block * BLOCK + i
+                stop = min(int(begin[passage]) + 2 * cell, int(words.at[owner[passage] + 1]))
                 held = grams_of(h[begin[passage] : stop])
                 if all(overlap(part, held) >= OVERLAP for part in self.parts[item]):
-                    yield int(owner[passage]), item, float(score[i])
+                    yield int(owner[passage]), item, float(score[row, i])
+
+    @staticmethod
+    def _passages(table, term, starts, passages, joined) -> np.ndarray:
+        """Sums of the table's rows over the words of each passage: of its cell and the next one."""
+        cells = np.unique(np.concatenate([passages, passages[joined[passages]] + 1]))
+        length = starts[cells + 1] - starts[cells]
+        first = np.cumsum(length) - length
+        rows = np.repeat(starts[cells] - first, length) + np.arange(length.sum())
+        total = np.zeros((len(cells), table.shape[1]), np.float32)
+        some = length > 0
+        if some.any():
+            total[some] = np.add.reduceat(table[term[rows]], first[some], axis=0)
+        out = total[np.searchsorted(cells, passages)]
+        with_next = joined[passages]
+        out[with_next] += total[np.searchsorted(cells, passages[with_next] + 1)]
+        return out
 
 
 def grams_of(h: np.ndarray) -> np.ndarray:

@@ -250,9 +250,11 @@ def extract_text(pages: DataFrame) -> DataFrame:
     gives an empty result.
     """
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    short = rows.where(f"length(html) BETWEEN 1 AND {SAMPLE_CHARS}")
-    drawn = short.orderBy(F.xxhash64("page_id", "url"), "page_id").limit(SAMPLE_PAGES).select("html")
-    sample = [r["html"] for r in drawn.collect()]
+    # which pages, by a hash of their names alone; only the drawn ones' html goes to the driver
+    named = rows.where(f"length(html) BETWEEN 1 AND {SAMPLE_CHARS}").withColumn("name", F.xxhash64("page_id", "url"))
+    drawn = [r["name"] for r in named.select("name").distinct().orderBy("name").limit(SAMPLE_PAGES).collect()]
+    found = named.where(F.col("name").isin(drawn)).groupBy("name").agg(F.min("html").alias("html"))
+    sample = [r["html"] for r in found.orderBy("name").collect()]
     labeller = pages.sparkSession.sparkContext.broadcast(trained(sample))
     found = rows.mapInArrow(_extract(labeller), "page_id long, url string, text string, n_blocks long, n_main long")
     return found.withColumn("n_chars", F.length("text").cast("long"))

@@ -72,18 +72,24 @@ def main() -> None:
     # start the executor threads and load the classes that any job needs
     produce(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count())
 
-    vault = StoredVault(spark, f"{work}/vault", buckets=int(os.environ.get("BENCH_CPUS", "8")))
     raw = raw_entities(spark, sf_dir)
     later = {n: next_batch(raw[n], e, *CHANGES[n]) for n, e in ENTITIES.items()}
-    for number, batch in ((1, raw), (2, later)):
-        staging = Staging(spark)
-        load = Load(spark, vault, datetime(2026, 1, number), staging)
-        timed(f"load{number}_stage", lambda: load.stage(batch))
-        timed(f"load{number}_rejects", load.log_rejects)
-        timed(f"load{number}_hubs", load.load_hubs)
-        timed(f"load{number}_satellites", load.load_satellites)
-        timed(f"load{number}_links", load.load_links)
-        staging.drop()
+    rows: dict[str, int] = {}
+
+    def load_twice(vault: StoredVault, prefix: str) -> None:
+        for number, batch in ((1, raw), (2, later)):
+            staging = Staging(spark)
+            load = Load(spark, vault, datetime(2026, 1, number), staging)
+            timed(f"{prefix}load{number}_stage", lambda: load.stage(batch))
+            rows[f"{prefix}load{number}"] = sum(t.agg({"copies": "sum"}).first()[0] for t in load.parsed.values())
+            timed(f"{prefix}load{number}_rejects", load.log_rejects)
+            timed(f"{prefix}load{number}_hubs", load.load_hubs)
+            timed(f"{prefix}load{number}_satellites", load.load_satellites)
+            timed(f"{prefix}load{number}_links", load.load_links)
+            staging.drop()
+
+    vault = StoredVault(spark, f"{work}/vault", buckets=int(os.environ.get("BENCH_CPUS", "8")))
+    load_twice(vault, "")
 
     reports = {
         "top_customers_lucrative": lambda: analytics.get_top_customers(vault, "RUB", RATES),
@@ -105,14 +111,24 @@ def main() -> None:
     for name in OPERATORS:
         timed(name, lambda: produce(queries[name](spark, sf_dir)))
 
+    # the same loads into a vault without buckets, beside the total
+    total = sum(seconds.values())
+    load_twice(StoredVault(spark, f"{work}/plain"), "plain_")
+    speed = {
+        name: round(rows[name.rsplit("_", 1)[0]] / took)
+        for name, took in seconds.items()
+        if name.rsplit("_", 1)[0] in rows
+    }
+
     scale = re.search(r"sf([\d.]+)", sf_dir)
     print(
         json.dumps(
             {
                 "metric": "load_and_analytics_total",
-                "value": round(sum(seconds.values()), 3),
+                "value": round(total, 3),
                 "unit": "sec",
                 "queries": seconds,
+                "rows_per_sec": speed,
                 "sf": float(scale.group(1)) if scale else sf_dir,
             }
         )

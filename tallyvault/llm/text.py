@@ -46,10 +46,10 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[off[0] : off[-1]], off - off[0]
 
 
-def pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Runs of whole rows with about CHUNK_BYTES of text each; a longer text is a run of its own."""
+def pieces(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Runs of whole rows with about `most` bytes of text each; a longer text is a run of its own."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(lengths.astype(np.int64)) // CHUNK_BYTES
+    part = np.cumsum(lengths.astype(np.int64)) // most
     edges = np.flatnonzero(np.diff(part)) + 1
     for lo, hi in zip([0, *edges], [*edges, len(part)], strict=True):
         if hi > lo:

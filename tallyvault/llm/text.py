@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20  # texts looked at together; bounds the arrays of one step
+CHUNK_BYTES = 1 << 20  # texts looked at together; bounds the arrays of one step
 U64 = np.uint64
 
 SPACE = np.zeros(256, dtype=bool)

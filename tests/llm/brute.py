@@ -120,3 +120,14 @@ class ContextTree:
         n, v = sum(self.tokens.values()) + self.texts, len(self.tokens) + (self.texts > 0)
         found = [self.tokens[w] for w in words(text)] + [self.texts]
         return sum(math.log10((c + 1) / (n + v + 1)) for c in found)
+
+
+def repeated_words(rows: list[tuple[int, str]], size: int = 50) -> dict[int, set[int]]:
+    """Per document the places of words within runs of `size` words that an earlier document has."""
+    seen, out = set(), {}
+    for i, text in sorted(rows):
+        w = words(text)
+        runs = [tuple(w[k : k + size]) for k in range(len(w) - size + 1)]
+        out[i] = {j for k, run in enumerate(runs) if run in seen for j in range(k, k + size)}
+        seen.update(runs)
+    return out

@@ -134,6 +134,40 @@ def test_fuzzy_passage(spark):
     assert found[4]["n_removed"] == 80 and found[4]["text"].strip() == " ".join(tail[::-1])
 
 
+def test_exact_passages_with_gaps_between(spark):
+    """Two exact passages of one source, however far apart on either side, are cut whole."""
+    random, rows = np.random.default_rng(11), []
+
+    def some(name, n):
+        return [f"{name}{int(k)}" for k in random.integers(0, 1 << 40, n)]
+
+    for case, (own, other) in enumerate([(a, b) for a in (0, 30, 60, 200, 400) for b in (0, 30, 60, 200, 400)]):
+        a, b = some("a", 100), some("b", 100)
+        rows.append((2 * case, " ".join(some("x", 40) + a + some("x", other) + b + some("x", 40))))
+        rows.append((2 * case + 1, " ".join(some("y", 40) + a + some("y", own) + b + some("y", 40))))
+    blocks = [some("c", 300) for _ in range(3)]
+    rows.append((1000, " ".join(w for b in blocks for w in b)))
+    rows.append((1001, " ".join(w for b in blocks for w in b + some("z", 120))))
+    expected = brute.repeated_words(rows)
+    found = chaining.without_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    left = {r["doc_id"]: set(brute.words(r["text"])) for r in found}
+    texts = {i: brute.words(t) for i, t in rows}
+    for i, places in expected.items():
+        assert not left[i] & {texts[i][j] for j in places}, i
+        assert i % 2 or left[i] == set(texts[i])
+
+
+def test_parts_of_a_chain_by_brute_force():
+    """The longest stretches of aligned words that reach PERCENT, by looking at all of them."""
+    random = np.random.default_rng(4)
+    for _ in range(200):
+        n = int(random.integers(1, 12))
+        begin = [tuple(random.integers(-9, 9, 2).tolist()) for _ in range(n)]
+        finish = [tuple(random.integers(-9, 9, 2).tolist()) for _ in range(n)]
+        expected = [max((j for j, f in enumerate(finish) if f[0] >= b[0] and f[1] >= b[1]), default=-1) for b in begin]
+        assert chaining._furthest(begin, finish) == expected
+
+
 def test_chains_by_brute_force():
     random = np.random.default_rng(3)
     for _ in range(50):

@@ -157,6 +157,33 @@ def test_exact_passages_with_gaps_between(spark):
         assert i % 2 or left[i] == set(texts[i])
 
 
+def test_recall_of_passages_with_changed_words(spark):
+    """Planted passages of 100 words of which a share, or every so-manieth, is another one."""
+    random, rows, planted = np.random.default_rng(12), [], {}
+
+    def some(n):
+        return [f"w{int(k)}" for k in random.integers(0, 5000, n)]
+
+    def similar(equal):  # brute force: 50 words in a row of which 80 % are equal
+        total = np.concatenate([[0], np.cumsum(100 * equal - 80)])
+        return any((total[i + 50 :] >= total[i]).any() for i in range(len(total) - 50))
+
+    for kind in (0.05, 0.1, 0.15, 0.2, 8, 7, 6):
+        for _ in range(60):
+            a = some(100)
+            equal = random.random(100) >= kind if kind < 1 else np.arange(100) % kind != kind // 2
+            b = [w if e else f"new{random.integers(1 << 40)}" for w, e in zip(a, equal, strict=True)]
+            rows.append((len(rows), " ".join(some(40) + a + some(40))))
+            if similar(equal.astype(int)):
+                planted.setdefault(kind, []).append(len(rows))
+            rows.append((len(rows), " ".join(some(40) + b + some(40))))
+    found = chaining.without_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    cut = {r["doc_id"]: r["n_removed"] for r in found}
+    for kind, ids in planted.items():
+        assert np.mean([cut[i] >= 50 for i in ids]) >= (0.9 if kind == 0.2 else 0.95), kind
+    assert sum(cut[i] for i in range(0, len(rows), 2)) == 0
+
+
 def test_parts_of_a_chain_by_brute_force():
     """The longest stretches of aligned words that reach PERCENT, by looking at all of them."""
     random = np.random.default_rng(4)

@@ -5,7 +5,8 @@ words' impacts on an item, as a share of what the item scores against itself, ad
 block-max WAND, items stand in blocks, and per word the largest impact within a block bounds what any of
 its items can get; only blocks whose bound reaches the threshold are scored item by item. Bounds and
 scores of all passages of a batch are sums over rows of one table. An item found this way contaminates
-the text if enough of its question and of its answer stand there word by word.
+the text if enough of its question and of its answer stand there: runs of words, or of a short part the
+words in order, less one for each that is changed, left out or put in.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ SHARD = 512  # items of a shard; a pass over the texts meets one shard after the
 THRESHOLD = 0.5  # of an item's score against itself
 GRAM = 3  # words of the runs that are compared in the end
 OVERLAP = 0.6  # share of these that must be in the passage, of the question and of the answer
+SHORT = 10  # words; in a part of fewer one changed word may spoil more runs than that, so words in order count too
 
 
 class Shard:
@@ -52,7 +54,7 @@ class Shard:
         self.impact = (impact / np.maximum(own, 1e-9)).astype(np.float32)
         self.bound = self.impact.reshape(len(impact), -1, BLOCK).max(axis=2)
         self.longest = max(int(length.max()), 8)
-        self.parts = [(grams(q), grams(a)) for q, a in (question_answer(t) for _, t in items)]
+        self.parts = [(part_hashes(q), part_hashes(a)) for q, a in (question_answer(t) for _, t in items)]
 
     def search(self, words: Words) -> Iterator[tuple[int, int, float]]:
         """(text, item, score) of every passage's hits; a passage is two neighbouring cells of words.
@@ -86,8 +88,9 @@ class Shard:
             for row, i in zip(*(x.tolist() for x in np.nonzero(score >= THRESHOLD)), strict=True):
                 passage, item = int(likely[row]), block * BLOCK + i
                 stop = min(int(begin[passage]) + 2 * cell, int(words.at[owner[passage] + 1]))
-                held = grams_of(h[begin[passage] : stop])
-                if all(overlap(part, held) >= OVERLAP for part in self.parts[item]):
+                held = h[begin[passage] : stop]
+                runs = grams_of(held)
+                if all(overlap(part, held, runs) >= OVERLAP for part in self.parts[item]):
                     yield int(owner[passage]), item, float(score[row, i])
 
     @staticmethod
@@ -117,13 +120,30 @@ def grams_of(h: np.ndarray) -> np.ndarray:
     return name
 
 
-def grams(text: str) -> np.ndarray:
-    return np.unique(grams_of(Words(pa.array([text], pa.string())).hashes()))
+def part_hashes(text: str) -> np.ndarray:
+    return Words(pa.array([text], pa.string())).hashes()
 
 
-def overlap(part: np.ndarray, held: np.ndarray) -> float:
-    """Share of a part's runs that the passage has; an empty part is always there."""
-    return float(np.isin(part, held).mean()) if len(part) else 1.0
+def overlap(part: np.ndarray, held: np.ndarray, runs: np.ndarray) -> float:
+    """Share of a part's runs, or of a short part's words in order, that the passage has.
+
+    An empty part is always there; held are the passage's words.
+    """
+    if not len(part):
+        return 1.0
+    share = float(np.isin(np.unique(grams_of(part)), runs).mean())
+    return max(share, in_order(part, held)) if share < OVERLAP and len(part) < SHORT else share
+
+
+def in_order(part: np.ndarray, held: np.ndarray) -> float:
+    """1 less the fewest edits of words that turn a part into some stretch of the passage, per word of it."""
+    place = np.arange(len(held) + 1)
+    edits = np.zeros(len(held) + 1, np.int64)  # a stretch may begin anywhere
+    for word in part:
+        row = edits + 1
+        row[1:] = np.minimum(row[1:], edits[:-1] + (held != word))
+        edits = np.minimum.accumulate(row - place) + place
+    return 1.0 - float(edits.min()) / len(part)
 
 
 def question_answer(text: str) -> tuple[str, str]:

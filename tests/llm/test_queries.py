@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as contract
+from tallyvault.llm import decontamination
 from tallyvault.llm import queries as llm
 from tallyvault.llm.blocks import blocks, supposed_main
 from tests.llm import brute
@@ -122,6 +123,36 @@ def test_decontamination(spark):
     assert wrong <= 3  # items that stand there with some words changed
 
 
+def test_items_with_one_changed_word(spark):
+    """Every item of sf0.1 with any one word changed, among other words; its question or answer alone is none."""
+    random = np.random.default_rng(6)
+    items = table("benchmark", Path("/root/testdata/sf0.1"))[["item_id", "text"]].drop_duplicates("text")
+    parts = [decontamination.question_answer(t) for t in items.text]
+    vocabulary = sorted({w for t in items.text for w in brute.words(t)})
+
+    def among(words: list[str]) -> str:
+        around = [vocabulary[k] for k in random.integers(0, len(vocabulary), 60)]
+        return " ".join(around[:30] + words + around[30:])
+
+    rows, expected, others = [], {}, {}
+    for i, text in items.itertuples(index=False):
+        words = brute.words(text)
+        for at in range(len(words)):
+            expected[len(rows)] = i
+            rows.append((len(rows), among([*words[:at], f"new{at}", *words[at + 1 :]])))
+    for i, (question, answer) in zip(items.item_id, parts, strict=True):
+        for part in (question, answer) if answer else ():
+            others[len(rows)] = i
+            rows.append((len(rows), among(brute.words(part) + [f"other{k}" for k in range(12)])))
+        others[len(rows)] = i
+        rows.append((len(rows), among(random.permutation(brute.words(question + answer)).tolist())))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.find_contamination(spark.createDataFrame(rows, "doc_id long, text string"), benchmark)
+    held = {r["doc_id"]: r["item_ids"] for r in found.collect()}
+    assert [d for d, i in expected.items() if i not in held[d]] == []
+    assert [d for d, i in others.items() if i in held[d]] == []
+
+
 def test_context_tree(spark):
     found = llm.op10_lm_scoring(spark, str(DATA)).toPandas().set_index("doc_id")
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in texts()}

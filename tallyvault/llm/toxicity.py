@@ -154,8 +154,20 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(self.weight[0] + z @ self.weight[1:], -30, 30)))
 
 
+def fair_share(sizes: list[int], room: int) -> int:
+    """What one may take at most so that all together take no more than the room; all of it if that does."""
+    for i, size in enumerate(sorted(sizes)):
+        if size > (share := room // (len(sizes) - i)):
+            return share
+        room -= size
+    return max(sizes, default=0)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, held_out: Column) -> tuple[list[str], np.ndarray]:
-    """Texts and labels of a bounded sample per class, in an order that depends on the ids only."""
+    """Texts and labels of a bounded sample per class, in an order that depends on the ids only.
+
+    Where a class has more characters than the bound, its longest texts are shortened to an equal length.
+    """
     marked = (
         labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -163,17 +175,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, held_out: Column) -> tup
         .where(~F.coalesce(held_out, F.lit(False)))
     )
     sizes = docs.select("doc_id", F.length("text").alias("chars")).where("chars > 0").join(marked, "doc_id")
-    chosen: list[int] = []
+    chosen: dict[int, int] = {}
     for toxic in (0, 1):
         rows = sizes.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).collect()
-        room = SAMPLE_CHARS
-        for row in rows:
-            room -= row["chars"]
-            if room < 0:
-                break
-            chosen.append(row["doc_id"])
-    ids = docs.sparkSession.createDataFrame([(i,) for i in dict.fromkeys(chosen)], "doc_id long")
-    found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").join(marked, "doc_id")
+        most = fair_share([row["chars"] for row in rows], SAMPLE_CHARS)
+        chosen |= {row["doc_id"]: most for row in rows}
+    ids = docs.sparkSession.createDataFrame(list(chosen.items()), "doc_id long, most int")
+    found = docs.join(F.broadcast(ids), "doc_id").join(marked, "doc_id")
+    found = found.select("doc_id", F.expr("substring(text, 1, most)").alias("text"), "toxic")
     table = found.orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()  # at most twice SAMPLE_CHARS characters
     return table["text"].to_pylist(), table["toxic"].to_numpy().astype(int)
 

@@ -274,6 +274,34 @@ def test_scripts_narrow_languages(spark):
     assert by[1]["lang_pred"] == "ru" and by[2]["lang_pred"] == "en" and by[4]["lang_pred"] in ("ru", "en")
 
 
+@pytest.mark.parametrize("toxic", [0, 1])
+def test_long_labelled_text_leaves_the_others(spark, toxic):
+    """A class's first text in the sample's order has more characters than the sample may have."""
+    order = [r[0] for r in spark.range(120).orderBy(F.xxhash64("id"), "id").collect()]
+    labels = {i: k % 2 for k, i in enumerate(order)}
+    if toxic:
+        labels = {i: 1 - c for i, c in labels.items()}
+    words = (["good", "fine", "calm", "nice"], ["vile", "nasty", "awful", "cruel"])
+    random = np.random.default_rng(8)
+    rows = []
+    for k, i in enumerate(order):
+        n = toxicity.SAMPLE_CHARS // 4 if k == 0 else 40
+        rows.append((i, " ".join(np.array(words[labels[i]])[random.integers(0, 4, n)])))
+    assert labels[order[0]] == toxic and len(rows[0][1]) > toxicity.SAMPLE_CHARS
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")
+    texts, classes = toxicity.labelled_sample(docs, marks, F.lit(False))
+    assert len(texts) == 120 and classes.sum() == 60
+    assert all(sum(len(t) for t, c in zip(texts, classes, strict=True) if c == k) <= toxicity.SAMPLE_CHARS for k in (0, 1))
+    found = toxicity.score_toxicity(docs, marks, F.lit(False)).collect()
+    assert all(r["predicted"] == labels[r["doc_id"]] for r in found)
+
+
+def test_fair_share():
+    assert toxicity.fair_share([], 9) == 0 and toxicity.fair_share([5, 2], 9) == 5
+    assert toxicity.fair_share([100, 2, 3], 9) == 4 and toxicity.fair_share([100, 100, 100], 9) == 3
+
+
 def test_blocks():
     page = (
         "<html><head><title>T</title><style>p{}</style></head><body><nav><a href='x>y'>menu</a></nav><!-- <p>no</p> -->"

@@ -2,8 +2,8 @@
 
 Prefix doubling, with ranks of growing length in rounds, is not what this does: two fixed lengths are
 named, SEED bytes and the whole width. To keep the sorted table far smaller than the text, the first name
-belongs to an anchor: of the SEED-byte strings inside a window the one of least hash, so equal windows have equal anchors. An anchor
-stands for the run of windows that chose it, and its rows are (name of the seed, name of the whole run,
+belongs to an anchor: of the SEED-byte strings inside a window the one of least hash, so equal windows
+have equal anchors. An anchor stands for the run of windows that chose it, and its rows are (name of the seed, name of the whole run,
 position). Spark sorts them by name and position:
 
 1. a seed name that occurs once is unique, and its run's windows leave;

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyvault.llm import chaining, context_tree, decontamination, extraction, language, ngram_join, packing, quality, suffix_dedup, toxicity
+from tallyvault.llm import (
+    chaining,
+    context_tree,
+    decontamination,
+    divergence,
+    extraction,
+    language,
+    minhash,
+    ngram_join,
+    packing,
+    quality,
+    resampling,
+    suffix_dedup,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +87,18 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score_texts(_table(spark, sf_dir, "documents"), fold(7) == 2)
 
 
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = (
     op1_language_id,
     op2_quality_rules,
@@ -84,6 +110,9 @@ QUERIES = (
     op8_ngram_jaccard_join,
     op9_benchmark_decontamination,
     op10_lm_scoring,
+    op11_minhash_dedup,
+    op12_source_divergence,
+    op13_importance_resampling,
 )
 
 
@@ -92,4 +121,8 @@ def registry() -> dict[str, Query]:
 
 
 def statements() -> dict[str, str]:
-    return {"op2_quality_rules": quality.policy_sql()}
+    return {
+        "op2_quality_rules": quality.policy_sql(),
+        "op12_source_divergence": divergence.audit_sql(),
+        "op13_importance_resampling": resampling.resample_sql(),
+    }

@@ -18,8 +18,8 @@ def shingles(text: str | None, size: int = 5) -> set[tuple]:
     return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else ({tuple(w)} - {()})
 
 
-def similar_classes(rows: list[tuple[int, str]], percent: int = 80) -> dict[int, tuple[int, int]]:
-    sets = {i: shingles(t) for i, t in rows}
+def similar_classes(rows: list[tuple[int, str]], percent: int = 80, size: int = 5) -> dict[int, tuple[int, int]]:
+    sets = {i: shingles(t, size) for i, t in rows}
     parent = {i: i for i in sets}
 
     def root(x):

@@ -13,9 +13,11 @@ from tallyvault.llm import (
     decontamination,
     extraction,
     language,
+    minhash,
     ngram_join,
     packing,
     quality,
+    resampling,
     suffix_dedup,
     toxicity,
 )
@@ -64,11 +66,13 @@ def operators(spark):
         "toxicity": lambda d: toxicity.score_toxicity(d, labels, none),
         "join": ngram_join.similar_classes,
         "decontamination": lambda d: decontamination.find_contamination(d, items),
+        "minhash": minhash.near_duplicates,
+        "resampling": lambda d: resampling.resample(d, items),
         "tree": lambda d: context_tree.score_texts(d, F.col("doc_id") == 8),
     }
 
 
-NAMES = "language quality chaining packing suffix toxicity join decontamination tree".split()
+NAMES = "language quality chaining packing suffix toxicity join decontamination minhash resampling tree".split()
 
 
 @pytest.mark.parametrize("name", NAMES)

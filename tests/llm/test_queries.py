@@ -30,7 +30,7 @@ def texts(data: Path = DATA) -> list[tuple[int, str]]:
 
 def test_all_are_registered():
     names = contract.queries()
-    assert {n.split("_")[0] for n in llm.registry()} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in llm.registry()} == {f"op{k}" for k in range(1, 14)}
     assert llm.registry().keys() <= names.keys() and "pipeline" in names
 
 
@@ -41,12 +41,16 @@ def test_language(spark):
     assert found.score.between(0, 1).all()
 
 
-def test_quality_rules_match_sql(spark):
+@pytest.mark.parametrize("name", sorted(llm.statements()))
+def test_same_rows_as_sql(spark, name):
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
-    expected = connection.execute(llm.statements()["op2_quality_rules"]).df().sort_values("doc_id")
-    found = llm.op2_quality_rules(spark, str(DATA)).toPandas().sort_values("doc_id")
-    assert expected.values.tolist() == found[expected.columns].values.tolist()
+    for file in LARGER.glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    expected = connection.execute(llm.statements()[name])
+    names = [column[0] for column in expected.description]
+    found = llm.registry()[name](spark, str(LARGER))
+    assert sorted(names) == sorted(found.columns)
+    assert sorted(map(tuple, found.select(*names).collect()), key=repr) == sorted(expected.fetchall(), key=repr)
 
 
 def test_extraction(spark):
@@ -111,6 +115,13 @@ def test_ngram_join(spark):
     assert got == brute.similar_classes(texts(LARGER))
 
 
+def test_minhash_dedup(spark):
+    found = llm.op11_minhash_dedup(spark, str(LARGER)).toPandas()
+    got = {d: (n, c) for d, n, c in found[["doc_id", "n_shingles", "component_id"]].itertuples(index=False)}
+    assert got == brute.similar_classes(texts(LARGER), size=4)
+    assert found.kept.equals(found.doc_id == found.component_id)
+
+
 def test_decontamination(spark):
     found = llm.op9_benchmark_decontamination(spark, str(LARGER)).toPandas().set_index("doc_id")
     items = {i: " ".join(brute.words(t)) for i, t in table("benchmark", LARGER)[["item_id", "text"]].itertuples(index=False)}

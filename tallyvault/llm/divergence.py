@@ -28,6 +28,8 @@ RANKS = 50
 BLOCK = 4096  # terms of a language whose distances are added up together,
 STRIPE = 512  # for so many of its sources against all others
 CELLS = 1 << 20  # cells of a dense table of shares at most
+TOGETHER = 256  # rows compared with one another at a time
+WAITING = 100_000  # rows of a task that are gathered before their skybands are taken
 SALTS = 16  # parts that a group's skybands are merged in first
 
 COUNTS = pa.schema(
@@ -40,6 +42,14 @@ PAIRS_DDL = "lang string, source string, item string, value long"
 TERMS_DDL = "lang string, source string, part string, item string, value long, rank int"
 
 
+def _texts(words: Words, which: np.ndarray) -> pa.Array:
+    """Some of the words as one Arrow array."""
+    start, length = words.start[which], words.end[which] - words.start[which]
+    at = np.concatenate([[0], np.cumsum(length)])
+    data = words.data[np.arange(at[-1]) + np.repeat(start - at[:-1], length)]
+    return pa.StringArray.from_buffers(len(which), pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data))
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences and documents of every term per group, folded over about a megabyte of text; a
     group also gets a row without a term."""
@@ -63,13 +73,12 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.flatnonzero(new)
             n = np.diff(np.append(at, len(order)))
             docs = np.add.reduceat(first_in_text.astype(np.int64), at) if len(at) else n
-            terms = [w.decode() for w in words.strings(order[at])]
             owner = np.concatenate([g[at], np.arange(len(names))])
             yield batch(
                 COUNTS,
                 pa.array([n_[0] for n_ in names], pa.string()).take(pa.array(owner)),
                 pa.array([n_[1] for n_ in names], pa.string()).take(pa.array(owner)),
-                pa.array([*terms, *[None] * len(names)], pa.string()),
+                pa.concat_arrays([_texts(words, order[at]), pa.nulls(len(names), pa.string())]),
                 np.concatenate([n, np.zeros(len(names), np.int64)]),
                 np.concatenate([docs, np.zeros(len(names), np.int64)]),
             )
@@ -129,20 +138,21 @@ def shares(docs: DataFrame, least_docs: int = LEAST_DOCS) -> tuple[DataFrame, Da
 def skyband(n: np.ndarray, lang_n: np.ndarray, term: np.ndarray, k: int) -> np.ndarray:
     """Places of the rows that fewer than k others dominate: no lower n, no higher lang_n, earlier term.
 
-    Whatever dominates a row comes before it in the order by these three, so each row is compared with
-    the rows retained before it only: a dominator left out there is dominated by k that are retained.
+    Whatever dominates a row comes before it in the order by these three, so rows are looked at in this
+    order, some at a time, and compared with one another and with the rows retained before them only: a
+    dominator left out there is dominated by k that are retained.
     """
     name = np.empty(len(term), np.int64)
     name[np.argsort(term, kind="stable")] = np.arange(len(term))
     order = np.lexsort((name, lang_n, -n))
-    low, names = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
-    out, size = [], 0
-    for i in order.tolist():
-        if size < k or np.count_nonzero((low[:size] <= lang_n[i]) & (names[:size] < name[i])) < k:
-            low[size], names[size] = lang_n[i], name[i]
-            out.append(i)
-            size += 1
-    return np.array(out, np.int64)
+    kept = order[:0]
+    for lo in range(0, len(order), TOGETHER):
+        rows = order[lo : lo + TOGETHER]
+        others = np.concatenate([kept, rows])
+        over = (lang_n[others] <= lang_n[rows][:, None]) & (name[others] < name[rows][:, None])
+        over[:, len(kept) :] &= np.tri(len(rows), k=-1, dtype=bool)
+        kept = np.concatenate([kept, rows[np.count_nonzero(over, axis=1) < k]])
+    return kept
 
 
 def _skybands(table: pa.Table, k: int) -> pa.Table:
@@ -162,12 +172,14 @@ def _skybands(table: pa.Table, k: int) -> pa.Table:
 
 def _local(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for b in batches:  # skybands so far and the next rows make the next skybands
-            t = pa.Table.from_batches([b])
-            held = _skybands(t if held is None else pa.concat_tables([held, t]), k)
-        if held is not None:
-            yield from held.to_batches()
+        held, size = [], 0
+        for b in batches:  # skybands so far and about as many more rows make the next skybands
+            held.append(pa.Table.from_batches([b]))
+            if sum(map(len, held)) > max(WAITING, 2 * size):
+                held = [_skybands(pa.concat_tables(held), k)]
+                size = len(held[0])
+        if held:
+            yield from _skybands(pa.concat_tables(held), k).to_batches()
 
     return run
 

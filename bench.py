@@ -60,7 +60,8 @@ def produce(result: DataFrame) -> None:
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    work = tempfile.mkdtemp(prefix="bench-")
+    # on a cluster, BENCH_WORK is a folder that all executors reach
+    work = tempfile.mkdtemp(prefix="bench-", dir=os.environ.get("BENCH_WORK"))
     spark = session(work)
     seconds: dict[str, float] = {}
 
@@ -86,6 +87,7 @@ def main() -> None:
             timed(f"{prefix}load{number}_hubs", load.load_hubs)
             timed(f"{prefix}load{number}_satellites", load.load_satellites)
             timed(f"{prefix}load{number}_links", load.load_links)
+            vault.set_complete(load.load_id)
             staging.drop()
 
     vault = StoredVault(spark, f"{work}/vault", buckets=int(os.environ.get("BENCH_CPUS", "8")))

@@ -1,23 +1,25 @@
-"""Amounts in one currency."""
+"""Amounts in one currency, exact at any size."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from decimal import Decimal, localcontext
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tallyvault.functions.exact import limbs, number_limbs, total_text, totals
 
 Rates = Mapping[str, Decimal | int | float | str]
 
-# Digits of a rate: all that a decimal has, so a rate loses nothing above 10**-22 of its last
-# sixteen digits.
-_RATE_DIGITS = 38
+RATE_DIGITS = 38  # of a rate that its base doesn't divide
 
 
 def normalised_rates(preferred: str, rates: Rates | None) -> dict[str, Decimal]:
-    """Rates relative to the preferred currency; without its own rate it counts as 1."""
+    """Rates relative to the preferred currency; without its own rate it counts as 1.
+
+    A quotient keeps its first 38 digits, wherever its point is; a rate over 1 keeps all of its own.
+    """
     if rates is None:
         return {}
     exact = {currency: Decimal(str(rate)) for currency, rate in rates.items()}
@@ -25,33 +27,65 @@ def normalised_rates(preferred: str, rates: Rates | None) -> dict[str, Decimal]:
         if not rate.is_finite() or rate <= 0:
             raise ValueError(f"exchange rate of {currency} must be a positive number, got {rate}")
     base = exact.get(preferred, Decimal(1))
-    with localcontext(prec=2 * _RATE_DIGITS):
+    if base == 1:
+        return exact
+    with localcontext(prec=RATE_DIGITS):
         return {currency: rate / base for currency, rate in exact.items()}
 
 
-def converted_amount(
-    amount: Column, currency: Column, preferred: str, rates: Rates | None
-) -> Column:
-    """The amount in the preferred currency, NULL when there is no rate for its currency.
+def exact_amount(name: str) -> str:
+    """SQL of the plain text of a stored amount, from its decimal or from its wide column."""
+    return f"coalesce(cast({name} AS string), {name}_wide)"
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    An amount in the preferred currency stays as it is. A product has 17 decimals, less one for each
-    whole digit of the largest rate, and is rounded to these.
+
+def known_currencies(preferred: str, rates: Rates | None) -> list[str]:
+    return sorted({preferred, *normalised_rates(preferred, rates)})
+
+
+def _rate_limbs(currency: str, preferred: str, rates: Rates | None) -> str:
+    """SQL of the limbs of the rate of a row's currency, NULL when there is none.
 
     The rates are a handful of driver-side numbers and become literals of a CASE expression, so
     there is no join.
     """
-    table = normalised_rates(preferred, rates)
-    rate_type = _rate_type(table)
-    converted = F.when(currency == preferred, amount)
-    for code in sorted(table.keys() - {preferred}):
-        with localcontext(prec=2 * _RATE_DIGITS):
-            literal = F.lit(round(table[code], rate_type.scale)).cast(rate_type)
-        converted = converted.when(currency == code, amount * literal)
-    return converted
-
-
-def _rate_type(table: Mapping[str, Decimal]) -> T.DecimalType:
-    whole_digits = max([0, *(rate.adjusted() + 1 for rate in table.values())])
-    if whole_digits > 11:  # a product must keep six decimals
-        raise ValueError("exchange rates span too many digits")
-    return T.DecimalType(_RATE_DIGITS, _RATE_DIGITS - whole_digits)
+    table = normalised_rates(preferred, rates) | {preferred: Decimal(1)}
+
+    def array(rate: Decimal) -> str:
+        pairs = [f"named_struct('place', {place}, 'part', {part}BD)" for place, part in number_limbs(rate)]
+        return f"array({', '.join(pairs)})"
+
+    cases = " ".join(f"WHEN {_literal(code)} THEN {array(rate)}" for code, rate in sorted(table.items()))
+    return f"CASE {currency} {cases} END"
+
+
+def _products(parts: str, rate: str) -> str:
+    """Limbs of a product from the limbs of its factors; places may repeat."""
+    one = "named_struct('place', x.place + r.place, 'part', cast(cast(x.part AS decimal(28,0)) * r.part AS decimal(38,0)))"
+    return f"flatten(transform({parts}, x -> transform({rate}, r -> {one})))"
+
+
+def converted_amount(text: str, currency: str, preferred: str, rates: Rates | None) -> str:
+    """SQL of an amount (plain text) in the preferred currency, as plain text and without rounding.
+
+    NULL when there is no rate for its currency. An amount in the preferred currency stays as it is.
+    """
+    rate = _rate_limbs(currency, preferred, rates)
+    known = f"{currency} IN ({', '.join(_literal(c) for c in known_currencies(preferred, rates))})"
+    return f"CASE WHEN {text} IS NOT NULL AND {known} THEN {total_text(_products(limbs(text), rate))} END"
+
+
+def converted_totals(
+    parts: DataFrame, keys: Sequence[str], preferred: str, rates: Rates | None, name: str
+) -> DataFrame:
+    """(*keys, name): limbs (*keys, currency, place, part) of sums per currency, as one sum in the preferred one.
+
+    Sums are converted, not their amounts: the product of a sum is exact, so both are the same.
+    """
+    one = "array(named_struct('place', place, 'part', part))"
+    rate = _rate_limbs("currency", preferred, rates)
+    converted = parts.select(*keys, F.expr(f"inline({_products(one, rate)})"))
+    return totals(converted, keys, name)

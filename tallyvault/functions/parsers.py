@@ -15,10 +15,12 @@ from typing import NamedTuple
 
 from pyspark.sql import types as T
 
-# Money keeps 20 whole digits and 18 decimals. A number beyond that is not rounded: it has no value
-# and a tag of its own.
+from tallyvault.functions.exact import plain_text
+
+# Money keeps 20 whole digits and 18 decimals. A number beyond that is not rounded: its column is
+# NULL, and the column <name>_wide holds it as plain text.
 MONEY = T.DecimalType(38, 18)
-TAG_OUT_OF_RANGE = "out_of_range"
+SURE_LENGTH = 19  # no number this short without an exponent has more digits than money
 
 # Accepted words.
 CATEGORIES = ("Home", "Books", "Electronics", "Clothing", "Sports")
@@ -50,6 +52,10 @@ class Parser(NamedTuple):
     value: Callable[[str], str]
     tag: Callable[[str, str], str]
     accepted: tuple[str, ...] = ("valid",)
+    #: of a number of any size: the value, given the column that holds ``money`` of the text, so that
+    #: it is parsed once; and the plain text of a number that ``money`` can't hold, given both
+    of_number: Callable[[str], str] | None = None
+    wide: Callable[[str, str], str] | None = None
 
 
 def quoted(words: Sequence[str]) -> str:
@@ -93,9 +99,14 @@ def _positive(data_type: T.DataType, tokens: Mapping[str, str] | None = None) ->
     return _parser(data_type, value, tokens=tokens)
 
 
-def _money(t: str) -> str:
-    """The exact number, NULL for other text and for numbers that need more digits."""
-    return f"CASE WHEN {_decimals(t)} <= {MONEY.scale} THEN try_cast({t} AS {MONEY.simpleString()}) END"
+def money(t: str) -> str:
+    """The exact number, NULL for other text and for numbers that need more digits.
+
+    Short text of digits alone is cast and no more; only other text meets the pattern.
+    """
+    number = f"try_cast({t} AS {MONEY.simpleString()})"
+    short = rf"length({t}) <= {SURE_LENGTH} AND {t} RLIKE r'^[-+.0-9]+\z'"
+    return f"CASE WHEN {short} THEN {number} WHEN {_decimals(t)} <= {MONEY.scale} THEN {number} END"
 
 
 def _decimals(t: str) -> str:
@@ -105,21 +116,16 @@ def _decimals(t: str) -> str:
     return f"CASE WHEN {t} RLIKE r'{NUMBER}' THEN {digits} - {exponent} END"
 
 
-def _unusable_number(t: str, positive: bool) -> str:
-    """A number that a money column would accept if it had room for it has its own tag."""
-    size = f"try_cast({t} AS double)"
-    wanted = f"({size} > 0 OR {t} RLIKE r'^[+]?[0.]*[1-9]')" if positive else f"{size} IS NOT NULL"
-    beyond = f"{t} RLIKE r'{NUMBER}' AND {wanted} AND {_money(t)} IS NULL"
-    return f"CASE WHEN {beyond} THEN '{TAG_OUT_OF_RANGE}' ELSE 'invalid' END"
+def _money_parser(positive: bool, tokens: Mapping[str, str] | None = None) -> Parser:
+    def of_number(n: str) -> str:
+        return f"CASE WHEN {n} > 0 THEN {n} END" if positive else n
 
+    def wide(t: str, n: str) -> str:
+        text = f"if(startswith({t}, '-'), NULL, nullif({plain_text(t)}, '0'))" if positive else plain_text(t)
+        return f"CASE WHEN {n} IS NULL THEN {text} END"
 
-def _positive_money(tokens: Mapping[str, str] | None = None) -> Parser:
-    return _parser(
-        MONEY,
-        lambda t: f"CASE WHEN {_money(t)} > 0 THEN {_money(t)} END",
-        tokens=tokens,
-        unusable=lambda t: _unusable_number(t, positive=True),
-    )
+    parser = _parser(MONEY, lambda t: of_number(money(t)), tokens=tokens)
+    return parser._replace(of_number=of_number, wide=wide)
 
 
 def _iso_date(t: str) -> str:
@@ -210,9 +216,7 @@ CREATED_AT = _parser(
 
 PRODUCT_NAME = _parser(T.StringType(), lambda t: f"nullif({t}, '')")
 CATEGORY = _one_of(CATEGORIES)
-PRICE = _parser(
-    MONEY, _money, tokens={"N/A": "na"}, unusable=lambda t: _unusable_number(t, positive=False)
-)
+PRICE = _money_parser(positive=False, tokens={"N/A": "na"})
 CURRENCY = _one_of(CURRENCIES)
 IS_ACTIVE = _parser(
     T.BooleanType(),
@@ -228,8 +232,8 @@ POSITIVE_ID = _positive(T.LongType())
 EVENT_ID = _positive(T.LongType(), tokens={"BAD_ID": "bad_id"})
 QUANTITY = _positive(T.IntegerType())
 PAYMENT_METHOD = _one_of(PAYMENT_METHODS)
-AMOUNT = _positive_money(tokens={"error_amount": "error_amount"})
-UNIT_PRICE = _positive_money()
+AMOUNT = _money_parser(positive=True, tokens={"error_amount": "error_amount"})
+UNIT_PRICE = _money_parser(positive=True)
 STATUS = _one_of(ORDER_STATUSES)
 EVENT_TYPE = _one_of(EVENT_TYPES)
 PAYMENT_TIMESTAMP = _parser(

@@ -53,6 +53,16 @@ class Entity:
     def hk(self) -> str:
         return f"{self.noun}_hk"
 
+    @property
+    def value_fields(self) -> list[T.StructField]:
+        """The attributes as stored; a number of any size has a second column for its text."""
+        found = []
+        for name, parser in self.attributes.items():
+            found.append(T.StructField(name, parser.data_type))
+            if parser.wide:
+                found.append(T.StructField(f"{name}_wide", T.StringType()))
+        return found
+
     @property
     def raw_schema(self) -> T.StructType:
         return T.StructType([T.StructField(c, T.StringType()) for c in self.columns])
@@ -61,7 +71,7 @@ class Entity:
     def cleaned_schema(self) -> T.StructType:
         return T.StructType(
             [T.StructField(self.key, T.LongType())]
-            + [T.StructField(c, p.data_type) for c, p in self.attributes.items()]
+            + self.value_fields
             + [T.StructField("row_hash", T.StringType())]
         )
 
@@ -82,7 +92,7 @@ class Entity:
                 T.StructField(self.hk, T.StringType()),
                 T.StructField("load_datetime", T.TimestampNTZType()),
             ]
-            + [T.StructField(c, p.data_type) for c, p in self.attributes.items()]
+            + self.value_fields
             + [T.StructField("hash_diff", T.StringType())]
         )
 

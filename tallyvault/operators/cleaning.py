@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyvault.functions.hashing import md5_of
-from tallyvault.functions.parsers import quoted
+from tallyvault.functions.parsers import money, quoted
 from tallyvault.model import Entity
 
 
@@ -47,11 +47,18 @@ def parse(rows: DataFrame, entity: Entity) -> DataFrame:
     passed = [c for c in rows.columns if c not in entity.columns]
     raw = rows.selectExpr(*[f"{c} AS raw_{c}" for c in entity.columns], *passed)
 
-    values = {c: p.value(f"trim(raw_{c})") for c, p in entity.parsers.items()}
+    wide = {c: p.wide for c, p in entity.parsers.items() if p.wide}
+    numbered = raw.selectExpr("*", *[f"{money(f'trim(raw_{c})')} AS _{c}" for c in wide])
+    values = {
+        c: p.of_number(f"_{c}") if c in wide else p.value(f"trim(raw_{c})") for c, p in entity.parsers.items()
+    }
+    values |= {f"{c}_wide": text(f"trim(raw_{c})", f"_{c}") for c, text in wide.items()}
     values.setdefault(entity.key, f"try_cast(raw_{entity.key} AS bigint)")
-    valued = raw.selectExpr("*", *[f"{value} AS {c}" for c, value in values.items()])
+    valued = numbered.selectExpr("*", *[f"{value} AS {c}" for c, value in values.items()])
+    valued = valued.drop(*[f"_{c}" for c in wide])
     # the tags see the values as columns, so each value is computed once
-    tags = {c: p.tag(f"trim(raw_{c})", c) for c, p in entity.parsers.items()}
+    held = {c: f"coalesce({c}, if({c}_wide IS NULL, NULL, 1))" if c in wide else c for c in entity.parsers}
+    tags = {c: p.tag(f"trim(raw_{c})", held[c]) for c, p in entity.parsers.items()}
     tagged = valued.selectExpr("*", *[f"{tag} AS {c}_format" for c, tag in tags.items()])
 
     bad_tags = [

@@ -27,16 +27,18 @@ def linked_ids(rows: DataFrame, link: Link) -> DataFrame:
 def checked_ids(ids: DataFrame, link: Link, hubs: Mapping[str, DataFrame]) -> DataFrame:
     """The id tuples plus the first id that has no hub row.
 
-    ``ids`` comes from ``linked_ids``; store it first, as its hot keys are counted here. ``hubs``
+    ``ids`` comes from ``linked_ids``; store it first, as one pass over it finds its hot keys here. ``hubs``
     maps nouns to hub rows; a noun left out is not checked, which is right for the link's own hub
     when it was loaded from these rows. Only the ids travel through the joins, and keys that own
     very many tuples are split (see ``lookup_join``).
     """
     checked = ids
-    for noun, hub in ((n, hubs[n]) for n in link.nouns if n in hubs):
+    nouns = [n for n in link.nouns if n in hubs]
+    hot = hot_keys(ids, *([BY_NOUN[n].key] for n in nouns)) if nouns else []
+    for noun, heavy in zip(nouns, hot):
         key = BY_NOUN[noun].key
-        present = hub.selectExpr(key, f"true AS has_{noun}")
-        checked = lookup_join(checked, present, [key], link.ids, "left", hot_keys(ids, [key]))
+        present = hubs[noun].selectExpr(key, f"true AS has_{noun}")
+        checked = lookup_join(checked, present, [key], link.ids, "left", heavy)
     tests = [f"if(has_{n} IS NULL, '{BY_NOUN[n].key}', NULL)" for n in link.nouns if n in hubs]
     first_missing = ", ".join([*tests, "cast(NULL AS string)"])
     return checked.selectExpr(*link.ids, f"coalesce({first_missing}) AS missing_type")

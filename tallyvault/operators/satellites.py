@@ -28,7 +28,12 @@ def latest_version(sat: DataFrame, hk: str) -> DataFrame:
 
 
 def _versioned(rows: DataFrame, entity: Entity) -> DataFrame:
-    hash_diff = md5_of(canonical_text(c, p.data_type) for c, p in entity.attributes.items())
+    texts = (
+        f"coalesce({text}, {c}_wide)" if p.wide else text
+        for c, p in entity.attributes.items()
+        for text in [canonical_text(c, p.data_type)]
+    )
+    hash_diff = md5_of(texts)
     return rows.filter(f"{entity.key} IS NOT NULL").selectExpr(
         f"{hub_key(entity.key)} AS {entity.hk}", "*", f"{hash_diff} AS hash_diff"
     )
@@ -66,7 +71,7 @@ def new_sat_rows(
     return chosen.selectExpr(
         entity.hk,
         f"{timestamp_literal(load_time)} AS load_datetime",
-        *entity.attributes,
+        *[f.name for f in entity.value_fields],
         "hash_diff",
     )
 

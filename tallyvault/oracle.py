@@ -19,6 +19,9 @@ def _odd_key(k: str, otherwise: str) -> str:
 def _odd_sum(k: str, otherwise: str) -> str:
     return f"""CASE {k} % 53 WHEN 1 THEN '0.00004' WHEN 2 THEN '1.00005'
                WHEN 3 THEN '123456789012345.5' WHEN 4 THEN '0.0000000000000000004'
+               WHEN 5 THEN '6e19' WHEN 6 THEN '+060000000000000000000.50'
+               WHEN 7 THEN '1234567890123456789012345678901234567890.1234567890123456789012'
+               WHEN 8 THEN '-7e40'
                ELSE {otherwise} END"""
 
 
@@ -274,27 +277,72 @@ def _product_name(t: str) -> tuple[str, str]:
     return f"nullif({t}, '')", _case(*_missing(t), "ELSE 'valid'")
 
 
+_NUMBER = r"'^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$'"
+
+
+def _shift(t: str) -> tuple[str, str, str]:
+    """Whole digits, decimals and sign of a number's text."""
+    digits = rf"regexp_replace(regexp_extract({t}, '^[+-]?([\d.]*)', 1), '\.', '')"
+    point = (
+        rf"(length(regexp_extract({t}, '^[+-]?(\d*)', 1))"
+        rf" + coalesce(TRY_CAST(nullif(regexp_extract({t}, '[eE](.*)$', 1), '') AS INTEGER), 0))"
+    )
+    whole = (
+        f"CASE WHEN {point} <= 0 THEN '' WHEN {point} >= length({digits}) THEN rpad({digits}, CAST({point} AS INTEGER), '0')"
+        f" ELSE left({digits}, {point}) END"
+    )
+    decimals = (
+        f"CASE WHEN {point} <= 0 THEN repeat('0', -CAST({point} AS INTEGER)) || {digits}"
+        f" WHEN {point} >= length({digits}) THEN '' ELSE substr({digits}, {point} + 1) END"
+    )
+    return f"ltrim({whole}, '0')", f"rtrim({decimals}, '0')", f"({t} LIKE '-%')"
+
+
 def _money(token: str = "", token_tag: str = "", positive: bool = True):
-    """Exact or not at all: a number with more than 18 decimals, zeros at its end left out."""
+    """A number of any size as text, without exponent and idle zeros."""
 
     def sql(t: str) -> tuple[str, str]:
-        decimals = rf"length(rtrim(regexp_extract({t}, '\.(\d*)$', 1), '0'))"
-        number = f"TRY_CAST({t} AS DECIMAL(38,18))"
-        wanted = f"TRY_CAST({t} AS DOUBLE) {'> 0' if positive else 'IS NOT NULL'}"
-        usable = f"{decimals} <= 18 AND {number} {'> 0' if positive else 'IS NOT NULL'}"
-        special = [f"WHEN {t} = '{token}' THEN '{token_tag}'"] if token else []
-        tag = _case(
-            *_missing(t),
-            *special,
-            f"WHEN {usable} THEN 'valid'",
-            f"WHEN {wanted} THEN 'out_of_range'",
-            "ELSE 'invalid'",
+        whole, decimals, negative = _shift(t)
+        zero = f"{whole} = '' AND {decimals} = ''"
+        text = (
+            f"CASE WHEN {negative} AND NOT ({zero}) THEN '-' ELSE '' END || coalesce(nullif({whole}, ''), '0')"
+            f" || CASE WHEN {decimals} = '' THEN '' ELSE '.' || {decimals} END"
         )
-        return _case(f"WHEN {usable} THEN {number}"), tag
+        usable = f"regexp_matches({t}, {_NUMBER})"
+        if positive:
+            usable += f" AND NOT {negative} AND NOT ({zero})"
+        special = [f"WHEN {t} = '{token}' THEN '{token_tag}'"] if token else []
+        tag = _case(*_missing(t), *special, f"WHEN {usable} THEN 'valid'", "ELSE 'invalid'")
+        return _case(f"WHEN {usable} THEN {text}"), tag
 
     return sql
 
 
+# Sums of positive numbers in pieces of 18 digits: three before the point, two behind it.
+_PIECES = ("h2", "h1", "h0", "f1", "f2")
+
+
+def _pieces(text: str, rate: str) -> str:
+    whole, decimals = f"lpad(split_part({text}, '.', 1), 54, '0')", f"rpad(split_part({text}, '.', 2), 36, '0')"
+    cuts = [f"substr({whole}, {1 + 18 * k}, 18)" for k in range(3)] + [f"substr({decimals}, {1 + 18 * k}, 18)" for k in range(2)]
+    return ", ".join(f"CAST({cut} AS HUGEINT) * {rate} AS {name}" for cut, name in zip(cuts, _PIECES))
+
+
+def _carried(columns: str, rows: str, group: str = "") -> str:
+    """columns and the pieces of sums over rows, each but the first below 10^18."""
+    unit = "1000000000000000000"
+    query = f"SELECT {columns}, {', '.join(f'sum({p})::HUGEINT AS {p}' for p in _PIECES)} FROM {rows} {group}"
+    for low, high in zip(_PIECES[:0:-1], _PIECES[-2::-1]):
+        query = f"SELECT * REPLACE ({low} % {unit} AS {low}, {high} + {low} // {unit} AS {high}) FROM ({query})"
+    return query
+
+
+_TOTAL = (
+    "coalesce(nullif(ltrim(h2::VARCHAR || lpad(h1::VARCHAR, 18, '0') || lpad(h0::VARCHAR, 18, '0'), '0'), ''), '0')"
+    " || rtrim('.' || rtrim(lpad(f1::VARCHAR, 18, '0') || lpad(f2::VARCHAR, 18, '0'), '0'), '.')"
+)
+
+
 def _is_active(t: str) -> tuple[str, str]:
     yes, no = f"lower({t}) IN ('true', '1', 'yes')", f"lower({t}) IN ('false', '0', 'no')"
     tag = _case(*_missing(t), f"WHEN {yes} OR {no} THEN 'valid'", "ELSE 'invalid'")
@@ -360,10 +408,7 @@ def _hash(parts: list[str]) -> str:
 
 
 def _attribute_text(column: str) -> str:
-    text = f"CAST({column} AS VARCHAR)"
-    if column in MONEY:
-        return rf"regexp_replace(regexp_replace({text}, '0+$', ''), '\.$', '')"
-    return text
+    return f"CAST({column} AS VARCHAR)"
 
 
 def _plain(columns: list[str]) -> str:
@@ -440,6 +485,48 @@ for _link, (_name, _nouns) in LINKS.items():
         FROM checked{_batch}_{_link}
         WHERE {" AND ".join(f"{n}_hk IS NOT NULL" for n in _nouns)}"""
 
+# --- a second load in full: it finds the keys of both loads --------------------------------------
+
+for _noun in NOUNS.values():
+    CTES[f"hubs_{_noun}"] = f"SELECT * FROM hub_{_noun} UNION SELECT * FROM hub2_{_noun}"
+    CTES[f"sats_{_noun}"] = f"""
+        SELECT {_noun}_hk, hash_diff FROM sat_{_noun}
+        UNION ALL
+        SELECT {_noun}_hk, hash_diff FROM sat2_{_noun} n WHERE NOT EXISTS (
+            SELECT 1 FROM sat_{_noun} o WHERE o.{_noun}_hk = n.{_noun}_hk AND o.hash_diff = n.hash_diff)"""
+for _link, (_name, _nouns) in LINKS.items():
+    _ids = [f"{n}_id" for n in _nouns]
+    CTES[f"checkedall_{_link}"] = f"""
+        SELECT c.*, {", ".join(f"h_{n}.{n}_hk" for n in _nouns)} FROM cleaned2_{_name} c
+        {" ".join(f"LEFT JOIN hubs_{n} h_{n} ON h_{n}.{n}_id = c.{n}_id" for n in _nouns)}
+        WHERE {" AND ".join(f"c.{i} IS NOT NULL" for i in _ids)}"""
+    CTES[f"rowsall_{_link}"] = f"""
+        SELECT DISTINCT {_hash([f"CAST({i} AS VARCHAR)" for i in _ids])} AS link_hk FROM checkedall_{_link}
+        WHERE {" AND ".join(f"{n}_hk IS NOT NULL" for n in _nouns)}
+        UNION SELECT link_hk FROM rows_{_link}"""
+
+
+def _logged(batch: str) -> str:
+    """A row of (source_table, level, reason) for every record that a load logs."""
+    checked = "checkedall" if batch else "checked"
+    found = []
+    for name, noun in NOUNS.items():
+        bad = " OR ".join(f"{c}_format NOT IN ({ACCEPTED.get(c, repr('valid'))})" for c in PARSERS[name])
+        found += [
+            f"SELECT '{name}' AS source_table, 'fatal' AS level, fatal_reason AS reason FROM parsed{batch}_{name} WHERE is_fatal",
+            f"""SELECT '{name}', 'warn', 'invalid_descriptive_attributes' FROM parsed{batch}_{name}
+                WHERE NOT is_fatal AND (duplicate_count > 1 OR {bad})""",
+            f"""SELECT '{name}', 'warn', 'conflicting_versions'
+                FROM (SELECT DISTINCT {noun}_hk, hash_diff FROM versions{batch}_{noun}) v
+                WHERE NOT EXISTS (SELECT 1 FROM sat{batch}_{noun} s
+                    WHERE s.{noun}_hk = v.{noun}_hk AND s.hash_diff = v.hash_diff)""",
+        ]
+    for link, (name, nouns) in LINKS.items():
+        missing = " OR ".join(f"{n}_hk IS NULL" for n in nouns)
+        found.append(f"SELECT '{name}', 'warn', 'missing_reference' FROM {checked}_{link} WHERE {missing}")
+    return " UNION ALL ".join(found)
+
+
 # --- analytics -------------------------------------------------------------------------------
 
 CTES["done_orders"] = "SELECT order_hk FROM sat_order WHERE status = 'completed'"
@@ -447,13 +534,13 @@ for _case_name, _preferred, _rates in (
     ("", "RUB", {"RUB": 1, "USD": 75, "EUR": 85}),
     ("_no_rates", "EUR", {"EUR": 1}),
 ):
-    _in_preferred = _case(*[f"WHEN currency = '{c}' THEN amount * {r}" for c, r in _rates.items()])
+    _rate = _case(*[f"WHEN currency = '{c}' THEN {r}" for c, r in _rates.items()])
     CTES[f"paid{_case_name}"] = f"""
-        SELECT l.order_hk, s.payment_timestamp, {_in_preferred} AS paid
+        SELECT l.order_hk, s.payment_timestamp, {_pieces("s.amount", f"({_rate})")}
         FROM sat_payment s
         JOIN rows_link_payment_order l ON l.payment_hk = s.payment_hk
         JOIN done_orders c ON c.order_hk = l.order_hk
-        WHERE {_in_preferred} IS NOT NULL"""
+        WHERE {_rate} IS NOT NULL AND s.amount IS NOT NULL"""
 CTES["last_action"] = """
         SELECT l.customer_hk, CAST(CAST(max(s.event_timestamp) AS DATE) AS VARCHAR)
                    AS last_action_date
@@ -488,20 +575,21 @@ def _with(query: str) -> str:
 
 
 def _lucrative(paid: str) -> str:
-    return f"""
-        SELECT h.customer_id, s.full_name, CAST(round(sum(p.paid), 2) AS DOUBLE) AS total_spent
-        FROM {paid} p
+    rows = f"""{paid} p
         JOIN rows_link_order_customer_product l ON l.order_hk = p.order_hk
         JOIN hub_customer h ON h.customer_hk = l.customer_hk
-        JOIN sat_customer s ON s.customer_hk = l.customer_hk
-        GROUP BY ALL ORDER BY sum(p.paid) DESC, h.customer_id LIMIT 10"""
+        JOIN sat_customer s ON s.customer_hk = l.customer_hk"""
+    return f"""
+        SELECT customer_id, full_name, {_TOTAL} AS total_spent
+        FROM ({_carried("h.customer_id, s.full_name", rows, "GROUP BY ALL")})
+        ORDER BY h2 DESC, h1 DESC, h0 DESC, f1 DESC, f2 DESC, customer_id LIMIT 10"""
 
 
 def _revenue(paid: str) -> str:
+    month = "CAST(CAST(date_trunc('month', payment_timestamp) AS DATE) AS VARCHAR) AS month"
     return f"""
-        SELECT CAST(CAST(date_trunc('month', payment_timestamp) AS DATE) AS VARCHAR) AS month,
-               CAST(round(sum(paid), 2) AS DOUBLE) AS total_revenue
-        FROM {paid} WHERE payment_timestamp IS NOT NULL GROUP BY 1 ORDER BY 1"""
+        SELECT month, {_TOTAL} AS total_revenue
+        FROM ({_carried(month, f"{paid} WHERE payment_timestamp IS NOT NULL", "GROUP BY 1")}) ORDER BY 1"""
 
 
 def _products(facts: str) -> str:
@@ -601,18 +689,20 @@ def statements() -> dict[str, str]:
                    {value} AS missing_value, 'cleaned.{name}' AS checked_table
             FROM checked_{link} WHERE {" OR ".join(f"{n}_hk IS NULL" for n in nouns)}"""
 
-    for suffix, into, decimals, rates in (
-        ("", "rub", 6, {"RUB": "1", "USD": "75", "EUR": "85"}),
-        ("_no_rates", "rub", 6, {"RUB": "1"}),
-        ("_into_eur", "eur", 2, {"EUR": "1", "USD": "75 / 85", "RUB": "1 / 85"}),
-    ):
-        amount = _case(*[f"WHEN currency = '{c}' THEN amount * {r}" for c, r in rates.items()])
-        found[f"converted_payments{suffix}"] = f"""
-            SELECT payment_id, CASE WHEN {amount} < 1000000000000
-                   THEN CAST(round({amount}, {decimals}) AS DOUBLE)
-                   ELSE CAST(round({amount}, 0) AS DOUBLE) END AS amount_{into}
-            FROM (SELECT v_payment_id AS payment_id, v_amount AS amount, v_currency AS currency
+    accepted = """(SELECT v_payment_id AS payment_id, v_amount AS amount, v_currency AS currency, row_number() OVER () AS n
                   FROM parsed_payments WHERE NOT is_fatal)"""
+    for suffix, rates in (("", {"RUB": "1", "USD": "75", "EUR": "85"}), ("_no_rates", {"RUB": "1"})):
+        rate = _case(*[f"WHEN currency = '{c}' THEN {r}" for c, r in rates.items()])
+        pieces = f"(SELECT payment_id, n, amount IS NULL OR {rate} IS NULL AS none, {_pieces('amount', f'({rate})')} FROM {accepted})"
+        found[f"converted_payments{suffix}"] = f"""
+            SELECT payment_id, CASE WHEN NOT none THEN {_TOTAL} END AS amount_rub
+            FROM ({_carried("payment_id, n, none", pieces, "GROUP BY ALL")})"""
+    rates = {"EUR": "1", "USD": "75 / 85", "RUB": "1 / 85"}
+    amount = "CAST(amount AS DOUBLE) * " + _case(*[f"WHEN currency = '{c}' THEN {r}" for c, r in rates.items()])
+    found["converted_payments_into_eur"] = f"""
+        SELECT payment_id, CASE WHEN x < 1000000000000 THEN CAST(round(CAST(x AS DECIMAL(30,6)), 2) AS DOUBLE)
+               ELSE round(x / pow(10, floor(log10(x)) - 8)) END AS amount_eur
+        FROM (SELECT payment_id, {amount} AS x FROM {accepted})"""
     for suffix in ("", "_no_rates"):
         found[f"top_customers_lucrative{suffix}"] = _lucrative(f"paid{suffix}")
         found[f"monthly_revenue{suffix}"] = _revenue(f"paid{suffix}")
@@ -645,4 +735,18 @@ def statements() -> dict[str, str]:
     ]
     found["structure_counts"] += f""" UNION ALL
         SELECT 'rejected_records', count(*) FROM ({" UNION ALL ".join(logged)})"""
+    first = {f"hub_{n}": f"hub_{n}" for n in NOUNS.values()} | {f"sat_{n}": f"sat_{n}" for n in NOUNS.values()}
+    first |= {link: f"rows_{link}" for link in LINKS}
+    both = {f"hub_{n}": f"hubs_{n}" for n in NOUNS.values()} | {f"sat_{n}": f"sats_{n}" for n in NOUNS.values()}
+    both |= {link: f"rowsall_{link}" for link in LINKS}
+    for name, tables in (("a_killed_load", first), ("two_loads", both)):
+        found[f"structure_after_{name}"] = " UNION ALL ".join(
+            f"SELECT '{shown}' AS table_name, count(*) AS row_count FROM {cte}" for shown, cte in tables.items()
+        )
+    found["structure_after_a_killed_load"] += f" UNION ALL SELECT 'rejected_records', count(*) FROM ({_logged('')})"
+    found["log_after_two_loads"] = " UNION ALL ".join(
+        f"""SELECT '2026-01-0{day} 00:00:00' AS load_datetime, source_table, level, reason, count(*) AS records
+            FROM ({_logged(batch)}) GROUP BY ALL"""
+        for day, batch in ((1, ""), (2, "2"))
+    )
     return {name: _with(query) for name, query in found.items()}

@@ -1,8 +1,9 @@
 """Analytics over a vault. Every function returns a DataFrame.
 
 A vault is anything that maps a table name to a DataFrame. While a plan is built, hot keys of the
-links are counted, and a top list of customers is found; all else is lazy. Ties in a top-N are broken by the
-smaller id, so results are repeatable.
+links are looked up (in the sketches a stored vault keeps, else in one pass over the link), and a top
+list of customers is found; all else is lazy. Ties in a top-N are broken by the smaller id, so results
+are repeatable.
 
 Facts are aggregated before they meet a table on a key that may be hot (an order with very many
 payments, a customer with very many orders). A link may hold very many rows of one order or event,
@@ -16,10 +17,11 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyvault.functions.currency import Rates, converted_amount
+from tallyvault.functions.currency import Rates, converted_totals, exact_amount, known_currencies
+from tallyvault.functions.exact import added, by_size, limb_sums
 from tallyvault.model import CUSTOMERS, EVENTS, ORDERS, PAYMENTS, PRODUCTS, Entity
 from tallyvault.operators.satellites import latest_version
-from tallyvault.operators.skew import lookup_join
+from tallyvault.operators.skew import HotKeys, hot_keys, lookup_join
 
 Vault = Mapping[str, DataFrame]
 
@@ -44,7 +46,14 @@ def _linked(
 ) -> DataFrame:
     """Rows of a link (``columns``) joined with one row per key of its own entity."""
     rows = vault[link].select("link_hk", entity.hk, *columns)
-    return lookup_join(rows, lookup, [entity.hk], ["link_hk"]).drop("link_hk")
+    hot = _hot_keys(vault, link, entity)
+    return lookup_join(rows, lookup, [entity.hk], ["link_hk"], hot=hot).drop("link_hk")
+
+
+def _hot_keys(vault: Vault, link: str, entity: Entity) -> HotKeys:
+    known = getattr(vault, "hot_keys", None)
+    found = known(link, entity.hk) if known else None
+    return hot_keys(vault[link], [entity.hk])[0] if found is None else found
 
 
 def _completed_orders(vault: Vault) -> DataFrame:
@@ -68,41 +77,36 @@ def _positive(n: int) -> int:
 def _paid_per_order(
     vault: Vault, preferred_currency: str, exchange_rates: Rates | None, by: dict[str, Column]
 ) -> DataFrame:
-    """Converted payment sums per order (and ``by``), completed orders only.
+    """Payment sums per order, currency (and ``by``) as limbs, completed orders only.
 
     Payments without a known rate are left out. Sums are taken per order first: an order may own
-    any number of payments, and the order satellite and link then join unique keys.
+    any number of payments, and the order satellite and link then join few rows per key.
     """
-    amount = converted_amount(
-        F.col("amount"), F.col("currency"), preferred_currency, exchange_rates
-    )
+    known = F.col("currency").isin(known_currencies(preferred_currency, exchange_rates))
     paid = (
-        _latest(vault, PAYMENTS, "amount", "currency", "payment_timestamp")
-        .select("payment_hk", amount.alias("paid"), *[c.alias(n) for n, c in by.items()])
+        _latest(vault, PAYMENTS, "amount", "amount_wide", "currency", "payment_timestamp")
+        .filter(known)
+        .select("payment_hk", "currency", F.expr(exact_amount("amount")).alias("paid"), *[c.alias(n) for n, c in by.items()])
         .filter(F.col("paid").isNotNull())
     )
-    return (
-        _linked(vault, PAYMENT_LINK, PAYMENTS, ["order_hk"], paid)
-        .groupBy("order_hk", *by)
-        .agg(F.sum("paid").alias("paid"))
-        .join(_completed_orders(vault), "order_hk")
-    )
+    linked = _linked(vault, PAYMENT_LINK, PAYMENTS, ["order_hk"], paid)
+    return limb_sums(linked, ["order_hk", "currency", *by], "paid").join(_completed_orders(vault), "order_hk")
 
 
 def get_top_customers(
     vault: Vault, preferred_currency: str, exchange_rates: Rates | None = None, top_n: int = 10
 ) -> DataFrame:
-    """Customers by money paid for completed orders: customer_id, full_name, total_spent."""
+    """Customers by money paid for completed orders: customer_id, full_name, total_spent.
+
+    total_spent is exact at any size, as plain text; see ``converted_totals``.
+    """
     paid = _paid_per_order(vault, preferred_currency, exchange_rates, by={})
-    spent = (
-        _linked(vault, ORDER_LINK, ORDERS, ["customer_hk"], paid)
-        .groupBy("customer_hk")
-        .agg(F.sum("paid").alias("total_spent"))
-    )
+    parts = added(_linked(vault, ORDER_LINK, ORDERS, ["customer_hk"], paid), ["customer_hk", "currency"])
+    spent = converted_totals(parts, ["customer_hk"], preferred_currency, exchange_rates, "total_spent")
     return (
         spent.join(_named(vault, CUSTOMERS, "full_name"), "customer_hk")
         .select("customer_id", "full_name", "total_spent")
-        .orderBy(F.desc("total_spent"), "customer_id")
+        .orderBy(*by_size("total_spent"), "customer_id")
         .limit(top_n)
     )
 
@@ -110,15 +114,14 @@ def get_top_customers(
 def get_monthly_revenue(
     vault: Vault, preferred_currency: str, exchange_rates: Rates | None = None
 ) -> DataFrame:
-    """Money paid for completed orders by payment month: month, total_revenue."""
+    """Money paid for completed orders by payment month: month, total_revenue.
+
+    total_revenue is exact at any size, as plain text.
+    """
     month = F.trunc(F.to_date("payment_timestamp"), "month")
     paid = _paid_per_order(vault, preferred_currency, exchange_rates, by={"month": month})
-    return (
-        paid.filter(F.col("month").isNotNull())
-        .groupBy("month")
-        .agg(F.sum("paid").alias("total_revenue"))
-        .orderBy("month")
-    )
+    parts = added(paid.filter(F.col("month").isNotNull()), ["month", "currency"])
+    return converted_totals(parts, ["month"], preferred_currency, exchange_rates, "total_revenue").orderBy("month")
 
 
 # --- products --------------------------------------------------------------------------------
@@ -184,7 +187,13 @@ def _most_active(vault: Vault, facts: DataFrame, count_name: str, n: int) -> Dat
     versions = vault[EVENTS.sat].select("event_hk", "load_datetime", "event_timestamp")
     of_theirs = versions.join(their_events.select("event_hk").distinct(), "event_hk", "left_semi")
     last_action = (
-        lookup_join(their_events, latest_version(of_theirs, "event_hk"), ["event_hk"], ["link_hk"])
+        lookup_join(
+            their_events,
+            latest_version(of_theirs, "event_hk"),
+            ["event_hk"],
+            ["link_hk"],
+            hot=_hot_keys(vault, EVENT_LINK, EVENTS),
+        )
         .groupBy("customer_hk")
         .agg(F.to_date(F.max("event_timestamp")).alias("last_action_date"))
     )

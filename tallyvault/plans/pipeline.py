@@ -31,7 +31,8 @@ class Load:
     Every source is read and parsed once, into a staged Parquet table of distinct raw rows with
     their values, tags and copy counts; all later steps read the columns they need from it.
     The steps run in the order hubs, then satellites and links; within a step the tables are
-    independent and their jobs run side by side.
+    independent and their jobs run side by side. No reader sees any of it before the last step, which
+    publishes the load.
     """
 
     spark: SparkSession
@@ -48,6 +49,7 @@ class Load:
     def run(self, raw: Mapping[str, DataFrame]) -> None:
         if self.vault.is_complete(self.load_id) and not self.again:
             raise ValueError(f"load {self.load_id} is in the vault already")
+        self.vault.withdraw(self.load_id)
         self.stage(raw)
         self.log_rejects()
         self.load_hubs()
@@ -98,12 +100,13 @@ class Load:
             rows = self.cleaned(link.entity)
             # the id tuples, and the checked ones, are written once and read by every later job
             ids = self.staging.put(f"ids_{link.name}", linked_ids(rows, link))
-            checked = checked_ids(ids, link, other_hubs(link, self.vault))
+            checked = checked_ids(ids, link, other_hubs(link, self.vault.during(self.load_id)))
             checked = self.staging.put(f"checked_{link.name}", checked)
             known = self.vault.before(link.name, self.load_id)
             self.vault.append(
                 link.name, new_link_rows(checked, link, self.load_time, known), self.load_id
             )
+            self.vault.sketch(link, self.load_id)
             missing = missing_references(rows, checked, link, self.load_time)
             self.vault.log(missing, self.load_id, f"references_{link.entity.name}")
 

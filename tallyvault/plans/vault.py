@@ -10,6 +10,7 @@ import hashlib
 import uuid
 from collections.abc import Iterator, Mapping
 from datetime import datetime
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from tallyvault.model import BY_NOUN, ENTITIES, LINKS, REJECT_SCHEMA, REJECTS, V
 from tallyvault.operators.hubs import new_hub_rows
 from tallyvault.operators.links import checked_ids, linked_ids, new_link_rows
 from tallyvault.operators.satellites import new_sat_rows
+from tallyvault.operators.skew import HotKeys, hot_keys_of, sketches
 
 
 # The column each table is bucketed by. No bucket can be much larger than another: hub keys and
@@ -54,6 +56,11 @@ class StoredVault(Mapping[str, DataFrame]):
     with earlier loads only (``before``), never with its own partition. Load ids sort in load
     order, e.g. ``20260131T235959000000``.
 
+    The folder ``<root>/loads`` is the commit log: an empty file per load, made when all of the load
+    is written. Every reader sees the loads in the log and no other, the reject log's included, so a
+    load that died part-way, or still runs, changes no result; its own steps read through ``during``.
+    A DataFrame keeps the loads that were published when it was made.
+
     With ``buckets`` the tables are written in that many buckets: hubs by business key,
     satellites by hash key, links by link key. Finding latest versions, new keys, new versions and
     new links then needs no shuffle of the stored side. Use the session's shuffle partition count,
@@ -78,7 +85,24 @@ class StoredVault(Mapping[str, DataFrame]):
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def __getitem__(self, table: str) -> DataFrame:
-        return self._read(table).drop("load_id")
+        return self._of_loads(self._read(table), self.published()).drop("load_id")
+
+    def published(self) -> list[str]:
+        """The loads of the commit log, in load order; one listing of one folder."""
+        folder, files = self._hadoop(f"{self.root}/loads")
+        if not files.exists(folder):
+            return []
+        names = [status.getPath().getName() for status in files.listStatus(folder)]
+        return sorted(unquote(name) for name in names if not name.startswith(("_", ".")))
+
+    def during(self, load_id: str) -> dict[str, DataFrame]:
+        """The tables as a load sees them: published ones and its own rows."""
+        loads = [*self.published(), load_id]
+        return {table: self._of_loads(self._read(table), loads).drop("load_id") for table in VAULT_SCHEMAS}
+
+    @staticmethod
+    def _of_loads(rows: DataFrame, loads: list[str]) -> DataFrame:
+        return rows.filter(F.col("load_id").isin(loads))
 
     def __iter__(self) -> Iterator[str]:
         return iter(VAULT_SCHEMAS)
@@ -88,21 +112,40 @@ class StoredVault(Mapping[str, DataFrame]):
 
     def is_complete(self, load_id: str) -> bool:
         """Whether a load with this id has reached its end."""
-        return self._exists(f"{self.root}/loads/{load_id}")
+        return self._exists(self._mark(load_id))
 
     def set_complete(self, load_id: str) -> None:
-        path = f"{self.root}/loads/{load_id}"
-        self.spark.createDataFrame([(load_id,)], "load_id string").coalesce(1).write.mode("overwrite").json(path)
+        """Publish a load: one empty file appears, or doesn't."""
+        path, files = self._hadoop(self._mark(load_id))
+        files.create(path, True).close()
+
+    def withdraw(self, load_id: str) -> None:
+        """Take a load out of the commit log, before it is written again."""
+        path, files = self._hadoop(self._mark(load_id))
+        files.delete(path, True)
 
     def before(self, table: str, load_id: str) -> DataFrame | None:
-        """Rows of earlier loads, None before the first one."""
-        if not self._exists(self._path(table)):
-            return None
-        return self._read(table).filter(F.col("load_id") < load_id).drop("load_id")
+        """Rows of earlier published loads, None before the first one."""
+        loads = [name for name in self.published() if name < load_id]
+        return self._of_loads(self._read(table), loads).drop("load_id") if loads else None
 
     def rejects(self) -> DataFrame:
         """The reject log with its ``load_id`` and ``stage``."""
-        return self._read_files(REJECTS, REJECT_SCHEMA, ("load_id", "stage"))
+        log = self._read_files(REJECTS, REJECT_SCHEMA, ("load_id", "stage"))
+        return self._of_loads(log, self.published())
+
+    def sketch(self, link: Link, load_id: str) -> None:
+        """Keep a sketch of the hot keys among the load's rows of a link, for ``hot_keys``."""
+        rows = self._of_loads(self._read(link.name), [load_id])
+        path = f"{self._path('sketches')}/{link.name}/load_id={load_id}"
+        sketches(rows, link.hks).write.mode("overwrite").parquet(path)
+
+    def hot_keys(self, table: str, column: str) -> HotKeys | None:
+        """Hot keys of a link's column, merged from the sketches of its loads; None without sketches."""
+        path = f"{self._path('sketches')}/{table}"
+        if not self._exists(path):
+            return None
+        return hot_keys_of(self._of_loads(self.spark.read.parquet(path), self.published()), column)
 
     def append(self, table: str, rows: DataFrame, load_id: str) -> None:
         rows = rows.select(*VAULT_SCHEMAS[table].names)
@@ -129,7 +172,10 @@ class StoredVault(Mapping[str, DataFrame]):
         records.write.mode("overwrite").parquet(path)
 
     def clear(self) -> None:
-        """Empty the known tables, by overwriting them; nothing else below the root is touched."""
+        """Empty the commit log, then the known tables, by overwriting them; nothing else below the
+        root is touched."""
+        for load_id in self.published():
+            self.withdraw(load_id)
         for table, schema in {**VAULT_SCHEMAS, REJECTS: REJECT_SCHEMA}.items():
             if self._exists(self._path(table)):
                 empty = self.spark.createDataFrame([], schema)
@@ -139,6 +185,10 @@ class StoredVault(Mapping[str, DataFrame]):
                 self.spark.sql(f"DROP TABLE {self._name(table)}")
             self._create_tables()
 
+    def _mark(self, load_id: str) -> str:
+        """The load's file in the commit log; ids may hold what paths may not."""
+        return f"{self.root}/loads/{quote(load_id, safe='')}"
+
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
@@ -163,9 +213,14 @@ class StoredVault(Mapping[str, DataFrame]):
 
     def _exists(self, path: str) -> bool:
         """One question to the file system; no file below the path is listed."""
+        where, files = self._hadoop(path)
+        return files.exists(where)
+
+    def _hadoop(self, path: str) -> tuple:
+        """A path and its file system."""
         context = self.spark.sparkContext
         where = context._jvm.org.apache.hadoop.fs.Path(path)
-        return where.getFileSystem(context._jsc.hadoopConfiguration()).exists(where)
+        return where, where.getFileSystem(context._jsc.hadoopConfiguration())
 
     def _agreed_buckets(self, wanted: int | None) -> int | None:
         """The bucket count the vault was first opened with; files only fit that count, so it is

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyvault.functions.currency import converted_amount
-from tallyvault.functions.parsers import phone_code
+from tallyvault.functions.currency import converted_amount, exact_amount
+from tallyvault.functions.hashing import canonical_text
+from tallyvault.functions.parsers import MONEY, phone_code
 from tallyvault.model import (
     BY_NOUN,
     ENTITIES,
@@ -38,9 +39,10 @@ from tallyvault.operators.links import checked_ids, linked_ids, missing_referenc
 from tallyvault.operators.rejects import clean_rejects, fatal_rejects, warn_rejects
 from tallyvault.operators.satellites import conflicting_versions, latest_version, new_sat_rows
 from tallyvault.plans import analytics
+from tallyvault.plans.pipeline import Load
 from tallyvault.plans.report import structure_counts
 from tallyvault.plans.staging import Staging, run_together
-from tallyvault.plans.vault import other_hubs, planned_vault
+from tallyvault.plans.vault import StoredVault, other_hubs, planned_vault
 from tallyvault.sources.bindings import next_batch, raw_entity
 from tallyvault.sources.readers import READERS
 
@@ -60,15 +62,18 @@ CHANGES = {
 }
 
 
+WIDE = {f"{c}_wide" for e in ENTITIES.values() for c, p in e.attributes.items() if p.wide}
+
+
 def plain(rows: DataFrame) -> DataFrame:
     def column(field: T.StructField) -> str:
-        if isinstance(field.dataType, T.DecimalType):
-            return f"cast({field.name} AS double) AS {field.name}"
+        if f"{field.name}_wide" in WIDE:
+            return f"cast({exact_amount(field.name)} AS double) AS {field.name}"
         if isinstance(field.dataType, (T.DateType, T.TimestampNTZType)):
             return f"cast({field.name} AS string) AS {field.name}"
         return field.name
 
-    return rows.selectExpr(*[column(f) for f in rows.schema.fields])
+    return rows.selectExpr(*[column(f) for f in rows.schema.fields if f.name not in WIDE])
 
 
 # --- inputs ----------------------------------------------------------------------------------
@@ -122,10 +127,13 @@ def parse_column(spark: SparkSession, sf_dir: str, entity: Entity, column: str)
     """Raw text, parsed value as text and tag of one column, for every source row."""
     rows = parse(with_row_hash(_raw(spark, sf_dir, entity), entity), entity)
     extra = [f"{phone_code('trim(raw_phone)')} AS phone_code"] if column == "phone" else []
+    value = f"cast({column} AS string)"
+    if f"{column}_wide" in WIDE:
+        value = f"coalesce({canonical_text(column, MONEY)}, {column}_wide)"
     return rows.selectExpr(
         f"raw_{entity.key} AS source_key",
         f"raw_{column} AS raw_value",
-        f"cast({column} AS string) AS value",
+        f"{value} AS value",
         f"{column}_format AS format",
         *extra,
     )
@@ -312,19 +320,20 @@ def _analytics(build: Callable[..., DataFrame], *args) -> Query:
     return lambda spark, sf_dir: plain(build(stored_vault(spark, sf_dir), *args))
 
 
-def _money(name: str, query: Query) -> Query:
-    """Sums rounded to cents, as other engines carry other scales."""
-    return lambda spark, sf_dir: query(spark, sf_dir).withColumn(name, F.round(name, 2))
+def converted_payments(spark: SparkSession, sf_dir: str, rates: dict | None, into: str = "RUB") -> DataFrame:
+    """Every accepted payment in one currency, as exact text."""
+    rows = _accepted(_raw(spark, sf_dir, PAYMENTS), PAYMENTS)
+    amount = converted_amount(exact_amount("amount"), "currency", into, rates)
+    return rows.selectExpr("payment_id", f"{amount} AS amount_{into.lower()}")
 
 
-def converted_payments(
-    spark: SparkSession, sf_dir: str, rates: dict | None, into: str = "RUB", decimals: int = 6
-) -> DataFrame:
-    """Every accepted payment in one currency; what a double holds no decimals of is rounded to units."""
-    rows = _accepted(_raw(spark, sf_dir, PAYMENTS), PAYMENTS)
-    amount = converted_amount(F.col("amount"), F.col("currency"), into, rates)
-    rounded = F.when(amount < 10**12, F.round(amount, decimals)).otherwise(F.round(amount, 0)).cast("double")
-    return rows.select("payment_id", rounded.alias(f"amount_{into.lower()}"))
+def rounded_payments(spark: SparkSession, sf_dir: str, rates: dict, into: str) -> DataFrame:
+    """The same where rates have no end: cents, or the first nine digits of large amounts."""
+    name = f"amount_{into.lower()}"
+    rows = converted_payments(spark, sf_dir, rates, into).withColumn("x", F.col(name).cast("double"))
+    small = "round(cast(x AS decimal(30,6)), 2)"
+    large = "round(x / pow(10, floor(log10(x)) - 8))"
+    return rows.select("payment_id", F.expr(f"if(x < 1e12, cast({small} AS double), {large})").alias(name))
 
 
 def structure(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -345,6 +354,49 @@ def structure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure_counts(tables | {"rejected_records": reduce(DataFrame.unionAll, log)} | vault)
 
 
+# --- loads -----------------------------------------------------------------------------------
+
+
+def _loaded(spark: SparkSession, sf_dir: str, dies_after: str = "") -> StoredVault:
+    """A stored vault after both loads; with dies_after the second one ends after that step."""
+    staging = Staging(spark)
+    vault = StoredVault(spark, f"{staging.root}/vault")
+    batches = [
+        {name: _raw(spark, sf_dir, e) for name, e in ENTITIES.items()},
+        {name: _second_raw(spark, sf_dir, e) for name, e in ENTITIES.items()},
+    ]
+    Load(spark, vault, FIRST_LOAD, staging).run(batches[0])
+    second = Load(spark, vault, SECOND_LOAD, Staging(spark))
+    if dies_after:
+        second.stage(batches[1])
+        for step in ("log_rejects", "load_hubs", "load_satellites", "load_links"):
+            getattr(second, step)()
+            if step == dies_after:
+                break
+    else:
+        second.run(batches[1])
+    return vault
+
+
+def structure_after_a_killed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of vault and log when a second load died after its hubs and satellites."""
+    vault = _loaded(spark, sf_dir, dies_after="load_satellites")
+    return structure_counts({"rejected_records": vault.rejects()} | {name: vault[name] for name in vault})
+
+
+def structure_after_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vault = _loaded(spark, sf_dir)
+    return structure_counts({name: vault[name] for name in vault})
+
+
+def log_after_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many records of each kind the log holds; the second load adds to those of the first."""
+    log = _loaded(spark, sf_dir).rejects()
+    kind = ["cast(load_datetime AS string) AS load_datetime", "source_table"]
+    kinds = log.selectExpr(*kind, _json("error_details", "level"), _json("error_details", "reason"))
+    return kinds.groupBy(*kinds.columns).agg(F.count(F.lit(1)).alias("records"))
+
+
 # --- registry --------------------------------------------------------------------------------
 
 
@@ -381,23 +433,18 @@ def registry() -> dict[str, Query]:
 
     found["converted_payments"] = partial(converted_payments, rates=RATES)
     found["converted_payments_no_rates"] = partial(converted_payments, rates=None)
-    found["converted_payments_into_eur"] = partial(converted_payments, rates=RATES, into="EUR", decimals=2)
-    found["top_customers_lucrative"] = _money(
-        "total_spent", _analytics(analytics.get_top_customers, "RUB", RATES, 10)
-    )
-    found["top_customers_lucrative_no_rates"] = _money(
-        "total_spent", _analytics(analytics.get_top_customers, "EUR", None, 10)
-    )
-    found["monthly_revenue"] = _money(
-        "total_revenue", _analytics(analytics.get_monthly_revenue, "RUB", RATES)
-    )
-    found["monthly_revenue_no_rates"] = _money(
-        "total_revenue", _analytics(analytics.get_monthly_revenue, "EUR")
-    )
+    found["converted_payments_into_eur"] = partial(rounded_payments, rates=RATES, into="EUR")
+    found["top_customers_lucrative"] = _analytics(analytics.get_top_customers, "RUB", RATES, 10)
+    found["top_customers_lucrative_no_rates"] = _analytics(analytics.get_top_customers, "EUR", None, 10)
+    found["monthly_revenue"] = _analytics(analytics.get_monthly_revenue, "RUB", RATES)
+    found["monthly_revenue_no_rates"] = _analytics(analytics.get_monthly_revenue, "EUR")
     for by in analytics.TOP_PRODUCTS:
         found[f"top_products_{by}"] = _analytics(analytics.top_products, by, 10)
     for by in analytics.TOP_CUSTOMERS:
         found[f"top_customers_{by}"] = _analytics(analytics.top_customers, by, 5)
     found["customers_without_orders"] = _analytics(analytics.get_customers_without_orders)
     found["structure_counts"] = structure
+    found["structure_after_a_killed_load"] = structure_after_a_killed_load
+    found["structure_after_two_loads"] = structure_after_two_loads
+    found["log_after_two_loads"] = log_after_two_loads
     return found

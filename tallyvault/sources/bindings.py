@@ -27,9 +27,11 @@ SCHEMAS = {
 
 # Keys that no row should have, by the key's remainder: missing, empty, blank and not a number.
 _ODD_KEY = "CASE k % 71 WHEN 1 THEN NULL WHEN 2 THEN '' WHEN 3 THEN ' ' WHEN 4 THEN concat('x', k) ELSE {key} END"
-# Sums that need many digits; the last one needs more than money has.
+# Sums that need many digits; the last four need more than a decimal has, two of them by their sum.
 _ODD_SUM = """CASE k % 53 WHEN 1 THEN '0.00004' WHEN 2 THEN '1.00005' WHEN 3 THEN '123456789012345.5'
-    WHEN 4 THEN '0.0000000000000000004' ELSE {sum} END"""
+    WHEN 4 THEN '0.0000000000000000004' WHEN 5 THEN '6e19' WHEN 6 THEN '+060000000000000000000.50'
+    WHEN 7 THEN '1234567890123456789012345678901234567890.1234567890123456789012' WHEN 8 THEN '-7e40'
+    ELSE {sum} END"""
 
 
 def _key(text: str = "cast(k as string)") -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from datetime import date, datetime
-from decimal import Decimal
+from decimal import Decimal, getcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,6 +67,10 @@ def vault(spark, tmp_path_factory):
     return stored
 
 
+def plain(number):
+    return f"{number.normalize():f}"
+
+
 class Expected:
     """The same history in Python: latest attributes, all links ever seen."""
 
@@ -93,7 +97,8 @@ class Expected:
             for linked, customer_id, _ in cls.order_links:
                 if linked == order_id:
                     total[customer_id] += amount
-        return sorted(((c, cls.names[c], t) for c, t in total.items()), key=lambda r: (-r[2], r[0]))
+        ranked = sorted(total.items(), key=lambda r: (-r[1], r[0]))
+        return [(c, cls.names[c], plain(t)) for c, t in ranked]
 
     @classmethod
     def revenue(cls, rates):
@@ -101,7 +106,7 @@ class Expected:
         for _, at, amount in cls.payments(rates):
             if at != "bad":
                 total[date(int(at[:4]), int(at[5:7]), 1)] += amount
-        return sorted(total.items())
+        return [(month, plain(t)) for month, t in sorted(total.items())]
 
     @classmethod
     def facts(cls, by):
@@ -203,37 +208,54 @@ def test_rates_must_be_positive(rate):
         normalised_rates("USD", {"USD": rate})
 
 
-def test_a_converted_amount_keeps_its_digits(spark):
-    row = spark.sql("SELECT cast(5286.18 AS decimal(18,4)) AS amount, 'USD' AS currency")
-    rates = {"EUR": 75, "USD": 85}
-    amount = converted_amount(F.col("amount"), F.col("currency"), "EUR", rates)
-    found = row.select(amount.alias("a")).first()["a"]
-    assert abs(found - Decimal("5991.003999999999823794")) < Decimal("1e-9")
+def converted(spark, amount, currency, preferred, rates):
+    rows = spark.createDataFrame([(amount, currency)], "amount string, currency string")
+    found = rows.selectExpr(f"{converted_amount('amount', 'currency', preferred, rates)} AS a").first()["a"]
+    return found if found is None else Decimal(found)
+
 
+def test_converted_amounts_keep_their_digits(spark):
+    found = converted(spark, "5286.18", "USD", "EUR", {"EUR": 75, "USD": 85})
+    assert abs(found - Decimal("5991.004")) < Decimal("1e-30")
+    assert converted(spark, "1000000", "X", "EUR", {"EUR": 1, "X": "1e-15"}) == Decimal("1e-9")
+    assert converted(spark, "0.000000000000000001", "EUR", "EUR", None) == Decimal("1e-18")
+    assert converted(spark, "2", "IDR", "EUR", {"EUR": 1, "IDR": "1234567890"}) == Decimal(2469135780)
+    assert converted(spark, "1", "GBP", "EUR", {"IDR": 10**20}) is None
+    assert converted(spark, None, "EUR", "EUR", None) is None
+    assert converted(spark, "7", "a'b\\", "EUR", {"a'b\\": 2}) == 14
 
-def test_small_rates_and_amounts_keep_their_digits(spark):
-    row = spark.sql("SELECT cast(1000000 AS decimal(38,18)) AS amount, 'X' AS currency")
-    amount = converted_amount(F.col("amount"), F.col("currency"), "EUR", {"EUR": 1, "X": "1e-15"})
-    assert row.select(amount.alias("a")).first()["a"] == Decimal("1e-9")
-    own = converted_amount(F.lit(Decimal("0.000000000000000001")).cast("decimal(38,18)"), F.lit("EUR"), "EUR", None)
-    assert row.select(own.alias("a")).first()["a"] == Decimal("1e-18")
 
+def test_rates_may_be_any_number_of_digits_apart(spark):
+    assert converted(spark, "3", "IDR", "EUR", {"IDR": 10**60}) == 3 * 10**60
+    assert converted(spark, "3", "X", "EUR", {"EUR": "1e-11", "X": 1}) == 3 * 10**11
+    assert converted(spark, "9" * 60 + ".5", "X", "EUR", {"X": "1e-70"}) == Decimal("9" * 60 + ".5e-70")
 
-def test_large_rates_still_fit(spark):
-    row = spark.sql("SELECT cast(2 AS decimal(18,4)) AS amount, 'IDR' AS currency")
-    amount = converted_amount(F.col("amount"), F.col("currency"), "EUR", {"EUR": 1, "IDR": "1234567890"})
-    assert row.select(amount.alias("a")).first()["a"] == Decimal(2469135780)
-    with pytest.raises(ValueError, match="too many digits"):
-        converted_amount(F.col("amount"), F.col("currency"), "EUR", {"IDR": 10**20})
+
+def test_sums_beyond_a_decimal(spark, tmp_path):
+    """Two amounts of 6e19 add up, and so do amounts of any size, beside small ones, across currencies."""
+    stored = StoredVault(spark, str(tmp_path))
+    amounts = ["6e19", "60000000000000000000", "1e45", "0.0000000000000000000001", "2.50", "-1e50", "9" * 38]
+    load(
+        spark, stored, DAY_1, customers=[customer("1"), customer("2")], products=[product("1")],
+        orders=[order("1", "1", "1"), order("2", "2", "1")],
+        payments=[payment(str(i), "1", a, ["RUB", "USD"][i % 2]) for i, a in enumerate(amounts)]
+        + [payment("90", "2", "999999999999999999999999999999999999999999999")],
+    )
+    getcontext().prec = 120
+    total = sum(Decimal(a) * RATES[["RUB", "USD"][i % 2]] for i, a in enumerate(amounts) if Decimal(a) > 0)
+    second = Decimal("999999999999999999999999999999999999999999999")
+    assert rows(A.get_top_customers(stored, "RUB", RATES)) == [(1, "Anna Lee", plain(total)), (2, "Anna Lee", plain(second))]
+    assert rows(A.get_monthly_revenue(stored, "RUB", RATES)) == [(date(2024, 2, 1), plain(total + second))]
+    held = {r["amount_wide"] for r in stored["sat_payment"].collect()}
+    assert held >= {"1" + "0" * 45, "0." + "0" * 21 + "1", "9" * 38}
 
 
 @pytest.mark.parametrize("by", ["orders", "purchases"])
 def test_splitting_link_keys_changes_nothing(vault, by, monkeypatch):
-    def every_key(rows, keys):
-        found = rows.select(*keys).distinct().withColumn("_groups", F.lit(3).cast("bigint"))
-        return rows.sparkSession.createDataFrame(found.collect(), found.schema)
+    def every_key(rows, *key_sets):
+        return [{r[0]: 3 for r in rows.select(F.xxhash64(*keys)).collect()} for keys in key_sets]
 
-    monkeypatch.setattr("tallyvault.operators.skew.hot_keys", every_key)
+    monkeypatch.setattr("tallyvault.plans.analytics.hot_keys", every_key)
     tables = {name: vault[name] for name in vault}
     assert rows(A.top_customers(tables, by, 6)) == Expected.top_customers(by, 6)
     assert rows(A.top_products(tables, by, 4)) == Expected.top_products(by, 4)

@@ -7,15 +7,22 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tallyvault.functions.parsers import phone_code
+from tallyvault.functions.parsers import money, phone_code
 from tallyvault.model import CUSTOMERS, ENTITIES, EVENTS, ORDERS, PAYMENTS, PRODUCTS
 
 
 def run(spark, parser, texts):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, raw string")
-    valued = rows.selectExpr("i", "raw", f"{parser.value('trim(raw)')} AS v")
-    tagged = valued.selectExpr("i", "v", f"{parser.tag('trim(raw)', 'v')} AS tag")
-    return [(r["v"], r["tag"]) for r in tagged.orderBy("i").collect()]
+    valued = rows.selectExpr("i", "raw", f"{parser.value('trim(raw)')} AS v", f"{wide_text(parser)} AS w")
+    tagged = valued.selectExpr("i", "v", "w", f"{parser.tag('trim(raw)', HELD)} AS tag")
+    return [(r["v"] if r["w"] is None else r["w"], r["tag"]) for r in tagged.orderBy("i").collect()]
+
+
+HELD = "coalesce(cast(v AS string), w)"
+
+
+def wide_text(parser):
+    return parser.wide("trim(raw)", money("trim(raw)")) if parser.wide else "cast(NULL AS string)"
 
 
 CASES = {
@@ -100,9 +107,16 @@ CASES = {
         ("-.5", Decimal("-0.5"), "valid"),
         ("123456789012345.5", Decimal("123456789012345.5"), "valid"),
         ("0.0000000000000000010", Decimal("1e-18"), "valid"),
-        ("0.0000000000000000001", None, "out_of_range"),
-        ("1e-19", None, "out_of_range"),
-        ("123456789012345678901", None, "out_of_range"),
+        ("0.0000000000000000001", "0.0000000000000000001", "valid"),
+        ("1e-19", "0.0000000000000000001", "valid"),
+        ("-123456789012345678901.50", "-123456789012345678901.5", "valid"),
+        ("+0123456789012345678901", "123456789012345678901", "valid"),
+        ("1e40", "1" + "0" * 40, "valid"),
+        ("0e99", "0", "valid"),
+        ("1e131072", None, "invalid"),
+        ("1e-16384", None, "invalid"),
+        ("1e99999999999", None, "invalid"),
+        ("1" * 45 + "." + "2" * 45, "1" * 45 + "." + "2" * 45, "valid"),
         (".", None, "invalid"),
         ("NaN", None, "invalid"),
         ("12,5", None, "invalid"),
@@ -150,7 +164,11 @@ CASES = {
         ("error_amount", None, "error_amount"),
         ("861.19", Decimal("861.1900"), "valid"),
         ("0.00004", Decimal("0.00004"), "valid"),
-        ("1e-20", None, "out_of_range"),
+        ("1e-20", "0.00000000000000000001", "valid"),
+        ("6e19", Decimal("6e19"), "valid"),
+        ("6e20", "600000000000000000000", "valid"),
+        ("-6e20", None, "invalid"),
+        ("\u0663", None, "invalid"),
         ("-1e-20", None, "invalid"),
         ("0", None, "invalid"),
         ("-3", None, "invalid"),
@@ -255,7 +273,10 @@ def test_a_value_comes_with_an_accepted_tag_and_only_then(spark, texts):
     texts = [t if t is None else t.encode("utf-8", "ignore").decode() for t in texts]
     parsers = {f"{e.name}_{c}": p for e in ENTITIES.values() for c, p in e.parsers.items()}
     rows = spark.createDataFrame([(t,) for t in texts], "raw string")
-    valued = rows.selectExpr("raw", *[f"{p.value('trim(raw)')} AS {n}" for n, p in parsers.items()])
+    value = "coalesce(cast({} AS string), {})"
+    valued = rows.selectExpr(
+        "raw", *[f"{value.format(p.value('trim(raw)'), wide_text(p))} AS {n}" for n, p in parsers.items()]
+    )
     tagged = valued.selectExpr(
         "*", *[f"{p.tag('trim(raw)', n)} AS {n}_tag" for n, p in parsers.items()]
     )

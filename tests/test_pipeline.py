@@ -86,12 +86,12 @@ def test_runs_from_files_to_reports(spark, inputs, tmp_path):
 
     assert lines(out / "top_most_lucrative_20260619_023621.csv") == [
         "customer_id,full_name,total_spent",
-        "2,Anna Lee,187.500000000000000",
-        "1,Anna Lee,10.500000000000000",
+        "2,Anna Lee,187.5",
+        "1,Anna Lee,10.5",
     ]
     assert lines(out / "monthly_revenue_20260619_023621.csv") == [
         "month,total_revenue",
-        "2024-02-01,198.000000000000000",
+        "2024-02-01,198",
     ]
     assert lines(out / "top_products_20260619_023621.csv") == [
         "product_id,product_name,popularity",

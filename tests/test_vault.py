@@ -9,6 +9,7 @@ from tallyvault.operators.hubs import new_hub_rows
 from tallyvault.operators.links import checked_ids, linked_ids, missing_references, new_link_rows
 from tallyvault.operators.satellites import conflicting_versions, latest_version, new_sat_rows
 from tallyvault.operators.skew import hot_keys, lookup_join
+from tallyvault.plans.analytics import top_customers
 from tallyvault.plans.pipeline import Load
 from tallyvault.plans.staging import Staging
 from tallyvault.plans.vault import StoredVault, planned_vault
@@ -92,6 +93,7 @@ def versions(spark, tmp_path, entity, *batches):
         rows = accepted(spark, entity, batch_rows)
         history = vault.before(entity.sat, day.isoformat())
         vault.append(entity.sat, new_sat_rows(rows, entity, day, history), day.isoformat())
+        vault.set_complete(day.isoformat())
     return vault[entity.sat]
 
 
@@ -208,14 +210,91 @@ def test_hot_keys_are_split_and_the_join_stays_the_same(spark):
 def test_hot_keys_own_more_than_an_even_share(spark):
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = spark.range(3000).selectExpr("id AS n", "CASE WHEN id < 1500 THEN 1 WHEN id < 1600 THEN 2 ELSE id END AS k")
-    found = {r["k"]: r["_groups"] for r in hot_keys(rows, ["k"]).collect()}
-    assert found == {1: partitions // 2}
-    groups = rows.filter("k = 1").groupBy(F.expr(f"pmod(xxhash64(n), {found[1]})")).count()
+    (one,) = spark.sql("SELECT xxhash64(1L)").first()
+    (found, by_both) = hot_keys(rows.selectExpr("n", "cast(k AS bigint) AS k"), ["k"], ["k", "n"])
+    assert found.keys() == {one} and by_both == {}
+    assert partitions // 2 <= found[one] <= partitions // 2 + 1  # counts are estimates
+    groups = rows.filter("k = 1").groupBy(F.expr(f"pmod(xxhash64(n), {found[one]})")).count()
     assert groups.agg(F.max("count")).first()[0] < 2 * 3000 / partitions
     plan = lookup_join(rows, rows.select("k").distinct(), ["k"], ["n"])
     assert "_group" in plan._jdf.queryExecution().executedPlan().toString()
     everything = spark.range(40).selectExpr("1 AS k", "id AS n")  # every key's share is even or more
-    assert hot_keys(everything, ["k"]).count() == 1
+    assert len(hot_keys(everything, ["k"])[0]) == 1
+    assert hot_keys(rows.limit(0), ["k"]) == [{}]
+
+
+def test_without_hot_keys_the_join_is_the_plain_one(spark):
+    rows = spark.range(500).selectExpr("id AS n", "id % 250 AS k")
+    lookup = spark.range(250).selectExpr("id AS k", "true AS known")
+    plan = lookup_join(rows, lookup, ["k"], ["n"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan == rows.join(lookup, ["k"])._jdf.queryExecution().optimizedPlan().toString() or "_group" not in plan
+
+
+def test_finding_hot_keys_shuffles_sketches_only(spark):
+    rows = spark.range(1000).selectExpr("id % 7 AS k")
+    plan = rows.selectExpr("approx_top_k(xxhash64(k), 8, 64) AS x")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_approx_top_k" in plan and "hashpartitioning" not in plan
+
+
+def test_a_stored_vault_knows_the_hot_keys_of_its_links(spark, tmp_path, monkeypatch):
+    """From the sketches of its loads, merged; the links themselves aren't read."""
+    vault = StoredVault(spark, str(tmp_path))
+    people = [customer(str(i)) for i in range(1, 40)]
+    first = [order(str(i), "7" if i % 3 else str(i % 39 + 1), "1") for i in range(1, 60)]
+    second = [order(str(i), "7", "1") for i in range(60, 100)]
+    load(spark, vault, DAY_1, customers=people, products=[product("1")], orders=first)
+    load(spark, vault, DAY_2, orders=second)
+    (seven,) = spark.sql("SELECT md5('7') AS k").selectExpr("xxhash64(k)").first()
+    link = "link_order_customer_product"
+    found = vault.hot_keys(link, "customer_hk")
+    counted = hot_keys(vault[link], ["customer_hk"])[0]
+    assert found == counted and found.keys() == {seven}
+    assert vault.hot_keys(link, "order_hk") == {}
+    monkeypatch.setattr("tallyvault.plans.analytics.hot_keys", None)  # never asked
+    assert top_customers(vault, "orders", 1).first()["customer_id"] == 7
+
+
+def died(spark, vault, day, step, **rows):
+    """A load that ends after the given step."""
+    load_ = Load(spark, vault, day, Staging(spark), again=True)
+    monkey = pytest.MonkeyPatch()
+    with monkey.context() as patch, pytest.raises(RuntimeError, match="killed"):
+
+        def killed():
+            getattr(Load, step)(load_)
+            raise RuntimeError("killed")
+
+        patch.setattr(load_, step, killed)
+        load_.run(batch(spark, **rows))
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+@pytest.mark.parametrize("step", ["load_hubs", "load_satellites", "load_links"])
+def test_a_load_that_dies_changes_nothing(spark, tmp_path, step, buckets):
+    vault = StoredVault(spark, f"{tmp_path}/v", buckets=buckets)
+    load(spark, vault, DAY_1, **BATCH)
+    tables = {name: tuples(vault[name], *schema.names) for name, schema in VAULT_SCHEMAS.items()}
+    logged = vault.rejects().count()
+    later = {**BATCH, "customers": [customer("1", city="Rome"), customer("7")], "orders": [order("100", "7", "11")]}
+    died(spark, vault, DAY_2, step, **later)
+    for name, schema in VAULT_SCHEMAS.items():
+        assert tuples(vault[name], *schema.names) == tables[name], (step, name)
+    assert vault.rejects().count() == logged and vault.published() == ["20260101T000000000000"]
+
+    # another load compares with the first one only, and the dead one can be run again
+    load(spark, vault, DAY_3, **later)
+    assert ("Rome",) in tuples(vault["sat_customer"], "city")
+    load(spark, vault, DAY_2, **later)
+    assert len(vault.published()) == 3
+
+
+def test_a_published_load_that_is_run_again_is_invisible_meanwhile(spark, tmp_path):
+    vault = StoredVault(spark, f"{tmp_path}/v")
+    load(spark, vault, DAY_1, **BATCH)
+    died(spark, vault, DAY_1, "load_hubs", **BATCH)
+    assert set(counts(vault).values()) == {0}
+    load(spark, vault, DAY_1, **BATCH)
+    assert counts(vault)["hub_customer"] == 2
 
 
 def test_links_read_their_ids_once(spark):

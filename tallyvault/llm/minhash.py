@@ -27,7 +27,8 @@ PERCENT = 80
 BINS = 240
 ROWS = 6  # values of a band: a pair of similarity 0.8 shares none of 40 bands once in 190,000 times
 SLOT_BITS = 18  # of the counts that order leading shingles: 2 MB
-WIDEN = 8  # so many times more centres a bucket has with every further star
+CENTRES = 16  # of a bucket by leading shingles at first,
+WIDEN = 8  # and so many times more in every further round
 
 PROFILE = pa.schema(
     [
@@ -157,87 +158,83 @@ def similar_in_size(percent: int) -> str:
     return f"100 * least(n, m) >= {percent} * greatest(n, m)"
 
 
-def _centres(members: DataFrame, count: int) -> DataFrame:
-    """(bucket, a, m): the first `count` members (bucket, node, n, of_node) of each bucket, and their sizes.
+def _labelled(rows: DataFrame, component: DataFrame, node: str, label: str) -> DataFrame:
+    """The rows with the component (id, component) of one of their columns; itself where it has none."""
+    named = component.select(F.col("id").alias(node), F.col("component").alias(label))
+    return rows.join(named, node, "left").withColumn(label, F.coalesce(label, node))
 
-    Members of its smallest components come first, so that a bucket of one large component and a few
-    others is settled by a star around each of these.
-    """
-    sizes = members.groupBy("bucket", "of_node").agg(F.count("*").alias("alike"))
-    order = Window.partitionBy("bucket").orderBy("alike", "of_node", "node", "n")  # cut before the shuffle
-    ranked = members.join(sizes, ["bucket", "of_node"]).withColumn("rank", F.row_number().over(order))
-    return ranked.where(F.col("rank") <= count).select("bucket", F.col("node").alias("a"), F.col("n").alias("m"))
 
+def _mixed(members: DataFrame) -> DataFrame:
+    """Buckets with members (bucket, label) of several components."""
+    ends = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return ends.where("low < high").select("bucket")
 
-class Stars:
-    """What the stars of buckets have told so far: pairs compared, and components of their links.
 
-    A bucket pairs its first members, the centres, with its others. A centre has then met its whole
-    bucket and leaves it. Sets linked to a centre are one component and need no comparison among
-    themselves. The Jaccard distance is a metric: a set more than twice the threshold's distance from a
-    centre is linked to none that is linked to the centre, so if a bucket has no set in between that is
-    in another component, those linked to the centre leave it, too. A bucket is done when what is left
-    of it is one component.
-    """
+def _pairs(met: DataFrame, percent: int) -> DataFrame:
+    similar = met.where(similar_in_size(percent))
+    return similar.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+
+
+def first_stars(
+    members: DataFrame, docs: DataFrame, size: int, percent: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Compare the first of each bucket's members (bucket, node, n) with its others.
 
-    def __init__(self, docs: DataFrame, size: int, percent: int):
-        self.docs, self.size, self.percent, self.far = docs, size, percent, max(0, 2 * percent - 100)
-        self.seen: DataFrame | None = None
-        self.component: DataFrame | None = None
-
-    def _of(self, rows: DataFrame, node: str, name: str) -> DataFrame:
-        if self.component is None:
-            return rows.withColumn(name, F.col(node))
-        named = self.component.select(F.col("id").alias(node), F.col("component").alias(name))
-        return rows.join(named, node, "left").withColumn(name, F.coalesce(name, node))
-
-    def _mixed(self, members: DataFrame) -> DataFrame:
-        """Buckets with members (bucket, of_node) of several components."""
-        ends = members.groupBy("bucket").agg(F.min("of_node").alias("low"), F.max("of_node").alias("high"))
-        return ends.where("low < high").select("bucket")
-
-    def reach(self, members: DataFrame, centres: int) -> DataFrame:
-        """Compare the centres of each bucket of members (bucket, node, n); returns who must go on."""
-        if self.component is None:  # all components have one member: a minimum folds before the shuffle
-            first = members.groupBy("bucket").agg(F.min("node").alias("a"), F.min_by("n", "node").alias("m"))
-        else:
-            first = _centres(self._of(members, "node", "of_node"), centres)
-        met = keep(members.join(first, "bucket").where("node <> a"))
-        wanted = met.where(similar_in_size(self.percent))
-        if self.component is not None:
-            wanted = self._of(self._of(wanted, "a", "of_a"), "node", "of_node").where("of_a <> of_node")
-        wanted = wanted.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        if self.seen is not None:
-            wanted = wanted.join(self.seen, ["a", "b"], "left_anti")
-        found = keep(compared(keep(wanted), self.docs, self.size, self.percent, self.far))
-        self.seen = found if self.seen is None else self.seen.unionByName(found)
-        self.component = keep(components(self.links()))
-
-        members = self._of(members, "node", "of_node")
-        mixed = keep(self._mixed(members))
-        told = (
-            met.join(mixed, "bucket", "left_semi")
-            .select("bucket", "a", "node", "n", "m", F.least("a", "node").alias("u"), F.greatest("a", "node").alias("v"))
-            .join(self.seen.withColumnsRenamed({"a": "u", "b": "v"}), ["u", "v"], "left")
-        )
-        told = keep(
-            self._of(self._of(told, "a", "of_a"), "node", "of_node").select(
-                "bucket",
-                "a",
-                "node",
-                F.coalesce("near", F.lit(False)).alias("near"),
-                F.expr(f"of_a <> of_node AND coalesce(mid, {similar_in_size(self.far)})").alias("between"),
-            )
-        )
-        settled = told.groupBy("bucket", "a").agg(F.bool_or("between").alias("open")).where("NOT open").drop("open")
-        done = told.select("bucket", F.col("a").alias("node")).unionByName(
-            told.where("near").join(settled, ["bucket", "a"], "left_semi").select("bucket", "node")
-        )
-        rest = members.join(mixed, "bucket", "left_semi").join(done.distinct(), ["bucket", "node"], "left_anti")
-        return keep(rest.join(self._mixed(rest), "bucket", "left_semi").select("bucket", "node", "n"))
-
-    def links(self) -> DataFrame:
-        return self.seen.where("near").select("a", "b")
+    Returns the pairs (a, b, near, mid) compared, the components of those that link, and the documents
+    (node) that may have links the stars don't tell. A centre has met its whole bucket. Sets linked to
+    it are one component and need no comparison among themselves. The Jaccard distance is a metric: a
+    set more than twice the threshold's distance from a centre is linked to none that is linked to the
+    centre, so these are told, too, unless the bucket has a set in between that is in another component.
+    """
+    far = max(0, 2 * percent - 100)
+    first = members.groupBy("bucket").agg(F.min("node").alias("a"), F.min_by("n", "node").alias("m"))
+    met = keep(members.join(first, "bucket").where("node <> a"))
+    found = keep(compared(keep(_pairs(met, percent)), docs, size, percent, far))
+    component = keep(components(found.where("near").select("a", "b")))
+    labelled = _labelled(members, component, "node", "label")
+    mixed = keep(_mixed(labelled))
+    told = (
+        met.join(mixed, "bucket", "left_semi")
+        .select("bucket", "a", "node", "n", "m", F.least("a", "node").alias("u"), F.greatest("a", "node").alias("v"))
+        .join(found.withColumnsRenamed({"a": "u", "b": "v"}), ["u", "v"], "left")
+    )
+    told = _labelled(_labelled(told, component, "a", "of_a"), component, "node", "label")
+    between = F.expr(f"of_a <> label AND coalesce(mid, {similar_in_size(far)})")
+    told = keep(told.select("bucket", "a", "node", F.coalesce("near", F.lit(False)).alias("near"), between.alias("between"), "label"))
+    opened = told.groupBy("bucket").agg(F.bool_or("between").alias("opened"))
+    left = told.join(opened, "bucket").where("opened OR NOT near")
+    return found, component, left.join(_mixed(left), "bucket", "left_semi").select("node").distinct()
+
+
+def more_stars(
+    members: DataFrame, component: DataFrame, known: DataFrame, docs: DataFrame, size: int, percent: int
+) -> DataFrame | None:
+    """Links (a, b) between members (bucket, node, n) of a bucket that are in different components.
+
+    Every bucket pairs its first members, CENTRES of them and WIDEN times more each round, with those of
+    other components. The centres have then met all of these and leave the bucket, which is done when
+    its rest is one component. Members of its smallest components come first, so that a bucket of one
+    large component and a few others is done by a star around each of these. Pairs in known (a, b) have
+    been compared before.
+    """
+    links: DataFrame | None = None
+    members, centres = keep(_labelled(members, component, "node", "label")), CENTRES
+    members = keep(members.join(_mixed(members), "bucket", "left_semi"))
+    while not members.isEmpty():
+        sizes = members.groupBy("bucket", "label").agg(F.count("*").alias("alike"))
+        order = Window.partitionBy("bucket").orderBy("alike", "label", "node", "n")  # cut before the shuffle
+        ranked = members.join(sizes, ["bucket", "label"]).withColumn("rank", F.row_number().over(order))
+        first = keep(ranked.where(F.col("rank") <= centres).drop("rank", "alike"))
+        other = first.select("bucket", F.col("node").alias("a"), F.col("n").alias("m"), F.col("label").alias("of_a"))
+        wanted = _pairs(members.join(other, "bucket").where("label <> of_a"), percent)
+        wanted = keep(wanted.join(known, ["a", "b"], "left_anti"))
+        found = compared(wanted, docs, size, percent, 0).where("near").select("a", "b")
+        found = keep(found)
+        links = found if links is None else links.unionByName(found)
+        rest = members.join(first.select("bucket", "node", "n"), ["bucket", "node", "n"], "left_anti")
+        members = keep(rest.join(_mixed(rest), "bucket", "left_semi"))
+        centres *= WIDEN
+    return links
 
 
 def _slots(values: np.ndarray) -> np.ndarray:
@@ -305,22 +302,20 @@ def shared_buckets(placed: DataFrame) -> DataFrame:
     return keep(placed.join(ends.where("low < high"), "bucket", "left_semi"))
 
 
-def star_links(members: DataFrame, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def star_components(members: DataFrame, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) that connect whatever links between members (bucket, node, n) of a bucket connect.
 
-    One star per bucket settles nearly all. Documents of the buckets left, such as those around a passage
-    that many share, meet again in buckets by leading shingles, which tell them better apart; there the
-    stars go on with WIDEN times more centres each round, until every bucket is settled.
+    One star per bucket tells nearly all. Documents that it leaves open, such as those around a passage
+    that many share, meet again in buckets by leading shingles, which tell them better apart.
     """
-    stars = Stars(docs, size, percent)
-    left = stars.reach(members, 1)
-    if not left.isEmpty():
-        left = leading_members(docs, left.select("node").distinct(), size, percent)
-        centres = 1
-        while not left.isEmpty():
-            left = stars.reach(left, centres)
-            centres *= WIDEN
-    return stars.links()
+    found, component, open_nodes = first_stars(members, docs, size, percent)
+    links = component.select(F.col("component").alias("a"), F.col("id").alias("b")).where("a <> b")
+    open_nodes = keep(open_nodes)
+    if not open_nodes.isEmpty():
+        meeting = leading_members(docs, open_nodes, size, percent)
+        more = more_stars(meeting, component, found.select("a", "b"), docs, size, percent)
+        links = links if more is None else links.unionByName(more)
+    return links
 
 
 def near_duplicates(
@@ -347,19 +342,20 @@ def near_duplicates(
     first = sets.where(F.size("bands") > 0).join(classes, name).where("doc_id = rep")
     first = first.groupBy(name).agg(F.first("rep").alias("node"), F.first("bands").alias("bands"))
     placed = keep(first.select(F.explode("bands").alias("bucket"), "node", "n"))
-    links = star_links(shared_buckets(placed), known, size, percent)
-    of_row = keep(sets.select("doc_id", *name).join(classes, name).select("doc_id", "n", "rep").distinct())
-    several = of_row.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a < last")
-    same = of_row.join(several, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b"))
-    found = components(links.unionByName(same))
-    of_row = of_row.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "doc_id", "n", F.coalesce("component", "rep").alias("component")
-    )
-    # texts of one document are one component, so its rows differ in their numbers of shingles only
-    of_doc = of_row.groupBy("doc_id").agg(F.min("component").alias("component"))
+    links = star_components(shared_buckets(placed), known, size, percent)
+    # a document of several texts connects their classes
+    several = sets.groupBy("doc_id").agg(*(f(k).alias(f"{f.__name__}_{k}") for f in (F.min, F.max) for k in name[1:]))
+    several = keep(several.where("min_key_a < max_key_a OR min_key_b < max_key_b").select("doc_id"))
+    if not several.isEmpty():
+        of_text = sets.join(several, "doc_id").join(classes, name).select("doc_id", "rep").distinct()
+        lowest = of_text.groupBy("doc_id").agg(F.min("rep").alias("a"))
+        links = links.unionByName(of_text.join(lowest, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b")))
+    found = components(links).withColumnRenamed("id", "rep")
+    of_class = classes.join(found, "rep", "left").select(*name, F.coalesce("component", "rep").alias("component"))
+    component = F.expr("if(doc_id IS NULL, NULL, coalesce(component, doc_id))").alias("component_id")
     return (
-        profile.select("doc_id", F.col("n").alias("n_shingles"))
-        .join(of_doc, "doc_id", "left")
-        .withColumn("component_id", F.coalesce("component", "doc_id"))
-        .select("doc_id", "n_shingles", "component_id", F.coalesce(F.expr("doc_id = component_id"), F.lit(True)).alias("kept"))
+        profile.select("doc_id", *name)
+        .join(of_class, name, "left")
+        .select("doc_id", F.col("n").alias("n_shingles"), component)
+        .withColumn("kept", F.coalesce(F.expr("doc_id = component_id"), F.lit(True)))
     )

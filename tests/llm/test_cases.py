@@ -289,18 +289,41 @@ def test_long_labelled_text_leaves_the_others(spark, toxic):
     random = np.random.default_rng(8)
     rows = []
     for k, i in enumerate(order):
-        n = toxicity.SAMPLE_CHARS // 4 if k == 0 else 40
+        n = toxicity.SAMPLE_CHARS[toxic] // 4 if k == 0 else 40
         rows.append((i, " ".join(np.array(words[labels[i]])[random.integers(0, 4, n)])))
-    assert labels[order[0]] == toxic and len(rows[0][1]) > toxicity.SAMPLE_CHARS
+    assert labels[order[0]] == toxic and len(rows[0][1]) > toxicity.SAMPLE_CHARS[toxic]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     marks = spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")
-    texts, classes = toxicity.labelled_sample(docs, marks, F.lit(False))
-    assert len(texts) == 120 and classes.sum() == 60
-    assert all(sum(len(t) for t, c in zip(texts, classes, strict=True) if c == k) <= toxicity.SAMPLE_CHARS for k in (0, 1))
+    texts, classes, odds = toxicity.labelled_sample(docs, marks, F.lit(False))
+    assert len(texts) == 120 and classes.sum() == 60 and odds == 1
+    assert all(sum(len(t) for t, c in zip(texts, classes, strict=True) if c == k) <= toxicity.SAMPLE_CHARS[k] for k in (0, 1))
     found = toxicity.score_toxicity(docs, marks, F.lit(False)).collect()
     assert all(r["predicted"] == labels[r["doc_id"]] for r in found)
 
 
+def test_more_toxic_labels_in_the_sample_than_there_are(spark, monkeypatch):
+    """The sample holds all toxic and few ordinary documents; the shares of all labels decide what is predicted."""
+    random = np.random.default_rng(3)
+    rows, labels = [], {}
+    for i in range(1800):
+        words = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in random.integers(0, 300, 60)]
+        labels[i] = int(i % 9 == 0)
+        if labels[i] or i % 30 == 1:  # a word that few ordinary documents have, too
+            words[int(random.integers(0, 60))] = "vile"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")
+    held_out = F.col("doc_id") % 5 == 0
+    for sample in ((6000, 2000), (250, 200)):
+        monkeypatch.setattr(toxicity, "SAMPLE_DOCS", sample)
+        _, classes, odds = toxicity.labelled_sample(docs, marks, held_out)
+        assert odds == pytest.approx((classes == 0).sum() / classes.sum() / 8)
+        found = toxicity.score_toxicity(docs, marks, held_out).where("held_out").toPandas()
+        toxic = found.doc_id.map(labels) == 1
+        assert (found.score[toxic] > found.score[~toxic].quantile(0.9)).mean() > 0.8
+        assert abs(found.score.mean() - 1 / 9) < 0.06
+
+
 def test_fair_share():
     assert toxicity.fair_share([], 9) == 0 and toxicity.fair_share([5, 2], 9) == 5
     assert toxicity.fair_share([100, 2, 3], 9) == 4 and toxicity.fair_share([100, 100, 100], 9) == 3

@@ -7,10 +7,11 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as contract
-from tallyvault.llm import decontamination
+from tallyvault.llm import decontamination, toxicity
 from tallyvault.llm import queries as llm
 from tallyvault.llm.blocks import blocks, supposed_main
 from tests.llm import brute
@@ -101,12 +102,32 @@ def test_suffix_dedup(spark):
 
 
 def test_toxicity(spark):
+    """Held-out documents: of those labelled toxic, how many score above 90 of 100 ordinary ones."""
     larger = Path("/root/testdata/sf0.1")
     found = llm.op7_toxicity(spark, str(larger)).toPandas().merge(table("labels", larger), on="doc_id")
     held = found[found.held_out]
-    rank, toxic = held.score.rank(), held.toxic == 1
-    wins = rank[toxic].sum() - toxic.sum() * (toxic.sum() + 1) / 2
-    assert wins / (toxic.sum() * (~toxic).sum()) > 0.9
+    toxic = held.toxic == 1
+    assert (held.score[toxic] > held.score[~toxic].quantile(0.9)).mean() > 0.9
+    assert (held.predicted == held.toxic).mean() > 0.95
+
+
+@pytest.mark.parametrize("toxic, ordinary, least", [(88, 2803, 0.85), (352, 704, 0.85), (352, 2803, 0.9)])
+def test_toxicity_of_other_class_shares(toxic, ordinary, least):
+    """More toxic labels beside the same ordinary ones, or the other way round."""
+    larger = Path("/root/testdata/sf0.1")
+    rows = table("documents", larger).merge(table("labels", larger), on="doc_id").dropna(subset=["toxic", "text"])
+    held = rows.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 5 == 0)
+    recalls = []
+    for draw in range(3):
+        learnt = rows[~held].sample(frac=1, random_state=draw)
+        few = [learnt[learnt.toxic == c].head(n) for c, n in ((0, ordinary), (1, toxic))]
+        both = np.random.default_rng(draw).permutation(np.concatenate([f.index for f in few]))
+        learnt = rows.loc[both]
+        scorer = toxicity.Scorer(learnt.text.tolist(), learnt.toxic.to_numpy().astype(int))
+        score = scorer.scores(toxicity.letters(pa.array(rows[held].text.tolist(), pa.string())))
+        of = rows[held].toxic.to_numpy() == 1
+        recalls.append((score[of] > np.quantile(score[~of], 0.9)).mean())
+    assert np.mean(recalls) >= least
 
 
 def test_ngram_join(spark):

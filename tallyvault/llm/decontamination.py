@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyvault.llm.shared import carried, extra_ddl
+from tallyvault.llm.shared import carried, extra_ddl, sent, with_text
 from tallyvault.llm.text import Words, batch, mix, pieces
 
 K1, B = 1.2, 0.75
@@ -175,7 +175,7 @@ def _search(index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             schema = pa.schema([*fields, ("extra", whole.column("extra").type)])
-            for b in pieces(whole):
+            for b in pieces(with_text(whole)):
                 words = Words(b.column("text"))
                 found: list[dict[int, float]] = [{} for _ in range(b.num_rows)]
                 for shard in index.value:
@@ -204,7 +204,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, carry: Sequence[st
     """
     index = docs.sparkSession.sparkContext.broadcast(build_index(benchmark))
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), carried(carry))
-    found = rows.mapInArrow(
+    found = sent(rows, carry).mapInArrow(
         _search(index), f"doc_id long, item_ids array<long>, score double, {extra_ddl(rows)}"
     )
     return found.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), "item_ids", "score", "extra")

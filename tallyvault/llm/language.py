@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyvault.llm.shared import carried, extra_ddl
+from tallyvault.llm.shared import carried, extra_ddl, sent, with_text
 from tallyvault.llm.text import Words, batch, pieces
 
 BUCKETS = 1 << 15  # of trigrams; a model has so many numbers per language
@@ -185,7 +185,7 @@ def _label(model):
         names = np.array([*known.languages, UNKNOWN], dtype=object)
         for whole in batches:
             schema = pa.schema([*fields, ("extra", whole.column("extra").type)])
-            for b in pieces(whole):
+            for b in pieces(with_text(whole)):
                 words = Words(b.column("text"))
                 n, some = b.num_rows, len(known.languages)
                 label, letters = known.label(words) if some else (np.zeros(len(words), int), np.zeros(len(words), int))
@@ -239,7 +239,7 @@ def identify(docs: DataFrame, held_out: Column, carry: Sequence[str] = ()) -> Da
     )
     model = docs.sparkSession.sparkContext.broadcast(fit(rows.where("NOT held_out")))
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered")
-    return rows.select("doc_id", "text", "held_out", lettered, "extra").mapInArrow(
+    return sent(rows.select("doc_id", "text", "held_out", lettered, "extra"), carry).mapInArrow(
         _label(model),
         "doc_id long, held_out boolean, lang_pred string, score double, "
         f"spans array<struct<start: long, end: long, lang: string>>, {extra_ddl(rows)}",

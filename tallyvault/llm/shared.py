@@ -6,6 +6,7 @@ import uuid
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +31,19 @@ def carried(names: Sequence[str]) -> Column:
     return (F.struct(*names) if names else F.lit(None).cast("struct<none: int>")).alias("extra")
 
 
+def sent(rows: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """The rows with the columns of carry as `extra`, without a second copy of a text that is among them."""
+    return rows.drop("text") if "text" in carry else rows
+
+
+def with_text(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """A batch of rows from sent(): its text, where only `extra` has it, as a column; nothing is copied."""
+    if "text" in batch.schema.names:
+        return batch
+    text = batch.column("extra").field("text").cast(pa.string())
+    return pa.RecordBatch.from_arrays([*batch.columns, text], names=[*batch.schema.names, "text"])
+
+
 def extra_ddl(rows: DataFrame) -> str:
     return f"extra {rows.schema['extra'].dataType.simpleString()}"
 

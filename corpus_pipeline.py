@@ -6,7 +6,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyvault.llm import chaining, decontamination, language, ngram_join, packing
@@ -25,12 +25,16 @@ def select_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that similar ones connect, that of the smallest doc_id; rows without one stay."""
+    """Of documents that similar ones connect, that of the smallest doc_id; rows without one stay.
+
+    Of rows that repeat a doc_id, the one whose columns come first in order stays.
+    """
     classes = ngram_join.similar_classes(docs)
     first = classes.where("doc_id = component_id").select("doc_id").distinct()
     rows = docs.select(COLUMNS)
-    known = rows.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.unionByName(rows.where("doc_id IS NULL")).select(COLUMNS)
+    one = Window.partitionBy("doc_id").orderBy(*(F.col(c).asc_nulls_last() for c in COLUMNS[1:]))
+    known = rows.join(first, "doc_id", "left_semi").withColumn("_n", F.row_number().over(one)).where("_n = 1")
+    return known.drop("_n").unionByName(rows.where("doc_id IS NULL")).select(COLUMNS)
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

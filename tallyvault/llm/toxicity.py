@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from tallyvault.llm.shared import keep
 from tallyvault.llm.text import NOT_LETTER, Words, batch, mix, pieces
 
-SAMPLE_DOCS = (6000, 2000)  # labelled documents, ordinary and toxic, at most,
-SAMPLE_CHARS = (16_000_000, 8_000_000)  # and characters of them: the bounds of what is learnt from
+SAMPLE_DOCS = (4000, 1500)  # labelled documents, ordinary and toxic, at most,
+SAMPLE_CHARS = (10_000_000, 5_000_000)  # and characters of them: the bounds of what is learnt from
 PASSAGE = 12  # words of a passage
 STRONGEST = 3  # words
 DOUBT = 2.0  # standard errors that a word's ratio must be away from none

@@ -51,9 +51,11 @@ def new_sat_rows(
     load_time: datetime,
     history: DataFrame | None = None,
     hub: DataFrame | None = None,
+    latest: DataFrame | None = None,
 ) -> DataFrame:
     """Versions to append: keys without any version, or whose latest version differs.
 
+    What is stored is given as all versions (``history``) or, read once per key, as the ``latest`` ones.
     ``hub`` limits the rows to its keys; leave it out when the hub was loaded from these rows,
     as it then holds every key. Both joins come after the choice of one row per key, so no key is
     hot in them. They use the hash key alone, the partitioning that the rows and the history already
@@ -62,8 +64,9 @@ def new_sat_rows(
     chosen = _chosen(_versioned(rows, entity), entity)
     if hub is not None:
         chosen = chosen.join(hub.select(entity.hk), entity.hk, "left_semi")
-    if history is not None:
+    if latest is None and history is not None:
         latest = latest_version(history.select(entity.hk, "load_datetime", "hash_diff"), entity.hk)
+    if latest is not None:
         stored = latest.selectExpr(entity.hk, "hash_diff AS _stored")
         chosen = chosen.join(stored, entity.hk, "left").filter(
             "_stored IS NULL OR _stored <> hash_diff"

@@ -663,6 +663,11 @@ def statements() -> dict[str, str]:
                       SELECT 1 FROM sat_{noun} o
                       WHERE o.{hk} = n.{hk} AND o.hash_diff = n.hash_diff))
             QUALIFY row_number() OVER (PARTITION BY {hk} ORDER BY batch DESC) = 1"""
+        found[f"sat_current_{noun}"] = f"""
+            SELECT {sat_columns} FROM (
+                SELECT * FROM sat2_{noun}
+                UNION ALL
+                SELECT * FROM sat_{noun} WHERE {hk} NOT IN (SELECT {hk} FROM sat2_{noun}))"""
         found[f"sat_of_known_keys_{noun}"] = f"""
             SELECT {sat_columns} FROM sat2_{noun} WHERE {hk} IN (SELECT {hk} FROM hub_{noun})"""
         found[f"conflicting_versions_{name}"] = f"""

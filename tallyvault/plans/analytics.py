@@ -31,10 +31,24 @@ PAYMENT_LINK = "link_payment_order"
 
 
 def _latest(vault: Vault, entity: Entity, *columns: str) -> DataFrame:
+    """(hk, *columns) of the newest versions: the snapshot a stored vault keeps, else out of all versions."""
+    snapshot = vault.current(entity.sat) if hasattr(vault, "current") else None
+    if snapshot is not None:
+        return snapshot.select(entity.hk, *columns)
     sat = vault[entity.sat].select(entity.hk, "load_datetime", *columns)
     return latest_version(sat, entity.hk).drop("load_datetime")
 
 
+def _latest_of(vault: Vault, entity: Entity, column: str, keys: DataFrame) -> DataFrame:
+    """(hk, column) of the newest versions of some keys; without a snapshot, only their versions
+    reach the window that finds the latest one."""
+    keys = keys.select(entity.hk)
+    if hasattr(vault, "current") and (snapshot := vault.current(entity.sat)) is not None:
+        return snapshot.select(entity.hk, column).join(keys, entity.hk, "left_semi")
+    versions = vault[entity.sat].select(entity.hk, "load_datetime", column).join(keys, entity.hk, "left_semi")
+    return latest_version(versions, entity.hk).drop("load_datetime")
+
+
 def _named(vault: Vault, entity: Entity, name: str) -> DataFrame:
     """(hk, id, latest name) of an entity."""
     hub = vault[entity.hub].select(entity.hk, entity.key)
@@ -172,24 +186,17 @@ def _most_active(vault: Vault, facts: DataFrame, count_name: str, n: int) -> Dat
     ranked = counts.join(hub, "customer_hk").orderBy(F.desc(count_name), "customer_id").limit(n)
     # the n rows of the list itself; a local table, as three lookups read it
     top = ranked.sparkSession.createDataFrame(ranked.collect(), ranked.schema)
-    names = latest_version(
-        vault[CUSTOMERS.sat]
-        .select("customer_hk", "load_datetime", "full_name")
-        .join(top.select("customer_hk"), "customer_hk", "left_semi"),
-        "customer_hk",
-    ).select("customer_hk", "full_name")
+    names = _latest_of(vault, CUSTOMERS, "full_name", top)
     their_events = (
         vault[EVENT_LINK]
         .select("link_hk", "event_hk", "customer_hk")
         .join(top.select("customer_hk"), "customer_hk", "left_semi")
     )
-    # only their events' versions reach the window that finds the latest one
-    versions = vault[EVENTS.sat].select("event_hk", "load_datetime", "event_timestamp")
-    of_theirs = versions.join(their_events.select("event_hk").distinct(), "event_hk", "left_semi")
+    of_theirs = _latest_of(vault, EVENTS, "event_timestamp", their_events.select("event_hk").distinct())
     last_action = (
         lookup_join(
             their_events,
-            latest_version(of_theirs, "event_hk"),
+            of_theirs,
             ["event_hk"],
             ["link_hk"],
             hot=_hot_keys(vault, EVENT_LINK, EVENTS),

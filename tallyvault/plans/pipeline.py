@@ -56,6 +56,7 @@ class Load:
         self.load_satellites()
         self.load_links()
         self.vault.set_complete(self.load_id)
+        self.vault.drop_old_snapshots()
 
     def cleaned(self, entity: Entity) -> DataFrame:
         return cleaned_rows(self.parsed[entity.name], entity)
@@ -85,9 +86,11 @@ class Load:
 
     def load_satellites(self) -> None:
         def write(entity: Entity) -> None:
-            history = self.vault.before(entity.sat, self.load_id)
-            rows = new_sat_rows(self.cleaned(entity), entity, self.load_time, history)
+            latest = self.vault.current(entity.sat, self.load_id)
+            history = self.vault.before(entity.sat, self.load_id) if latest is None else None
+            rows = new_sat_rows(self.cleaned(entity), entity, self.load_time, history, latest=latest)
             self.vault.append(entity.sat, rows, self.load_id)
+            self.vault.set_current(entity.sat, self.load_id)
 
         def log_conflicts(entity: Entity) -> None:
             conflicts = conflicting_versions(self.cleaned(entity), entity, self.load_time)

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from tallyvault.model import BY_NOUN, ENTITIES, LINKS, REJECT_SCHEMA, REJECTS, VAULT_SCHEMAS, Link
 from tallyvault.operators.hubs import new_hub_rows
 from tallyvault.operators.links import checked_ids, linked_ids, new_link_rows
-from tallyvault.operators.satellites import new_sat_rows
+from tallyvault.operators.satellites import latest_version, new_sat_rows
 from tallyvault.operators.skew import HotKeys, hot_keys_of, sketches
 
 
@@ -32,6 +32,9 @@ BUCKET_COLUMNS = (
 )
 
 
+BY_SAT = {e.sat: e for e in ENTITIES.values()}
+
+
 def other_hubs(link: Link, hubs: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Hub rows by noun for the ids a link's rows refer to; its own hub is complete by then."""
     return {noun: hubs[BY_NOUN[noun].hub] for noun in link.nouns[1:]}
@@ -61,6 +64,11 @@ class StoredVault(Mapping[str, DataFrame]):
     load that died part-way, or still runs, changes no result; its own steps read through ``during``.
     A DataFrame keeps the loads that were published when it was made.
 
+    ``<root>/current/<satellite>`` has the newest version of every key, written anew by each load from the
+    one before and the load's own rows. It is named after the list of loads it stands for, so it counts
+    as long as just these are in the log; after a load out of order, or one taken back, readers go
+    through all versions until the next load. History is kept and read by nobody else.
+
     With ``buckets`` the tables are written in that many buckets: hubs by business key,
     satellites by hash key, links by link key. Finding latest versions, new keys, new versions and
     new links then needs no shuffle of the stored side. Use the session's shuffle partition count,
@@ -134,6 +142,65 @@ class StoredVault(Mapping[str, DataFrame]):
         log = self._read_files(REJECTS, REJECT_SCHEMA, ("load_id", "stage"))
         return self._of_loads(log, self.published())
 
+    def current(self, sat: str, before: str | None = None) -> DataFrame | None:
+        """The newest version per key of the published loads, or of those before a load id; None if
+        there is no snapshot of just these loads."""
+        loads = [name for name in self.published() if before is None or name < before]
+        name = self._snapshot(loads)
+        if not loads or not self._exists(f"{self._path('current')}/{sat}/{name}"):
+            return None
+        return self._read_current(sat, name)
+
+    def set_current(self, sat: str, load_id: str) -> None:
+        """Write the snapshot that stands for the published loads before this one and its own rows.
+
+        Keys with a new version are left out of the snapshot before by an anti join on the partitioning
+        that both have, so with buckets no row of it is shuffled.
+        """
+        hk = BY_SAT[sat].hk
+        columns = VAULT_SCHEMAS[sat].names
+        own = self._of_loads(self._read(sat), [load_id]).select(columns)
+        last = self.current(sat, load_id)
+        if last is None and (history := self.before(sat, load_id)) is not None:
+            last = latest_version(history, hk)
+        rows = own if last is None else last.select(columns).join(own.select(hk), hk, "left_anti").select(columns).unionByName(own)
+        loads = [name for name in self.published() if name < load_id]
+        name = self._snapshot([*loads, load_id])
+        path = f"{self._path('current')}/{sat}/{name}"
+        if self.buckets is None:
+            rows.write.mode("overwrite").parquet(path)
+            return
+        writing = self._name(f"writing_{uuid.uuid4().hex}")
+        rows.write.mode("overwrite").option("path", path).bucketBy(self.buckets, hk).saveAsTable(writing)
+        self.spark.sql(f"DROP TABLE {writing}")
+
+    def drop_old_snapshots(self) -> None:
+        """Delete all snapshots but the last two: a reader may still be in the one before."""
+        loads = self.published()
+        kept = {self._snapshot(loads), self._snapshot(loads[:-1])}
+        for sat in BY_SAT:
+            folder, files = self._hadoop(f"{self._path('current')}/{sat}")
+            for status in files.listStatus(folder) if files.exists(folder) else []:
+                if status.getPath().getName() not in kept:
+                    files.delete(status.getPath(), True)
+
+    @staticmethod
+    def _snapshot(loads: list[str]) -> str:
+        return "of_" + hashlib.md5("\n".join(loads).encode()).hexdigest()
+
+    def _read_current(self, sat: str, name: str) -> DataFrame:
+        path, schema = f"{self._path('current')}/{sat}/{name}", VAULT_SCHEMAS[sat]
+        if self.buckets is None:
+            return self.spark.read.schema(schema).parquet(path)
+        table = self._name(f"current_{sat}_{name}")
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet"
+            f" CLUSTERED BY ({BUCKET_COLUMNS[sat]}) INTO {self.buckets} BUCKETS LOCATION '{path}'"
+        )
+        self.spark.catalog.refreshTable(table)
+        return self.spark.table(table)
+
     def sketch(self, link: Link, load_id: str) -> None:
         """Keep a sketch of the hot keys among the load's rows of a link, for ``hot_keys``."""
         rows = self._of_loads(self._read(link.name), [load_id])

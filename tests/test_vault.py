@@ -361,3 +361,55 @@ def test_a_vault_keeps_its_bucket_count(spark, tmp_path):
     StoredVault(spark, f"{tmp_path}/b").append("hub_product", hub, "1")
     with pytest.raises(ValueError, match="without buckets"):
         StoredVault(spark, f"{tmp_path}/b", buckets=4)
+
+
+def newest(vault, sat):
+    hk = {e.sat: e.hk for e in ENTITIES.values()}[sat]
+    return tuples(latest_version(vault[sat], hk), *VAULT_SCHEMAS[sat].names)
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_snapshots_hold_the_newest_versions(spark, tmp_path, buckets):
+    vault = StoredVault(spark, f"{tmp_path}/v", buckets=buckets)
+    sats = [e.sat for e in ENTITIES.values()]
+    assert vault.current("sat_order") is None
+    second = {"orders": [order("100", "2", "10", "cancelled"), order("105", "1", "11")], "customers": [customer("1", city="Rome")]}
+    third = {"orders": [order("100", "1", "10")], "products": [product("12")]}
+
+    def agree():
+        for sat in sats:
+            assert tuples(vault.current(sat), *VAULT_SCHEMAS[sat].names) == newest(vault, sat), sat
+
+    load(spark, vault, DAY_1, **BATCH)
+    agree()
+    died(spark, vault, DAY_2, "load_satellites", **third)
+    agree()
+    load(spark, vault, DAY_3, **third)
+    agree()
+    # a load in between: the snapshot of the third stands for other loads than there are now
+    load(spark, vault, DAY_2, **second)
+    assert vault.current("sat_order") is None
+    load(spark, vault, DAY_3.replace(hour=5), **second)
+    agree()
+    assert ("Rome",) in tuples(vault.current("sat_customer"), "city")
+    # the same load again, and a vault opened anew
+    load(spark, vault, DAY_3.replace(hour=5), **second)
+    agree()
+    again = StoredVault(spark, f"{tmp_path}/v")
+    assert tuples(again.current("sat_order"), "order_hk", "status") == tuples(vault.current("sat_order"), "order_hk", "status")
+    assert len(list(tmp_path.glob("v/current/sat_order/of_*"))) <= 2
+
+
+def test_a_load_reads_the_snapshot_and_no_history(spark, tmp_path):
+    vault = StoredVault(spark, f"{tmp_path}/v", buckets=4)  # the shuffle partitions
+    many = [order(str(i), "1", "1") for i in range(1, 60)]
+    load(spark, vault, DAY_1, orders=many, customers=[customer("1")], products=[product("1")])
+    load(spark, vault, DAY_2, orders=many[:7])
+    staged = Staging(spark).put("rows", accepted(spark, ORDERS, [order("3", "1", "1", "cancelled")]))
+    latest = vault.current("sat_order", "20260103T000000000000")
+    plan = new_sat_rows(staged, ORDERS, DAY_3, latest=latest.hint("merge"))._jdf.queryExecution().executedPlan().toString()
+    assert ".current_sat_order_of_" in plan and ".sat_order[" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # the batch; the snapshot is read as it lies
+    report = top_customers(vault, "orders", 1)._jdf.queryExecution().executedPlan().toString()
+    assert ".current_sat_event_of_" in report and ".sat_event[" not in report
+    assert top_customers(vault, "orders", 1).first()["order_count"] == 59

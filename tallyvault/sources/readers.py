@@ -13,40 +13,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyvault.model import CUSTOMERS, ENTITIES, EVENTS, ORDERS, PAYMENTS, PRODUCTS, Entity
+from tallyvault.sources.quoted import records
 
 # No text equals this, so Spark turns only absent CSV fields into NULL and keeps "" as ''.
 _NO_NULL_TEXT = "\u0002"
 
 
 def _read_csv(
-    spark: SparkSession, path: str, entity: Entity, separator: str, multi_line: bool
+    spark: SparkSession, path: str, entity: Entity, separator: str, multi_line: bool | str
 ) -> DataFrame:
     """Columns by position under a header line; absent field -> NULL, quoted "" -> ''.
 
     A row with too few or too many fields fails the load. ``multi_line`` allows line feeds inside
-    quoted fields, at the price of one task per file.
+    quoted fields. With True any number of tasks read a file, in two passes; quotes must then be paired,
+    so a stray one in a bare field fails the load as rows of a wrong width. ``document`` reads each
+    file in one task and bears with stray quotes.
     """
-    return (
-        spark.read.schema(entity.raw_schema)
-        .option("header", True)
-        .option("sep", separator)
-        .option("escape", '"')
-        .option("nullValue", _NO_NULL_TEXT)
-        .option("mode", "FAILFAST")
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
+    if multi_line not in (False, True, "document"):
+        raise ValueError(f"unknown way to read line feeds: {multi_line}")
+    options = {"sep": separator, "escape": '"', "nullValue": _NO_NULL_TEXT, "mode": "FAILFAST", "multiLine": bool(multi_line)}
+    if multi_line is not True:
+        return spark.read.schema(entity.raw_schema).options(header=True, **options).csv(path)
+    texts = {name: str(value).lower() if isinstance(value, bool) else value for name, value in options.items()}
+    row = F.from_csv("record", entity.raw_schema.simpleString()[len("struct<") : -1].replace(":", " "), texts)
+    return records(spark, path).select(row.alias("r")).select("r.*")
 
 
-def read_customers(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_customers(spark: SparkSession, path: str, multi_line: bool | str = False) -> DataFrame:
     return _read_csv(spark, path, CUSTOMERS, ",", multi_line)
 
 
-def read_products(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_products(spark: SparkSession, path: str, multi_line: bool | str = False) -> DataFrame:
     return _read_csv(spark, path, PRODUCTS, ",", multi_line)
 
 
-def read_payments(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_payments(spark: SparkSession, path: str, multi_line: bool | str = False) -> DataFrame:
     return _read_csv(spark, path, PAYMENTS, "^", multi_line)
 
 

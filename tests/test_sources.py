@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import json
+from random import Random
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tallyvault.model import CUSTOMERS, EVENTS, ORDERS, PAYMENTS
+from tallyvault.sources import quoted
 from tallyvault.sources.readers import (
     SourcePaths,
     read_customers,
@@ -56,6 +59,77 @@ def test_csv_line_feeds_inside_quotes(spark, tmp_path):
         read_customers(spark, path).collect()
 
 
+@pytest.fixture()
+def small_splits(spark):
+    """Splits of a few bytes, so that records, quotes and lines run over their edges."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+
+    def set_to(size):
+        spark.conf.set(names[0], str(size))
+        spark.conf.set(names[1], "1")
+
+    yield set_to
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("size", [7, 16, 61, 1 << 20])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_quoted_line_feeds_are_read_by_many_tasks(spark, tmp_path, small_splits, size, end):
+    """The same rows as one task per file gives, wherever the files are cut."""
+    random = Random(size)
+    names = ["Anna", "Lee\nBo", 'say ""hi""', "a,b", "\n\n", '""', "", '"",\n""', "é\n日本"]
+    for part in range(3):
+        rows = []
+        for i in range(60):
+            fields = [str(100 * part + i)]
+            for _ in range(5):
+                value = random.choice(names)
+                fields.append(f'"{value}"' if random.random() < 0.6 or any(c in value for c in ',"\n') else value)
+            rows.append(",".join(fields))
+        text = CUSTOMER_HEADER.strip() + end + end.join(rows) + (end if part else "")
+        (tmp_path / f"c{part}.csv").write_bytes(text.encode())
+    expected = tuples(read_customers(spark, str(tmp_path), multi_line="document"), *CUSTOMERS.columns)
+    small_splits(size)
+    found = read_customers(spark, str(tmp_path), multi_line=True)
+    assert tuples(found, *CUSTOMERS.columns) == expected and len(expected) == 180
+
+
+def test_line_ends_within_quotes_stay_as_they_are(spark, tmp_path):
+    (tmp_path / "c.csv").write_bytes(CUSTOMER_HEADER.encode() + b'1,"x\r\ny",c,d,"e\n",f\r\n')
+    (found,) = tuples(read_customers(spark, str(tmp_path), multi_line=True), *CUSTOMERS.columns)
+    assert found == ("1", "x\r\ny", "c", "d", "e\n", "f")
+
+
+def test_a_header_may_hold_a_line_feed_and_files_may_be_empty(spark, tmp_path, small_splits):
+    (tmp_path / "a.csv").write_text('"customer\nid",b,c,d,e,f\n1,2,3,4,5,6\n')
+    (tmp_path / "b.csv").write_text("")
+    (tmp_path / "c.csv").write_text(CUSTOMER_HEADER)
+    for size in (5, 1 << 20):
+        small_splits(size)
+        assert tuples(read_customers(spark, str(tmp_path), multi_line=True), *CUSTOMERS.columns) == [tuple("123456")]
+
+
+def test_only_records_of_several_lines_are_shuffled(spark, tmp_path):
+    path = write(tmp_path / "c.csv", CUSTOMER_HEADER + "".join(f"{i},a,b,c,d,e\n" for i in range(500)) + '9,"a\nb",c,d,e,f\n')
+    lines = spark.read.text(path, lineSep="\n").select(F.lit(1).cast("long").alias("file"), F.lit(0).cast("long").alias("block"), "value")
+    contexts = quoted._contexts(lines.mapInArrow(quoted._summaries, quoted.SUMMARY_DDL).toArrow())
+    cut = lines.mapInArrow(quoted._cut(spark.sparkContext.broadcast(contexts)), quoted.LINE_DDL)
+    assert cut.where("NOT alone").count() == 2
+    assert read_customers(spark, path, multi_line=True).count() == 501
+
+
+@pytest.mark.parametrize("way", [True, "document"])
+def test_rows_of_the_wrong_width_fail_with_line_feeds_too(spark, tmp_path, way):
+    for bad in ('1,"2\n3",4\n', '1,"2\n",3,4,5,6,7\n'):
+        path = write(tmp_path / "c.csv", CUSTOMER_HEADER + bad)
+        with pytest.raises(Exception, match="MALFORMED"):
+            read_customers(spark, path, multi_line=way).collect()
+    with pytest.raises(ValueError, match="unknown way"):
+        read_customers(spark, path, multi_line="lines")
+
+
 def test_payments_are_separated_by_carets(spark, tmp_path):
     header = "payment_id^order_id^payment_method^amount^currency^payment_timestamp\n"
     path = write(tmp_path / "p.csv", header + "1^2^card^3,50^USD^2024-01-01 00:00:00\n3^4^^^^\n")

@@ -22,11 +22,13 @@ from tallyvault.llm import (
     suffix_dedup,
     toxicity,
 )
+from tallyvault.llm.shared import bound_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

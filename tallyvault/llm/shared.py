@@ -3,14 +3,43 @@
 from __future__ import annotations
 
 import uuid
-
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+BATCH_BYTES = 4 << 20
+_BYTES_PER_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let the session send rows to Python in batches of at most BATCH_BYTES, and at least one row.
+
+    By default only rows are counted, and ten thousand rows of long texts fill a worker. A session that
+    was started with a bound of its own keeps it.
+    """
+    if not spark.sparkContext.getConf().contains(_BYTES_PER_BATCH):
+        spark.conf.set(_BYTES_PER_BATCH, BATCH_BYTES)
+
+
+_made: list[list[str]] = []  # folders of tables, per open tables_of_a_step()
+
+
+@contextmanager
+def tables_of_a_step(spark: SparkSession) -> Iterator[list[str]]:
+    """Gathers the folders that keep() writes to while it is open, and deletes them at its end but for
+    those taken out of the list: what the step returns must not need them any more."""
+    _made.append([])
+    try:
+        yield _made[-1]
+    finally:
+        for folder in _made.pop():
+            _delete(spark, folder)
+
+
 def keep(frame: DataFrame) -> DataFrame:
     """The frame's rows as a Parquet table below spark.checkpoint.dir.
 
@@ -22,6 +51,8 @@ def keep(frame: DataFrame) -> DataFrame:
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
     path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+    for step in _made[-1:]:
+        step.append(path)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
@@ -50,8 +81,10 @@ def extra_ddl(rows: DataFrame) -> str:
 
 def drop(frame: DataFrame) -> None:
     """Delete a table made by keep()."""
-    spark = frame.sparkSession
-    jvm = spark.sparkContext._jvm
     for folder in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(frame.sparkSession, folder)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -138,6 +138,47 @@ def test_fuzzy_passage(spark):
     assert found[4]["n_removed"] == 80 and found[4]["text"].strip() == " ".join(tail[::-1])
 
 
+def test_spread_seeds_change_nothing(spark, monkeypatch):
+    """Seeds that are spread over tasks by a salt lead to the same first document as all others."""
+    random = np.random.default_rng(4)
+    passage = [f"p{i}" for i in range(70)]
+    rows = []
+    for i in range(150):
+        own = [f"w{int(k)}" for k in random.integers(0, 4000, 120)]
+        text = own[:60] + passage + own[60:] if i % 3 else own
+        rows.append((1000 - 3 * i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    columns = ("doc_id", "n_removed", "n_spans", "text")
+
+    def result():
+        return sorted(map(tuple, chaining.without_passages(docs).select(*columns).collect()))
+
+    seeds = docs.mapInArrow(chaining._seeds(np.zeros(0, np.uint64)), chaining.SEEDS_DDL).select("seed").distinct()
+    every = np.sort(np.array([r[0] for r in seeds.collect()], np.int64).view(np.uint64))
+    found = {}
+    for name, hot in (("none", every[:0]), ("some", every[::3]), ("all", every)):
+        monkeypatch.setattr(chaining, "hot_seeds", lambda known, hot=hot: hot)
+        found[name] = result()
+    assert found["none"] == found["some"] == found["all"]
+    assert sum(n > 0 for _, n, _, _ in found["none"]) == 99
+
+
+def test_a_chain_of_one_run_aligns_as_any_other():
+    random = np.random.default_rng(12)
+    told = 0
+    for _ in range(3000):
+        own = random.integers(0, 3, int(random.integers(6, 40))).astype(np.uint32)
+        other = random.integers(0, 3, int(random.integers(6, 40))).astype(np.uint32)
+        start, first, n = int(random.integers(0, 3)), int(random.integers(0, 3)), int(random.integers(1, 5))
+        other[first : first + n] = own[start : start + n]
+        one = chaining._align_run(own, other, start, start + n, first)
+        full = chaining.align(own, other, 0, [start, start + n, first, start + n, start + n, first + n])
+        if one is not None:
+            told += 1
+            assert one == full
+    assert told > 2000
+
+
 def test_exact_passages_with_gaps_between(spark):
     """Two exact passages of one source, however far apart on either side, are cut whole."""
     random, rows = np.random.default_rng(11), []

@@ -6,13 +6,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyvault.llm import chaining, decontamination, language, ngram_join, packing
 from tallyvault.llm.queries import tokenizer_path
-from tallyvault.llm.shared import keep
+from tallyvault.llm.shared import bound_batches, drop, keep, tables_of_a_step
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LEAST_SHARE = 0.5  # of a document's letters that its language must have
 
@@ -56,20 +60,36 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs, tokenizer_path(), with_ids=False).drop("ids")
 
 
+def _bounded(stage: Stage) -> Stage:
+    """The stage, in a session that sends texts to Python in small batches."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("language_id", select_language),
-    ("ngram_jaccard_join", drop_near_copies),
-    ("substring_dedup", cut_passages),
-    ("benchmark_decontamination", drop_contaminated),
-    ("best_fit_packing", pack_sequences),
+    ("language_id", _bounded(select_language)),
+    ("ngram_jaccard_join", _bounded(drop_near_copies)),
+    ("substring_dedup", _bounded(cut_passages)),
+    ("benchmark_decontamination", _bounded(drop_contaminated)),
+    ("best_fit_packing", _bounded(pack_sequences)),
 ]
 ORACLE_SQL = None  # a model, chains and a packing search are beyond SQL; tests use brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for number, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES) - 1:
-            docs = keep(docs)
-    return docs
+    """The last stage's rows. What a stage wrote on its way goes when its documents are written, and
+    these when the next stage's are; the last stage's tables stay, as its rows are read by the caller."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES[:-1]:
+        with tables_of_a_step(spark) as written:
+            docs = keep(stage(spark, docs, sf_dir))
+            written.pop()  # the documents themselves
+        if last is not None:
+            drop(last)
+        last = docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -125,6 +125,7 @@ CHANGES = {
     "orders": ("status", "cancelled"),
     "events": ("event_type", "login"),
 }
+BROKEN = {"customers": "full_name", "products": "product_name", "payments": "payment_method"}
 WHOLE_NUMBER = r"'^[+-]?\d+$'"
 
 
@@ -626,6 +627,10 @@ def statements() -> dict[str, str]:
         attributes, hk = columns[1:], f"{noun}_hk"
         absent = "nullif({c}, '') AS {c}" if name in ("orders", "events") else "{c}"
         found[f"read_{name}"] = f"SELECT {', '.join(absent.format(c=c) for c in columns)} FROM raw_{name}"
+        if name in BROKEN:
+            broken = f"""{BROKEN[name]} || '",' || chr(10) || '^"' || chr(10) || {BROKEN[name]}"""
+            texts = [f"{broken} AS {c}" if c == BROKEN[name] else c for c in columns]
+            found[f"read_line_feeds_{name}"] = f"SELECT {', '.join(texts)} FROM raw_{name}"
         found[f"row_hash_{name}"] = f"SELECT {key}, {_hash(columns)} AS row_hash FROM raw_{name}"
         for column in PARSERS[name]:
             code = f", {_phone_code('trim(phone)')} AS phone_code" if column == "phone" else ""

@@ -1,11 +1,12 @@
-"""Records of text files whose quoted fields hold line feeds, read by any number of tasks.
-
-A line feed ends a record where the quotes before it are even in number. How many there are before a
-split of a file is known only when the splits before it are read, so there are two passes. The first
-gives a summary per split: whether its quotes are odd, and which of its lines is the last to begin a
-record if the quotes before the split are even, and if they are odd. Summaries in file order tell what
-holds for each split, and the second pass cuts. Records of one line go on as they are; only the lines of
-longer ones, and the last line of each split, meet in a shuffle.
+"""Records of text files whose quoted texts hold the separator, read by any number of tasks.
+
+A separator (the line feed of a CSV file, the closing brace of a JSON object) ends a record where the
+quotes before it are even in number. How many there are before a split of a file is known only when the
+splits before it are read, so there are two passes. The first gives a summary per split: whether its
+quotes are odd, and which of its lines is the last to begin a record if the quotes before the split are
+even, and if they are odd. Summaries in file order tell what holds for each split, and the second pass
+cuts. Records of one line go on as they are; only the lines of longer ones, and the last line of each
+split, meet in a shuffle. A line is what stands between two separators.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,10 +37,15 @@ LINE_DDL = "file long, start_block long, start_line long, block long, line long,
 NONE = -1
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines in file order within each split, which is named by its file and first byte."""
-    return spark.read.text(path, lineSep="\n").select(
-        F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"
+def _lines(spark: SparkSession, path: str, separator: str, escapes: bool) -> DataFrame:
+    """Lines in file order within each split, which is named by its file and first byte, and their quotes."""
+    bare = r"regexp_replace(value, r'(?s)\\.', '')" if escapes else "value"  # a quote behind a backslash is none
+    quotes = f"length({bare}) - length(replace({bare}, '\"', ''))"
+    return spark.read.text(path, lineSep=separator).select(
+        F.xxhash64("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.expr(quotes).alias("quotes"),
+        "value",
     )
 
 
@@ -60,7 +65,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int]
             if held is not None:
                 yield *held, not same
             rows = whole.slice(lo, hi - lo)
-            quotes = pc.count_substring(rows.column("value"), '"').to_numpy(zero_copy_only=False)
+            quotes = rows.column("quotes").to_numpy()
             odd = np.concatenate([[before], before ^ (np.cumsum(quotes) % 2 == 1)])
             held = (name, first, odd, rows)
     if held is not None:
@@ -125,21 +130,25 @@ def _cut(contexts):
     return run
 
 
-def records(spark: SparkSession, path: str) -> DataFrame:
-    """(record): every record of the files but the first of each, the header; blank lines are left out.
+def records(spark: SparkSession, path: str, separator: str = "\n", header: bool = True, escapes: bool = False) -> DataFrame:
+    """(record): every record of the files, without the first of each if that is a header; empty ones are left out.
 
-    A record keeps the line feeds within its quotes. The driver holds one row per split of the files,
-    some 40 bytes for each spark.sql.files.maxPartitionBytes read.
+    A record keeps the separators within its quotes. With escapes a backslash takes the meaning of
+    the sign behind it. The first pass reads no text but counts; the driver holds one row per split of
+    the files, some 40 bytes for each spark.sql.files.maxPartitionBytes read.
     """
-    lines = _lines(spark, path)
-    contexts = spark.sparkContext.broadcast(_contexts(lines.mapInArrow(_summaries, SUMMARY_DDL).toArrow()))
-    cut = lines.mapInArrow(_cut(contexts), LINE_DDL).where("start_block > 0 OR start_line > 0")
+    lines = _lines(spark, path, separator, escapes)
+    counted = lines.drop("value").mapInArrow(_summaries, SUMMARY_DDL)
+    contexts = spark.sparkContext.broadcast(_contexts(counted.toArrow()))
+    cut = lines.mapInArrow(_cut(contexts), LINE_DDL)
+    if header:
+        cut = cut.where("start_block > 0 OR start_line > 0")
     one = cut.where("alone").select("value")
     more = (
         cut.where("NOT alone")
         .groupBy("file", "start_block", "start_line")
         .agg(F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("parts"))
-        .select(F.concat_ws("\n", "parts.value").alias("value"))
+        .select(F.concat_ws(separator, "parts.value").alias("value"))
     )
-    ended = F.regexp_replace("value", r"\r\z", "").alias("record")  # of a file with \r\n
-    return one.unionByName(more).select(ended).where("record <> ''")
+    ended = F.regexp_replace("value", r"\r\z", "") if separator == "\n" else F.col("value")  # \r of \r\n
+    return one.unionByName(more).select(ended.alias("record")).where("record <> ''")

@@ -62,8 +62,9 @@ def read_orders(
 
     ``layout`` tells how the objects lie in the files:
 
-    - ``split``: flat objects, in an array or one after another, cut at each ``}`` and read by any
-      number of tasks. A ``}`` inside a text makes the load fail, naming the layout to use instead;
+    - ``split``: flat objects, in an array or one after another, cut at each ``}`` that is not within a
+      text and read by any number of tasks, in two passes. An object inside an object makes the load
+      fail, naming the layout to use instead;
     - ``lines``: one object per line, read by any number of tasks;
     - ``array``: a JSON array per file, parsed by one task per file.
 
@@ -95,8 +96,8 @@ def _flat_json(
         objects = spark.read.text(path).filter("trim(value) <> ''").selectExpr("value AS json")
     else:
         # Each piece must be a whole object once its brace is put back.
-        pieces = spark.read.text(path, lineSep="}").selectExpr(
-            r"regexp_replace(value, r'^[\s,\[]+', '') AS piece"
+        pieces = records(spark, path, separator="}", header=False, escapes=True).selectExpr(
+            r"regexp_replace(record, r'^[\s,\[]+', '') AS piece"
         )
         objects = pieces.filter(r"NOT piece RLIKE r'^[\s\]]*\z'").selectExpr(
             "concat(piece, '}') AS json"
@@ -105,9 +106,14 @@ def _flat_json(
     parsed = objects.selectExpr(
         "json",
         f"coalesce(from_json(json, 'map<string,string>', map('mode', 'PERMISSIVE')),"
-        f" raise_error('not a flat JSON object, perhaps a brace inside a text: {advice}')) AS fields",
+        f" raise_error('not a flat JSON object: {advice}')) AS fields",
+    )
+    # a value that looks like an object may be a text; what is left without the texts tells
+    bare = r"""regexp_replace(json, r'(?s)"(?:[^"\\]++|\\.)*+"', '')"""
+    nested = (
+        "exists(map_values(fields), v -> v LIKE '{%' OR v LIKE '[%')"
+        f" AND (regexp_count({bare}, '[{{]') > 1 OR contains({bare}, '['))"
     )
-    nested = "exists(map_values(fields), v -> v LIKE '{%' OR v LIKE '[%')"
     flat = parsed.selectExpr(
         "json", f"if({nested}, raise_error('orders must be flat objects'), fields) AS fields"
     )

@@ -5,7 +5,6 @@ from random import Random
 
 import pytest
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
 
 from tallyvault.model import CUSTOMERS, EVENTS, ORDERS, PAYMENTS
 from tallyvault.sources import quoted
@@ -113,7 +112,7 @@ def test_a_header_may_hold_a_line_feed_and_files_may_be_empty(spark, tmp_path, s
 
 def test_only_records_of_several_lines_are_shuffled(spark, tmp_path):
     path = write(tmp_path / "c.csv", CUSTOMER_HEADER + "".join(f"{i},a,b,c,d,e\n" for i in range(500)) + '9,"a\nb",c,d,e,f\n')
-    lines = spark.read.text(path, lineSep="\n").select(F.lit(1).cast("long").alias("file"), F.lit(0).cast("long").alias("block"), "value")
+    lines = quoted._lines(spark, path, "\n", escapes=False)
     contexts = quoted._contexts(lines.mapInArrow(quoted._summaries, quoted.SUMMARY_DDL).toArrow())
     cut = lines.mapInArrow(quoted._cut(spark.sparkContext.broadcast(contexts)), quoted.LINE_DDL)
     assert cut.where("NOT alone").count() == 2
@@ -190,8 +189,38 @@ def test_json_null_token_marks_nulls_but_not_missing_fields(spark, tmp_path, lay
     assert tuples(found, "order_id", "customer_id") == [("1", "None"), ("2", None)]
 
 
-@pytest.mark.parametrize("row", ['{"status": "a}b"}', '{"status": {"a": 1}, "order_id": 1}'])
-def test_a_brace_that_would_break_the_split_fails_the_load(spark, tmp_path, row):
+@pytest.mark.parametrize("size", [5, 17, 40, 1 << 20])
+def test_braces_within_texts_are_read_by_many_tasks(spark, tmp_path, small_splits, size):
+    random = Random(size)
+    texts = ["a}b", '"}{', "\\", "\\\"}", "}\n{", "{}", "", "é}日本", "\\}\\", "done"]
+    for part in range(2):
+        rows = [
+            {"order_id": 100 * part + i, "status": random.choice(texts), "currency": random.choice(texts), "unit_price": "1}"}
+            for i in range(50)
+        ]
+        separator = "," if part else "\n"
+        body = separator.join(json.dumps(r, ensure_ascii=bool(i % 2)) for i, r in enumerate(rows))
+        (tmp_path / f"o{part}.json").write_text(f"[{body}]" if part else body, encoding="utf-8")
+    expected = [
+        tuple(None if v in (None, "") else str(v) for v in (r.get(c) for c in ORDERS.columns))
+        for f in sorted(tmp_path.glob("*.json"))
+        for r in (json.loads(f.read_text()) if "1" in f.name else json.loads("[" + ",".join(decoded(f.read_text())) + "]"))
+    ]
+    small_splits(size)
+    assert tuples(read_orders(spark, str(tmp_path)), *ORDERS.columns) == sorted(expected, key=repr)
+
+
+def decoded(text):
+    """JSON objects one after another."""
+    decoder, at = json.JSONDecoder(), 0
+    while at < len(text):
+        value, end = decoder.raw_decode(text, at)
+        yield json.dumps(value)
+        at = end + 1
+
+
+@pytest.mark.parametrize("row", ['{"status": {"a": 1}, "order_id": 1}', '{"order_id": 1, "status": {"a": "}"}}'])
+def test_an_object_inside_an_object_fails_the_load(spark, tmp_path, row):
     path = write(tmp_path / "o.json", f"[{row}]")
     with pytest.raises(Exception, match="use the orders layout lines or array"):
         read_orders(spark, path, "split").collect()

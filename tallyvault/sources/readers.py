@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyvault.model import CUSTOMERS, ENTITIES, EVENTS, ORDERS, PAYMENTS, PRODUCTS, Entity
-from tallyvault.sources.quoted import records
+from tallyvault.sources.quoted import JSON, XML, records
 
 # No text equals this, so Spark turns only absent CSV fields into NULL and keeps "" as ''.
 _NO_NULL_TEXT = "\u0002"
@@ -96,7 +96,7 @@ def _flat_json(
         objects = spark.read.text(path).filter("trim(value) <> ''").selectExpr("value AS json")
     else:
         # Each piece must be a whole object once its brace is put back.
-        pieces = records(spark, path, separator="}", header=False, escapes=True).selectExpr(
+        pieces = records(spark, path, JSON).selectExpr(
             r"regexp_replace(record, r'^[\s,\[]+', '') AS piece"
         )
         objects = pieces.filter(r"NOT piece RLIKE r'^[\s\]]*\z'").selectExpr(
@@ -134,9 +134,10 @@ def _field_text(column: str, json_null_token: str | None) -> str:
 def read_events(spark: SparkSession, path: str, layout: str = "split") -> DataFrame:
     """Events: every ``<event>`` element at any depth, its five child elements as text.
 
-    ``layout`` ``split`` cuts the files at each ``</event>`` and reads them with any number of tasks;
-    anything that would make the cut unreliable (comments, CDATA, nested or empty event elements)
-    makes the load fail, naming the other layout. ``document`` streams each file through one task.
+    ``layout`` ``split`` cuts the files at each ``</event>`` outside of comments and CDATA sections and
+    reads them with any number of tasks, in two passes; event elements that are nested, empty or end in a
+    tag with blanks make the load fail, naming the other layout. ``document`` streams each file through
+    one task.
     """
     if layout not in ("document", "split"):
         raise ValueError(f"unknown layout of events: {layout}")
@@ -145,10 +146,17 @@ def read_events(spark: SparkSession, path: str, layout: str = "split") -> DataFr
         raw = spark.read.format("xml").schema(EVENTS.raw_schema).options(**options).load(path)
         return _absent_if_empty(raw, EVENTS)
 
-    pieces = spark.read.text(path, lineSep="</event>").selectExpr(
-        "value",
-        r"regexp_count(value, r'<event[\s/>]') AS starts",
-        r"value RLIKE r'<!--|<!\[CDATA\[|<event(\s[^>]*)?/>|</event\s' AS unreliable",
+    # comments go, CDATA sections stay; tags within them are none
+    marked = r"regexp_replace(record, r'(?s)(<!\[CDATA\[.*?\]\]>)|<!--.*?-->', '$1')"
+    pieces = (
+        records(spark, path, XML)
+        .selectExpr(f"if(contains(record, '<!'), {marked}, record) AS value")
+        .selectExpr("value", r"if(contains(value, '<!['), regexp_replace(value, r'(?s)<!\[CDATA\[.*?\]\]>', ''), value) AS bare")
+        .selectExpr(
+            "value",
+            r"regexp_count(bare, r'<event[\s/>]') AS starts",
+            r"bare RLIKE r'<event(\s[^>]*)?/>|</event\s' AS unreliable",
+        )
     )
     checked = pieces.filter("starts > 0 OR unreliable").selectExpr(
         "if(starts = 1 AND NOT unreliable,"

@@ -181,7 +181,10 @@ class StoredVault(Mapping[str, DataFrame]):
         for sat in BY_SAT:
             folder, files = self._hadoop(f"{self._path('current')}/{sat}")
             for status in files.listStatus(folder) if files.exists(folder) else []:
-                if status.getPath().getName() not in kept:
+                name = status.getPath().getName()
+                if name not in kept:
+                    if self.buckets is not None:
+                        self.spark.sql(f"DROP TABLE IF EXISTS {self._name(f'current_{sat}_{name}')}")
                     files.delete(status.getPath(), True)
 
     @staticmethod

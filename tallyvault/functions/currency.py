@@ -8,7 +8,7 @@ from decimal import Decimal, localcontext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyvault.functions.exact import limbs, number_limbs, total_text, totals
+from tallyvault.functions.exact import SUM_LIMBS, limbs, number_limbs, total_text, totals
 
 Rates = Mapping[str, Decimal | int | float | str]
 
@@ -81,11 +81,10 @@ def converted_amount(text: str, currency: str, preferred: str, rates: Rates | No
 def converted_totals(
     parts: DataFrame, keys: Sequence[str], preferred: str, rates: Rates | None, name: str
 ) -> DataFrame:
-    """(*keys, name): limbs (*keys, currency, place, part) of sums per currency, as one sum in the preferred one.
+    """(*keys, name): sums (*keys, currency, place, whole, fraction) per currency, as one in the preferred one.
 
     Sums are converted, not their amounts: the product of a sum is exact, so both are the same.
     """
-    one = "array(named_struct('place', place, 'part', part))"
     rate = _rate_limbs("currency", preferred, rates)
-    converted = parts.select(*keys, F.expr(f"inline({_products(one, rate)})"))
+    converted = parts.select(*keys, F.expr(f"inline({_products(SUM_LIMBS, rate)})"))
     return totals(converted, keys, name)

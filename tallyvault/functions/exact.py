@@ -19,7 +19,7 @@ LIMB = 9
 WHOLE_DIGITS, FRACTION_DIGITS = 131_072, 16_383
 
 NUMBER = r"^([+-]?)(?=\.?\d)(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?\z"
-SUM = "decimal(28,0)"  # of a limb: a sum takes ten digits more
+SUM = "decimal(28,0)"  # of whole numbers of 20 digits: a sum takes ten digits more
 
 
 def bound(name: str, value: str, body: str) -> str:
@@ -100,19 +100,38 @@ def total_text(sums: str) -> str:
     return f"CASE WHEN size({sums}) > 0 THEN {bound('m', ends, text)} ELSE '0' END"
 
 
-def limb_sums(rows: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
-    """(*keys, place, part): sums of the limbs of the plain numbers in column ``text``."""
-    split = rows.select(*keys, F.expr(f"inline({limbs(text)})"))
-    return added(split.withColumn("part", F.expr(f"cast(part AS {SUM})")), keys)
+def amount_sums(rows: DataFrame, keys: Sequence[str], amount: str, wide: str) -> DataFrame:
+    """(*keys, place, whole, fraction): sums of amounts that column ``amount`` or the text ``wide`` holds.
+
+    A decimal is one row of place 0, its whole part and its fraction apart; only a wide number is cut
+    into limbs. Neither sum can overflow, and map tasks fold their own first.
+    """
+    small = (
+        f"array(named_struct('place', 0, 'whole', cast(floor({amount}) AS {SUM}),"
+        f" 'fraction', cast({amount} - floor({amount}) AS decimal(28,18))))"
+    )
+    large = (
+        f"transform({limbs(wide)}, x -> named_struct('place', x.place, 'whole', cast(x.part AS {SUM}),"
+        " 'fraction', cast(0 AS decimal(28,18))))"
+    )
+    return added(rows.select(*keys, F.expr(f"inline(if({wide} IS NULL, {small}, {large}))")), keys)
 
 
 def added(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Limbs (*keys, place, part) folded to one row per place; map tasks fold their own first."""
-    return parts.groupBy(*keys, "place").agg(F.sum("part").cast(SUM).alias("part"))
+    """Sums (*keys, place, whole, fraction) folded to one row per place."""
+    return parts.groupBy(*keys, "place").agg(
+        F.sum("whole").alias("whole"), F.sum("fraction").alias("fraction")
+    )
+
+
+SUM_LIMBS = (
+    f"concat(transform({limbs('cast(whole AS string)')}, x -> named_struct('place', x.place + place, 'part', x.part)),"
+    f" {limbs('cast(fraction AS string)')})"
+)
 
 
 def totals(parts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """(*keys, name): limbs (*keys, place, part) as plain text; one row per place goes in."""
+    """(*keys, name): limbs (*keys, place, part) as plain text; a place may stand in several rows."""
     gathered = parts.groupBy(*keys).agg(F.collect_list(F.struct("place", "part")).alias("_parts"))
     return gathered.select(*keys, F.expr(total_text("_parts")).alias(name))
 

@@ -17,8 +17,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyvault.functions.currency import Rates, converted_totals, exact_amount, known_currencies
-from tallyvault.functions.exact import added, by_size, limb_sums
+from tallyvault.functions.currency import Rates, converted_totals, known_currencies
+from tallyvault.functions.exact import added, amount_sums, by_size
 from tallyvault.model import CUSTOMERS, EVENTS, ORDERS, PAYMENTS, PRODUCTS, Entity
 from tallyvault.operators.satellites import latest_version
 from tallyvault.operators.skew import HotKeys, hot_keys, lookup_join
@@ -91,7 +91,7 @@ def _positive(n: int) -> int:
 def _paid_per_order(
     vault: Vault, preferred_currency: str, exchange_rates: Rates | None, by: dict[str, Column]
 ) -> DataFrame:
-    """Payment sums per order, currency (and ``by``) as limbs, completed orders only.
+    """Payment sums per order, currency (and ``by``) by place, completed orders only.
 
     Payments without a known rate are left out. Sums are taken per order first: an order may own
     any number of payments, and the order satellite and link then join few rows per key.
@@ -100,11 +100,12 @@ def _paid_per_order(
     paid = (
         _latest(vault, PAYMENTS, "amount", "amount_wide", "currency", "payment_timestamp")
         .filter(known)
-        .select("payment_hk", "currency", F.expr(exact_amount("amount")).alias("paid"), *[c.alias(n) for n, c in by.items()])
-        .filter(F.col("paid").isNotNull())
+        .filter("amount IS NOT NULL OR amount_wide IS NOT NULL")
+        .select("payment_hk", "currency", "amount", "amount_wide", *[c.alias(n) for n, c in by.items()])
     )
     linked = _linked(vault, PAYMENT_LINK, PAYMENTS, ["order_hk"], paid)
-    return limb_sums(linked, ["order_hk", "currency", *by], "paid").join(_completed_orders(vault), "order_hk")
+    sums = amount_sums(linked, ["order_hk", "currency", *by], "amount", "amount_wide")
+    return sums.join(_completed_orders(vault), "order_hk")
 
 
 def get_top_customers(

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyvault.llm.shared import carried, extra_ddl, sent, with_text
+from tallyvault.llm.shared import carried, extra_ddl, freed, sent, with_text
 from tallyvault.llm.text import Words, batch, pieces
 
 BUCKETS = 1 << 15  # of trigrams; a model has so many numbers per language
@@ -139,6 +139,7 @@ class Model:
         return label, letters
 
 
+@freed
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("lang", pa.string()), ("kind", pa.int32()), ("n", pa.int64())])
     for whole in batches:
@@ -218,7 +219,7 @@ def _label(model):
                     b.column("extra"),
                 )
 
-    return run
+    return freed(run)
 
 
 def identify(docs: DataFrame, held_out: Column, carry: Sequence[str] = ()) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyvault.llm.graph import components
-from tallyvault.llm.shared import keep
+from tallyvault.llm.shared import freed, keep
 from tallyvault.llm.text import Words, batch, distinct, factors, lists, mix, pieces, shingles, signed
 from tallyvault.llm.wanted import wanted_texts
 
@@ -66,7 +66,7 @@ def _sampled(size: int):
                 values, _ = shingle_sets(b.column("text"), size)
                 yield pa.RecordBatch.from_arrays([pa.array(signed(values))], names=["token"])
 
-    return run
+    return freed(run)
 
 
 def frequent_tokens(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
@@ -117,7 +117,7 @@ def _profile(size: int, percent: int, frequent):
                     lists(signed(values[lead]), np.concatenate([[0], np.cumsum(size_of)])),
                 )
 
-    return run
+    return freed(run)
 
 
 def _overlaps(size: int, percent: int):
@@ -138,7 +138,7 @@ def _overlaps(size: int, percent: int):
                 alike = pa.array((both > 0) & (100 * both >= percent * (n + m - both)))
                 yield batch(schema, part.column("a").filter(alike), part.column("b").filter(alike))
 
-    return run
+    return freed(run)
 
 
 def linked(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -174,6 +174,7 @@ OPENED = pa.schema([("doc_id", pa.int64()), ("grp", pa.int64()), ("part", pa.int
 OPENED_DDL = "doc_id long, grp long, part long"
 
 
+@freed
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by token, group size, group and part: every document with the parts of the
     groups behind its own. Small groups come first, so their documents meet the parts of large ones

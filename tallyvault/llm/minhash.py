@@ -170,9 +170,21 @@ def _mixed(members: DataFrame) -> DataFrame:
     return ends.where("low < high").select("bucket")
 
 
-def _pairs(met: DataFrame, percent: int) -> DataFrame:
-    similar = met.where(similar_in_size(percent))
-    return similar.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+def _pairs(met: DataFrame) -> DataFrame:
+    return met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+
+
+def met_at_first(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
+    """The members (bucket, node, n, place, label) of every bucket with its centres (bucket, a, m, spot, of_a)
+    of other components, where this can be the first bucket that two linked sets share.
+
+    place and spot tell how many of a set's shingles come before the bucket's in the order of all. Of the two
+    sets' common shingles none is before the first shared bucket, so at most the rest of either set is
+    common; where that is fewer than a link needs, the pair has no link or meets in an earlier bucket.
+    """
+    other = f"label <> of_a AND {similar_in_size(percent)}"
+    enough = f"least(n - place, m - spot) >= ceil({percent} * (n + m) / {100 + percent}.0)"
+    return members.join(centres, "bucket").where(f"{other} AND {enough}")
 
 
 def first_stars(
@@ -189,7 +201,7 @@ def first_stars(
     far = max(0, 2 * percent - 100)
     first = members.groupBy("bucket").agg(F.min("node").alias("a"), F.min_by("n", "node").alias("m"))
     met = keep(members.join(first, "bucket").where("node <> a"))
-    found = keep(compared(keep(_pairs(met, percent)), docs, size, percent, far))
+    found = keep(compared(keep(_pairs(met.where(similar_in_size(percent)))), docs, size, percent, far))
     component = keep(components(found.where("near").select("a", "b")))
     labelled = _labelled(members, component, "node", "label")
     mixed = keep(_mixed(labelled))
@@ -209,11 +221,11 @@ def first_stars(
 def more_stars(
     members: DataFrame, component: DataFrame, known: DataFrame, docs: DataFrame, size: int, percent: int
 ) -> DataFrame | None:
-    """Links (a, b) between members (bucket, node, n) of a bucket that are in different components.
+    """Links (a, b) between members (bucket, node, n, place) of a bucket that are in different components.
 
     Every bucket pairs its first members, CENTRES of them and WIDEN times more each round, with those of
-    other components. The centres have then met all of these and leave the bucket, which is done when
-    its rest is one component. Members of its smallest components come first, so that a bucket of one
+    other components that they don't meet in an earlier bucket. The centres have then met all of these and
+    leave the bucket, which is done when its rest is one component. Members of its smallest components come first, so that a bucket of one
     large component and a few others is done by a star around each of these. Pairs in known (a, b) have
     been compared before.
     """
@@ -222,16 +234,17 @@ def more_stars(
     members = keep(members.join(_mixed(members), "bucket", "left_semi"))
     while not members.isEmpty():
         sizes = members.groupBy("bucket", "label").agg(F.count("*").alias("alike"))
-        order = Window.partitionBy("bucket").orderBy("alike", "label", "node", "n")  # cut before the shuffle
+        order = Window.partitionBy("bucket").orderBy("alike", "label", "node", "n", "place")  # cut before the shuffle
         ranked = members.join(sizes, ["bucket", "label"]).withColumn("rank", F.row_number().over(order))
         first = keep(ranked.where(F.col("rank") <= centres).drop("rank", "alike"))
-        other = first.select("bucket", F.col("node").alias("a"), F.col("n").alias("m"), F.col("label").alias("of_a"))
-        wanted = _pairs(members.join(other, "bucket").where("label <> of_a"), percent)
+        other = first.selectExpr("bucket", "node AS a", "n AS m", "place AS spot", "label AS of_a")
+        wanted = _pairs(met_at_first(members, other, percent))
         wanted = keep(wanted.join(known, ["a", "b"], "left_anti"))
         found = compared(wanted, docs, size, percent, 0).where("near").select("a", "b")
         found = keep(found)
         links = found if links is None else links.unionByName(found)
-        rest = members.join(first.select("bucket", "node", "n"), ["bucket", "node", "n"], "left_anti")
+        row = ["bucket", "node", "n", "place"]
+        rest = members.join(first.select(row), row, "left_anti")
         members = keep(rest.join(_mixed(rest), "bucket", "left_semi"))
         centres *= WIDEN
     return links
@@ -273,7 +286,7 @@ def _leading(size: int, percent: int, counts):
 
 
 def leading_members(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Members (bucket, node, n) of buckets by leading shingles, of the documents in nodes (node).
+    """Members (bucket, node, n, place) of buckets by leading shingles, of the documents in nodes (node).
 
     In an order that all sets share, two similar sets share one of their first shingles. The order puts
     those of crowded slots last, by one count per slot over all these documents, so that a passage that
@@ -293,7 +306,7 @@ def leading_members(docs: DataFrame, nodes: DataFrame, size: int, percent: int)
     smallest = placed.groupBy("bucket").agg(F.min("n").alias("m"))
     partner = f"greatest(m, ceil({percent} * n / 100.0))"
     within = placed.join(smallest, "bucket").where(f"n - place >= ceil({percent} * (n + {partner}) / {100 + percent}.0)")
-    return shared_buckets(keep(within.select("bucket", "node", "n")))
+    return shared_buckets(keep(within.select("bucket", "node", "n", "place")))
 
 
 def shared_buckets(placed: DataFrame) -> DataFrame:

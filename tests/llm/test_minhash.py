@@ -91,6 +91,39 @@ def test_leading_buckets_alone_find_every_link(spark):
                 assert (b, a) in together
 
 
+def centres_of(members):
+    return members.selectExpr("bucket", "node AS a", "n AS m", "place AS spot", "label AS of_a")
+
+
+def test_a_bucket_brings_no_pairs_that_must_meet_earlier(spark):
+    """Sets of 100 need 89 in common: one with 20 shingles before the bucket's has 80 left at most."""
+    rows = [(3, 1, 100, 0), (3, 2, 100, 11), (7, 1, 100, 5), (7, 2, 100, 20), (7, 4, 80, 0), (9, 4, 80, 4), (9, 5, 100, 0), (9, 6, 101, 0)]
+    members = spark.createDataFrame(rows, "bucket long, node long, n long, place long").selectExpr("*", "node AS label")
+    met = minhash.met_at_first(members, centres_of(members), 80).where("a < node").select("bucket", "a", "node")
+    assert sorted(map(tuple, met.collect())) == [(3, 1, 2), (7, 1, 4), (7, 2, 4), (9, 5, 6)]
+
+
+def test_every_link_meets_at_its_first_bucket(spark):
+    random = np.random.default_rng(9)
+    base, rows = [f"w{i}" for i in range(80)], []
+    for i in range(120):
+        text = list(base)
+        for j in random.integers(0, 80, int(random.integers(0, 5))):
+            text[j] = f"x{int(random.integers(0, 300))}"
+        rows.append((i, " ".join(text[: int(random.integers(55, 81))])))
+    docs = frame(spark, rows)
+    members = minhash.leading_members(docs, docs.selectExpr("doc_id AS node"), 4, 80).selectExpr("*", "node AS label")
+    met = minhash.met_at_first(members, centres_of(members), 80).where("a < node").select("a", "node").collect()
+    sets = {i: brute.shingles(t, 4) for i, t in rows}
+    links = set()
+    for b in sets:
+        for a in range(b):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                links.add((a, b))
+    assert links and links <= {tuple(r) for r in met}
+
+
 def test_rows_that_repeat_a_doc_id(spark):
     one, two, three = (" ".join(f"{k}{i}" for i in range(30)) for k in "abc")
     rows = [(1, one), (2, one), (2, two), (3, two), (4, three), (4, three), (None, three), (5, None)]

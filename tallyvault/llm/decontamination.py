@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyvault.llm.shared import carried, extra_ddl, sent, with_text
+from tallyvault.llm.shared import carried, extra_ddl, freed, sent, with_text
 from tallyvault.llm.text import Words, batch, mix, pieces
 
 K1, B = 1.2, 0.75
@@ -190,7 +190,7 @@ def _search(index):
                     b.column("extra"),
                 )
 
-    return run
+    return freed(run)
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, carry: Sequence[str] = ()) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyvault.llm.shared import keep
+from tallyvault.llm.shared import freed, keep
 from tallyvault.llm.text import batch
 
 CAPACITY = 1024
@@ -297,7 +297,7 @@ def _cut(path: str, capacity: int, with_ids: bool):
                     [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), PIECE, strict=True)], schema=PIECE
                 )
 
-    return run
+    return freed(run)
 
 
 # --- places ----------------------------------------------------------------------------------
@@ -338,7 +338,7 @@ def _placed(table):
                 offset[mine] = row[:, 3] + inside % row[:, 1] * size
             yield batch(schema, *(b.column(f.name) for f in PIECE), bin_, offset)
 
-    return run
+    return freed(run)
 
 
 def pack(

@@ -13,7 +13,9 @@ from tallyvault.operators.links import new_link_rows
 from tallyvault.operators.repeats import parted, repeated_keys
 from tallyvault.operators.satellites import conflicting_versions, new_sat_rows
 from tallyvault.plans import staging as staging_module
+from tallyvault.plans.pipeline import Load
 from tallyvault.plans.staging import DROPS_SHUFFLES, Staging, shuffles_dropped
+from tallyvault.plans.vault import StoredVault
 
 from .support import DAY_1, DAY_2, accepted, batch, customer, event, order, parsed, payment, product, raw, tuples
 
@@ -120,3 +122,45 @@ def test_two_loads_leave_the_vault_alone_on_the_disk(spark, monkeypatch, tmp_pat
     # the second load adds order 10000101
     assert vault[ORDERS.hub].count() == vault[ORDERS.sat].count() == (3 if dies_after else 4)
     assert vault.rejects().count() > 0
+
+
+def shuffled_columns(frame, of: str) -> list[str]:
+    """What the plan's shuffles whose rows have a column of that name carry."""
+    lines = frame._jdf.queryExecution().explainString(frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")).splitlines()
+    inputs = [lines[i + 1] for i, line in enumerate(lines) if line.endswith("Exchange") or ") Exchange" in line]
+    return [line for line in inputs if f"{of}#" in line]
+
+
+def test_the_comparison_shuffles_business_keys_and_short_hashes(spark):
+    rows = cleaned_rows(Staging(spark).put_parsed(raw(spark, CUSTOMERS, CUSTOMER_ROWS), CUSTOMERS), CUSTOMERS)
+    staging = Staging(spark)
+    repeated = staging.repeated("keys", rows, ["customer_id"])
+    latest = staging.put("latest", new_sat_rows(rows, CUSTOMERS, DAY_1)).hint("merge")
+    found = new_sat_rows(rows, CUSTOMERS, DAY_2, latest=latest, repeated=repeated)
+    assert found.count() == 0
+    compared = [line for line in shuffled_columns(found, "full_name") if "row_hash#" not in line]
+    assert compared and all("customer_id#" in line and "customer_hk#" not in line for line in compared)
+    assert not shuffled_columns(found, "hash_diff") or all("_n#" in x or "row_hash#" in x for x in shuffled_columns(found, "hash_diff"))
+
+
+def test_known_links_meet_the_ids(spark):
+    link = LINKS["link_payment_order"]
+    checked = Staging(spark).put("checked", spark.createDataFrame([(1, 2, None), (4, 5, None)], "payment_id long, order_id long, missing_type string"))
+    known = Staging(spark).put("known", new_link_rows(checked.filter("order_id = 2"), link, DAY_1)).hint("merge")
+    added = new_link_rows(checked, link, DAY_2, known)
+    assert added.count() == 1
+    sent = shuffled_columns(added, "payment_id")
+    assert sent and not any("link_hk#" in line for line in sent)
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_the_first_load_is_its_own_snapshot(spark, tmp_path, buckets):
+    vault = StoredVault(spark, f"{tmp_path}/v", buckets=buckets)
+    Load(spark, vault, DAY_1, Staging(spark)).run(batch(spark, customers=CUSTOMER_ROWS))
+    assert not (tmp_path / "v/current").exists()
+    names = CUSTOMERS.sat_schema.names
+    assert tuples(vault.current("sat_customer"), *names) == tuples(vault["sat_customer"], *names) != []
+    Load(spark, vault, DAY_2, Staging(spark)).run(batch(spark, customers=[customer("1", city="Rome"), customer("99")]))
+    assert len(list(tmp_path.glob("v/current/sat_customer/of_*"))) == 1
+    found = vault.current("sat_customer")
+    assert found.count() == vault["sat_customer"].count() - 1 and ("Rome",) in tuples(found, "city")

@@ -164,3 +164,32 @@ def test_the_first_load_is_its_own_snapshot(spark, tmp_path, buckets):
     assert len(list(tmp_path.glob("v/current/sat_customer/of_*"))) == 1
     found = vault.current("sat_customer")
     assert found.count() == vault["sat_customer"].count() - 1 and ("Rome",) in tuples(found, "city")
+
+
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_staged_rows_leave_out_the_row_hash(spark, monkeypatch, most):
+    monkeypatch.setattr(staging_module, "MOST_KEYS", most)
+    staging = Staging(spark)
+    found = staging.put_parsed(raw(spark, CUSTOMERS, CUSTOMER_ROWS), CUSTOMERS)
+    for table in ("rows_customers", "customers"):
+        assert "row_hash" not in spark.read.parquet(f"{staging.root}/{table}").columns
+    expected = parsed(spark, CUSTOMERS, CUSTOMER_ROWS)
+    names = ["raw_customer_id", "raw_city", "row_hash", "copies"]
+    assert tuples(found, *names) == tuples(expected, *names)
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_a_snapshot_leaves_out_the_hash_diff(spark, tmp_path, buckets):
+    vault = StoredVault(spark, f"{tmp_path}/v", buckets=buckets)
+    wide = [order(key, "1", "1") for key in "123"]
+    wide = [(*o[:4], price, *o[5:]) for o, price in zip(wide, ["10.50", "7" * 50, "-0.50"])]
+    Load(spark, vault, DAY_1, Staging(spark)).run(batch(spark, orders=wide))
+    Load(spark, vault, DAY_2, Staging(spark)).run(batch(spark, orders=[order("1", "1", "1", "cancelled"), order("4", "1", "1")]))
+    written = spark.read.parquet(*map(str, tmp_path.glob("v/current/sat_order/of_*")))
+    assert "hash_diff" not in written.columns and written.count() == 4
+    stored = {(hk, diff) for hk, diff in tuples(vault["sat_order"], "order_hk", "hash_diff")}
+    found = tuples(vault.current("sat_order"), "order_hk", "hash_diff")
+    assert len(found) == 4 and set(found) <= stored
+    # what didn't change is no new version
+    Load(spark, vault, DAY_2.replace(hour=9), Staging(spark)).run(batch(spark, orders=[*wide[1:], order("4", "1", "1")]))
+    assert vault["sat_order"].count() == 5

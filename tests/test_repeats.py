@@ -8,11 +8,13 @@ import pytest
 
 from tallyvault import queries
 from tallyvault.model import CUSTOMERS, LINKS, ORDERS
+from tallyvault.operators import repeats as repeats_module
 from tallyvault.operators.cleaning import cleaned_rows
-from tallyvault.operators.links import new_link_rows
+from tallyvault.operators.links import missing_references, new_link_rows, rows_near
 from tallyvault.operators.repeats import parted, repeated_keys
 from tallyvault.operators.satellites import conflicting_versions, new_sat_rows
 from tallyvault.plans import staging as staging_module
+from tallyvault.plans import vault as vault_module
 from tallyvault.plans.pipeline import Load
 from tallyvault.plans.staging import DROPS_SHUFFLES, Staging, shuffles_dropped
 from tallyvault.plans.vault import StoredVault
@@ -193,3 +195,74 @@ def test_a_snapshot_leaves_out_the_hash_diff(spark, tmp_path, buckets):
     # what didn't change is no new version
     Load(spark, vault, DAY_2.replace(hour=9), Staging(spark)).run(batch(spark, orders=[*wide[1:], order("4", "1", "1")]))
     assert vault["sat_order"].count() == 5
+
+
+@pytest.mark.parametrize("bits", [2**27, 2**15])
+def test_a_bitmap_tells_single_rows_however_many_keys_repeat(spark, monkeypatch, bits):
+    monkeypatch.setattr(staging_module, "MOST_KEYS", 4)
+    monkeypatch.setattr(repeats_module, "BITS", bits)
+    given = [(k,) for k in range(-5000, 5000)] + [(k,) for k in range(0, 5000, 7)] + [(None,), (None,)]
+    rows = spark.createDataFrame(given, "k long").repartition(3)
+    repeated = Staging(spark).repeats("keys", rows, ["k"])
+    assert repeated.columns == ["_part", "_marks"]
+    single, several = parted(rows, ["k"], repeated)
+    assert sorted(tuples(single, "k") + tuples(several, "k"), key=repr) == sorted(given, key=repr)
+    twice = {(k,) for k in range(0, 5000, 7)} | {(None,)}
+    assert not twice & set(tuples(single, "k"))
+    # some rows that share a bit with a repeated key are among the others, most are not
+    assert single.count() > (0.9 if bits == 2**15 else 0.999) * (len(given) - 2 * len(twice))
+    assert "hashpartitioning(k" not in plan(single) + plan(several)
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_loads_with_too_many_repeated_keys_are_those_with_few(spark, monkeypatch, tmp_path, buckets):
+    orders = [order(str(k), "1", "1") for k in range(1, 60)] + [order(str(k), "1", "1", "cancelled") for k in range(1, 60, 3)]
+    again = [order(str(k), "1", "1", "processing") for k in range(40, 80)] + [order(str(k), "2", "1") for k in range(50, 90)]
+    found = []
+    for most in (1_000_000, 2):
+        monkeypatch.setattr(staging_module, "MOST_KEYS", most)
+        vault = StoredVault(spark, f"{tmp_path}/v{most}", buckets=buckets)
+        for day, rows in ((DAY_1, orders), (DAY_2, again)):
+            load = Load(spark, vault, day, Staging(spark))
+            load.run(batch(spark, orders=rows, customers=CUSTOMER_ROWS, products=[product("1")]))
+            assert most > 2 or "_marks" in spark.read.parquet(f"{load.staging.root}/keys_orders_marks").columns
+        tables = {name: vault[name] for name in vault} | {"log": vault.rejects(), "current": vault.current("sat_order")}
+        found.append({name: tuples(table, *table.columns) for name, table in tables.items()})
+    assert found[0] == found[1]
+    assert len(found[0]["current"]) == 89 and len(found[0]["sat_order"]) > 89
+
+
+def test_latest_versions_are_shuffled_as_fingerprints(spark):
+    staging = Staging(spark)
+    rows = staging.put("rows", accepted(spark, CUSTOMERS, [customer(str(k)) for k in range(9)]))
+    changed = staging.put("changed", accepted(spark, CUSTOMERS, [customer(str(k), city="Rome" if k < 12 else "Oslo") for k in range(7, 15)]))
+    latest = staging.put("latest", new_sat_rows(rows, CUSTOMERS, DAY_1)).hint("merge")
+    repeated = staging.repeats("keys", changed, ["customer_id"])
+    found = new_sat_rows(changed, CUSTOMERS, DAY_2, latest=latest, repeated=repeated)
+    expected = new_sat_rows(changed, CUSTOMERS, DAY_2, latest)
+    assert tuples(found, *expected.columns) == tuples(expected, *expected.columns) and expected.count() == 8
+    sent = shuffled_columns(found, "_stored")
+    assert sent and not any("customer_hk#" in line for line in sent)
+
+
+def test_a_snapshot_shuffles_only_what_may_have_changed(spark, monkeypatch, tmp_path):
+    vault = StoredVault(spark, f"{tmp_path}/v")
+    Load(spark, vault, DAY_1, Staging(spark)).run(batch(spark, customers=CUSTOMER_ROWS))
+    kept = []
+    monkeypatch.setattr(vault_module, "parted", lambda *given: kept.append(parted(*given)) or kept[-1])
+    Load(spark, vault, DAY_2, Staging(spark)).run(batch(spark, customers=[customer("1", city="Rome"), customer("99")]))
+    single, several = next(k for k in kept if "customer_hk" in k[0].columns)
+    assert several.count() == 1 and single.count() == vault["sat_customer"].count() - 3
+    assert not shuffled_columns(single, "full_name")
+
+
+def test_only_rows_near_failing_ids_are_joined_with_them(spark):
+    link = LINKS["link_payment_order"]
+    rows = [payment(str(k), "777" if k % 5 == 0 else str(k)) for k in range(1, 50)] + [payment("90", None), payment("91", "x")]
+    staging = Staging(spark)
+    rows = staging.put("rows", accepted(spark, link.entity, [*rows, rows[4]]))
+    checked = staging.put("checked", rows.selectExpr("payment_id", "order_id", "if(order_id = 777, 'order_id', NULL) AS missing_type").distinct())
+    near = rows_near(rows, checked.filter("missing_type IS NOT NULL"), link)
+    assert near.count() == 10 and "hashpartitioning(payment_id" not in plan(near)
+    expected, found = (missing_references(r, checked, link, DAY_1) for r in (rows, near))
+    assert tuples(found, *found.columns) == tuples(expected, *found.columns) and found.count() == 10
